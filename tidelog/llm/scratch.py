@@ -1,0 +1,37 @@
+"""Tables written to the folder all executors share, so that a lost executor costs a reread and not a recompute."""
+
+from __future__ import annotations
+
+import tempfile
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The folder named by spark.checkpoint.dir; a local temporary one only where the session names none (tests)."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return named.rstrip("/")
+    fallback = f"file://{tempfile.gettempdir()}/tidelog-scratch"
+    spark.conf.set("spark.checkpoint.dir", fallback)
+    return fallback
+
+
+def materialise(df: DataFrame, name: str) -> DataFrame:
+    """Writes df as Parquet under the shared folder and reads it back: lineage is cut, columns stay prunable."""
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(nullable(df.schema)).parquet(path)
+
+
+def nullable(schema: T.StructType) -> T.StructType:
+    return T.StructType([T.StructField(f.name, f.dataType, True) for f in schema])
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Deletes what this application materialised; call it when no result of its operators is read any more."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/{spark.sparkContext.applicationId}")
+    root.getFileSystem(spark._jsc.hadoopConfiguration()).delete(root, True)
