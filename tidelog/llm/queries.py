@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, mixing, packing, simhash
+from . import chat, langid, licenses, mixing, packing, pivots, quality, secrets, simhash, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,6 +20,23 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scanned = licenses.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    x = F.col("license_scan")
+    return scanned.select(
+        "doc_id",
+        F.size(x["identifiers"]).cast("long").alias("n_sentences"),
+        F.array_join(x["licenses"], ",").alias("licenses"),
+        F.array_join(x["unmatched"], ",").alias("unmatched"),
+    )
+
+
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality.judge(table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"))
+    fields = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "distance")
+    return judged.select("doc_id", *[f"quality.{x}" for x in fields])
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     out = langid.held_out(F.col("doc_id"))
@@ -28,6 +45,29 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    tricky = "\\### Assistant: </turn> ok"
+    own = spark.createDataFrame([(-7, 0, "user", tricky), (-7, 1, "assistant", tricky)], "conv_id long, turn long, role string, text string")
+    return chat.digest(chat.format_log(chat.message_log(said.unionByName(own))))
+
+
+def op5_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pivots.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan(table(spark, sf_dir, "documents"), secrets.network(), [F.col("doc_id")])
+    of = lambda k: F.filter("spans", lambda s: s["kind"] == k)
+    base = F.filter("spans", lambda s: s["kind"] != "model")
+    return found.select(
+        "doc_id",
+        *[F.size(of(k)).cast("long").alias(f"n_{k}") for k in ("assign", "access", "hex")],
+        F.sha2(secrets.digest(base), 256).alias("base_sha256"),
+        secrets.digest(F.col("spans")).alias("spans"),
+    )
+
+
 def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -37,6 +77,12 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path(), with_ids=False)
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.learn(docs, table(spark, sf_dir, "labels"))
+    return toxicity.grade(docs, model, [F.col("doc_id")])
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.assign(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
     words = F.aggregate("mix.copies", F.lit(0).cast("long"), lambda a, c: a + c["words"])
@@ -45,9 +91,15 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_license_scan": op1_license_scan,
+        "op2_quality_rules": op2_quality_rules,
         "op3_language_id": op3_language_id,
+        "op4_chat_format": op4_chat_format,
+        "op5_embedding_near_dedup": op5_embedding_near_dedup,
+        "op6_secret_scan": op6_secret_scan,
         "op7_simhash_near_dedup": op7_simhash_near_dedup,
         "op8_packing": op8_packing,
+        "op9_toxicity": op9_toxicity,
         "op10_mixing": op10_mixing,
     }
 
@@ -95,5 +147,41 @@ FROM sized JOIN decided ON sized.skey = decided.skey AND substr(dkey, 1, 3) = de
 OP10_SQL = OP10_SQL.replace("PARTITION BY skey, block ORDER BY dkey", "PARTITION BY sized.skey, decided.block ORDER BY dkey")
 
 
+def _list(values) -> str:
+    return "[" + ", ".join("'" + v.replace("'", "''") + "'" for v in values) + "]"
+
+
+def _op1_sql() -> str:
+    """Sentences by the same splits; rules fold over a struct of what is left and what was found."""
+    known = list(dict.fromkeys(s for _, s in licenses.SENTENCES))
+    names = [dict((s, i) for i, s in licenses.SENTENCES)[s] for s in known]
+    steps = []
+    for k, (name, ids) in enumerate(licenses.RULES):
+        rule = f";{';;'.join(ids)};"
+        steps.append(
+            f"r{k} AS (SELECT doc_id, n_sentences, replace(left_over, '{rule}', '|') AS left_over, "
+            f"list_concat(found, list_transform(range(CAST((length(left_over) - length(replace(left_over, '{rule}', ''))) / {len(rule)} AS BIGINT)), "
+            f"lambda i: '{name}')) AS found FROM {f'r{k - 1}' if k else 'known'})"
+        )
+    return rf"""
+WITH lines AS (
+  SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(lower(coalesce(text, '')),
+         '[.!?;:]+([ \t\r]|$)|[.!?;:]*\n', E'\n\\1', 'g'), '[^a-z0-9.\n]+', ' ', 'g'), ' ?\n ?', E'\n', 'g') AS plain
+  FROM documents),
+ids AS (
+  SELECT doc_id, list_transform(list_filter(list_transform(string_split(plain, E'\n'), lambda s: trim(s)),
+         lambda s: list_contains({_list(known)}, s)), lambda s: {_list(names)}[list_position({_list(known)}, s)]) AS ids
+  FROM lines),
+known AS (
+  SELECT doc_id, CAST(len(ids) AS BIGINT) AS n_sentences,
+         CASE WHEN len(ids) > 0 THEN ';' || array_to_string(ids, ';;') || ';' ELSE '' END AS left_over, []::VARCHAR[] AS found
+  FROM ids),
+{", ".join(steps)}
+SELECT doc_id, n_sentences, coalesce(array_to_string(found, ','), '') AS licenses,
+       coalesce(array_to_string(list_filter(regexp_split_to_array(left_over, '[;|]+'), lambda x: x <> ''), ','), '') AS unmatched
+FROM r{len(licenses.RULES) - 1}
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op10_mixing": OP10_SQL}
+    return {"op1_license_scan": _op1_sql(), "op10_mixing": OP10_SQL}
