@@ -105,7 +105,7 @@ def _forest(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def linked(described: DataFrame, cosine: float = COSINE, shared: int = SHARED, block: int = BLOCK) -> DataFrame:
-    """(kind 'n', node, other null, n links by weight) and (kind 'e', node, other): what block pairs found.
+    """What block pairs found: (edge 0, node, .., n) with a node's links by weight, and (edge 1, node, other).
 
     A node's weight is the number of equal vectors it stands for.
     """
@@ -124,7 +124,7 @@ def linked(described: DataFrame, cosine: float = COSINE, shared: int = SHARED, b
         part = part.sort_values("node")
         a, b = part[part["mine"] == p], part[part["mine"] == o]
         if not len(a) or not len(b):
-            return pd.DataFrame({"kind": [], "node": [], "other": [], "n": []})
+            return pd.DataFrame({c: np.zeros(0, np.int64) for c in ("edge", "node", "other", "n")})
         i, j = block_links(a, b, pivot, cosine, shared)
         x, y = a["node"].to_numpy()[i], b["node"].to_numpy()[j]
         keep = x < y if p == o else np.ones(len(x), bool)
@@ -134,14 +134,14 @@ def linked(described: DataFrame, cosine: float = COSINE, shared: int = SHARED, b
         low, high = _forest(x, y)
         return pd.DataFrame(
             {
-                "kind": ["n"] * len(counts) + ["e"] * len(low),
+                "edge": np.repeat([0, 1], [len(counts), len(low)]),
                 "node": np.concatenate([counts.index.to_numpy(np.int64), low]),
                 "other": np.concatenate([counts.index.to_numpy(np.int64), high]),
                 "n": np.concatenate([counts.to_numpy(np.int64), np.zeros(len(low), np.int64)]),
             }
         )
 
-    return posts.groupBy("label", "pivot", "p", "o").applyInPandas(compare, "kind string, node long, other long, n long")
+    return posts.groupBy("label", "pivot", "p", "o").applyInPandas(compare, "edge long, node long, other long, n long")
 
 
 def near_duplicates(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding", label: str = "label", cosine: float = COSINE) -> DataFrame:
@@ -162,8 +162,8 @@ def near_duplicates(vectors: DataFrame, vec_id: str = "vec_id", embedding: str =
     if len(pivots):
         described = materialise(describe(nodes, pivots), "described")
         found = materialise(linked(described, cosine), "links")
-        counts = found.where("kind = 'n'").groupBy("node").agg(F.sum("n").alias("n"))
-        comps = components(found.where("kind = 'e'").select(F.col("node").alias("a"), F.col("other").alias("b")))
+        counts = found.where("edge = 0").groupBy("node").agg(F.sum("n").alias("n"))
+        comps = components(found.where("edge = 1").select(F.col("node").alias("a"), F.col("other").alias("b")))
         members = members.join(counts, "node", "left").join(comps, "node", "left")
     else:
         members = members.withColumns({"n": F.lit(0).cast("long"), "component": F.lit(None).cast("long")})

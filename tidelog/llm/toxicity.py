@@ -1,7 +1,8 @@
 """Toxicity by cumulative-link ordinal regression on sparse word features.
 
-P(grade <= k) = sigmoid(threshold_k - w.x): one weight vector is shared by all ordered thresholds. Features are the
-words that mark one grade against the rest in the labelled sample, by log count. The result is the expected grade.
+P(grade <= k) = sigmoid(threshold_k - w.x): one weight vector is shared by all ordered thresholds. Features are words and
+beginnings of words that go with toxic labels or with their absence in the labelled sample, by log count. The result is
+the expected grade.
 """
 
 from __future__ import annotations
@@ -24,9 +25,19 @@ WORD = re.compile(r"[^\W\d_]+")
 SAMPLE = 12_000
 #: Words counted and features kept, at most.
 COUNTED, FEATURES = 50_000, 2_000
-#: A feature stands out by so many standard deviations.
-STANDS_OUT = 4.0
-PENALTY = 2e-3
+#: A feature's signed root of the likelihood-ratio statistic is this at least.
+STANDS_OUT = 5.0
+PENALTY = 3e-4
+#: Letters of a word's beginning, and the chance of a grade above 0 from which on a text counts as toxic.
+PREFIX, CUT = 5, 0.25
+
+
+def tokens(text: str | None) -> Counter:
+    """Counts of the lower-case words of a text and, with a star, of the beginnings of longer ones."""
+    found = WORD.findall((text or "").lower())
+    out = Counter(found)
+    out.update([w[:PREFIX] + "*" for w in found if len(w) >= PREFIX])
+    return out
 
 
 @dataclass
@@ -77,8 +88,8 @@ def fit(x: list[dict[int, float]], y: np.ndarray, features: int, grades: int, pe
 def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model | None:
     """A model from labels (doc_id, toxic 0 or 1; nulls teach nothing) and the texts they name; None without both labels.
 
-    The labels are binary, so severity is graded by what they imply: 0 is not toxic, toxic texts in which the marking
-    words are at most as dense as in the median one are 1, denser ones 2.
+    The labels are binary, so severity is graded by what they imply: 0 is not toxic, toxic texts with at most the median
+    amount (sum of log counts) of features that go with toxic labels are 1, those with more 2.
     """
     known = labels.where("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     n = known.count()
@@ -91,7 +102,7 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model | N
         seen: dict[str, list[int]] = {}
         for batch in batches:
             for toxic, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                for word in set(WORD.findall(text.as_py().lower())):
+                for word in tokens(text.as_py()):
                     seen.setdefault(word, [0, 0])[toxic > 0] += 1
             if len(seen) > 500_000:
                 yield _counts(seen)
@@ -104,32 +115,39 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model | N
     if len(size) < 2:
         return None
     a, b = (np.array([r[c] for r in table], float) for c in ("clean", "toxic"))
-    odds = np.log((b + 0.5) / (size[True] - b + 0.5)) - np.log((a + 0.5) / (size[False] - a + 0.5))
-    z = odds / np.sqrt(1 / (a + 0.5) + 1 / (b + 0.5))
+    z = _stands_out(a, b, size[False], size[True])
     best = [k for k in np.argsort(-np.abs(z), kind="stable")[:FEATURES] if abs(z[k]) >= STANDS_OUT] or list(np.argsort(-np.abs(z), kind="stable")[:20])
     place = {table[k]["word"]: i for i, k in enumerate(best)}
     marks = {table[k]["word"] for k in best if z[k] > 0}
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            toxic, at, value, dense = [], [], [], []
+            toxic, at, value, amount = [], [], [], []
             for label, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                words = Counter(WORD.findall(text.as_py().lower()))
+                words = tokens(text.as_py())
                 found = {place[w]: n for w, n in words.items() if w in place}
                 toxic.append(label)
                 at.append(list(found))
                 value.append([float(np.log1p(n)) for n in found.values()])
-                dense.append(sum(n for w, n in words.items() if w in marks) / max(1, sum(words.values())))
-            yield pa.RecordBatch.from_arrays([pa.array(toxic, pa.int32()), pa.array(at, pa.list_(pa.int32())), pa.array(value, pa.list_(pa.float64())), pa.array(dense, pa.float64())], ["toxic", "at", "value", "dense"])
+                amount.append(float(sum(np.log1p(n) for w, n in words.items() if w in marks)))
+            yield pa.RecordBatch.from_arrays([pa.array(toxic, pa.int32()), pa.array(at, pa.list_(pa.int32())), pa.array(value, pa.list_(pa.float64())), pa.array(amount, pa.float64())], ["toxic", "at", "value", "amount"])
 
-    made = rows.mapInArrow(features, "toxic int, at array<int>, value array<double>, dense double").orderBy("toxic", "dense", "at", "value").collect()
-    toxic, dense = np.array([r["toxic"] > 0 for r in made]), np.array([r["dense"] for r in made])
-    grade = np.where(toxic, 1 + (dense > np.median(dense[toxic])), 0)
+    made = rows.mapInArrow(features, "toxic int, at array<int>, value array<double>, amount double").orderBy("toxic", "amount", "at", "value").collect()
+    toxic, amount = np.array([r["toxic"] > 0 for r in made]), np.array([r["amount"] for r in made])
+    grade = np.where(toxic, 1 + (amount > np.median(amount[toxic])), 0)
     x = [dict(zip(r["at"], r["value"], strict=True)) for r in made]
     weights, thresholds = fit(x, grade, len(place), 3)
     return Model({w: float(weights[i]) for w, i in place.items()}, thresholds)
 
 
+def _stands_out(a: np.ndarray, b: np.ndarray, n_a: int, n_b: int) -> np.ndarray:
+    """Signed root of the likelihood-ratio statistic of a of n_a texts against b of n_b."""
+    share = (a + b) / (n_a + n_b)
+    part = lambda seen, awaited: np.where(seen > 0, seen * np.log(np.maximum(seen, 1e-9) / np.maximum(awaited, 1e-9)), 0.0)
+    g = part(a, n_a * share) + part(n_a - a, n_a * (1 - share)) + part(b, n_b * share) + part(n_b - b, n_b * (1 - share))
+    return np.sqrt(np.maximum(2 * g, 0)) * np.sign(b / n_b - a / n_a)
+
+
 def _counts(seen: dict[str, list[int]]) -> pa.RecordBatch:
     values = list(seen.values())
     return pa.RecordBatch.from_arrays(
@@ -139,7 +157,7 @@ def _counts(seen: dict[str, list[int]]) -> pa.RecordBatch:
 
 
 def grade(docs: DataFrame, model: Model | None, keep: list[Column], text: str = "text") -> DataFrame:
-    """The kept columns, severity (expected grade), grade (the likeliest) and toxic (grade above 0 is likelier than not).
+    """The kept columns, severity (expected grade), grade (the likeliest) and toxic (the chance of a grade above 0 is over CUT).
 
     Null and empty texts score as a text without marking words. Without a model every severity is null and no row is
     toxic. A row's result depends on its text alone; an empty table gives an empty table.
@@ -155,11 +173,11 @@ def grade(docs: DataFrame, model: Model | None, keep: list[Column], text: str =
         for batch in batches:
             for at, n in blocks(batch.column(0)):
                 part = batch.slice(at, n)
-                margins = np.array([model.margin(Counter(WORD.findall((t.as_py() or "").lower()))) for t in part.column(0)])
+                margins = np.array([model.margin(tokens(t.as_py())) for t in part.column(0)])
                 above = model.above(margins)
                 chance = -np.diff(np.column_stack([np.ones(n), above, np.zeros(n)]), axis=1)
                 yield pa.RecordBatch.from_arrays(
-                    [*part.columns[1:], pa.array(above.sum(1)), pa.array(chance.argmax(1).astype(np.int32)), pa.array(above[:, 0] > 0.5)],
+                    [*part.columns[1:], pa.array(above.sum(1)), pa.array(chance.argmax(1).astype(np.int32)), pa.array(above[:, 0] > CUT)],
                     [*part.schema.names[1:], "severity", "grade", "toxic"],
                 )
 
