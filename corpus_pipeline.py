@@ -1,12 +1,73 @@
-"""The training-data pipeline: documents in, packed sequences out, each stage written as Parquet and read by the next."""
+"""The training-data pipeline: documents in, packed sequences out, each stage written as Parquet and read by the next.
+
+Every stage but the last takes and returns the columns of documents; what a stage decides shows in its rows: texts
+without a language go, of near copies one stays, secrets are masked, sources are repeated or cut to their share of the
+mix, and the last stage says where in which sequence every piece of every document lies.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tidelog.llm import langid, mixing, packing, secrets, simhash
+from tidelog.llm.queries import tokenizer_path
+from tidelog.llm.scratch import materialise
+
+#: Share of a text's words that its language must label.
+LEAST_SHARE = 0.4
+
+
+def _columns(docs: DataFrame) -> list[Column]:
+    return [F.col(f"`{c}`") for c in docs.columns]
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose text has a language; the label column stays as it came."""
+    taught = docs.where(F.col("doc_id").isNotNull() & ~langid.held_out(F.col("doc_id")))
+    found = langid.identify(docs, langid.learn(taught), _columns(docs))
+    return found.where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= LEAST_SHARE)).select(*_columns(docs))
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies: the one of the smallest doc_id."""
+    return simhash.deduplicated(docs)
+
+
+def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with every secret masked and n_chars counted anew where one was."""
+    found = secrets.scan(docs, secrets.network(), _columns(docs))
+    masked = F.size("spans") > 0
+    out = found.withColumn("text", F.when(masked, secrets.redacted(F.col("text"), F.col("spans"))).otherwise(F.col("text")))
+    kind = docs.schema["n_chars"].dataType
+    out = out.withColumn("n_chars", F.when(masked, F.char_length("text").cast(kind)).otherwise(F.col("n_chars")))
+    return out.select(*_columns(docs))
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """A row for each copy of a document that the mix takes."""
+    return mixing.mixed_documents(docs).select(*_columns(docs))
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all rows with their sequence and offset."""
+    return packing.pack(docs, tokenizer_path(), with_ids=False)
+
+
+STAGES = [
+    ("language_id", language_id),
+    ("simhash_near_dedup", near_dedup),
+    ("secret_scan", secret_scan),
+    ("mixing", mix_sources),
+    ("packing", pack),
+]
 
-STAGES: list = []
+#: SQL has no language model, character network or tokenizer; tests hold the result against a brute-force version.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES[:-1]:
+        docs = materialise(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)
