@@ -1,11 +1,240 @@
-"""Registered queries over the change log and their DuckDB oracles."""
+"""Registered queries over the orders change log, replayed from encoded bytes, and their DuckDB oracles on the plain tables."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
 
-def queries() -> dict:
-    return {}
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tidelog.functions import lsn as L
+from tidelog.functions import scalars as S
+from tidelog.operators import events as E
+from tidelog.operators import metrics, progress, project, route, state, txn
+from tidelog.operators.decode import decode
+from tidelog.operators.encode import encode, frames
+from tidelog.operators.framing import unframe
+from tidelog.operators.project import Field
+from tidelog.plans import silver
+from tidelog.sources import changelog as C
+from tidelog.sources.scratch import materialise
+
+ORDER = [Field("o_orderkey", "i64"), Field("o_custkey", "i64"), Field("o_orderstatus", "string"), Field("o_totalprice", "f64")]
+
+
+_messages, _events, _assigned, _committed = silver.messages, silver.events, silver.assigned, silver.committed
+
+
+def lsn_format(spark, sf_dir):
+    at = F.lit(C.BASE_LSN) + F.col("event_id") * 4_294_967_296 + F.col("event_id")
+    return _table(spark, sf_dir, "events").select("event_id", L.format_lsn(at).alias("lsn_text"))
+
+
+def lsn_parse(spark, sf_dir):
+    text = F.concat(F.hex("event_id"), F.lit("/"), F.lower(F.hex(F.col("event_id") * 7)))
+    return _table(spark, sf_dir, "events").select("event_id", L.parse_lsn(text).alias("lsn"))
+
+
+def pg_timestamp(spark, sf_dir):
+    micros = F.unix_micros(F.col("ts").cast("timestamp"))
+    back = L.server_time(L.server_micros(F.col("ts").cast("timestamp")))
+    return _table(spark, sf_dir, "events").select("event_id", L.server_micros(F.col("ts").cast("timestamp")).alias("server_micros"), (F.unix_micros(back) == micros).alias("round_trip"))
+
+
+def _table(spark, sf_dir, name):
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def decode_insert(spark, sf_dir):
+    rows = _events(spark, sf_dir).where("tag = 'I'")
+    return project.strict(rows.select("seq", "schema", "table", F.col("new_row").alias("row")), ORDER)
+
+
+def decode_update(spark, sf_dir):
+    rows = _events(spark, sf_dir).where("tag = 'U'")
+    old, new = S.get(F.col("old_row"), "o_orderkey"), S.get(F.col("new_row"), "o_orderkey")
+    return rows.select(
+        "seq",
+        "replica_identity",
+        F.array_join("key_columns", ",").alias("key_columns"),
+        S.text(old).cast("long").alias("old_key"),
+        S.text(new).cast("long").alias("new_key"),
+        S.text(S.get(F.col("new_row"), "o_orderstatus")).alias("status"),
+        S.get(F.col("new_row"), "o_custkey").isNull().alias("customer_unchanged"),
+    )
+
+
+def decode_delete(spark, sf_dir):
+    rows = _events(spark, sf_dir).where("tag = 'D'")
+    return rows.select("seq", "key_type", S.text(S.get(F.col("old_row"), "o_orderkey")).cast("long").alias("o_orderkey"), F.size("old_row").cast("long").alias("n_columns"))
+
+
+def decode_control(spark, sf_dir):
+    rows = _events(spark, sf_dir).where(~F.col("tag").isin("I", "U", "D", "R", "T", "M", "O", "Y"))
+    return rows.select("seq", "event_type", "xid", "commit_lsn", "end_lsn", "gid", F.col("stream_xid").isNotNull().alias("in_stream"), F.unix_seconds("event_ts").alias("event_seconds"))
+
+
+def decode_other(spark, sf_dir):
+    rows = _events(spark, sf_dir).where(F.col("tag").isin("T", "M", "O", "Y"))
+    return rows.select("seq", "event_type", "flags", "prefix", F.decode("content", "UTF-8").alias("content"), "origin_name", F.col("table").alias("type_name"), F.size("truncate_tables").cast("long").alias("n_tables"))
+
+
+def relation_changes(spark, sf_dir):
+    return E.relations(_messages(spark, sf_dir)).select("oid", "valid_from_seq", "valid_to_seq", "is_change", F.size("columns").cast("long").alias("n_columns"), E.full_name(F.col("namespace"), F.col("name")).alias("full_name"))
+
+
+def key_columns(spark, sf_dir):
+    rows = _events(spark, sf_dir).where("tag in ('U', 'D')")
+    return rows.groupBy("tag", F.array_join("key_columns", ",").alias("key_columns"), "replica_identity").agg(F.count(F.lit(1)).alias("n"))
+
+
+def truncate_tables(spark, sf_dir):
+    """A truncate of a known and an unknown relation behind the log: the known one is named, the other left out."""
+    own = spark.createDataFrame([(C.SLOT, 10**9, 0, 0, 0, "T", 1, [C.OID, C.OTHER_OID])], "slot string, seq long, wal_start long, wal_end long, server_time long, tag string, flags int, oids array<long>")
+    log = C.messages(spark, sf_dir).unionByName(own, allowMissingColumns=True)
+    found = E.events(materialise(decode(encode(log, C.VERSION), C.VERSION), "truncates")).where("tag = 'T'")
+    return found.select("seq", "flags", F.array_join("truncate_tables", ",").alias("tables"))
+
+
+def txn_assign(spark, sf_dir):
+    return _assigned(spark, sf_dir).where("tag in ('I', 'U', 'D')").select("seq", F.col("txn_id").alias("xid"))
+
+
+def txn_stats(spark, sf_dir):
+    return txn.stats(_assigned(spark, sf_dir))
+
+
+def committed_only(spark, sf_dir):
+    return _committed(spark, sf_dir).where("tag in ('I', 'U', 'D')").select("seq", "tag", F.col("txn_id").alias("xid"), "commit_seq")
+
+
+def aborted_rows(spark, sf_dir):
+    return txn.discarded(_assigned(spark, sf_dir)).where("tag in ('I', 'U', 'D')").select("seq", "tag", F.col("txn_id").alias("xid"))
+
+
+def two_phase_visible(spark, sf_dir):
+    return txn.outcomes(_assigned(spark, sf_dir)).where("gid is not null").select(F.col("txn_id").alias("xid"), "gid", "status", "commit_seq")
+
+
+TARGET = C.BASE_LSN + 64 * (2 * C.SPAN)
+
+
+def bounded_replay(spark, sf_dir):
+    kept = txn.bounded_replay(_events(spark, sf_dir), TARGET)
+    return kept.agg(F.count(F.lit(1)).alias("n_events"), F.max("seq").alias("last_seq"), F.count(F.when(F.col("tag") == "C", 1)).alias("n_commits"))
+
+
+def bounded_replay_raw(spark, sf_dir):
+    kept = txn.bounded_replay_raw(silver.bronze(spark, sf_dir), TARGET)
+    return kept.agg(F.count(F.lit(1)).alias("n_frames"), F.max("seq").alias("last_seq"))
+
+
+def net_state(spark, sf_dir):
+    return project.strict(state.net_state(_committed(spark, sf_dir)).select("row"), ORDER)
+
+
+def net_state_whole_rows(spark, sf_dir):
+    """The fast path for whole rows, on inserts and deletes alone."""
+    changes = _committed(spark, sf_dir).where("tag in ('I', 'D')")
+    return project.strict(state.latest(changes).select("row"), ORDER)
+
+
+def history_scd2(spark, sf_dir):
+    rows = state.history(_committed(spark, sf_dir))
+    return rows.select(F.decode(F.get("key", F.lit(0)), "UTF-8").cast("long").alias("o_orderkey"), "valid_from", "valid_to", S.text(S.get(F.col("row"), "o_orderstatus")).alias("status"))
+
+
+def toast_fill(spark, sf_dir):
+    rows = state.toast_fill(_committed(spark, sf_dir), ["o_custkey"]).where("tag = 'U' and key_type is null")
+    return rows.select("seq", S.text(F.col("o_custkey")).cast("long").alias("o_custkey"))
+
+
+def _texts(spark, sf_dir):
+    """Rows of awkward texts made from events: numbers out of range, with signs and decimals, and words."""
+    e = _table(spark, sf_dir, "events")
+    k = F.col("event_id") % 6
+    raw = F.when(k == 0, F.col("event_id").cast("string")).when(k == 1, F.concat(F.lit("+"), F.col("event_id"))).when(k == 2, F.concat(F.lit("-"), F.col("event_id"))).when(k == 3, F.lit(" 42")).when(k == 4, F.lit("42.7")).otherwise(F.lit("99999999999"))
+    flag = F.element_at(F.array(*[F.lit(x) for x in ("t", "off", "yes", "T", "y", "1")]), (k + 1).cast("int"))
+    cell = lambda name, c, kind="t": F.struct(F.lit(name).alias("name"), F.lit(kind).alias("kind"), F.encode(c, "UTF-8").alias("value"))
+    return e.select("event_id", F.array(cell("number", raw), cell("flag", flag), cell("word", F.col("event_type"))).alias("row"))
+
+
+def typed_strict(spark, sf_dir):
+    rows = _texts(spark, sf_dir).where("event_id % 6 < 3")
+    return project.strict(rows, [Field("number", "i64"), Field("flag", "bool"), Field("word", "string"), Field("extra", "i32", default=7)])
+
+
+def typed_lenient(spark, sf_dir):
+    rows = project.lenient(_texts(spark, sf_dir), [Field("number", "i32"), Field("flag", "bool"), Field("word", "string")])
+    return rows.select("event_id", "number", "flag", "word", F.size("errors").cast("long").alias("n_errors"), F.coalesce(F.get("errors", F.lit(0))["message"], F.lit("")).alias("first_error"))
+
+
+def row_json(spark, sf_dir):
+    return _events(spark, sf_dir).where("tag = 'D'").select("seq", project.row_json(F.col("old_row")).alias("json"))
+
+
+def route_counts(spark, sf_dir):
+    router = route.Router().on("orders", "insert", "loads").on("orders", "delete", "drops").on_default("rest")
+    return router.routed(_events(spark, sf_dir)).groupBy("handler").agg(F.count(F.lit(1)).alias("n"))
+
+
+def event_categories(spark, sf_dir):
+    return route.categories(_events(spark, sf_dir))
+
+
+def progress_lsn(spark, sf_dir):
+    return progress.running(_events(spark, sf_dir).select("slot", "seq", "lsn", "tag", "end_lsn", "_bucket")).select("seq", "received", "applied")
+
+
+def metrics_bytes(spark, sf_dir):
+    return metrics.totals(_events(spark, sf_dir))
+
+
+def metrics_latency(spark, sf_dir):
+    return metrics.latency(silver.bronze(spark, sf_dir).select("slot", "seq", "server_time"))
+
+
+def snapshot_plus_stream(spark, sf_dir):
+    """The first half of the orders as a snapshot, the changes of the other half behind it."""
+    base = _table(spark, sf_dir, "orders")
+    half = base.agg(F.max("o_orderkey").alias("top")).select(F.floor((F.col("top") + 1) / 200).alias("cut"))
+    snapshot = base.crossJoin(F.broadcast(half)).where(F.col("o_orderkey") < F.col("cut") * 100).select("o_orderkey", "o_orderstatus")
+    tail = _committed(spark, sf_dir).crossJoin(F.broadcast(half)).where(F.col("seq") >= F.col("cut") * C.SPAN)
+    rows = project.strict(state.net_state(tail).select("row"), [ORDER[0], ORDER[2]])
+    return snapshot.unionByName(rows)
+
+
+def encode_roundtrip(spark, sf_dir):
+    """Bytes, decoded and encoded again, are the same bytes."""
+    first = silver.bronze(spark, sf_dir)
+    again = encode(decode(first, C.VERSION), C.VERSION).select("seq", F.col("data").alias("again"))
+    return first.join(again, "seq").groupBy((F.col("data") == F.col("again")).alias("same")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def quarantine(spark, sf_dir):
+    """The log without its first relation message: changes before the next one have no relation."""
+    log = silver.bronze(spark, sf_dir).where(f"seq > {C.SPAN // 100}")
+    return E.quarantine(materialise(decode(log, C.VERSION), "headless")).groupBy("tag").agg(F.count(F.lit(1)).alias("n"))
+
+
+def frames_header(spark, sf_dir):
+    cut = unframe(frames(silver.bronze(spark, sf_dir)).select("slot", "seq", "frame"))
+    return cut.select("seq", "wal_start", "wal_end", "server_time")
+
+
+NAMES = (
+    "lsn_format", "lsn_parse", "pg_timestamp", "decode_insert", "decode_update", "decode_delete", "decode_control", "decode_other", "relation_changes",
+    "key_columns", "truncate_tables", "txn_assign", "txn_stats", "committed_only", "aborted_rows", "two_phase_visible", "bounded_replay",
+    "bounded_replay_raw", "net_state", "net_state_whole_rows", "history_scd2", "toast_fill", "typed_strict", "typed_lenient", "row_json", "route_counts",
+    "event_categories", "progress_lsn", "metrics_bytes", "metrics_latency", "snapshot_plus_stream", "encode_roundtrip", "quarantine", "frames_header",
+)
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return {n: globals()[n] for n in NAMES}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    from tidelog.plans.oracles import ORACLES
+
+    return dict(ORACLES)
