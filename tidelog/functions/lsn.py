@@ -27,7 +27,7 @@ def format_lsn(lsn: Column) -> Column:
 def server_time(micros: Column) -> Column:
     """Microseconds since 2000 as a timestamp, held inside what a timestamp can say."""
     known = F.least(F.greatest(micros, F.lit(EARLIEST - EPOCH_MICROS)), F.lit(LATEST - EPOCH_MICROS))
-    return F.timestamp_micros(known + F.lit(EPOCH_MICROS))
+    return F.when(micros.isNotNull(), F.timestamp_micros(known + F.lit(EPOCH_MICROS)))
 
 
 def server_micros(ts: Column) -> Column:
