@@ -115,18 +115,18 @@ def assign(docs: DataFrame, levels: int = SHARD_LEVELS, text: str = "text", sour
 
     Null text has size 0; null source is a source of its own, ranked last. Documents of equal key (doc_id and size)
     are interchangeable, so repeated rows give the same result in any order. An empty table gives an empty table.
-    Columns of the caller with any name but mix are left alone. Reruns give the same draws.
+    Columns of the caller with any name but mix and _mix_* are left alone. Reruns give the same draws.
     """
-    if "mix" in docs.columns:
-        raise ValueError("a column named mix is there already")
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    if taken := [c for c in docs.columns if c == "mix" or c.startswith("_mix_")]:
+        raise ValueError(f"columns are there already: {taken}")
+    kept = [F.col(f"`{c}`") for c in docs.columns]
     skey = F.when(F.col(f"`{source}`").isNull(), F.lit("1")).otherwise(F.concat(F.lit("0"), F.col(f"`{source}`")))
     doc_key = _key(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")))
-    sized = docs.select(skey.alias("skey"), doc_key.alias("dkey"), n_words(F.col(f"`{text}`")).alias("size"), row.alias("row")).withColumn(
-        "block", F.substring("dkey", 1, BLOCK_DIGITS)
-    )
+    sized = docs.select(*kept, skey.alias("_mix_skey"), doc_key.alias("_mix_dkey"), n_words(F.col(f"`{text}`")).alias("_mix_size"))
+    own = [F.col(f"_mix_{c}").alias(c) for c in ("skey", "dkey", "size")]
+    keyed = sized.select(*own).withColumn("block", F.substring("dkey", 1, BLOCK_DIGITS))
 
-    blocks = sized.groupBy("skey", "block").agg(F.sum("size").alias("block_size"))
+    blocks = keyed.groupBy("skey", "block").agg(F.sum("size").alias("block_size"))
     targets = source_targets(blocks).withColumn("words", F.floor(F.col("target") + 0.5))
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("words") / F.col("source_size"))).otherwise(F.lit(0).cast("long"))
     targets = targets.withColumn("whole", whole).withColumn("rest", F.col("words") - F.col("whole") * F.col("source_size"))
@@ -161,28 +161,32 @@ def assign(docs: DataFrame, levels: int = SHARD_LEVELS, text: str = "text", sour
     )
     decided = decided.join(dealt, ["skey", "block"], "left")
 
-    within = W.partitionBy("skey", "block").orderBy("dkey", "size")
-    so_far = F.coalesce(F.sum("size").over(within.rowsBetween(W.unboundedPreceding, -1)), F.lit(0).cast("long"))
-    joined = sized.join(decided, ["skey", "block"]).withColumn(
-        "partial", F.greatest(F.lit(0).cast("long"), F.least(F.col("extra") - so_far, F.col("size")))
-    )
+    decided = decided.select(*[F.col(c).alias(f"_mix_{c}") for c in decided.columns])
+    joined = sized.withColumn("_mix_block", F.substring("_mix_dkey", 1, BLOCK_DIGITS)).join(decided, ["_mix_skey", "_mix_block"])
+    whole, extra, size = F.col("_mix_whole"), F.col("_mix_extra"), F.col("_mix_size")
+    within = W.partitionBy("_mix_skey", "_mix_block").orderBy("_mix_dkey", "_mix_size")
+    so_far = F.coalesce(F.sum(size).over(within.rowsBetween(W.unboundedPreceding, -1)), F.lit(0).cast("long"))
+    joined = joined.withColumn("_mix_partial", F.greatest(F.lit(0).cast("long"), F.least(extra - so_far, size)))
+    partial = F.col("_mix_partial")
     copy = lambda n, words: F.struct(
-        n.alias("copy"), words.alias("words"), F.col("shards")[n].alias("shard"), _key("dkey", n.cast("string"), F.lit("place")).alias("place")
+        n.alias("copy"),
+        words.alias("words"),
+        F.col("_mix_shards")[n].alias("shard"),
+        _key("_mix_dkey", n.cast("string"), F.lit("place")).alias("place"),
     )
     nothing = F.array().cast("array<struct<copy:bigint,words:bigint,shard:bigint,place:string>>")
     taken_whole = F.when(
-        (F.col("whole") > 0) & (F.col("size") > 0),
-        F.transform(F.sequence(F.lit(1).cast("long"), F.col("whole")), lambda n: copy(n, F.col("size"))),
+        (whole > 0) & (size > 0), F.transform(F.sequence(F.lit(1).cast("long"), whole), lambda n: copy(n, size))
     ).otherwise(nothing)
-    taken_part = F.when(F.col("partial") > 0, F.array(copy(F.col("whole") + 1, F.col("partial")))).otherwise(nothing)
+    taken_part = F.when(partial > 0, F.array(copy(whole + 1, partial))).otherwise(nothing)
     mix = F.struct(
-        "size",
-        "source_size",
-        "target",
-        (F.col("whole") * F.col("size") + F.col("partial")).alias("taken"),
+        size.alias("size"),
+        F.col("_mix_source_size").alias("source_size"),
+        F.col("_mix_target").alias("target"),
+        (whole * size + partial).alias("taken"),
         F.concat(taken_whole, taken_part).alias("copies"),
     )
-    return joined.select("row.*", mix.alias("mix"))
+    return joined.select(*kept, mix.alias("mix"))
 
 
 def mixed_documents(docs: DataFrame, levels: int = SHARD_LEVELS) -> DataFrame:
