@@ -42,7 +42,9 @@ def draw_pivots(nodes: DataFrame) -> np.ndarray:
     n = nodes.count()
     k = int(np.clip(PER_ROOT * np.sqrt(n), FEWEST, MOST))
     rows = nodes.select("v", F.xxhash64("v", F.lit("pivot")).alias("h")).orderBy("h").limit(k).collect()
-    length = max((len(r["v"]) for r in rows), default=0)
+    if not rows:
+        return np.zeros((0, 0))
+    length = max(len(r["v"]) for r in rows)
     points = [r["v"] for r in rows if len(r["v"]) == length]
     return _unit(np.array(points, float).reshape(len(points), length))
 
