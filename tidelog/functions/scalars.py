@@ -6,6 +6,8 @@ column that is not there was unchanged.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -68,15 +70,14 @@ def get(row: Column, name: str) -> Column:
 def parse_signed(s: Column, kind: str) -> Column:
     """Optional sign and digits within the type's range; null for anything else."""
     bits, spark_type = SIGNED[kind]
-    number = F.try_to_number(F.regexp_replace(s, r"^\+", ""), F.lit("S" + "9" * 38))
-    number = F.when(s.rlike(r"^[+-]?0*[0-9]{1,20}$"), number)
-    return F.when((number >= F.lit(-(1 << bits)).cast("decimal(38,0)")) & (number <= F.lit((1 << bits) - 1).cast("decimal(38,0)")), number.cast(spark_type))
+    number = F.when(s.rlike(r"^[+-]?0*[0-9]{1,20}$"), s.try_cast("decimal(38,0)"))
+    return F.when((number >= F.lit(Decimal(-(1 << bits)))) & (number <= F.lit(Decimal((1 << bits) - 1))), number.cast(spark_type))
 
 
 def parse_unsigned(s: Column, kind: str) -> Column:
     bits, spark_type = UNSIGNED[kind]
-    number = F.when(s.rlike(r"^\+?0*[0-9]{1,20}$"), F.regexp_replace(s, r"^\+?0*(?=[0-9])", "").try_cast("decimal(38,0)"))
-    return F.when(number <= F.lit((1 << bits) - 1).cast("decimal(38,0)"), number.cast(spark_type))
+    number = F.when(s.rlike(r"^\+?0*[0-9]{1,20}$"), s.try_cast("decimal(38,0)"))
+    return F.when(number <= F.lit(Decimal((1 << bits) - 1)), number.cast(spark_type))
 
 
 def parse_float(s: Column, kind: str = "f64") -> Column:

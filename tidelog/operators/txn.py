@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, WindowSpec
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidelog.operators.carry import carry_forward
@@ -21,14 +22,13 @@ def assign(log: DataFrame) -> DataFrame:
     closed = F.lit(NONE).cast("long")
     mark = F.coalesce(opened, F.when(F.lag("tag").over(_order()).isin("C", "P"), closed))
     log = carry_forward(log, mark, "_open")
-    own = F.when(F.col("tag").isin("B", "b", "S", "c", "A", "P", "K", "r", "p"), F.col("xid"))
-    return log.withColumn("txn_id", F.coalesce(own, F.col("stream_xid"), F.nullif("_open", F.lit(NONE)))).drop("_open")
+    log = carry_forward(log, F.when(F.col("tag") == "S", F.col("xid")), "_block")
+    own = F.when(F.col("tag").isin("B", "b", "S", "c", "A", "P", "K", "r", "p"), F.col("xid")).when(F.col("tag") == "E", F.col("_block"))
+    return log.withColumn("txn_id", F.coalesce(own, F.col("stream_xid"), F.nullif("_open", F.lit(NONE)))).drop("_open", "_block")
 
 
-def _order():
-    from pyspark.sql import Window
-
-    return Window.partitionBy("slot", "_bucket").orderBy("seq")
+def _order() -> WindowSpec:
+    return W.partitionBy("slot", "_bucket").orderBy("seq")
 
 
 def outcomes(assigned: DataFrame) -> DataFrame:
