@@ -414,8 +414,8 @@ def test_mixing(spark, awkward, nothing):
     shards = rows.select(F.explode("copies").alias("c")).groupBy("c.shard").count().collect()
     assert len(shards) == 16
     copies = mixing.mixed_documents(frame)
-    words = copies.select(F.sum(F.size(F.filter(F.split("text", "[ \\t-\\r]+"), lambda x: x != "")))).first()[0]
-    assert words == sum(r["taken"] for r in rows.collect()) and copies.select("mix_place").distinct().count() == copies.count()
+    words = copies.select(F.sum(F.size(F.filter(F.split("row.text", "[ \\t-\\r]+"), lambda x: x != "")))).first()[0]
+    assert words == sum(r["taken"] for r in rows.collect()) and copies.select("place").distinct().count() == copies.count()
     assert mixing.assign(nothing).count() == 0
     again = mixing.assign(frame.repartition(7)).select("doc_id", "mix").collect()
     assert {r["doc_id"]: r["mix"] for r in again} == {r["doc_id"]: r["mix"] for r in mixing.assign(frame).collect()}

@@ -190,19 +190,24 @@ def assign(docs: DataFrame, levels: int = SHARD_LEVELS, text: str = "text", sour
 
 
 def mixed_documents(docs: DataFrame, levels: int = SHARD_LEVELS) -> DataFrame:
-    """One row per copy the mix takes, with the input's columns: whole texts, but the first words of one boundary text a source."""
-    taken = assign(docs, levels).select("*", F.explode("mix.copies").alias("mix_copy"))
-    starts = F.split("text", f"(?<={GAP[:-1]})(?=[^ \\t-\\r])")
+    """One row per copy the mix takes: row (struct of the input's columns), shard and place.
+
+    Texts are whole, but for the first words of one boundary text a source; there n_chars, if it is a column, is counted anew.
+    """
+    others = F.struct(F.lit(True).alias("_"), *[F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text", "source")])
+    taken = assign(docs.select("doc_id", "text", "source", others.alias("others")), levels).select("*", F.explode("mix.copies").alias("copy"))
+    starts = F.split("text", r"(?<=[ \t-\r])(?=[^ \t-\r])")
     lead = F.when(F.col("text").rlike(f"^{GAP}"), 1).otherwise(0)
-    cut = F.array_join(F.slice(starts, 1, (F.col("mix_copy.words") + lead).cast("int")), "")
-    text = F.when(F.col("mix_copy.words") < F.col("mix.size"), cut).otherwise(F.col("text"))
-    out = taken.withColumn("text", text)
+    cut = F.col("copy.words") < F.col("mix.size")
+    text = F.when(cut, F.array_join(F.slice(starts, 1, (F.col("copy.words") + lead).cast("int")), "")).otherwise(F.col("text"))
+    new = {"doc_id": F.col("doc_id"), "source": F.col("source"), "text": text}
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.char_length("text")).cast(docs.schema["n_chars"].dataType))
-    return out.select(*[F.col(f"`{c}`") for c in docs.columns], F.col("mix_copy.shard").alias("mix_shard"), F.col("mix_copy.place").alias("mix_place"))
+        new["n_chars"] = F.when(cut, F.char_length(text).cast(docs.schema["n_chars"].dataType)).otherwise(F.col("others.n_chars"))
+    row = F.struct(*[new.get(c, F.col("others")[c]).alias(c) for c in docs.columns])
+    return taken.select(row.alias("row"), F.col("copy.shard").alias("shard"), F.col("copy.place").alias("place"))
 
 
 def write_shards(docs: DataFrame, path: str, levels: int = SHARD_LEVELS) -> None:
     """Writes the mix as one folder a shard, each in its shuffled order."""
-    out = mixed_documents(docs, levels).repartition(1 << levels, "mix_shard").sortWithinPartitions("mix_shard", "mix_place")
-    out.drop("mix_place").write.partitionBy("mix_shard").parquet(path)
+    out = mixed_documents(docs, levels).repartition(1 << levels, "shard").sortWithinPartitions("shard", "place")
+    out.select("row.*", F.col("shard").alias("mix_shard")).write.partitionBy("mix_shard").parquet(path)
