@@ -18,15 +18,16 @@ from tidelog.llm.scratch import materialise
 LEAST_SHARE = 0.4
 
 
-def _columns(docs: DataFrame) -> list[Column]:
-    return [F.col(f"`{c}`") for c in docs.columns]
+def _row(docs: DataFrame) -> Column:
+    """All columns as one, so that no name of theirs meets one of an operator's."""
+    return F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose text has a language; the label column stays as it came."""
     taught = docs.where(F.col("doc_id").isNotNull() & ~langid.held_out(F.col("doc_id")))
-    found = langid.identify(docs, langid.learn(taught), _columns(docs))
-    return found.where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= LEAST_SHARE)).select(*_columns(docs))
+    found = langid.identify(docs, langid.learn(taught), [_row(docs)])
+    return found.where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= LEAST_SHARE)).select("row.*")
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,17 +37,17 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with every secret masked and n_chars counted anew where one was."""
-    found = secrets.scan(docs, secrets.network(), _columns(docs))
-    masked = F.size("spans") > 0
-    out = found.withColumn("text", F.when(masked, secrets.redacted(F.col("text"), F.col("spans"))).otherwise(F.col("text")))
+    found = secrets.scan(docs, secrets.network(), [_row(docs)])
+    masked, text = F.size("spans") > 0, F.col("row.text")
+    clean = F.when(masked, secrets.redacted(text, F.col("spans"))).otherwise(text)
     kind = docs.schema["n_chars"].dataType
-    out = out.withColumn("n_chars", F.when(masked, F.char_length("text").cast(kind)).otherwise(F.col("n_chars")))
-    return out.select(*_columns(docs))
+    new = {"text": clean, "n_chars": F.when(masked, F.char_length(clean).cast(kind)).otherwise(F.col("row.n_chars"))}
+    return found.select(*[new.get(c, F.col("row")[c]).alias(c) for c in docs.columns])
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A row for each copy of a document that the mix takes."""
-    return mixing.mixed_documents(docs).select(*_columns(docs))
+    return mixing.mixed_documents(docs).select(*[F.col("row")[c].alias(c) for c in docs.columns])
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
