@@ -73,46 +73,60 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
     )
     rows = orders.select("b", F.explode(changes).alias("x"))
-    batches = orders.select("b", "way").distinct()
-    log = rows.unionByName(batches.select("b", F.explode(F.array_compact(F.array(*_controls()))).alias("x"))).select("b", "x.*")
+    log = rows.select("b", "x.*").unionByName(_controls(orders.select("b", "way").distinct()))
     seq = _seq(F.col("b"), F.col("t"), F.col("place"))
     time = _time(F.col("b"), F.col("t"))
     return log.select(F.lit(SLOT).alias("slot"), seq.alias("seq"), _lsn(seq).alias("wal_start"), _lsn(seq + 1).alias("wal_end"), time.alias("server_time"), *FIELDS)
 
 
-def _controls() -> list[Column]:
-    """What a batch sends beside its changes; null where it sends it not."""
-    b, way = F.col("b"), F.col("way")
-    out: list[Column] = []
-    for t in range(3):
-        xid, ts = 1000 + 3 * b + t, _time(b, F.lit(t))
-        at = lambda place, t=t: _lsn(_seq(b, F.lit(t), F.lit(place)))
-        gid = F.concat(F.lit("g"), xid.cast("string"))
-        prepared = {"ts": ts, "xid": xid, "gid": gid}
-        out += [
-            F.when(way < 4, _message(t, 0, "B", final_lsn=at(150), ts=ts, xid=xid)),
-            F.when(way < 4, _message(t, 150, "C", flags=F.lit(0), commit_lsn=at(150), end_lsn=at(151), ts=ts)),
-            *[F.when(way.isin(5, 6), _message(t, p, "S", xid=xid, first_segment=F.lit(p == 0))) for p in (0, 70)],
-            *[F.when(way.isin(5, 6), _message(t, p, "E")) for p in (60, 140)],
-            F.when(way == 5, _message(t, 150, "c", xid=xid, flags=F.lit(0), commit_lsn=at(150), end_lsn=at(151), ts=ts)),
-            F.when(way == 6, _message(t, 150, "A", xid=xid, subxid=xid, abort_lsn=at(150), ts=ts)),
-            F.when(way == 4, _message(t, 0, "b", prepare_lsn=at(150), end_lsn=at(151), **prepared)),
-            F.when(way == 4, _message(t, 150, "P", flags=F.lit(0), prepare_lsn=at(150), end_lsn=at(151), **prepared)),
-            F.when((way == 4) & (b % 2 == 0), _message(t, 160, "K", flags=F.lit(0), commit_lsn=at(160), end_lsn=at(161), **prepared)),
-            F.when((way == 4) & (b % 2 == 1), _message(t, 160, "r", flags=F.lit(0), prepare_lsn=at(151), end_lsn=at(161), prepare_ts=ts, **prepared)),
-        ]
-    at = lambda place: _lsn(_seq(b, F.lit(0), F.lit(place)))
-    once = [
-        _message(0, 120, "M", flags=F.lit(1), message_lsn=at(120), prefix=F.lit("note"), content=F.lit(b"batch one")),
-        _message(0, 121, "O", message_lsn=at(121), name=F.lit("elsewhere")),
-        _message(0, 122, "Y", oid=F.lit(9000), namespace=F.lit("public"), name=F.lit("mood")),
-        _message(0, 123, "T", flags=F.lit(1), oids=F.array(F.lit(OTHER_OID))),
+#: What a batch sends beside its changes: way, parity of b or -1, place, tag, and the places whose positions are its
+#: final, commit, prepare, end and abort LSN. Fixed values of the recipe.
+CONTROLS = [
+    *[(w, -1, p, tag, *at) for w in range(4) for p, tag, *at in ((0, "B", 150, None, None, None, None), (150, "C", None, 150, None, 151, None))],
+    *[(w, -1, p, tag, None, None, None, None, None) for w in (5, 6) for p, tag in ((0, "S"), (70, "S"), (60, "E"), (140, "E"))],
+    (5, -1, 150, "c", None, 150, None, 151, None),
+    (6, -1, 150, "A", None, None, None, None, 150),
+    (4, -1, 0, "b", None, None, 150, 151, None),
+    (4, -1, 150, "P", None, None, 150, 151, None),
+    (4, 0, 160, "K", None, 160, None, 161, None),
+    (4, 1, 160, "r", None, None, 151, 161, None),
+]
+
+
+def _controls(batches: DataFrame) -> DataFrame:
+    """Message columns with b, t and place, for every batch; the sent-once messages stand in the batches that send them."""
+    spark = batches.sparkSession
+    kinds = "way long, parity long, place int, tag string, final_at int, commit_at int, prepare_at int, end_at int, abort_at int"
+    rows = batches.withColumn("t", F.explode(F.array(*[F.lit(t) for t in range(3)]))).join(F.broadcast(spark.createDataFrame(CONTROLS, kinds)), "way")
+    rows = rows.where("parity < 0 or parity = b % 2")
+    tag, xid, ts = F.col("tag"), 1000 + 3 * F.col("b") + F.col("t"), _time(F.col("b"), F.col("t"))
+    at = lambda c: _lsn(_seq(F.col("b"), F.col("t"), F.col(c)))
+    named = tag.isin("b", "P", "K", "r")
+    known = {
+        "tag": tag, "xid": F.when(~tag.isin("C", "E"), xid), "subxid": F.when(tag == "A", xid), "flags": F.when(tag.isin("C", "c", "P", "K", "r"), 0),
+        "final_lsn": at("final_at"), "commit_lsn": at("commit_at"), "prepare_lsn": at("prepare_at"), "end_lsn": at("end_at"), "abort_lsn": at("abort_at"),
+        "ts": F.when(~tag.isin("S", "E"), ts), "prepare_ts": F.when(tag == "r", ts), "gid": F.when(named, F.concat(F.lit("g"), xid.cast("string"))),
+        "first_segment": F.when(tag == "S", F.col("place") == 0),
+    }
+    none = lambda n: F.lit(None).cast(FIELDS[n])
+    rows = rows.select("b", "t", "place", *[known.get(n, none(n)).cast(FIELDS[n]).alias(n) for n in FIELDS])
+
+    def once(place: int, tag: str, batch: int, **fields: object) -> tuple:
+        given = {"tag": tag} | fields
+        return (batch, 0, place, *[given.get(n) for n in FIELDS])
+
+    sent = [
+        once(120, "M", 1, flags=1, message_lsn=BASE_LSN + 64 * (SPAN + 130), prefix="note", content=b"batch one"),
+        once(121, "O", 1, message_lsn=BASE_LSN + 64 * (SPAN + 131), name="elsewhere"),
+        once(122, "Y", 1, oid=9000, namespace="public", name="mood"),
+        once(123, "T", 1, flags=1, oids=[OTHER_OID]),
+        *[
+            once(-1, "R", batch, oid=OID, namespace="public", name="orders", replident="d", columns=[(c, kind, -1, is_key) for c, kind, is_key in COLUMNS[:n]])
+            for batch, n in ((0, 4), (5, 4), (WIDE_FROM, 5))
+        ],
     ]
-    out += [F.when(b == 1, m) for m in once]
-    for batch, n in ((0, 4), (5, 4), (WIDE_FROM, 5)):
-        columns = [F.struct(F.lit(c), F.lit(kind).cast("long"), F.lit(-1), F.lit(is_key)) for c, kind, is_key in COLUMNS[:n]]
-        out.append(F.when(b == batch, _message(0, -1, "R", oid=F.lit(OID), namespace=F.lit("public"), name=F.lit("orders"), replident=F.lit("d"), columns=F.array(*columns))))
-    return out
+    schema = "b long, t int, place int, " + ", ".join(f"{n} {k}" for n, k in FIELDS.items())
+    return rows.unionByName(spark.createDataFrame(sent, schema).join(batches.select("b"), "b", "left_semi"))
 
 
 def _seq(b: Column, t: Column, place: Column) -> Column:
