@@ -129,6 +129,6 @@ def row_json(row: Column) -> Column:
 
     def value(c: Column) -> Column:
         binary = F.concat(F.lit('{"$binary":"'), S.hex_encode(c["value"]), F.lit('"}'))
-        return F.when(c["kind"] == "n", F.lit("null")).otherwise(F.coalesce(bare(S.text(c)), binary))
+        return F.when(c["kind"] == "n", F.lit("null")).when(S.text(c).isNotNull(), bare(S.text(c))).otherwise(binary)
 
     return F.concat(F.lit("{"), F.array_join(F.transform(row, lambda c: F.concat(bare(c["name"]), F.lit(":"), value(c))), ","), F.lit("}"))
