@@ -17,6 +17,7 @@ from itertools import product
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .scratch import materialise
 from .words import words
 
 DIMS = ("x1", "x2", "x3", "x4")
@@ -187,25 +188,25 @@ def estimates(vectors: DataFrame) -> DataFrame:
     return groups.select("lang", "source", "total", best.alias("state"))
 
 
-def judge(docs: DataFrame, text: str = "text") -> DataFrame:
-    """The input's columns plus quality: struct<statistics.., base_failed, distance, kept>.
+def judge(docs: DataFrame, text: str = "text", carried: list[str] | None = None) -> DataFrame:
+    """The carried columns (all by default) plus quality: struct<statistics.., base_failed, distance, kept>.
 
     Null texts have no words and fail the base. Null languages and sources are groups of their own. Groups of fewer
     than LEAST documents that pass the base reject nothing, and there distance is null. Vectors are compared, not
-    rows, so repeated rows and ties agree. Texts are read twice, for the estimates and for the verdict; what is
-    shuffled is cells, and for the verdict each row once, salted within its group.
+    rows, so repeated rows and ties agree; an empty table gives an empty table. Texts are read once: statistics and
+    carried columns go to a table in the shared folder, from which the estimates and the verdict read. What is shuffled
+    is cells, and for the verdict each row once, salted within its group.
     """
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    measured = docs.select(row.alias("row"), statistics(F.col(f"`{text}`")).alias("s"))
-    measured = measured.select(
-        "row", "s", F.coalesce(F.concat(F.lit("="), F.col("row")["lang"]), F.lit("")).alias("lang"), F.coalesce(F.concat(F.lit("="), F.col("row")["source"]), F.lit("")).alias("source")
-    )
+    row = F.struct(F.lit(True).alias("_"), *[F.col(f"`{c}`") for c in (docs.columns if carried is None else carried)])
+    group = lambda c: F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("")).alias(c)
+    measured = materialise(docs.select(row.alias("row"), statistics(F.col(f"`{text}`")).alias("s"), group("lang"), group("source")), "statistics")
     measured = measured.withColumn("failed", base_failed(F.col("s")))
     vectors = measured.where("not failed").select("lang", "source", *[v.alias(x) for v, x in zip(vector(F.col("s")), DIMS, strict=True)])
     found = estimates(vectors).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))).drop("total")
-    salted = measured.withColumn("salt", F.pmod(F.xxhash64("s", "row.doc_id"), F.lit(SALTS)).cast("int"))
+    salted = measured.withColumn("salt", F.pmod(F.xxhash64("s", "row"), F.lit(SALTS)).cast("int"))
     joined = salted.join(found, ["lang", "source", "salt"], "left")
     distance = F.when(~F.col("failed") & F.col("state").isNotNull(), _distance(vector(F.col("s")), F.col("state")))
     joined = joined.withColumn("distance", distance)
     verdict = F.struct("s.*", F.col("failed").alias("base_failed"), "distance", (~F.col("failed") & (F.coalesce("distance", F.lit(0.0)) <= CUTOFF)).alias("kept"))
-    return joined.select("row.*", verdict.alias("quality"))
+    names = [f.name for f in measured.schema["row"].dataType][1:]
+    return joined.select(*[F.col("row")[c].alias(c) for c in names], verdict.alias("quality"))

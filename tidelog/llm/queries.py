@@ -32,7 +32,7 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    judged = quality.judge(table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"))
+    judged = quality.judge(table(spark, sf_dir, "documents"), carried=["doc_id"])
     fields = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "distance")
     return judged.select("doc_id", *[f"quality.{x}" for x in fields])
 
