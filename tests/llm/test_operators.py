@@ -260,6 +260,16 @@ def test_pivot_recall(spark):
     assert pivots.near_duplicates(frame).agg(F.sum("n_links")).first()[0] >= 0.9 * (near.sum() - len(rows))
 
 
+def test_pivot_recall_of_a_hot_group(spark):
+    rng = np.random.default_rng(4)
+    unit = lambda x: x / np.linalg.norm(x, axis=1, keepdims=True)
+    group = np.sqrt(0.94) * unit(rng.normal(size=(1, 64))) + np.sqrt(0.06) * unit(rng.normal(size=(1000, 64)))
+    v = unit(np.concatenate([group, rng.normal(size=(2000, 64))]))
+    frame = spark.createDataFrame([(k, x, 1) for k, x in enumerate(v.tolist())], "vec_id long, embedding array<double>, label int")
+    true = int((v @ v.T >= pivots.COSINE).sum()) - len(v)
+    assert 0.95 * true <= pivots.near_duplicates(frame).agg(F.sum("n_links")).first()[0] <= true
+
+
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 
 

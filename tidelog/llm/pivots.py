@@ -1,8 +1,9 @@
 """Embedding near-duplicates by a pivot-permutation index.
 
-Reference points (pivots) are vectors drawn by hash from the table, a number that grows with its root. Every vector is
-described by its nearest pivots in order, by cosine. Inverted lists hold the vectors of one label that name a pivot.
-Two vectors are candidates if they share enough pivots; each pair is looked at in the list of the lowest pivot they
+Reference points (pivots) are vectors drawn by hash from the table, a number that grows with its root, no two of them
+close to each other: a group of near copies owns one pivot, however large it is, and its members' lists agree. Every
+vector is described by its nearest pivots in order, by cosine. Inverted lists hold the vectors of one label that name a
+pivot. Two vectors are candidates if they share enough pivots, or one that is close to both; each pair is looked at in the list of the lowest pivot they
 share, and its cosine is verified in double precision. Lists are compared block against block, so a hot list is many
 bounded tasks, and what leaves a block pair is counts and a spanning forest, never all pairs.
 """
@@ -25,6 +26,10 @@ COSINE = 0.93
 NEAREST, SHARED = 6, 2
 #: Pivots: the root of the number of vectors times this, within these bounds.
 PER_ROOT, FEWEST, MOST = 2.0, 16, 4096
+#: Cosine from which a pivot is close: no two pivots are, and vectors with a close pivot in common need no second one.
+CLOSE = 0.8
+#: Vectors looked at for each pivot wanted.
+DRAWS = 2
 #: Rows of a block of an inverted list.
 BLOCK = 512
 
@@ -38,15 +43,25 @@ def usable(vectors: DataFrame, vec_id: str, embedding: str, label: str) -> DataF
 
 
 def draw_pivots(nodes: DataFrame) -> np.ndarray:
-    """Unit pivot vectors: those of lowest hash, a bounded sample of the distinct vectors."""
+    """Unit pivot vectors: of a bounded sample of the distinct vectors, by hash, those that are close to none before them."""
     n = nodes.count()
     k = int(np.clip(PER_ROOT * np.sqrt(n), FEWEST, MOST))
-    rows = nodes.select("v", F.xxhash64("v", F.lit("pivot")).alias("h")).orderBy("h").limit(k).collect()
+    rows = nodes.select("v", F.xxhash64("v", F.lit("pivot")).alias("h")).orderBy("h").limit(DRAWS * k).collect()
     if not rows:
         return np.zeros((0, 0))
     length = max(len(r["v"]) for r in rows)
     points = [r["v"] for r in rows if len(r["v"]) == length]
-    return _unit(np.array(points, float).reshape(len(points), length))
+    return _spread(_unit(np.array(points, float).reshape(len(points), length)), k)
+
+
+def _spread(points: np.ndarray, most: int) -> np.ndarray:
+    """The first points, at most so many, of which none is close to one before it."""
+    free, taken = np.ones(len(points), bool), []
+    for at in range(len(points)):
+        if free[at] and len(taken) < most:
+            taken.append(at)
+            free &= points @ points[at] < CLOSE
+    return points[taken]
 
 
 def _unit(x: np.ndarray) -> np.ndarray:
@@ -55,7 +70,10 @@ def _unit(x: np.ndarray) -> np.ndarray:
 
 
 def describe(nodes: DataFrame, pivots: np.ndarray, nearest: int = NEAREST) -> DataFrame:
-    """node, label, v, weight and near: the numbers of the nearest pivots, nearest first. Vectors of another length get no pivot's list but their length's own."""
+    """node, label, v, weight, near: the numbers of the nearest pivots, nearest first, and close: how many of them are close.
+
+    Vectors of another length get no pivot's list but their length's own.
+    """
     shared = nodes.sparkSession.sparkContext.broadcast(pivots)
     size = pivots.shape[1]
 
@@ -66,30 +84,37 @@ def describe(nodes: DataFrame, pivots: np.ndarray, nearest: int = NEAREST) -> Da
                 vectors = part.column(2).to_pylist()
                 fits = [k for k, v in enumerate(vectors) if len(v) == size]
                 near: list[list[int]] = [[-len(v)] for v in vectors]
+                close = [0] * len(vectors)
                 if fits:
-                    close = _unit(np.array([vectors[k] for k in fits])) @ shared.value.T
-                    few = min(nearest, close.shape[1])
-                    order = np.argsort(-close, axis=1, kind="stable")[:, :few]
-                    for k, row in zip(fits, order.tolist(), strict=True):
-                        near[k] = row
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(near, pa.list_(pa.int32()))], [*part.schema.names, "near"])
+                    cosines = _unit(np.array([vectors[k] for k in fits])) @ shared.value.T
+                    few = min(nearest, cosines.shape[1])
+                    order = np.argsort(-cosines, axis=1, kind="stable")[:, :few]
+                    many = (np.take_along_axis(cosines, order, 1) >= CLOSE).sum(1)
+                    for k, row, c in zip(fits, order.tolist(), many.tolist(), strict=True):
+                        near[k], close[k] = row, c
+                found = [pa.array(near, pa.list_(pa.int32())), pa.array(close, pa.int32())]
+                yield pa.RecordBatch.from_arrays([*part.columns, *found], [*part.schema.names, "near", "close"])
 
-    return nodes.select("node", "label", "v", "weight").mapInArrow(run, "node long, label string, v array<double>, weight long, near array<int>")
+    schema = "node long, label string, v array<double>, weight long, near array<int>, close int"
+    return nodes.select("node", "label", "v", "weight").mapInArrow(run, schema)
 
 
 def block_links(a: pd.DataFrame, b: pd.DataFrame, pivot: int, cosine: float, shared: int) -> tuple[np.ndarray, np.ndarray]:
     """Index pairs (row of a, row of b) that are candidates whose lowest shared pivot is this one, verified by cosine."""
     left, right = (_unit(np.array(x["v"].tolist(), float)) for x in (a, b))
     names = np.unique(np.concatenate([np.concatenate(x["near"].tolist()) for x in (a, b)]))
-    hot = [np.zeros((len(x), len(names)), np.float32) for x in (a, b)]
-    for m, x in zip(hot, (a, b), strict=True):
-        for k, near in enumerate(x["near"]):
-            m[k, np.searchsorted(names, near)] = 1
+    hot, warm = ([np.zeros((len(x), len(names)), np.float32) for x in (a, b)] for _ in range(2))
+    for m, c, x in zip(hot, warm, (a, b), strict=True):
+        for k, (near, close) in enumerate(zip(x["near"], x["close"], strict=True)):
+            at = np.searchsorted(names, near)
+            m[k, at] = 1
+            c[k, at[:close]] = 1
     lower = int(np.searchsorted(names, pivot))
     common = hot[0] @ hot[1].T
     first = (hot[0][:, :lower] @ hot[1][:, :lower].T) == 0
     need = np.minimum(shared, np.minimum(hot[0].sum(1)[:, None], hot[1].sum(1)[None]))
-    return np.nonzero((common >= need) & first & (left @ right.T >= cosine))
+    enough = (common >= need) | (warm[0] @ warm[1].T > 0)
+    return np.nonzero(enough & first & (left @ right.T >= cosine))
 
 
 def _forest(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -111,14 +136,14 @@ def linked(described: DataFrame, cosine: float = COSINE, shared: int = SHARED, b
 
     A node's weight is the number of equal vectors it stands for.
     """
-    posts = described.select("node", "label", "weight", "v", "near", F.explode("near").alias("pivot"))
+    posts = described.select("node", "label", "weight", "v", "near", "close", F.explode("near").alias("pivot"))
     sizes = posts.groupBy("label", "pivot").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     posts = posts.join(sizes, ["label", "pivot"])
     pieces = F.ceil(F.col("n") / block)
     mine = F.pmod(F.xxhash64("node"), pieces)
     posts = posts.withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), pieces - 1)))
     posts = posts.select(
-        "label", "pivot", F.least("mine", "other").alias("p"), F.greatest("mine", "other").alias("o"), "mine", "node", "weight", "v", "near"
+        "label", "pivot", F.least("mine", "other").alias("p"), F.greatest("mine", "other").alias("o"), "mine", "node", "weight", "v", "near", "close"
     )
 
     def compare(part: pd.DataFrame) -> pd.DataFrame:
