@@ -133,6 +133,22 @@ def test_quality_outliers(spark):
     assert all(got[k]["kept"] for k in range(60) if not got[k]["base_failed"]) and not any(got[100 + k]["kept"] for k in range(6))
 
 
+def test_quality_of_small_groups(spark):
+    """A source per site: its documents are judged by their language, a lone language's by all documents."""
+    rng = np.random.default_rng(6)
+    text = lambda n, tail="": " ".join(f"word{rng.integers(9999)}{tail}" for _ in range(n))
+    rows = [(k, text(int(rng.integers(30, 300))), "en", f"site{k % 25}", 0) for k in range(100)]
+    rows += [(200 + k, text(100, "###$$$"), "en", f"site{k}", 0) for k in range(3)]
+    rows += [(300, text(100), "fr", None, 0), (301, text(100, "###$$$"), "fr", None, 0), (302, text(100, "###$$$"), None, "a", 0)]
+    got = {r["doc_id"]: r["quality"] for r in quality.judge(docs(spark, rows)).collect()}
+    vectors = lambda some: np.array([[np.log(n), np.log(c / n), np.log1p(100 * s / n), np.log1p(100 * d / n)] for n, c, s, d, _ in map(base_statistics, some)])
+    want = dict(zip(range(103), mcd(vectors([t for _, t, lang, *_ in rows if lang == "en"])), strict=True))
+    want = {k if k < 100 else k + 100: d for k, d in want.items()}
+    want |= {r[0]: d for r, d in zip(rows, mcd(vectors([r[1] for r in rows])), strict=True) if r[0] >= 300}
+    assert all(abs(got[k]["distance"] - d) < 1e-6 * (1 + d) for k, d in want.items())
+    assert [k for k in want if not got[k]["kept"]] == [200, 201, 202, 301, 302]
+
+
 def brute_viterbi(scores, switch):
     value, paths = scores[0].copy(), [[k] for k in range(scores.shape[1])]
     for s in scores[1:]:

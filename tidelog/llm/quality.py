@@ -4,7 +4,8 @@ Each text's counts are transformed to a vector (log words, log word length, log
 Per language and source, vectors are gathered on a grid, so a group is an array of cells with counts whose size the grid
 bounds, however many rows the group has; the group by cell is pre-aggregated before it is shuffled. On that array
 concentration steps run: the nearest three quarters by Mahalanobis distance give the next centre and covariance, from a
-median and a classical start, and the smaller determinant wins. A document is rejected beyond a chi-square cutoff.
+median and a classical start, and the smaller determinant wins. Groups too small for an estimate take that of their
+language, or of all documents if the language is too small as well. A document is rejected beyond a chi-square cutoff.
 
 Native: DataFrame functions only.
 """
@@ -31,7 +32,7 @@ CORE, CONSISTENT = 0.75, 1.44
 CONCENTRATIONS = 5
 #: Squared distance beyond which a vector is an outlier: about the 1 - 1e-6 quantile of chi-square with 4 degrees.
 CUTOFF = 33.4
-#: Documents a group needs; smaller groups reject nothing.
+#: Documents a group or language needs for an estimate of its own.
 LEAST = 30
 MIN_WORDS, MAX_REPEAT_PERCENT = 10, 20
 SALTS = 32
@@ -169,14 +170,24 @@ def _median_start(cells: Column, total: Column) -> Column:
 
 
 def estimates(vectors: DataFrame) -> DataFrame:
-    """(lang, source, x1..x4) -> (lang, source, total, state): the minimum-covariance-determinant estimate of each group."""
+    """(lang, source, x1..x4) -> (lang, source, state): the minimum-covariance-determinant estimate that holds for each group.
+
+    It rests on the group, or on its language if the group has fewer than LEAST vectors, or on all vectors if the
+    language has, too.
+    """
     snapped = [
         (F.least(F.greatest(F.round(F.col(x) / step), F.lit(-float(most))), F.lit(float(most))) * step).alias(x)
         for x, step, most in zip(DIMS, STEPS, CELLS, strict=True)
     ]
     cells = vectors.select("lang", "source", *snapped).groupBy("lang", "source", *DIMS).agg(F.count(F.lit(1)).cast("double").alias("n"))
-    groups = cells.groupBy("lang", "source").agg(F.sort_array(F.collect_list(F.struct(*DIMS, "n"))).alias("cells"), F.sum("n").alias("total"))
-    groups = groups.where(F.col("total") >= LEAST)
+    cells = materialise(cells, "cells")
+    sizes = cells.groupBy("lang", "source").agg(F.sum("n").alias("n")).join(cells.groupBy("lang").agg(F.sum("n").alias("of_lang")), "lang")
+    pool = lambda level, lang, source: F.struct(F.lit(level).alias("level"), lang.alias("lang"), source.alias("source"))
+    pools = [pool(2, F.col("lang"), F.col("source")), pool(1, F.col("lang"), F.lit("")), pool(0, F.lit(""), F.lit(""))]
+    placed = sizes.select("lang", "source", F.when(F.col("n") >= LEAST, pools[0]).when(F.col("of_lang") >= LEAST, pools[1]).otherwise(pools[2]).alias("pool"))
+    widened = cells.select(F.explode(F.array(*pools)).alias("pool"), *DIMS, "n").join(placed.select("pool").distinct(), "pool", "left_semi")
+    widened = widened.groupBy("pool", *DIMS).agg(F.sum("n").alias("n"))
+    groups = widened.groupBy("pool").agg(F.sort_array(F.collect_list(F.struct(*DIMS, "n"))).alias("cells"), F.sum("n").alias("total"))
     c, total = F.col("cells"), F.col("total")
 
     def converge(start: Column) -> Column:
@@ -185,15 +196,14 @@ def estimates(vectors: DataFrame) -> DataFrame:
     size = lambda s: F.log(s["l00"]) + F.log(s["l11"]) + F.log(s["l22"]) + F.log(s["l33"])
     both = F.array(converge(_median_start(c, total)), converge(let(_moments(c, total), _estimate)))
     best = let(both, lambda b: F.when(size(F.get(b, F.lit(0))) <= size(F.get(b, F.lit(1))), F.get(b, F.lit(0))).otherwise(F.get(b, F.lit(1))))
-    return groups.select("lang", "source", "total", best.alias("state"))
+    return placed.join(groups.select("pool", best.alias("state")), "pool").select("lang", "source", "state")
 
 
 def judge(docs: DataFrame, text: str = "text", carried: list[str] | None = None) -> DataFrame:
     """The carried columns (all by default) plus quality: struct<statistics.., base_failed, distance, kept>.
 
-    Null texts have no words and fail the base. Null languages and sources are groups of their own. Groups of fewer
-    than LEAST documents that pass the base reject nothing, and there distance is null. Vectors are compared, not
-    rows, so repeated rows and ties agree; an empty table gives an empty table. Texts are read once: statistics and
+    Null texts have no words and fail the base. Null languages and sources are groups of their own. Every
+    document that passes the base has a distance; for others it is null. Vectors are compared, not rows, so repeated rows and ties agree; an empty table gives an empty table. Texts are read once: statistics and
     carried columns go to a table in the shared folder, from which the estimates and the verdict read. What is shuffled
     is cells, and for the verdict each row once, salted within its group.
     """
@@ -202,7 +212,7 @@ def judge(docs: DataFrame, text: str = "text", carried: list[str] | None = None)
     measured = materialise(docs.select(row.alias("row"), statistics(F.col(f"`{text}`")).alias("s"), group("lang"), group("source")), "statistics")
     measured = measured.withColumn("failed", base_failed(F.col("s")))
     vectors = measured.where("not failed").select("lang", "source", *[v.alias(x) for v, x in zip(vector(F.col("s")), DIMS, strict=True)])
-    found = estimates(vectors).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))).drop("total")
+    found = estimates(vectors).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     salted = measured.withColumn("salt", F.pmod(F.xxhash64("s", "row"), F.lit(SALTS)).cast("int"))
     joined = salted.join(found, ["lang", "source", "salt"], "left")
     distance = F.when(~F.col("failed") & F.col("state").isNotNull(), _distance(vector(F.col("s")), F.col("state")))
