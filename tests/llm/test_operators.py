@@ -315,6 +315,18 @@ def test_secret_network():
     assert [s[0] for s in spans[0]] == ["model"] and spans[1] == []
 
 
+def test_secrets_in_long_runs_and_odd_values():
+    key = "a8Kq0ZtP3mXw7RbV5nLc2DyE9fUh1JsG6oTi"
+    path = "/srv/data/projects/archive/reports/{}/yearly/summary/documents/index"
+    texts = [path.format(key), path.format("quarterly"), "password: p@ssw0rd!x and more", f"{'0f' * 14}_{key}", "password: abcdefg@x9!Kq2 next", "the password: (see below)"]
+    found = secrets.find(texts, secrets.network())
+    covered = lambda k, part: all(any(a <= i < b for _, a, b, _ in found[k]) for i in range(texts[k].index(part), texts[k].index(part) + len(part)))
+    assert covered(0, key) and covered(2, "p@ssw0rd!x") and covered(3, key) and covered(4, "abcdefg@x9!Kq2")
+    assert not found[1] and not found[5]
+    for spans in found:
+        assert all(b <= c for (_, _, b, _), (_, c, _, _) in zip(spans, spans[1:]))
+
+
 def test_redaction(spark):
     text = "é token = 'abcdef123456' then " + "0f" * 15 + " end"
     frame = spark.createDataFrame([(text,), ("clean",), (None,)], "text string")

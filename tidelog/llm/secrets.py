@@ -1,7 +1,8 @@
 """Secret scans: fixed patterns, and a character network over every other candidate with its surroundings.
 
-A candidate is a long enough run of token characters. The network sees the candidate and what stands left and right of
-it. It is trained on labelled findings made by rule (issued-looking keys in assignments, headers and prose against
+A candidate is what fixed patterns leave of a long enough run of token characters, a part of one between `/` or `=`, or
+what stands after a credential word, whatever its characters. The network sees the candidate and what stands left and
+right of it, a long one by overlapping windows. It is trained on labelled findings made by rule (issued-looking keys in assignments, headers and prose against
 names, numbers, paths and ordinary long words in like surroundings), to which a caller can add windows known to hold no
 secret; its output is calibrated on held-out findings and the threshold is the highest that keeps the asked recall there.
 """
@@ -23,12 +24,16 @@ from .charnet import CharNet, calibrate, encode, train
 from .langid import blocks
 
 KINDS = ("assign", "access", "hex", "model")
-ASSIGN = re.compile(
-    r"""(?:[pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
-)
+WORDS = r"(?:[pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])"
+ASSIGN = re.compile(WORDS + r"""["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
+#: What stands after a credential word: quoted, or up to white space.
+VALUE = re.compile(WORDS + r"""["']?[ \t]*[:=][ \t]*(?:"([^"\n]+)"|'([^'\n]+)'|([^\s"']\S*))""")
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
+#: Characters a run, and a part of one, must have.
+LEAST = 16
+CANDIDATE = re.compile(rf"[A-Za-z0-9+/_=-]{{{LEAST},}}")
+PART = re.compile("[^/=]+")
 SIDE, MIDDLE = 24, 48
 RECALL = 0.97
 FINDINGS = 3000
@@ -45,16 +50,48 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(spans)
 
 
-def candidates(text: str, spans: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
-    """(start, end) of token runs that no span covers or cuts; a run of letters of one case only is a word, not a candidate."""
+def candidates(text: str, spans: list[tuple[int, int, int]]) -> list[tuple[int, int, int, int]]:
+    """(start, end, from, to): a stretch the network looks at, and what is a secret if it says so.
+
+    Nothing a base span covers is looked at, but for values of credential words, which are seen whole.
+    """
     out = []
     for m in CANDIDATE.finditer(text):
-        a, b = m.span()
-        run = m.group()
-        if run.islower() and run.isalpha() or run.isupper() and run.isalpha():
-            continue
-        if not any(a < e and s < b for s, _, e in spans):
-            out.append((a, b))
+        for a, b in _uncovered(*m.span(), spans):
+            out += _windows(text, a, b)
+            parts = [(a + p.start(), a + p.end()) for p in PART.finditer(text[a:b])]
+            if parts != [(a, b)]:
+                out += [w for p, q in parts if q - p >= LEAST for w in _windows(text, p, q)]
+    if "=" in text or ":" in text:
+        for m in VALUE.finditer(text):
+            a, b = m.span(m.lastindex)
+            if _uncovered(a, b, spans):
+                out += [(x, y, a, b) for x, y, *_ in _windows(text, a, b)]
+    return out
+
+
+def _uncovered(a: int, b: int, spans: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
+    """What the spans, in order, leave of a stretch."""
+    out = []
+    for s, _, e in spans:
+        if s >= b:
+            break
+        if e > a:
+            if s > a:
+                out.append((a, s))
+            a = max(a, e)
+    return [*out, (a, b)] if a < b else out
+
+
+def _windows(text: str, a: int, b: int) -> list[tuple[int, int, int, int]]:
+    """Overlapping stretches of MIDDLE characters, each with itself carried on to the next separator."""
+    if b - a <= MIDDLE:
+        return [(a, b, a, b)]
+    out = []
+    for x in [*range(a, b - MIDDLE, MIDDLE // 2), b - MIDDLE]:
+        left = max(text.rfind(c, a, x) for c in "/=") + 1
+        ends = [e for e in (text.find(c, x + MIDDLE, b) for c in "/=") if e >= 0]
+        out.append((x, x + MIDDLE, left or a, min(ends, default=b)))
     return out
 
 
@@ -110,10 +147,36 @@ def labelled_findings(n: int = FINDINGS, seed: int = 11) -> tuple[list[tuple[str
     return out, np.array(labels, float)
 
 
+def placed_findings(n: int, seed: int = 12) -> tuple[list[tuple[str, str, str]], np.ndarray]:
+    """n made findings, half of them secrets: values of credential words, and stretches of long paths."""
+    rng = np.random.default_rng(seed)
+    pick = lambda xs: xs[int(rng.integers(len(xs)))]
+    chars = lambda alphabet, k: "".join(pick(alphabet) for _ in range(k))
+    word = lambda: chars(string.ascii_lowercase, int(rng.integers(2, 10)))
+    mixed = string.ascii_letters + string.digits
+    path = lambda: "/".join(pick([word, word, lambda: f"{word()}-{word()}", lambda: f"{word()}_{word()}"])() for _ in range(9))
+    out, labels = [], []
+    for k in range(n):
+        if k // 2 % 2:
+            before = f"{word()} {pick(['password', 'passwd', 'Password', 'secret', 'token', 'api_key', 'API_KEY'])}{pick([': ', '=', ' = ', ':'])}"
+            strong = lambda: pick(mixed) + chars(mixed + "!@#$%^&*?~+.", int(rng.integers(4, 30))) + pick("!@#$%^&*?~") + chars(mixed, int(rng.integers(1, 6)))
+            weak = [lambda: word()[:5], lambda: f"<{word()}>", lambda: f"${{{word().upper()}}}", lambda: f"{{{word()}}}", lambda: "*" * int(rng.integers(3, 12)), lambda: f"{word()[:5]},", lambda: f"({word()[:4]})", lambda: f"%{word()[:1]}", lambda: str(rng.integers(99))]
+            out.append((before[-SIDE:], strong() if k % 2 else pick(weak)(), pick([f" {word()} {word()}", f"\n{word()}", ""])))
+        else:
+            inner, left = chars(mixed, int(rng.integers(20, 44))), path()
+            text, at = f"/{left}/{inner}/{path()}" if k % 2 else f"/{left}/{path()}/{path()}", len(left) + 2
+            at = max(0, at - int(rng.integers(0, 12)) * int(rng.integers(2)))
+            end = at + MIDDLE if rng.integers(2) or not k % 2 else len(left) + 2 + len(inner)
+            out.append((text[max(0, at - SIDE) : at], text[at:end], text[end : end + SIDE]))
+        labels.append(k % 2)
+    return out, np.array(labels, float)
+
+
 def fit(negatives: list[tuple[str, str, str]] = (), recall: float = RECALL, n: int = FINDINGS) -> CharNet:
     """The calibrated network; negatives are windows known to hold no secret."""
     windows, y = labelled_findings(n)
-    windows, y = windows + list(negatives), np.concatenate([y, np.zeros(len(negatives))])
+    placed, of = placed_findings(n // 2)
+    windows, y = windows + placed + list(negatives), np.concatenate([y, of, np.zeros(len(negatives))])
     order = np.random.default_rng(3).permutation(len(y))
     x, y = encode([windows[k] for k in order], SIDE, MIDDLE), y[order]
     cut = len(y) * 3 // 4
@@ -150,12 +213,21 @@ def scan(docs: DataFrame, net: CharNet, keep: list[Column], text: str = "text")
 def find(texts: list[str | None], net: CharNet) -> list[list[tuple[str, int, int, float]]]:
     """Spans of each text, by start and kind."""
     spans = [base_spans(t) if t else [] for t in texts]
-    tried = [(k, a, b) for k, t in enumerate(texts) if t for a, b in candidates(t, spans[k])]
-    score = net.probability(encode([window(texts[k], a, b) for k, a, b in tried], SIDE, MIDDLE)) if tried else []
+    tried = [(k, *c) for k, t in enumerate(texts) if t for c in candidates(t, spans[k])]
+    score = net.probability(encode([window(texts[k], a, b) for k, a, b, *_ in tried], SIDE, MIDDLE)) if tried else []
     out = [[(a, kind, b, 1.0) for a, kind, b in s] for s in spans]
-    for (k, a, b), p in zip(tried, score, strict=True):
+    hits: dict[int, list[tuple[int, int, float]]] = {}
+    for (k, *_, a, b), p in zip(tried, score, strict=True):
         if p >= net.threshold:
-            out[k].append((a, 3, b, float(p)))
+            hits.setdefault(k, []).append((a, b, float(p)))
+    for k, found in hits.items():
+        whole: list[tuple[int, int, float]] = []
+        for a, b, p in sorted(found):
+            if whole and a < whole[-1][1]:
+                whole[-1] = (whole[-1][0], max(b, whole[-1][1]), max(p, whole[-1][2]))
+            else:
+                whole.append((a, b, p))
+        out[k] += [(x, 3, y, p) for a, b, p in whole for x, y in _uncovered(a, b, spans[k])]
     return [[(KINDS[kind], a, b, p) for a, kind, b, p in sorted(s)] for s in out]
 
 
