@@ -14,8 +14,8 @@ from tidelog.llm import langid, mixing, packing, secrets, simhash
 from tidelog.llm.queries import tokenizer_path
 from tidelog.llm.scratch import materialise
 
-#: Share of a text's words that its language must label.
-LEAST_SHARE = 0.4
+#: Share of a text's words that its language must label: any, as the top one of several languages labels few.
+LEAST_SHARE = 0.0
 
 
 def _row(docs: DataFrame) -> Column:

@@ -92,6 +92,14 @@ def _by_sequence(rows):
     return out
 
 
+def test_texts_in_four_languages_stay(spark):
+    frame = spark.read.parquet(f"{SF}/documents.parquet")
+    long = [frame.where((F.col("lang") == x) & (F.col("n_chars") > 600)).orderBy("doc_id").first()["text"] for x in ("en", "de", "fr", "es")]
+    mixed = " ".join(" ".join(t.split()[:60]) for t in long)
+    added = frame.limit(1).withColumn("doc_id", F.lit(10**6)).withColumn("text", F.lit(mixed)).select(frame.columns)
+    assert P.language_id(spark, frame.unionByName(added), SF).where(f"doc_id = {10**6}").count() == 1
+
+
 @pytest.mark.parametrize("empty", [False, True])
 def test_stages_on_awkward_rows(spark, empty):
     """Nulls, clashing names, repeated rows, and no rows at all go through every stage."""
