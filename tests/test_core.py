@@ -93,10 +93,13 @@ def test_carry_over_buckets(spark, monkeypatch):
 
     rows = [("a" if k % 2 else "b", k, k if k % 10 == 3 else None, k % 4) for k in range(100)]
     frame = spark.createDataFrame(rows, "slot string, seq long, v long, g long")
-    got = {r["seq"]: r["last"] for r in carry.carry_forward(carry.with_bucket(frame, 8), F.col("v"), "last", ("g",)).collect()}
-    for slot, seq, _, g in rows:
-        seen = [v for s, k, v, h in rows if s == slot and h == g and k <= seq and v is not None]
-        assert got[seq] == (seen[-1] if seen else None)
+    monkeypatch.setattr(carry, "STRETCH", 2)
+    log = carry.with_bucket(frame, 8)
+    for key, before in (("g", False), (None, False), (None, True)):
+        got = {r["seq"]: r["last"] for r in carry.carry_forward(log, {"last": F.col("v"), "other": F.col("g")}, key, before).collect()}
+        for slot, seq, _, g in rows:
+            seen = [v for s, k, v, h in rows if s == slot and (key is None or h == g) and k <= seq - before and v is not None]
+            assert got[seq] == (seen[-1] if seen else None)
 
 
 def test_scalars(spark):
@@ -152,21 +155,151 @@ def test_router(spark):
     assert route.of_tables(silver.events(spark, SF), "public.orders").where("tag = 'I'").count() == 1500
 
 
+ROWS = ("seq", "tag", "txn_id")
+
+
+def _frames(spark, path, low, high, mode="append"):
+    silver.bronze(spark, SF).where(f"seq >= {low} and seq < {high}").coalesce(1).sortWithinPartitions("seq").write.mode(mode).parquet(str(path))
+
+
+def _all(spark, high):
+    return silver.committed(spark, SF).where(f"tag in ('I', 'U', 'D') and commit_seq < {high}").select(*ROWS).toPandas()
+
+
 def test_stream_equals_batch(spark, tmp_path):
+    """A stream that is stopped, gets more files and is started again gives the batch's rows, each once."""
     from tidelog.sources import capture
     from tidelog.streaming.replay import Replay
 
-    silver.bronze(spark, SF).where("seq < 7500").coalesce(1).sortWithinPartitions("seq").write.parquet(str(tmp_path / "frames"))
-    replay = Replay(spark, str(tmp_path / "out"), 4)
-    query = replay.start(str(tmp_path / "frames"), str(tmp_path / "checkpoint"), maxFrames="1730")
+    for high, low in ((4300, 0), (7500, 4300), (9000, 7500)):
+        _frames(spark, tmp_path / "frames", low, high)
+        replay = Replay(spark, str(tmp_path / "out"), 4)
+        query = replay.start(str(tmp_path / "frames"), str(tmp_path / "checkpoint"), maxFrames="1730")
+        query.processAllAvailable()
+        query.stop()
+        got = replay.changes().where("tag in ('I', 'U', 'D')").select(*ROWS).toPandas()
+        assert_same(got, _all(spark, high))
+    capture.register(spark)
+    batch = spark.read.format("tidelog").option("path", str(tmp_path / "frames")).option("startLsn", "16/B374D848").load()
+    native = capture.frames(spark, str(tmp_path / "frames"), start_lsn="16/B374D848")
+    assert batch.count() == native.count() == silver.bronze(spark, SF).where(f"seq < 9000 and wal_start >= {0x16B374D848}").count()
+
+
+def test_stream_is_killed_inside_a_batch(spark, tmp_path):
+    """A handler that fails is run again with the same rows, and a batch that is done is not handled twice."""
+    from tidelog.streaming.replay import Replay
+
+    _frames(spark, tmp_path / "frames", 0, 4300)
+    calls, fail = [], {1: True}
+
+    def handler(rows, number):
+        calls.append((number, sorted(r["seq"] for r in rows.collect())))
+        if fail.pop(number, False):
+            raise RuntimeError("killed")
+
+    run = lambda: Replay(spark, str(tmp_path / "out"), 4, handler)
+    start = lambda: run().start(str(tmp_path / "frames"), str(tmp_path / "checkpoint"), maxFrames="1730")
+    query = start()
+    with pytest.raises(Exception, match="killed"):
+        query.processAllAvailable()
+    query = start()
     query.processAllAvailable()
     query.stop()
-    got = replay.changes().where("tag in ('I', 'U', 'D')").select("seq", "tag", "txn_id").toPandas()
-    want = silver.committed(spark, SF).where("tag in ('I', 'U', 'D') and commit_seq < 7500").select("seq", "tag", "txn_id").toPandas()
-    assert_same(got, want)
+    numbers = [n for n, _ in calls]
+    assert numbers.count(1) == 2 and [s for n, s in calls if n == 1][0] == [s for n, s in calls if n == 1][1]
+    assert sorted(set(numbers)) == numbers[:2] + numbers[3:]
+    run().batch(silver.bronze(spark, SF).where("seq < 100"), 0)
+    assert [n for n, _ in calls] == numbers
+    assert_same(run().changes().where("tag in ('I', 'U', 'D')").select(*ROWS).toPandas(), _all(spark, 4300))
+
+
+def test_offsets_only_grow(spark, tmp_path):
+    from tidelog.errors import LogError
+    from tidelog.sources.capture import StreamReader
+
+    _frames(spark, tmp_path / "frames", 0, 2000)
+    options = {"path": str(tmp_path / "frames"), "maxframes": "700", "progress": str(tmp_path / "progress")}
+    first = StreamReader(options)
+    told = [first.latestOffset()["seq"] for _ in range(2)]
+    again = StreamReader(options)
+    told += [again.latestOffset()["seq"] for _ in range(4)]
+    assert told == sorted(told) and told[0] < told[1] < told[2] and told[-1] == 1 + silver.bronze(spark, SF).where("seq < 2000").agg(F.max("seq")).first()[0]
+    unknown = StreamReader({"path": options["path"], "maxframes": "700"})
+    assert unknown.latestOffset()["seq"] == told[-1]
+    _frames(spark, tmp_path / "frames", 100, 200)
+    with pytest.raises(LogError, match="read already"):
+        again.latestOffset()
+
+
+def test_files_without_statistics(spark, tmp_path):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    from tidelog.sources import capture
+
+    rows = silver.bronze(spark, SF).where("seq < 1100").orderBy("seq").toArrow()
+    (tmp_path / "frames").mkdir()
+    pq.write_table(rows, tmp_path / "frames" / "a.parquet", write_statistics=False, row_group_size=70)
+    pq.write_table(rows.slice(0, 0), tmp_path / "frames" / "empty.parquet")
     capture.register(spark)
-    batch = spark.read.format("tidelog").option("path", str(tmp_path / "frames")).option("startLsn", "16/B374D848").load()
-    assert batch.count() == silver.bronze(spark, SF).where(f"seq < 7500 and wal_start >= {0x16B374D848}").count()
+    got = spark.read.format("tidelog").option("path", str(tmp_path / "frames")).load().toArrow().sort_by("seq")
+    assert got.column("seq").to_pylist() == rows.column("seq").to_pylist() and got.column("data").to_pylist() == rows.column("data").to_pylist()
+    assert pa.types.is_int64(got.schema.field("seq").type)
+
+
+def test_many_transactions_and_blocks(spark, monkeypatch):
+    """The ways for logs with many marks, versions and notes give the same events as those that send them to every worker."""
+    from tidelog.operators import decode as D
+
+    def made():
+        messages = materialise(decode(silver.bronze(spark, SF, "parts").unionByName(silver.bronze(spark, SF)), 4), "m")
+        return E.events(messages, txn.assign(messages)).select("slot", "seq", "txn_id", "txn_seq", "stream_xid", "table", "new_row", "truncate_tables").collect()
+
+    few = made()
+    for module, name in ((D, "FEW_MARKS"), (txn, "FEW_MARKS"), (E, "FEW_COLUMNS"), (E, "FEW_NOTED")):
+        monkeypatch.setattr(module, name, 1)
+    assert sorted(map(str, made())) == sorted(map(str, few)) and len(few) > 3000
+
+
+FULL = REL | {"oid": 2, "name": "f", "replident": ord("f"), "columns": [(1, "id", 20, -1), (1, "v", 25, -1)]}
+BARE = REL | {"oid": 3, "name": "bare", "columns": [(0, "id", 20, -1), (0, "v", 25, -1)]}
+
+
+def _to(m, oid):
+    return m | {"oid": oid}
+
+
+def test_rows_without_a_key(spark):
+    t = lambda k, v: [("t", str(k).encode()), ("u", None) if v is None else ("t", v.encode())]
+    old = lambda tag, oid, k, v, new=None: {"tag": tag, "oid": oid, "key_type": "O", "old": t(k, v)} | ({"new": t(*new)} if new else {})
+    body = [_to(PUT(1, "a"), 3), _to(PUT(1, "a"), 3), _to(PUT(2, "b"), 3), _to(PUT(1, "x"), 2), _to(PUT(1, "x"), 2), old("U", 2, 1, "x", (7, None)), old("D", 2, 7, "x"), _to(PUT(9, "y"), 2)]
+    out, *_ = gold(spark, [(m, False) for m in [REL, FULL, BARE, BEGIN(1), *body, COMMIT]])
+    assert out == [(1, "a"), (1, "a"), (1, "x"), (2, "b"), (9, "y")]
+    with pytest.raises(PySparkException, match="no key and no old row"):
+        gold(spark, [(m, False) for m in [BARE, BEGIN(1), {"tag": "U", "oid": 3, "new": t(1, "z")}, COMMIT]])
+
+
+def test_reused_xid(spark):
+    start, put = {"tag": "S", "xid": 5, "first_segment": 1}, PUT(2, "aborted") | {"msg_xid": 5}
+    log = [(REL, False), (start, False), (put, True), ({"tag": "E"}, False), ({"tag": "A", "xid": 5, "subxid": 5}, False), (BEGIN(5), False), (PUT(6, "kept"), False), (COMMIT, False)]
+    out, _, assigned = gold(spark, log)
+    assert out == [(6, "kept")]
+    assert sorted((r["txn_id"], r["txn_seq"], r["status"]) for r in txn.outcomes(assigned).collect()) == [(5, 1, "aborted"), (5, 5, "committed")]
+
+
+def test_history_fills_and_ends_with_a_truncate(spark):
+    touch = {"tag": "U", "oid": 1, "new": [("t", b"1"), ("u", None)]}
+    first = [PUT(1, "a"), touch, PUT(2, "b")]
+    cut = {"tag": "T", "flags": 0, "oids": [1]}
+    second = [cut, PUT(1, "c"), touch]
+    log = [(m, False) for m in [REL, BEGIN(1), *first, COMMIT, BEGIN(2), *second, COMMIT]]
+    _, _, assigned = gold(spark, log)
+    changes = materialise(txn.committed(assigned), "c")
+    text = lambda r, n: next(bytes(c["value"]).decode() for c in r["row"] if c["name"] == n)
+    got = sorted((text(r, "id"), text(r, "v"), r["valid_from"], r["valid_to"]) for r in state.history(changes).collect())
+    assert got == sorted([("1", "a", 5, 5), ("1", "a", 5, 10), ("2", "b", 5, 10), ("1", "c", 10, 10), ("1", "c", 10, None)], key=str)
+    filled = state.toast_fill(changes, ["v"]).where("tag = 'U'").orderBy("seq").collect()
+    assert [bytes(r["v"]["value"]).decode() for r in filled] == ["a", "c"]
 
 
 def test_imports_without_llm(tmp_path):

@@ -6,37 +6,51 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-#: Sequence numbers in one bucket.
-BUCKET = 1 << 16
+#: Sequence numbers in one bucket, and buckets in one stretch.
+BUCKET, STRETCH = 1 << 13, 1 << 12
 
 
 def with_bucket(log: DataFrame, size: int = BUCKET) -> DataFrame:
-    """Adds _bucket, by which rows of a slot are dealt out; rows of a bucket are read in order of seq."""
-    return log.withColumn("_bucket", F.floor(F.col("seq") / size))
+    """Adds _bucket, by which rows of a slot are dealt out; rows of a bucket are read in order of seq. A null slot becomes an empty one."""
+    return log.withColumns({"slot": F.coalesce("slot", F.lit("")), "_bucket": F.floor(F.col("seq") / size)})
 
 
-def carry_forward(log: DataFrame, value: Column, name: str, keys: tuple[str, ...] = ()) -> DataFrame:
-    """Adds name: the value of the last row at or before this one, in its slot and keys, whose value is not null.
+def carry_forward(log: DataFrame, values: dict[str, Column], key: str | None = None, before: bool = False) -> DataFrame:
+    """Adds a column for each name: its value of the last row at or before this one (or before it) where it is not null.
 
-    The log has slot, seq and _bucket. Inside a bucket this is a window; what a bucket inherits is the last value of
-    the buckets before it, from an aggregate with one row a bucket and key in which value occurs. So no task reads
-    more than a bucket, and several calls share one exchange on (slot, _bucket).
+    Rows of one slot count and, with a key, of one value of it; rows whose key is null get null. The log has slot, seq
+    and _bucket; values are longs, so that all aggregates here are hashed. Inside a bucket this is a window over rows
+    dealt out by (slot, _bucket), which calls with any key share. What a bucket inherits comes from one pre-aggregated
+    row for each bucket and key that occur together, never for those that don't; these rows are ordered in stretches of
+    STRETCH buckets, with one row a stretch above them. So no task orders more than a bucket of rows, a stretch of
+    buckets, or the stretches of one key. With a key, a bucket inherits a map of the keys that have a value by then, so
+    that it is joined by (slot, _bucket) as well.
     """
-    by = ["slot", *keys]
-    marked = log.withColumn("_value", value)
-    ends = marked.where("_value is not null").groupBy(*by, "_bucket").agg(F.max_by("_value", "seq").alias("_end"))
-    order = W.partitionBy(*by).orderBy("_bucket")
-    spans = ends.select(
-        *by, "_end", (F.col("_bucket") + 1).alias("_from"), F.coalesce(F.lead("_bucket").over(order), F.lit(None).cast("long")).alias("_to")
-    )
-    top = log.groupBy("slot").agg(F.max("_bucket").alias("_top"))
-    spans = spans.join(top, "slot").withColumn("_to", F.coalesce("_to", "_top")).where("_from <= _to")
-    inherited = spans.select(
-        *[F.col(k).alias(f"_k_{k}") for k in by], F.explode(F.sequence("_from", "_to")).alias("_k_bucket"), F.col("_end").alias("_inherited")
-    )
-    here = F.last("_value", ignorenulls=True).over(W.partitionBy("slot", "_bucket", *keys).orderBy("seq").rowsBetween(W.unboundedPreceding, 0))
-    out = marked.withColumn("_here", here)
-    same = F.col("_bucket") == F.col("_k_bucket")
-    for k in by:
-        same = same & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
-    return out.join(inherited, same, "left").select(*log.columns, F.coalesce("_here", "_inherited").alias(name))
+    by = ["slot", key] if key else ["slot"]
+    at, known = ["slot", "_bucket"], F.col(key).isNotNull() if key else F.lit(True)
+    marked = log.withColumns({f"_v_{n}": v.cast("long") for n, v in values.items()})
+    last = lambda n, c, order: F.max_by(c, F.when(F.col(c).isNotNull(), F.col(order))).alias(f"_e_{n}")
+    heads = marked.where(known).groupBy(*by, "_bucket").agg(*[last(n, f"_v_{n}", "seq") for n in values])
+    heads = heads.withColumn("_stretch", F.floor(F.col("_bucket") / STRETCH))
+    tops = heads.groupBy(*by, "_stretch").agg(*[last(n, f"_e_{n}", "_bucket") for n in values])
+    earlier = lambda part, order, n: F.last(f"_e_{n}", ignorenulls=True).over(W.partitionBy(*part).orderBy(order).rowsBetween(W.unboundedPreceding, -1))
+    tops = tops.select(*by, "_stretch", *[earlier(by, "_stretch", n).alias(f"_t_{n}") for n in values])
+    heads = heads.withColumns({f"_b_{n}": earlier([*by, "_stretch"], "_bucket", n) for n in values}).join(tops, [*by, "_stretch"])
+    inherited = {n: F.coalesce(f"_b_{n}", f"_t_{n}") for n in values}
+    inside = W.partitionBy("slot", "_bucket", *by[1:]).orderBy("seq").rowsBetween(W.unboundedPreceding, -1 if before else 0)
+    out = marked.withColumns({f"_h_{n}": F.last(f"_v_{n}", ignorenulls=True).over(inside) for n in values})
+    if key:
+        some = heads.select(*at, F.col(key).alias("_k"), *[c.alias(n) for n, c in inherited.items()]).where(F.coalesce(*[F.col(n) for n in values]).isNotNull())
+        each = some.groupBy(*at).agg(F.map_from_entries(F.collect_list(F.struct("_k", F.struct(*values)))).alias("_all"))
+        out = out.join(each, at, "left")
+        found = {n: F.when(known, F.coalesce(f"_h_{n}", F.try_element_at("_all", F.col(key))[n])) for n in values}
+    else:
+        out = out.join(heads.select(*at, *[c.alias(f"_i_{n}") for n, c in inherited.items()]), at, "left")
+        found = {n: F.coalesce(f"_h_{n}", f"_i_{n}") for n in values}
+    return out.select(*log.columns, *[c.alias(n) for n, c in found.items()])
+
+
+def broadcast_if_few(frame: DataFrame, weight: Column, most: int) -> DataFrame:
+    """The frame, marked for broadcast if its rows weigh at most so much together; else as it is, to be joined by a shuffle."""
+    total = frame.agg(F.sum(weight)).first()[0] or 0
+    return F.broadcast(frame) if total <= most else frame

@@ -11,7 +11,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidelog.errors import LogError
@@ -43,22 +43,75 @@ for _k, _c in enumerate(b"ntbu"):
     _KIND[_c] = _k
 
 
+#: Stream block marks (starts and stops) up to which they are sent to every worker; beyond that they are carried by a window.
+FEW_MARKS = 500_000
+OUTSIDE = -1
+
+
+def _marks(bronze: DataFrame) -> DataFrame:
+    """(slot, seq, xid) of stream starts, and of stops with xid -1."""
+    tag = F.substring("data", 1, 1)
+    xid = F.when(tag == F.lit(b"S"), F.conv(F.hex(F.substring("data", 2, 4)), 16, 10).cast("long")).otherwise(F.lit(OUTSIDE).cast("long"))
+    return bronze.where(tag.isin([F.lit(b"S"), F.lit(b"E")])).select("slot", "seq", xid.alias("xid"))
+
+
 def stream_context(bronze: DataFrame) -> DataFrame:
-    """Adds stream_xid: the transaction of the stream block a row stands in, null outside; needs slot, seq, data."""
+    """Adds stream_xid: the transaction of the stream block a row stands in, null outside; needs slot, seq, data.
+
+    This is the way for any number of blocks: rows are dealt out by bucket and sorted.
+    """
     log = with_bucket(bronze)
     tag, xid = F.substring("data", 1, 1), F.conv(F.hex(F.substring("data", 2, 4)), 16, 10).cast("long")
     at = F.when(tag == F.lit(b"S"), xid).when(tag == F.lit(b"E"), F.lit(NONE).cast("long"))
-    log = carry_forward(log, at, "_block")
-    block = F.when(tag.isin([F.lit(b"E"), F.lit(b"c"), F.lit(b"A"), F.lit(b"p")]), None).otherwise(F.nullif("_block", F.lit(NONE)))
+    log = carry_forward(log, {"_block": at})
+    block = F.when(_outside(tag), None).otherwise(F.nullif("_block", F.lit(NONE)))
     return log.withColumn("stream_xid", block).drop("_block")
 
 
+def _outside(tag: Column) -> Column:
+    return tag.isin([F.lit(b"E"), F.lit(b"c"), F.lit(b"A"), F.lit(b"p")])
+
+
+class _Blocks:
+    """Stream block marks of each slot in order; tells by binary search in which block a row stands."""
+
+    def __init__(self, marks: list):
+        by_slot: dict[str, list] = {}
+        for slot, seq, xid in marks:
+            by_slot.setdefault(slot, []).append((seq, xid))
+        self.of = {slot: tuple(np.array(sorted(m), np.int64).T) for slot, m in by_slot.items()}
+
+    def xids(self, slots: pa.Array, seqs: pa.Array, tags: np.ndarray) -> np.ndarray:
+        """The block's transaction for each row, -1 outside one."""
+        out = np.full(len(tags), OUTSIDE, np.int64)
+        if not self.of:
+            return out
+        named, number = slots.dictionary_encode(), seqs.to_numpy(zero_copy_only=False)
+        place = named.indices.to_numpy(zero_copy_only=False)
+        for k, slot in enumerate(named.dictionary.to_pylist()):
+            if slot in self.of:
+                at, xid = self.of[slot]
+                rows = np.flatnonzero(place == k)
+                last = np.searchsorted(at, number[rows], "right") - 1
+                out[rows] = np.where(last >= 0, xid[np.maximum(last, 0)], OUTSIDE)
+        out[np.isin(tags, np.frombuffer(b"EcAp", np.uint8))] = OUTSIDE
+        return out
+
+
 def decode(bronze: DataFrame, version: int = 1) -> DataFrame:
     """(slot, seq, wal_start, wal_end, server_time, data) -> a row per payload: position, tag, stream_xid, message fields, error.
 
-    Payloads that are null or empty (header-only frames) give no row.
+    Payloads that are null or empty (header-only frames) give no row. Nothing is shuffled where the protocol has no
+    stream blocks (version 1) or the log has few of them; then rows stay where they are read.
     """
-    rows = stream_context(bronze.where("data is not null and length(data) > 0"))
+    rows = with_bucket(bronze.where("data is not null and length(data) > 0"))
+    marks = _marks(rows).limit(FEW_MARKS + 1).collect() if version > 1 else []
+    found = None
+    if len(marks) > FEW_MARKS:
+        rows = stream_context(rows)
+    else:
+        found = rows.sparkSession.sparkContext.broadcast(_Blocks(marks))
+        rows = rows.withColumn("stream_xid", F.lit(None).cast("long"))
     rows = rows.select("slot", "seq", "wal_start", "wal_end", "server_time", "_bucket", "stream_xid", "data")
     schema = "slot string, seq long, wal_start long, wal_end long, server_time long, _bucket long, stream_xid long, tag string, " + ", ".join(
         f"{n} {t}" for n, t in (SCALARS | NESTED | {"error": "string"}).items()
@@ -67,13 +120,23 @@ def decode(bronze: DataFrame, version: int = 1) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                names = batch.schema.names[:-1]
-                columns = decode_batch(batch.column(7), batch.column(6).is_valid().to_numpy(zero_copy_only=False), version)
-                yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *columns.values()], [*names, *columns])
+                names, lead = batch.schema.names[:-1], batch.columns[:-1]
+                if found is not None:
+                    xids = found.value.xids(lead[0], lead[1], first_bytes(batch.column(7)))
+                    lead[6] = pa.array(xids, pa.int64(), mask=xids == OUTSIDE)
+                columns = decode_batch(batch.column(7), lead[6].is_valid().to_numpy(zero_copy_only=False), version)
+                yield pa.RecordBatch.from_arrays([*lead, *columns.values()], [*names, *columns])
 
     return rows.mapInArrow(run, schema)
 
 
+def first_bytes(data: pa.Array) -> np.ndarray:
+    """The first byte of each payload; none may be empty or null."""
+    wide = pa.types.is_large_binary(data.type)
+    bounds = np.frombuffer(data.buffers()[1], np.int64 if wide else np.int32)[data.offset : data.offset + len(data)]
+    return np.frombuffer(data.buffers()[2], np.uint8)[bounds]
+
+
 def decode_batch(data: pa.Array, in_stream: np.ndarray, version: int) -> dict[str, pa.Array]:
     n = len(data)
     data = data.cast(pa.large_binary()) if not pa.types.is_large_binary(data.type) else data

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tidelog.functions.lsn import server_time
 from tidelog.functions.scalars import replica_identity
-from tidelog.operators.carry import carry_forward, with_bucket
+from tidelog.operators.carry import broadcast_if_few, carry_forward, with_bucket
 
 #: Tag and event kind. Fixed values.
 EVENT_TYPES = {
@@ -60,25 +60,52 @@ def named_row(values: Column, columns: Column) -> Column:
     return F.when(values.isNotNull(), F.filter(zipped, lambda x: x["kind"] != "u"))
 
 
-def resolve(messages: DataFrame) -> DataFrame:
-    """Adds relation: the version of a change's relation at its place in the log, null where none was sent before."""
+#: Relation columns, in all versions together, up to which the versions are broadcast; beyond that they are joined.
+FEW_COLUMNS = 2_000_000
+#: Changes of a relation, and tables truncated, up to which they are broadcast.
+FEW_NOTED = 1_000_000
+
+
+def versioned(messages: DataFrame) -> DataFrame:
+    """Adds _version: the seq of the relation message that holds for a change (or is this one), null where none was sent before."""
     log = messages if "_bucket" in messages.columns else with_bucket(messages)
-    return carry_forward(log, F.when((F.col("tag") == "R") & F.col("error").isNull(), _version()), "relation", ("oid",))
+    return carry_forward(log, {"_version": F.when((F.col("tag") == "R") & F.col("error").isNull(), F.col("seq"))}, key="oid")
+
 
+def resolve(messages: DataFrame, rows: DataFrame | None = None) -> DataFrame:
+    """Adds relation: the version of a change's relation at its place in the log, null where none was sent before.
 
-def events(messages: DataFrame) -> DataFrame:
+    rows, if given, are the rows of messages to resolve, relation messages among them. Versions of few columns altogether are broadcast and found by
+    their time of validity; else rows carry the seq of theirs forward and are joined by it.
+    """
+    rows = messages if rows is None else rows
+    valid = relations(messages).select("slot", "oid", "valid_from_seq", "valid_to_seq", _version().alias("relation"))
+    weight = valid.agg(F.sum(F.size("relation.columns") + 1)).first()[0] or 0
+    if weight <= FEW_COLUMNS:
+        names = {"slot": "_slot", "oid": "_oid"}
+        same = (F.col("slot") == F.col("_slot")) & (F.col("oid") == F.col("_oid"))
+        here = (F.col("seq") >= F.col("valid_from_seq")) & (F.col("valid_to_seq").isNull() | (F.col("seq") < F.col("valid_to_seq")))
+        return rows.join(F.broadcast(valid.withColumnsRenamed(names)), same & here, "left").drop("_slot", "_oid", "valid_from_seq", "valid_to_seq")
+    sent = messages.where("tag = 'R' and error is null").select("slot", F.col("seq").alias("_version"), _version().alias("relation"))
+    return versioned(rows).join(sent, ["slot", "_version"], "left").drop("_version")
+
+
+def events(messages: DataFrame, assigned: DataFrame | None = None) -> DataFrame:
     """One row per change event, in the silver schema; what cannot be one is in quarantine().
 
-    A relation message is an event only where it changes a relation seen before.
+    A relation message is an event only where it changes a relation seen before. assigned, if given, is
+    txn.assign(messages): the events then keep txn_id and txn_seq, and all of it is one exchange of the log.
     """
-    rows = resolve(messages).where("error is null")
-    fresh = relations(messages).where("is_change").select("slot", F.col("valid_from_seq").alias("seq"), F.lit(True).alias("_fresh"))
-    plain = rows.where("tag != 'R'").where(~F.col("tag").isin(*CHANGES) | F.col("relation").isNotNull())
-    out = plain.unionByName(rows.where("tag = 'R'").join(fresh, ["slot", "seq"], "left_semi"))
-    tables = truncated(messages)
-    out = out.join(tables, ["slot", "seq"], "left")
+    rows = (messages if assigned is None else assigned).where("error is null")
+    rows = rows if "_bucket" in rows.columns else with_bucket(rows)
+    fresh = relations(messages).where("is_change").select("slot", F.col("valid_from_seq").alias("seq"))
+    noted = fresh.withColumn("tables", F.array().cast("array<string>")).unionByName(truncated(messages)).withColumn("_noted", F.lit(True))
+    rows = rows.join(broadcast_if_few(noted, F.size("tables") + 1, FEW_NOTED), ["slot", "seq"], "left")
+    out = resolve(messages, rows).where("tag != 'R' or _noted")
+    out = out.where(F.col("relation").isNotNull() | ~F.col("tag").isin(*CHANGES))
     rel, change = F.col("relation"), F.col("tag").isin(*CHANGES)
     named = lambda c: F.when(change, c)
+    names = lambda c: F.transform(c, lambda x: x["name"])
     key = F.col("key_type")
     return out.select(
         "slot",
@@ -91,6 +118,7 @@ def events(messages: DataFrame) -> DataFrame:
         "msg_xid",
         "xid",
         "subxid",
+        "first_segment",
         "final_lsn",
         "commit_lsn",
         "prepare_lsn",
@@ -103,7 +131,8 @@ def events(messages: DataFrame) -> DataFrame:
         F.when(change | (F.col("tag") == "R"), F.coalesce(replica_identity(rel["replident"]), F.lit("default"))).alias("replica_identity"),
         key.alias("key_type"),
         F.when(F.col("tag").isin("U", "D"), key_columns(key, rel["columns"])).alias("key_columns"),
-        named(F.transform(F.filter(rel["columns"], lambda c: c["is_key"]), lambda c: c["name"])).alias("primary_key"),
+        named(names(F.filter(rel["columns"], lambda c: c["is_key"]))).alias("primary_key"),
+        named(names(rel["columns"])).alias("column_names"),
         named_row(F.col("old"), rel["columns"]).alias("old_row"),
         named_row(F.col("new"), rel["columns"]).alias("new_row"),
         F.when(F.col("tag") == "T", F.coalesce("tables", F.array().cast("array<string>"))).alias("truncate_tables"),
@@ -113,6 +142,7 @@ def events(messages: DataFrame) -> DataFrame:
         "content",
         F.when(F.col("tag") == "O", F.col("name")).alias("origin_name"),
         F.lit(None).cast("map<string,string>").alias("metadata"),
+        *[c for c in ("txn_id", "txn_seq") if c in rows.columns],
     )
 
 
@@ -135,3 +165,13 @@ def quarantine(messages: DataFrame) -> DataFrame:
 
 def with_metadata(log: DataFrame, metadata: dict[str, str]) -> DataFrame:
     return log.withColumn("metadata", F.create_map(*[F.lit(x) for kv in metadata.items() for x in kv]))
+
+
+def columns_by_place(columns: Column, *places: int) -> Column:
+    """Names of a relation's columns at these places (from 0); null for a place it does not have."""
+    return F.array(*[F.get(columns, F.lit(k))["name"] for k in places])
+
+
+def column_by_name(columns: Column, name: str) -> Column:
+    """A relation's first column of that name: struct<name, type_id, type_modifier, is_key>, or null."""
+    return F.get(F.filter(columns, lambda c: c["name"] == name), F.lit(0))

@@ -37,8 +37,7 @@ def spark_type(kind: str) -> str:
     return {"f32": "float", "f64": "double", "bool": "boolean", "bytes": "binary"}.get(kind, "string")
 
 
-def _parse(value: Column, f: Field) -> Column:
-    text = S.text(value)
+def _parse(value: Column, text: Column, f: Field) -> Column:
     if f.kind in S.SIGNED:
         return S.parse_signed(text, f.kind)
     if f.kind in S.UNSIGNED:
@@ -56,10 +55,9 @@ def _parse(value: Column, f: Field) -> Column:
     return text
 
 
-def _message(value: Column, f: Field) -> Column:
+def _message(value: Column, text: Column, known: Column, f: Field) -> Column:
     """Why a value is not one of the target, null if it is. Fixed formats."""
     kind = {"string": "String", "bytes": "bytes"}.get(f.kind, f.kind)
-    text = S.text(value)
     bad = {
         "bool": F.concat(F.lit("cannot parse '"), text, F.lit("' as bool (expected t/f/true/false/1/0/on/off/yes/no)")),
         "char": F.concat(F.lit("expected single char, got '"), text, F.lit("'")),
@@ -71,7 +69,7 @@ def _message(value: Column, f: Field) -> Column:
     said = F.when(value.isNull(), missing).when(value["kind"] == "n", null)
     if f.kind != "bytes":
         said = said.when(value["kind"] == "b", F.lit(f"cannot deserialize binary column as {kind}"))
-    return said.when(_parse(value, f).isNull(), wrong)
+    return said.when(known.isNull(), wrong)
 
 
 def _default(f: Field) -> Column:
@@ -79,32 +77,41 @@ def _default(f: Field) -> Column:
     return F.lit(value).cast(spark_type(f.kind))
 
 
+def _parsed(rows: DataFrame, fields: list[Field], row: str) -> DataFrame:
+    """Adds _v, _x and _p with a field's number: its value, text and parsed value, each found once, in steps that the optimiser keeps apart."""
+    numbered = list(enumerate(fields))
+    rows = rows.withColumns({f"_v{k}": S.get(F.col(f"`{row}`"), f.column) for k, f in numbered})
+    rows = rows.withColumns({f"_x{k}": S.text(F.col(f"_v{k}")) for k, _ in numbered})
+    return rows.withColumns({f"_p{k}": _parse(F.col(f"_v{k}"), F.col(f"_x{k}"), f) for k, f in numbered})
+
+
 def strict(rows: DataFrame, fields: list[Field], row: str = "row") -> DataFrame:
     """The other columns and one typed column per field; the first value that is not of its type fails the query."""
     out = []
-    for f in fields:
-        value = S.get(F.col(row), f.column)
-        known = F.when(value.isNull(), F.lit(f.default).cast(spark_type(f.kind))).otherwise(_parse(value, f))
-        said = _message(value, f)
-        out.append(F.when(said.isNotNull(), F.raise_error(F.concat(F.lit(f"{f.name}: "), said)).cast(spark_type(f.kind))).otherwise(known).alias(f.name))
-    return rows.select(*[F.col(f"`{c}`") for c in rows.columns if c != row], *out)
+    for k, f in enumerate(fields):
+        value, text, parsed = (F.col(f"_{c}{k}") for c in "vxp")
+        known = F.when(value.isNull(), F.lit(f.default).cast(spark_type(f.kind))).otherwise(parsed)
+        said = _message(value, text, parsed, f)
+        fails = F.raise_error(F.concat(F.lit(f"{f.name}: "), said)).cast(spark_type(f.kind))
+        out.append(F.when(parsed.isNull() & said.isNotNull(), fails).otherwise(known).alias(f.name))
+    return _parsed(rows, fields, row).select(*[F.col(f"`{c}`") for c in rows.columns if c != row], *out)
 
 
 def lenient(rows: DataFrame, fields: list[Field], row: str = "row") -> DataFrame:
     """Typed columns and errors: array<struct<field, message>> in the order of the row's columns; enums fail the query all the same."""
     out, errors = [], []
-    for f in fields:
-        value = S.get(F.col(row), f.column)
-        said = _message(value, f)
+    for k, f in enumerate(fields):
+        value, text, parsed = (F.col(f"_{c}{k}") for c in "vxp")
+        said = _message(value, text, parsed, f)
         null = F.lit(None).cast(spark_type(f.kind)) if f.optional else _default(f)
         fallback = F.raise_error(F.concat(F.lit(f"{f.name}: "), said)).cast("string") if f.kind == "enum" else _default(f)
         none = value.isNull() if f.default is not None else F.lit(False)
-        good = F.when(none, _default(f)).when(value.isNull() | (value["kind"] == "n"), null).otherwise(F.coalesce(_parse(value, f), fallback))
+        good = F.when(none, _default(f)).when(value.isNull() | (value["kind"] == "n"), null).otherwise(F.coalesce(parsed, fallback))
         out.append(good.alias(f.name))
-        place = F.coalesce(F.array_position(F.transform(row, lambda c: c["name"]), f.column), F.lit(0))
+        place = F.coalesce(F.array_position(F.transform(f"`{row}`", lambda c: c["name"]), f.column), F.lit(0))
         errors.append(F.when(said.isNotNull(), F.struct(place.alias("at"), F.lit(f.name).alias("field"), said.alias("message"))))
     found = F.transform(F.array_sort(F.array_compact(F.array(*errors))), lambda e: F.struct(e["field"].alias("field"), e["message"].alias("message")))
-    return rows.select(*[F.col(f"`{c}`") for c in rows.columns if c != row], *out, found.alias("errors"))
+    return _parsed(rows, fields, row).select(*[F.col(f"`{c}`") for c in rows.columns if c != row], *out, found.alias("errors"))
 
 
 def is_clean(errors: Column) -> Column:

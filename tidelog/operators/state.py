@@ -1,4 +1,8 @@
-"""Current state, history and fill of unchanged values, from committed changes."""
+"""Current state, history and fill of unchanged values, from committed changes.
+
+Tables have a key, or rows are told apart by all of their values: where no column is flagged as key, or where replica
+identity is full and all are. Equal rows of such a table are copies, and the state holds as many as there are.
+"""
 
 from __future__ import annotations
 
@@ -7,78 +11,162 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidelog.functions.scalars import get
+from tidelog.operators.carry import broadcast_if_few
+
+TABLE = ["slot", "schema", "table"]
+BY = [*TABLE, "key"]
+AT = ["commit_seq", "seq", "step"]
+#: Truncated tables, one for each truncate that holds, up to which they are broadcast.
+FEW_CUTS = 1_000_000
+
+
+def by_value() -> Column:
+    """True for changes of tables whose rows are told apart by all of their values."""
+    full = (F.col("replica_identity") == "full") & (F.size("primary_key") == F.size("column_names"))
+    return (F.size("primary_key") == 0) | full
+
+
+def _whole_new() -> Column:
+    """The new row, with values that did not change taken from the old row where that is a full one."""
+    filled = F.transform("old_row", lambda o: F.coalesce(F.get(F.filter("new_row", lambda n: n["name"] == o["name"]), F.lit(0)), o))
+    partial = (F.col("key_type") == "O") & (F.size("new_row") < F.size("old_row"))
+    return F.when(partial, filled).otherwise(F.col("new_row"))
+
+
+def _changes(changes: DataFrame) -> DataFrame:
+    """Inserts, updates and deletes with whole new rows where the log has them; a change that can't name its row fails the query."""
+    rows = changes.where(F.col("tag").isin("I", "U", "D")).withColumn("new_row", _whole_new())
+    lost = by_value() & (F.col("tag") != "I") & F.col("old_row").isNull()
+    said = F.concat(F.lit("no key and no old row for a change of "), F.concat_ws(".", "schema", "table"))
+    return rows.withColumn("old_row", F.when(lost, F.raise_error(said).cast(rows.schema["old_row"].dataType)).otherwise(F.col("old_row")))
 
 
 def keyed(changes: DataFrame) -> DataFrame:
-    """Adds key (the key's values in the relation's order) and live; a change of key is a removal of the old and an upsert of the new.
+    """Adds key (the key's values in the relation's order, or all values) and live; a change of key is a removal of the old and an upsert of the new.
 
     Order is (commit_seq, seq, step): a removal comes before the upsert it belongs to.
     """
-    pick = lambda row: F.transform("primary_key", lambda n: F.get(F.filter(row, lambda c: c["name"] == n), F.lit(0))["value"])
-    moved = (F.col("tag") == "U") & F.col("old_row").isNotNull() & (pick(F.col("old_row")) != pick(F.col("new_row")))
-    gone = F.struct(F.lit(0).alias("step"), pick(F.col("old_row")).alias("key"), F.lit(False).alias("live"))
-    there = F.struct(F.lit(1).alias("step"), pick(F.col("new_row")).alias("key"), F.lit(True).alias("live"))
+    rows = _changes(changes)
+    names = F.when(by_value(), F.col("column_names")).otherwise(F.col("primary_key"))
+    pick = lambda row: F.transform("_names", lambda n: F.get(F.filter(row, lambda c: c["name"] == n), F.lit(0))["value"])
+    rows = rows.withColumn("_names", names).withColumns({"_old_key": pick("old_row"), "_new_key": pick("new_row")})
+    moved = (F.col("tag") == "U") & F.col("old_row").isNotNull() & (F.col("_old_key") != F.col("_new_key"))
+    gone = F.struct(F.lit(0).alias("step"), F.col("_old_key").alias("key"), F.lit(False).alias("live"))
+    there = F.struct(F.lit(1).alias("step"), F.col("_new_key").alias("key"), F.lit(True).alias("live"))
     parts = F.when(F.col("tag") == "D", F.array(gone)).when(moved, F.array(gone, there)).otherwise(F.array(there))
-    rows = changes.where(F.col("tag").isin("I", "U", "D")).withColumn("_p", F.explode(parts))
-    return rows.select("*", "_p.step", "_p.key", "_p.live").drop("_p")
+    rows = rows.withColumn("_p", F.explode(parts))
+    return rows.select("*", "_p.step", "_p.key", "_p.live").drop("_p", "_names", "_old_key", "_new_key")
 
 
 def _position() -> Column:
-    return F.struct("commit_seq", "seq", "step")
+    return F.struct(*AT)
+
+
+def _cuts(changes: DataFrame) -> DataFrame:
+    """(slot, _t, commit_seq, seq) of the truncates of each table."""
+    rows = changes.where("tag = 'T'").select("slot", "commit_seq", "seq", F.explode("truncate_tables").alias("_t"))
+    return rows
+
+
+def _table_name() -> Column:
+    return F.concat_ws(".", "schema", "table")
 
 
 def after_truncates(rows: DataFrame, changes: DataFrame) -> DataFrame:
-    """Keyed rows that no later committed truncate of their table wipes."""
-    cuts = changes.where("tag = 'T'").select("slot", "commit_seq", F.col("seq").alias("_s"), F.explode("truncate_tables").alias("_t"))
-    cuts = cuts.groupBy("slot", "_t").agg(F.max(F.struct("commit_seq", F.col("_s").alias("seq"))).alias("_cut"))
-    rows = rows.withColumn("_t", F.concat_ws(".", "schema", "table")).join(cuts, ["slot", "_t"], "left")
+    """Rows that no later committed truncate of their table wipes."""
+    cuts = _cuts(changes).groupBy("slot", "_t").agg(F.max(F.struct("commit_seq", "seq")).alias("_cut"))
+    rows = rows.withColumn("_t", _table_name()).join(broadcast_if_few(cuts, F.lit(1), FEW_CUTS), ["slot", "_t"], "left")
     return rows.where(F.col("_cut").isNull() | (F.struct("commit_seq", "seq") > F.col("_cut"))).drop("_t", "_cut")
 
 
 def net_state(changes: DataFrame) -> DataFrame:
     """The rows that are there after all committed changes: slot, schema, table, key, row, commit_seq.
 
-    A column's value is the last one sent for the key since the key was last absent, so unchanged values are filled.
-    (They are not looked for under an old key: a change of key has to send them.) Both passes are pre-aggregated, by
-    key and by key and column; no task holds the history of a key.
+    With a key: one pass by key gives the last change of each; where its row is whole, as nearly all are, that is the
+    row. Only for the other keys the columns are gone through: a column's value is then the last one sent for the key
+    since it was last absent. (It is not looked for under an old key: a change of key has to send it.) Rows told apart
+    by value are counted, inserts up and deletes down. All passes are pre-aggregated; no task holds the history of a key.
     """
-    rows = after_truncates(keyed(changes), changes)
-    by = ["slot", "schema", "table", "key"]
+    rows = after_truncates(changes.where(F.col("tag").isin("I", "U", "D")), changes)
+    return _by_key(keyed(rows.where(~by_value()))).unionByName(_by_value(_changes(rows.where(by_value()))))
+
+
+def _by_key(rows: DataFrame) -> DataFrame:
     fresh = F.max(F.when(~F.col("live") | (F.col("tag") == "I"), _position())).alias("_born")
-    lives = rows.groupBy(*by).agg(fresh, F.max_by(F.struct("live", "commit_seq"), _position()).alias("_last")).where("_last.live")
-    values = rows.where("live").select(*by, _position().alias("_at"), F.posexplode("new_row").alias("_pos", "_c")).join(lives, by)
+    whole = F.size("new_row") >= F.size("column_names")
+    last = F.max_by(F.struct("live", "commit_seq", whole.alias("whole"), F.when(whole, F.col("new_row")).alias("row")), _position())
+    lives = rows.groupBy(*BY).agg(fresh, last.alias("_last")).where("_last.live")
+    done = lives.where("_last.whole").select(*BY, "_last.row", "_last.commit_seq")
+    partial = lives.where("not _last.whole").select(*BY, "_born", F.col("_last.commit_seq").alias("_commit"))
+    values = rows.where("live").join(partial, BY).select(*BY, "_born", "_commit", _position().alias("_at"), F.posexplode("new_row").alias("_pos", "_c"))
     values = values.where(F.col("_born").isNull() | (F.col("_at") >= F.col("_born")))
-    last = values.groupBy(*by, F.col("_c.name").alias("name")).agg(
-        F.max_by(F.struct("_c.kind", "_c.value"), "_at").alias("v"), F.min("_pos").alias("pos"), F.first("_last.commit_seq").alias("commit_seq")
+    each = values.groupBy(*BY, F.col("_c.name").alias("name")).agg(
+        F.max_by(F.struct("_c.kind", "_c.value"), "_at").alias("v"), F.min("_pos").alias("pos"), F.first("_commit").alias("commit_seq")
     )
     row = F.transform(
         F.sort_array(F.collect_list(F.struct("pos", "name", "v"))),
         lambda x: F.struct(x["name"].alias("name"), x["v"]["kind"].alias("kind"), x["v"]["value"].alias("value")),
     )
-    return last.groupBy(*by).agg(row.alias("row"), F.first("commit_seq").alias("commit_seq"))
+    return done.unionByName(each.groupBy(*BY).agg(row.alias("row"), F.first("commit_seq").alias("commit_seq")))
+
+
+def _by_value(rows: DataFrame) -> DataFrame:
+    side = lambda row, n: F.when(row.isNotNull(), F.struct(row.alias("row"), F.lit(n).cast("long").alias("n")))
+    sides = F.array_compact(F.array(side(F.when(F.col("tag") != "I", F.col("old_row")), -1), side(F.when(F.col("tag") != "D", F.col("new_row")), 1)))
+    counted = rows.select(*TABLE, "commit_seq", F.explode(sides).alias("x")).groupBy(*TABLE, F.col("x.row").alias("row"))
+    left = counted.agg(F.sum("x.n").alias("n"), F.max("commit_seq").alias("commit_seq")).where("n > 0")
+    key = F.transform("row", lambda c: c["value"]).alias("key")
+    return left.select(*TABLE, key, "row", "commit_seq", F.explode(F.sequence(F.lit(1).cast("long"), "n"))).drop("col")
 
 
 def latest(changes: DataFrame) -> DataFrame:
-    """net_state() for logs whose rows are always whole: one pre-aggregated pass, no history of a key in memory."""
-    rows = after_truncates(keyed(changes), changes)
+    """net_state() for logs whose rows have a key and are always whole: one pre-aggregated pass and nothing else."""
+    rows = keyed(after_truncates(changes.where(F.col("tag").isin("I", "U", "D")), changes))
     last = F.max_by(F.struct("live", "new_row", "commit_seq"), _position())
-    seen = rows.groupBy("slot", "schema", "table", "key").agg(last.alias("x")).where("x.live")
-    return seen.select("slot", "schema", "table", "key", F.col("x.new_row").alias("row"), F.col("x.commit_seq").alias("commit_seq"))
+    seen = rows.groupBy(*BY).agg(last.alias("x")).where("x.live")
+    return seen.select(*BY, F.col("x.new_row").alias("row"), F.col("x.commit_seq").alias("commit_seq"))
+
+
+def _lives(changes: DataFrame) -> DataFrame:
+    """Keyed rows with _life, which counts the births and truncates a key has seen, and _cut, the first truncate after the row."""
+    cuts = _cuts(changes).groupBy("slot", "_t").agg(F.sort_array(F.collect_list(F.struct("commit_seq", "seq"))).alias("_cuts"))
+    rows = keyed(changes).withColumn("_t", _table_name()).join(broadcast_if_few(cuts, F.size("_cuts"), FEW_CUTS), ["slot", "_t"], "left")
+    here = F.struct("commit_seq", "seq")
+    wiped = F.coalesce(F.size(F.filter("_cuts", lambda c: c < here)), F.lit(0))
+    by = W.partitionBy(*BY).orderBy(*AT)
+    births = F.sum(F.when(F.col("live") & (F.col("tag") != "I"), 0).otherwise(1)).over(by.rowsBetween(W.unboundedPreceding, 0))
+    rows = rows.withColumn("_life", F.struct(births.alias("births"), wiped.alias("wiped")))
+    return rows.withColumn("_cut", F.get(F.filter("_cuts", lambda c: c > here), F.lit(0))).drop("_cuts", "_t")
 
 
 def toast_fill(changes: DataFrame, columns: list[str]) -> DataFrame:
-    """Adds one value struct per column: the change's own, or the last one of its key since the key was last absent."""
-    rows = keyed(changes)
-    by = W.partitionBy("slot", "schema", "table", "key").orderBy("commit_seq", "seq", "step")
-    rows = rows.withColumn("_life", F.sum(F.when(F.col("live") & (F.col("tag") != "I"), 0).otherwise(1)).over(by.rowsBetween(W.unboundedPreceding, 0)))
-    life = W.partitionBy("slot", "schema", "table", "key", "_life").orderBy("commit_seq", "seq", "step").rowsBetween(W.unboundedPreceding, 0)
+    """Adds one value struct per column: the change's own, or the last one of its key since the key was last absent or its table truncated.
+
+    The changes of a key are ordered in one task, as each row's result depends on the ones before.
+    """
+    life = W.partitionBy(*BY, "_life").orderBy(*AT).rowsBetween(W.unboundedPreceding, 0)
     filled = [F.last(F.when(F.col("live"), get(F.col("new_row"), c)), ignorenulls=True).over(life).alias(c) for c in columns]
-    return rows.select("*", *filled).drop("_life")
+    return _lives(changes).select("*", *filled).drop("_life", "_cut")
 
 
 def history(changes: DataFrame) -> DataFrame:
-    """Versions of every key: valid_from and valid_to in commit_seq (null: current), without removals."""
-    rows = keyed(changes)
-    by = W.partitionBy("slot", "schema", "table", "key").orderBy("commit_seq", "seq", "step")
-    versions = rows.withColumn("valid_to", F.lead("commit_seq").over(by)).where("live")
-    return versions.select("slot", "schema", "table", "key", F.col("new_row").alias("row"), F.col("commit_seq").alias("valid_from"), "valid_to")
+    """Versions of every key: row, valid_from and valid_to in commit_seq (null: current), without removals.
+
+    A version ends with the next change of its key or with a truncate of its table. Unchanged values are filled as by
+    toast_fill(). Rows told apart by value are keyed by all values; a repeat replaces the row before. The changes of a
+    key are ordered in one task, as every version depends on its neighbours.
+    """
+    by, life = W.partitionBy(*BY).orderBy(*AT), W.partitionBy(*BY, "_life")
+    rows = _lives(changes).withColumn("_next", F.lead(F.struct("commit_seq", "seq")).over(by))
+    end = F.when(F.col("_next").isNull() | (F.col("_cut") < F.col("_next")), F.col("_cut")).otherwise(F.col("_next"))
+    partial = F.max(F.size("new_row") < F.size("column_names")).over(life)
+    rows = rows.withColumns({"valid_to": end["commit_seq"], "valid_from": F.col("commit_seq"), "_partial": partial & F.col("live")}).where("live")
+    names = [*BY, "row", "valid_from", "valid_to"]
+    whole = rows.where("not _partial").withColumn("row", F.col("new_row")).select(names)
+    cells = rows.where("_partial").select(*BY, "_life", *AT, "valid_from", "valid_to", "new_row", F.posexplode("column_names").alias("_pos", "_name"))
+    own = F.get(F.filter("new_row", lambda c: c["name"] == F.col("_name")), F.lit(0))
+    seen = W.partitionBy(*BY, "_life", "_name").orderBy(*AT).rowsBetween(W.unboundedPreceding, 0)
+    cells = cells.withColumn("_own", own).withColumn("_value", F.last("_own", ignorenulls=True).over(seen)).where("_value is not null")
+    listed = F.sort_array(F.collect_list(F.struct("_pos", "_value")))
+    filled = cells.groupBy(*BY, "valid_from", "valid_to", *AT[1:]).agg(F.transform(listed, lambda x: x["_value"]).alias("row"))
+    return whole.unionByName(filled.select(names))

@@ -1,38 +1,129 @@
-"""Transactions: which one a change belongs to, whether it becomes visible, and in which order."""
+"""Transactions: which one a change belongs to, whether it becomes visible, and in which order.
+
+A transaction is named by its xid and by the sequence number of the message that begins it, as xids come round again.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, WindowSpec
-from pyspark.sql import Window as W
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidelog.operators.carry import carry_forward
+from tidelog.operators.carry import broadcast_if_few, carry_forward, with_bucket
 
 DATA = ("I", "U", "D", "T", "M", "R", "Y", "O")
 NONE = -1
+#: Columns that name a transaction.
+KEY = ["slot", "txn_id", "txn_seq"]
 
 
-def assign(log: DataFrame) -> DataFrame:
-    """Adds txn_id: the transaction an event belongs to, by its stream block or by the begin before it.
+#: Rows that begin, bound or end transactions up to which they are sent to every worker; beyond that a window carries them.
+FEW_MARKS = 500_000
+BEGINS, CLOSES, OWN = ("B", "b"), ("C", "P"), ("B", "b", "S", "c", "A", "P", "K", "r", "p")
 
-    Streamed events name their transaction; others stand between a begin (or begin_prepare) and its end. The end
-    itself, and what names a transaction, belongs to it.
-    """
-    opened = F.when(F.col("stream_xid").isNotNull(), None).when(F.col("tag").isin("B", "b"), F.col("xid"))
-    closed = F.lit(NONE).cast("long")
-    mark = F.coalesce(opened, F.when(F.lag("tag").over(_order()).isin("C", "P"), closed))
-    log = carry_forward(log, mark, "_open")
-    log = carry_forward(log, F.when(F.col("tag") == "S", F.col("xid")), "_block")
-    own = F.when(F.col("tag").isin("B", "b", "S", "c", "A", "P", "K", "r", "p"), F.col("xid")).when(F.col("tag") == "E", F.col("_block"))
-    return log.withColumn("txn_id", F.coalesce(own, F.col("stream_xid"), F.nullif("_open", F.lit(NONE)))).drop("_open", "_block")
 
+def assign(log: DataFrame) -> DataFrame:
+    """Adds txn_id, the xid of the transaction a row belongs to, and txn_seq, the sequence number of its begin.
 
-def _order() -> WindowSpec:
-    return W.partitionBy("slot", "_bucket").orderBy("seq")
+    Rows of a stream block name their transaction; others stand between a begin (or begin_prepare) and its end. The end
+    itself, and what names a transaction, belongs to it. A row belongs to the last transaction of its xid that began at
+    or before it; txn_seq is -1 if its begin is not in the log. The log has slot, seq, tag, xid, stream_xid and
+    first_segment. Where few rows bound transactions nothing is shuffled; else see carried().
+    """
+    log = log if "_bucket" in log.columns else with_bucket(log)
+    marks = log.where(F.col("tag").isin(*BEGINS, *CLOSES, "S") & (F.col("xid").isNotNull() | F.col("tag").isin(*CLOSES)))
+    marks = marks.select("slot", "seq", "tag", "xid", "first_segment").limit(FEW_MARKS + 1).collect()
+    return carried(log) if len(marks) > FEW_MARKS else looked_up(log, marks)
+
+
+def carried(log: DataFrame) -> DataFrame:
+    """assign() for any number of transactions: rows are dealt out by bucket, and what a bucket inherits is joined to it."""
+    tag, xid = F.col("tag"), F.col("xid")
+    marks = {"_open": F.when(tag.isin(*BEGINS), xid).when(tag.isin(*CLOSES), NONE), "_block": F.when(tag == "S", xid)}
+    log = carry_forward(log, marks, before=True)
+    own = F.when(tag.isin(*OWN), xid).when(tag == "E", F.col("_block"))
+    log = log.withColumn("txn_id", F.coalesce(own, F.col("stream_xid"), F.nullif("_open", F.lit(NONE)))).drop("_open", "_block")
+    begins = tag.isin(*BEGINS) | ((tag == "S") & F.col("first_segment"))
+    log = carry_forward(log, {"txn_seq": F.when(begins, F.col("seq"))}, key="txn_id")
+    return log.withColumn("txn_seq", F.when(F.col("txn_id").isNotNull(), F.coalesce("txn_seq", F.lit(NONE).cast("long"))))
+
+
+def looked_up(log: DataFrame, marks: list) -> DataFrame:
+    """assign() where the rows that bound transactions are few: every row finds its own by binary search among them."""
+    shared = log.sparkSession.sparkContext.broadcast(_Marks(marks))
+
+    @F.arrow_udf("struct<txn_id:long,txn_seq:long>")
+    def find(slot: pa.Array, seq: pa.Array, tag: pa.Array, xid: pa.Array, stream_xid: pa.Array) -> pa.Array:
+        return shared.value.find(slot, seq, tag, xid, stream_xid)
+
+    found = log.withColumn("_txn", find("slot", "seq", "tag", "xid", "stream_xid"))
+    return found.select(*log.columns, "_txn.txn_id", "_txn.txn_seq")
+
+
+class _Marks:
+    """Begins, ends and stream starts of each slot, in order."""
+
+    def __init__(self, marks: list):
+        by_slot: dict[str, list] = {}
+        for slot, *mark in marks:
+            by_slot.setdefault(slot, []).append(mark)
+        self.of = {slot: _Slot(sorted(rows, key=lambda r: r[0])) for slot, rows in by_slot.items()}
+
+    def find(self, slot: pa.Array, seq: pa.Array, tag: pa.Array, xid: pa.Array, stream_xid: pa.Array) -> pa.Array:
+        known = lambda a: a.fill_null(-1).to_numpy(zero_copy_only=False)
+        at, xids, streams = seq.to_numpy(zero_copy_only=False), known(xid), known(stream_xid)
+        named = slot.dictionary_encode()
+        place, tags = named.indices.to_numpy(zero_copy_only=False), tag.fill_null("").dictionary_encode()
+        kinds, kind = tags.dictionary.to_pylist(), tags.indices.to_numpy(zero_copy_only=False)
+        among = lambda some: np.isin(kind, [k for k, t in enumerate(kinds) if t in some])
+        own, stops = among(OWN), among("E")
+        txn, begin = np.full(len(at), NONE, np.int64), np.full(len(at), NONE, np.int64)
+        for k, name in enumerate(named.dictionary.to_pylist()):
+            rows, of = place == k, self.of.get(name)
+            before = of.before(at[rows]) if of else (np.full(rows.sum(), NONE),) * 2
+            inner = np.where(streams[rows] >= 0, streams[rows], before[0])
+            inner = np.where(stops[rows] & (before[1] >= 0), before[1], inner)
+            txn[rows] = np.where(own[rows] & (xids[rows] >= 0), xids[rows], inner)
+            begin[rows] = of.begin(txn[rows], at[rows]) if of else NONE
+        none = txn < 0
+        return pa.StructArray.from_arrays([pa.array(txn, mask=none), pa.array(begin, mask=none)], ["txn_id", "txn_seq"])
+
+
+class _Slot:
+    def __init__(self, rows: list):
+        picked = lambda tags: [r for r in rows if r[1] in tags]
+        pairs = lambda some: np.array(some, np.int64).reshape(-1, 2).T
+        self.turns = pairs([(seq, xid if tag in BEGINS else NONE) for seq, tag, xid, _ in picked(BEGINS + CLOSES)])
+        self.blocks = pairs([(seq, xid) for seq, _, xid, _ in picked("S")])
+        seqs, xids = pairs([(seq, xid) for seq, tag, xid, first in rows if tag in BEGINS or (tag == "S" and first)])
+        # begins by (xid, place among all begins), as one number
+        self.seqs, self.xids, self.wide = seqs, np.unique(xids), len(seqs) + 1
+        self.codes = np.searchsorted(self.xids, xids) * self.wide + np.arange(1, self.wide)
+        order = np.argsort(self.codes)
+        self.codes, self.first = self.codes[order], seqs[order]
+
+    def before(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The open transaction and the last stream start strictly before each place, -1 for none."""
+        return tuple(self._last(marks, np.searchsorted(marks[0], at, "left") - 1) for marks in (self.turns, self.blocks))
+
+    @staticmethod
+    def _last(marks: np.ndarray, k: np.ndarray) -> np.ndarray:
+        return np.where(k >= 0, marks[1][np.maximum(k, 0)], NONE) if marks.shape[1] else np.full(len(k), NONE)
+
+    def begin(self, xid: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Place of the last begin of each transaction id at or before each place, -1 for none."""
+        if not len(self.seqs):
+            return np.full(len(xid), NONE)
+        which = np.minimum(np.searchsorted(self.xids, xid), len(self.xids) - 1)
+        k = np.searchsorted(self.codes, which * self.wide + np.searchsorted(self.seqs, at, "right"), "right") - 1
+        good = (self.xids[which] == xid) & (k >= 0)
+        good &= np.where(good, self.codes[np.maximum(k, 0)] // self.wide == which, False)
+        return np.where(good, self.first[np.maximum(k, 0)], NONE)
 
 
 def outcomes(assigned: DataFrame) -> DataFrame:
-    """One row per decided transaction: slot, txn_id, status, commit_seq, commit_lsn, end_lsn, commit_ts, gid.
+    """One row per decided transaction: slot, txn_id, txn_seq, status, commit_seq, commit_lsn, end_lsn, commit_ts, gid.
 
     Status is committed, aborted, prepared (decided by gid later, or not yet) or rolled_back. A prepared transaction's
     commit names the same gid and xid. Transactions without a row are still open.
@@ -42,37 +133,37 @@ def outcomes(assigned: DataFrame) -> DataFrame:
         F.when(F.col("tag").isin("C", "c", "K"), "committed").when(F.col("tag") == "A", "aborted").when(F.col("tag") == "r", "rolled_back").otherwise("prepared")
     )
     last = F.max_by(F.struct(status.alias("status"), F.col("seq").alias("commit_seq"), "commit_lsn", "end_lsn", F.col("event_ts").alias("commit_ts"), "gid"), "seq")
-    return ends.groupBy("slot", "txn_id").agg(last.alias("x")).select("slot", "txn_id", "x.*")
+    return ends.groupBy(*KEY).agg(last.alias("x")).select(*KEY, "x.*")
 
 
 def aborted_parts(assigned: DataFrame) -> DataFrame:
-    """(slot, txn_id, msg_xid) of sub-transactions that were rolled back inside a streamed transaction."""
+    """(slot, txn_id, txn_seq, msg_xid) of sub-transactions that were rolled back inside a streamed transaction."""
     parts = assigned.where("tag = 'A' and xid != subxid")
-    return parts.select("slot", "txn_id", F.col("subxid").alias("msg_xid")).distinct()
+    return parts.select(*KEY, F.col("subxid").alias("msg_xid")).distinct()
 
 
 def committed(assigned: DataFrame, decided: DataFrame | None = None) -> DataFrame:
     """Data events of committed transactions, without rolled-back parts, with commit_seq, commit_lsn, txn_end_lsn and commit_ts."""
     decided = outcomes(assigned) if decided is None else decided
-    done = decided.where("status = 'committed'").select("slot", "txn_id", "commit_seq", F.col("commit_lsn").alias("_c"), F.col("end_lsn").alias("txn_end_lsn"), "commit_ts")
+    done = decided.where("status = 'committed'").select(*KEY, "commit_seq", F.col("commit_lsn").alias("_c"), F.col("end_lsn").alias("txn_end_lsn"), "commit_ts")
     data = assigned.where(F.col("tag").isin(*DATA)).drop("commit_lsn")
-    rows = data.join(done.withColumnRenamed("_c", "commit_lsn"), ["slot", "txn_id"])
-    return rows.join(aborted_parts(assigned), ["slot", "txn_id", "msg_xid"], "left_anti")
+    rows = data.join(broadcast_if_few(done.withColumnRenamed("_c", "commit_lsn"), F.lit(1), FEW_MARKS), KEY)
+    return rows.join(broadcast_if_few(aborted_parts(assigned), F.lit(1), FEW_MARKS), [*KEY, "msg_xid"], "left_anti")
 
 
 def discarded(assigned: DataFrame) -> DataFrame:
     """Data events that never become visible: of aborted and rolled-back transactions, and rolled-back parts of others."""
     data = assigned.where(F.col("tag").isin(*DATA))
-    lost = outcomes(assigned).where("status in ('aborted', 'rolled_back')").select("slot", "txn_id")
-    whole = data.join(lost, ["slot", "txn_id"], "left_semi")
-    parts = data.join(aborted_parts(assigned), ["slot", "txn_id", "msg_xid"], "left_semi").join(lost, ["slot", "txn_id"], "left_anti")
+    lost = outcomes(assigned).where("status in ('aborted', 'rolled_back')").select(*KEY)
+    whole = data.join(lost, KEY, "left_semi")
+    parts = data.join(aborted_parts(assigned), [*KEY, "msg_xid"], "left_semi").join(lost, KEY, "left_anti")
     return whole.unionByName(parts)
 
 
 def stats(assigned: DataFrame) -> DataFrame:
     """status, transactions and data events; open transactions are those with a row and no outcome."""
-    per = assigned.where("txn_id is not null").groupBy("slot", "txn_id").agg(F.count(F.when(F.col("tag").isin("I", "U", "D", "T"), 1)).alias("changes"))
-    status = per.join(outcomes(assigned).select("slot", "txn_id", "status"), ["slot", "txn_id"], "left").withColumn("status", F.coalesce("status", F.lit("open")))
+    per = assigned.where("txn_id is not null").groupBy(*KEY).agg(F.count(F.when(F.col("tag").isin("I", "U", "D", "T"), 1)).alias("changes"))
+    status = per.join(outcomes(assigned).select(*KEY, "status"), KEY, "left").withColumn("status", F.coalesce("status", F.lit("open")))
     return status.groupBy("status").agg(F.count(F.lit(1)).alias("transactions"), F.sum("changes").alias("changes"))
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from tidelog.sources import partlog as P
 from tidelog.sources.changelog import BASE_LSN, MOVED, OID, SPAN
 
 _LOG = f"""
@@ -46,6 +47,21 @@ state AS (
 """
 _AT = f"{BASE_LSN} + 64 * "
 
+_PARTS = f"""
+WITH p AS (SELECT *, p_partkey // {P.BATCH} AS b, p_partkey % {P.BATCH} AS k, (p_partkey // {P.BATCH}) % 6 AS way, {P.FIRST_XID} + (p_partkey // {P.BATCH}) % {P.XIDS} AS xid
+           FROM part WHERE p_partkey IS NOT NULL),
+whole AS (SELECT *, way IN (0, 1, 4) OR b % 12 = 3 AS done, way = 1 AND k % 5 = 4 AS cut, b * {P.BUCKET} AS zero FROM p),
+raw AS (
+  SELECT *, zero + 100 + k AS seq, 'I' AS tag, 'parts' AS tab FROM whole
+  UNION ALL SELECT *, zero + 200 + k, 'U', 'parts' FROM whole WHERE k % 3 = 1
+  UNION ALL SELECT *, zero + 300 + k, 'D', 'parts' FROM whole WHERE k % 3 = 2
+  UNION ALL SELECT whole.*, zero + 400 + n + 2 * k, 'I', 'loose' FROM whole, (SELECT unnest([0, 1]) AS n) WHERE k % 10 = 0
+  UNION ALL SELECT *, zero + 600 + k, 'I', 'bins' FROM whole WHERE k % 7 = 0),
+batches AS (SELECT DISTINCT b, way, xid, zero, done FROM whole),
+status AS (SELECT *, CASE WHEN done THEN 'committed' WHEN way = 2 THEN 'aborted' WHEN way = 3 THEN 'rolled_back' ELSE 'open' END AS status FROM batches)
+"""
+_LAST = P.LAST
+
 ORACLES = {
     "lsn_format": f"SELECT event_id, printf('%X/%X', v >> 32, v & 4294967295) AS lsn_text FROM (SELECT event_id, {BASE_LSN} + event_id * 4294967296 + event_id AS v FROM events)",
     "lsn_parse": "SELECT event_id, event_id * 4294967296 + event_id * 7 AS lsn FROM events",
@@ -109,5 +125,29 @@ ORACLES = {
     "frames_header": _LOG + f"""SELECT seq, {_AT}seq AS wal_start, {_AT}(seq + 1) AS wal_end, 757382400000000 + b * 60000000 + t * 1000000 AS server_time FROM (
         SELECT seq, b, t FROM log UNION ALL SELECT seq, b, coalesce(t, CAST((seq - 10) % 1000 // 300 AS INT)) FROM control
         UNION ALL SELECT seq, 1, 0 FROM others UNION ALL SELECT seq, b, 0 FROM rels)""",
+    "full_identity_state": _PARTS + """SELECT p_partkey, p_name, p_brand, CAST(p_size + CASE WHEN k % 3 = 1 THEN 1 ELSE 0 END AS INT) AS p_size, p_retailprice
+        FROM whole WHERE done AND NOT cut AND k % 3 <> 2""",
+    "keyless_copies": _PARTS + "SELECT p_brand AS brand, count(*) AS n FROM raw WHERE tab = 'loose' AND done AND NOT cut GROUP BY 1",
+    "binary_columns": _PARTS + "SELECT seq, p_partkey AS id, p_name AS body FROM raw WHERE tab = 'bins'",
+    "full_old_rows": _PARTS + """SELECT seq, tag, 'O' AS key_type, 'full' AS replica_identity, 'p_partkey,p_name,p_brand,p_size,p_retailprice' AS key_columns, CAST(p_size AS BIGINT) AS old_size,
+        CASE WHEN tag = 'U' THEN CAST(p_size + 1 AS BIGINT) END AS new_size FROM raw WHERE tag <> 'I'""",
+    "reused_xids": _PARTS + f"""SELECT xid, zero + 10 AS begin_seq, status, zero + {_LAST} AS commit_seq, CASE WHEN way = 3 THEN 'p' || b END AS gid
+        FROM status WHERE way <> 5""",
+    "rolled_back_parts": _PARTS + f"SELECT seq, xid + {P.PART_XID} AS part_xid FROM raw WHERE cut",
+    "bucket_edges": _PARTS + f"""SELECT zero + {_LAST} AS seq, 'C' AS tag, xid, zero + 10 AS begin_seq FROM batches WHERE way IN (0, 4)
+        UNION ALL SELECT zero + {P.BUCKET}, 'M', NULL, NULL FROM batches WHERE way = 4""",
+    "open_transactions": _PARTS + """SELECT status, count(*) AS transactions, CAST(sum((SELECT count(*) FROM raw WHERE raw.b = status.b)) AS BIGINT) AS changes
+        FROM status GROUP BY status""",
+    "metrics_bytes": _LOG + """, named AS (SELECT *, 44 + CASE WHEN b >= 10 THEN 15 ELSE 0 END AS names, CASE WHEN b >= 10 THEN strlen(o_orderpriority) ELSE 0 END AS last_size,
+          strlen(CAST(o_custkey AS VARCHAR)) + strlen(o_orderstatus) AS two, strlen(CAST(o_totalprice AS VARCHAR)) AS price,
+          strlen(CAST(o_orderkey AS VARCHAR)) AS key_size, strlen(CAST(o_orderkey + 10000000 AS VARCHAR)) AS moved_size FROM log),
+        sizes AS (
+          SELECT 'insert' AS event_type, names + key_size + two + price + last_size + 6 + 50 AS n FROM named WHERE tag = 'I'
+          UNION ALL SELECT 'update', names - 9 + key_size + 1 + price + last_size + 6 + 80 FROM named WHERE tag = 'U' AND NOT moved
+          UNION ALL SELECT 'update', 2 * names + key_size + moved_size + two + price + last_size + 6 + 80 FROM named WHERE tag = 'U' AND moved
+          UNION ALL SELECT 'delete', names + key_size + 6 + 60 FROM named WHERE tag = 'D'
+          UNION ALL SELECT event_type, CASE WHEN event_type IN ('begin', 'commit') THEN 30 WHEN event_type = 'relation' THEN 100 ELSE 20 END
+            FROM all_events WHERE event_type NOT IN ('insert', 'update', 'delete'))
+        SELECT event_type, count(*) AS n_events, CAST(sum(n) AS BIGINT) AS n_bytes FROM sizes GROUP BY event_type""",
     "quarantine": _LOG + "SELECT tag, count(*) AS n FROM log WHERE b < 5 GROUP BY tag",
 }

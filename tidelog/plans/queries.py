@@ -222,11 +222,57 @@ def frames_header(spark, sf_dir):
     return cut.select("seq", "wal_start", "wal_end", "server_time")
 
 
+def full_identity_state(spark, sf_dir):
+    """The table whose old rows are whole: rows told apart by value."""
+    fields = [Field("p_partkey", "i64"), Field("p_name", "string"), Field("p_brand", "string"), Field("p_size", "i32"), Field("p_retailprice", "f64")]
+    rows = state.net_state(_committed(spark, sf_dir, "parts").where("table = 'parts' or tag = 'T'"))
+    return project.strict(rows.select("row"), fields)
+
+
+def keyless_copies(spark, sf_dir):
+    rows = state.net_state(_committed(spark, sf_dir, "parts").where("table = 'loose' or tag = 'T'"))
+    return project.strict(rows.select("row"), [Field("brand", "string")]).groupBy("brand").agg(F.count(F.lit(1)).alias("n"))
+
+
+def binary_columns(spark, sf_dir):
+    rows = _events(spark, sf_dir, "parts").where("table = 'bins'").select("seq", F.col("new_row").alias("row"))
+    got = project.strict(rows, [Field("id", "bytes"), Field("body", "bytes")])
+    return got.select("seq", F.conv(F.hex("id"), 16, 10).cast("long").alias("id"), F.decode("body", "UTF-8").alias("body"))
+
+
+def full_old_rows(spark, sf_dir):
+    rows = _events(spark, sf_dir, "parts").where("tag in ('U', 'D')")
+    size = lambda c: S.text(S.get(F.col(c), "p_size")).cast("long")
+    return rows.select("seq", "tag", "key_type", "replica_identity", F.array_join("key_columns", ",").alias("key_columns"), size("old_row").alias("old_size"), size("new_row").alias("new_size"))
+
+
+def reused_xids(spark, sf_dir):
+    """Outcomes of transactions whose ids come round: an id names several transactions."""
+    return txn.outcomes(_assigned(spark, sf_dir, "parts")).select(F.col("txn_id").alias("xid"), F.col("txn_seq").alias("begin_seq"), "status", "commit_seq", "gid")
+
+
+def rolled_back_parts(spark, sf_dir):
+    """Rows of transactions that committed, in parts of them that were rolled back."""
+    log = _assigned(spark, sf_dir, "parts")
+    done = txn.outcomes(log).where("status = 'committed'").select(*txn.KEY)
+    return txn.discarded(log).join(done, txn.KEY, "left_semi").select("seq", F.col("msg_xid").alias("part_xid"))
+
+
+def bucket_edges(spark, sf_dir):
+    """Messages right behind a commit, in another bucket: they belong to no transaction, and the commit to its own."""
+    return _assigned(spark, sf_dir, "parts").where("tag in ('M', 'C')").select("seq", "tag", F.col("txn_id").alias("xid"), F.col("txn_seq").alias("begin_seq"))
+
+
+def open_transactions(spark, sf_dir):
+    return txn.stats(_assigned(spark, sf_dir, "parts"))
+
+
 NAMES = (
     "lsn_format", "lsn_parse", "pg_timestamp", "decode_insert", "decode_update", "decode_delete", "decode_control", "decode_other", "relation_changes",
     "key_columns", "truncate_tables", "txn_assign", "txn_stats", "committed_only", "aborted_rows", "two_phase_visible", "bounded_replay",
     "bounded_replay_raw", "net_state", "net_state_whole_rows", "history_scd2", "toast_fill", "typed_strict", "typed_lenient", "row_json", "route_counts",
     "event_categories", "progress_lsn", "metrics_bytes", "metrics_latency", "snapshot_plus_stream", "encode_roundtrip", "quarantine", "frames_header",
+    "full_identity_state", "keyless_copies", "binary_columns", "full_old_rows", "reused_xids", "rolled_back_parts", "bucket_edges", "open_transactions",
 )
 
 

@@ -1,7 +1,9 @@
-"""Python data source `tidelog`: captured frames in Parquet, as a batch and as a stream.
+"""Captured frames in Parquet: a native batch scan, and the Python data source `tidelog` for streams (and batches).
 
-Options: path (bronze Parquet files), slot (one slot of it), startLsn (HI/LO, frames from there on), maxFrames (frames
-of a micro-batch). Offsets are sequence numbers, so a restart reads on after the last batch that was written.
+Options: path (folder of bronze Parquet files, any URI pyarrow opens), slot (one slot of it), startLsn (HI/LO, frames
+from there on), maxFrames (sequence numbers of a micro-batch), progress (a folder where the reader notes how far it has
+planned). Offsets are sequence numbers and only grow. A reader that starts anew does not know where its query stood: it
+reads on from what the progress folder says or, without one, offers all there is, which is never behind.
 """
 
 from __future__ import annotations
@@ -11,6 +13,10 @@ from collections.abc import Iterator
 import pyarrow as pa
 import pyarrow.compute as pc
 import pyarrow.dataset as ds
+import pyarrow.fs as pf
+import pyarrow.parquet as pq
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 
 from tidelog.errors import LogError
@@ -18,13 +24,27 @@ from tidelog.sources.commands import lsn_number
 
 SCHEMA = "slot string, seq long, wal_start long, wal_end long, server_time long, data binary"
 NAMES = ("slot", "seq", "wal_start", "wal_end", "server_time", "data")
+#: Frames of a task, and of a micro-batch unless maxFrames says otherwise.
 PIECE = 250_000
 
 
-class Range(InputPartition):
-    def __init__(self, start: int, end: int):
-        super().__init__((start, end))
-        self.start, self.end = start, end
+def frames(spark: SparkSession, path: str, slot: str | None = None, start_lsn: str | None = None) -> DataFrame:
+    """The frames of a folder as a plain Parquet scan: slot and position are pushed down to it."""
+    rows = spark.read.schema(SCHEMA).parquet(path)
+    rows = rows.where(F.col("slot") == slot) if slot else rows
+    return rows.where(F.col("wal_start") >= lsn_number(start_lsn)) if start_lsn else rows
+
+
+def opened(path: str) -> tuple[pf.FileSystem, str]:
+    return pf.FileSystem.from_uri(path) if "://" in path else (pf.LocalFileSystem(), path)
+
+
+class Groups(InputPartition):
+    """Row groups of one file, and the sequence numbers wanted of them."""
+
+    def __init__(self, path: str, groups: tuple[int, ...], start: int, end: int):
+        super().__init__((path, groups, start, end))
+        self.path, self.groups, self.start, self.end = path, groups, start, end
 
 
 class CaptureSource(DataSource):
@@ -46,36 +66,87 @@ class _Files:
     def __init__(self, options: dict[str, str]):
         if "path" not in options:
             raise LogError("config", "option path is missing")
-        self.path = options["path"].removeprefix("file://")
+        self.path = options["path"]
         self.slot = options.get("slot")
         self.start_lsn = lsn_number(options["startlsn"]) if options.get("startlsn") else 0
+        self.progress = options.get("progress")
         self.most = int(options.get("maxframes", PIECE))
         if self.most < 1:
             raise LogError("config", "maxFrames is below 1")
-
-    def where(self, start: int, end: int) -> pc.Expression:
-        f = (ds.field("seq") >= start) & (ds.field("seq") < end) & (ds.field("wal_start") >= self.start_lsn)
-        return f & (ds.field("slot") == self.slot) if self.slot else f
-
-    def bounds(self) -> tuple[int, int]:
-        """First sequence number and the one after the last, from the files' statistics where they have them."""
-        low, high = None, None
-        for piece in ds.dataset(self.path, format="parquet").get_fragments():
-            for group in piece.row_groups:
-                s = (group.statistics or {}).get("seq")
-                if s:
-                    low, high = min(low, s["min"]) if low is not None else s["min"], max(high or 0, s["max"] + 1)
-        return (low or 0, high or 0)
-
-    def read(self, part: Range) -> Iterator[pa.RecordBatch]:
-        table = ds.dataset(self.path, format="parquet").to_table(columns=list(NAMES), filter=self.where(part.start, part.end))
-        yield from table.sort_by("seq").to_batches()
+        self.seen: dict[str, list[tuple[int, int, int, int]]] = {}
+
+    def look(self, told: int = 0) -> list[tuple[str, int, int, int, int]]:
+        """(file, row group, first and last seq, rows) of all files; every file's footer is read once.
+
+        Row groups without statistics are read for their numbers. A file that comes later must lie behind what was told.
+        """
+        system, path = opened(self.path)
+        for info in system.get_file_info(pf.FileSelector(path, recursive=True)):
+            name = info.base_name
+            if info.type != pf.FileType.File or name.startswith(("_", ".")) or info.path in self.seen:
+                continue
+            found = self._groups(system, info.path)
+            if any(low < told for _, low, _, _ in found):
+                raise LogError("protocol", f"{info.path} holds frames before {told}, which were read already")
+            self.seen[info.path] = found
+        return [(f, *g) for f, groups in sorted(self.seen.items()) for g in groups]
+
+    @staticmethod
+    def _groups(system: pf.FileSystem, path: str) -> list[tuple[int, int, int, int]]:
+        with system.open_input_file(path) as f:
+            file = pq.ParquetFile(f)
+            column = file.schema_arrow.get_field_index("seq")
+            out = []
+            for k in range(file.metadata.num_row_groups):
+                group = file.metadata.row_group(k)
+                stats = next((c.statistics for c in map(group.column, range(group.num_columns)) if c.path_in_schema == "seq"), None)
+                if column < 0 or not group.num_rows:
+                    continue
+                if stats is not None and stats.has_min_max:
+                    low, high = stats.min, stats.max
+                else:
+                    ends = pc.min_max(file.read_row_group(k, columns=["seq"]).column("seq")).as_py()
+                    low, high = ends["min"], ends["max"]
+                if low is not None:
+                    out.append((k, low, high, group.num_rows))
+            return out
+
+    def plan(self, start: int, end: int) -> list[Groups]:
+        """Row groups that hold numbers from start to before end, about PIECE frames a partition."""
+        out: list[Groups] = []
+        held: tuple[str, list[int], int] = ("", [], 0)
+
+        def close() -> None:
+            if held[1]:
+                out.append(Groups(held[0], tuple(held[1]), start, end))
+
+        for path, k, low, high, rows in self.look():
+            if high < start or low >= end:
+                continue
+            if held[0] != path or held[2] + rows > PIECE:
+                close()
+                held = (path, [], 0)
+            held[1].append(k)
+            held = (path, held[1], held[2] + rows)
+        close()
+        return out or [Groups("", (), start, end)]
+
+    def read(self, part: Groups) -> Iterator[pa.RecordBatch]:
+        if not part.groups:
+            return
+        system, _ = opened(self.path)
+        keep = (ds.field("seq") >= part.start) & (ds.field("seq") < part.end) & (ds.field("wal_start") >= self.start_lsn)
+        keep = keep & (ds.field("slot") == self.slot) if self.slot else keep
+        with system.open_input_file(part.path) as f:
+            file = pq.ParquetFile(f)
+            for batch in file.iter_batches(row_groups=list(part.groups), columns=list(NAMES)):
+                kept = pa.table(batch).select(list(NAMES)).filter(keep)
+                yield from kept.to_batches()
 
 
 class Reader(_Files, DataSourceReader):
-    def partitions(self) -> list[Range]:
-        low, high = self.bounds()
-        return [Range(k, min(k + PIECE, high)) for k in range(low, high, PIECE)] or [Range(0, 0)]
+    def partitions(self) -> list[Groups]:
+        return self.plan(0, 1 << 63 - 1)
 
 
 class StreamReader(_Files, DataSourceStreamReader):
@@ -89,19 +160,45 @@ class StreamReader(_Files, DataSourceStreamReader):
         return {"seq": 0}
 
     def latestOffset(self) -> dict:
-        low, high = self.bounds()
+        """The end of the next batch: at most maxFrames on from the last one, and never before it."""
+        known = self.look(self.told or 0)
+        high = max((h + 1 for *_, h, _ in known), default=0)
         if self.told is None:
-            self.told = low
-        self.told = min(high, self.told + self.most)
+            noted = self._noted()
+            first = min((low for _, _, low, _, _ in known), default=0)
+            self.told = high if self.progress is None else max(noted, first)
+        self.told = max(self.told, min(high, self.told + self.most))
+        self._note()
         return {"seq": self.told}
 
-    def partitions(self, start: dict, end: dict) -> list[Range]:
-        a, b = start["seq"], end["seq"]
-        return [Range(k, min(k + PIECE, b)) for k in range(a, b, PIECE)] or [Range(a, b)]
+    def partitions(self, start: dict, end: dict) -> list[Groups]:
+        self.told = max(self.told or 0, end["seq"])
+        return self.plan(start["seq"], end["seq"])
+
+    def _noted(self) -> int:
+        """How far a reader before this one has planned: what it told Spark was noted first, so no offset is beyond it."""
+        if self.progress is None:
+            return 0
+        system, path = opened(self.progress)
+        if system.get_file_info(path).type == pf.FileType.NotFound:
+            return 0
+        names = [i.base_name for i in system.get_file_info(pf.FileSelector(path)) if i.type == pf.FileType.File]
+        return max((int(n) for n in names if n.isdigit()), default=0)
+
+    def _note(self) -> None:
+        if self.progress is None:
+            return
+        system, path = opened(self.progress)
+        system.create_dir(path, recursive=True)
+        with system.open_output_stream(f"{path}/{self.told:020d}"):
+            pass
+        old = [i.path for i in system.get_file_info(pf.FileSelector(path)) if i.base_name.isdigit() and int(i.base_name) < self.told]
+        for name in old:
+            system.delete_file(name)
 
     def commit(self, end: dict) -> None:
         pass
 
 
-def register(spark) -> None:
+def register(spark: SparkSession) -> None:
     spark.dataSource.register(CaptureSource)

@@ -2,21 +2,36 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from tidelog.errors import LogError
+
+_LOCAL: dict[str, str] = {}
+
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir; a local temporary one only where the session names none (tests)."""
+    """The folder named by spark.checkpoint.dir.
+
+    Where the session names none, a single-machine session (master local) gets a temporary folder that is deleted when
+    the process ends; on a cluster, whose machines do not share one, that is an error.
+    """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
-    fallback = f"file://{tempfile.gettempdir()}/tidelog-scratch"
-    spark.conf.set("spark.checkpoint.dir", fallback)
-    return fallback
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
+        raise LogError("config", "spark.checkpoint.dir must name a folder that the driver and all executors share")
+    app = spark.sparkContext.applicationId
+    if app not in _LOCAL:
+        _LOCAL[app] = tempfile.mkdtemp(prefix="tidelog-")
+        atexit.register(shutil.rmtree, _LOCAL[app], ignore_errors=True)
+    return f"file://{_LOCAL[app]}"
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:

@@ -1,7 +1,7 @@
 """Structured Streaming over captured frames: the same silver and gold as the batch path.
 
 A micro-batch's context (the open stream block, the relations sent so far, transactions not yet decided) is a function
-of the log, not of a process: frames are appended to bronze, and each batch decides over what is undecided. So a
+of the log, not of a process: each batch decides over its frames and over those an earlier batch left undecided. So a
 restart, a lost executor or a replayed batch give the same tables.
 """
 
@@ -23,7 +23,9 @@ from tidelog.sources.scratch import materialise
 class Replay:
     """Writes committed changes of a frame stream, transaction by transaction, to gold under a folder.
 
-    carry holds the frames later batches still need: those of undecided transactions, and the relation messages.
+    carry holds the frames later batches still need: those of undecided transactions, and the relation messages. A
+    batch writes its changes, then calls the handler, then notes that it is done: a batch that fails or is stopped
+    before the note is run again with the same rows, and one that is noted is not handled twice.
     """
 
     def __init__(self, spark: SparkSession, folder: str, version: int = 1, handler: Callable[[DataFrame, int], None] | None = None):
@@ -32,35 +34,46 @@ class Replay:
     def _path(self, name: str, batch: int) -> str:
         return f"{self.folder}/{name}/batch={batch}"
 
+    def _there(self, path: str) -> bool:
+        fs = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return fs.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(fs)
+
     def _carried(self, batch: int) -> DataFrame | None:
         """Frames carried out of the batch before; a batch that is replayed reads the same ones again."""
         path = self._path("carry", batch - 1)
-        fs = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        there = fs.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(fs)
-        return self.spark.read.schema(capture.SCHEMA).parquet(path) if there else None
+        return self.spark.read.schema(capture.SCHEMA).parquet(path) if self._there(path) else None
 
     def batch(self, frames: DataFrame, number: int) -> None:
         """foreachBatch function: idempotent by batch number."""
+        done = self._path("done", number)
+        if self._there(done):
+            return
         frames = frames.select(*capture.NAMES)
         carried = self._carried(number)
         frames = materialise(frames.unionByName(carried) if carried is not None else frames, "frames")
-        log = materialise(txn.assign(materialise(E.events(materialise(decode(frames, self.version), "messages")), "events")), "assigned")
+        messages = materialise(decode(frames, self.version), "messages")
+        log = materialise(E.events(messages, txn.assign(messages)), "events")
         decided = txn.outcomes(log)
         final = decided.where("status != 'prepared'")
-        done = txn.committed(log, final).drop("_bucket")
-        done.write.mode("overwrite").parquet(self._path("changes", number))
-        if self.handler:
-            self.handler(self.spark.read.schema(done.schema).parquet(self._path("changes", number)), number)
-        still = log.where("txn_id is not null").join(final.select("slot", "txn_id"), ["slot", "txn_id"], "left_anti").select("slot", "seq")
-        tag = F.substring("data", 1, 1)
-        kept = frames.join(still, ["slot", "seq"], "left_semi").unionByName(frames.where(tag == F.lit(b"R")).join(still, ["slot", "seq"], "left_anti"))
+        changes = txn.committed(log, final).drop("_bucket")
+        changes.write.mode("overwrite").parquet(self._path("changes", number))
+        still = log.where("txn_id is not null").join(final.select(*txn.KEY), txn.KEY, "left_anti").select("slot", "seq")
+        tag, at = F.substring("data", 1, 1), ["slot", "seq"]
+        frames = frames.withColumn("slot", F.coalesce("slot", F.lit("")))
+        kept = frames.join(still, at, "left_semi").unionByName(frames.where(tag == F.lit(b"R")).join(still, at, "left_anti"))
         kept.write.mode("overwrite").parquet(self._path("carry", number))
+        if self.handler:
+            self.handler(self.spark.read.schema(changes.schema).parquet(self._path("changes", number)), number)
+        self.spark.createDataFrame([(number,)], "batch long").write.mode("overwrite").parquet(done)
 
     def start(self, path: str, checkpoint: str, **options: str) -> StreamingQuery:
+        """Runs until stopped; started again with the same folders it reads on where it was."""
         capture.register(self.spark)
+        options = {"progress": f"{self.folder}/progress"} | options
         frames = self.spark.readStream.format("tidelog").option("path", path).options(**options).load()
         return frames.writeStream.foreachBatch(self.batch).option("checkpointLocation", checkpoint).start()
 
     def changes(self) -> DataFrame:
-        """All committed changes written so far."""
-        return self.spark.read.parquet(f"{self.folder}/changes").drop("batch")
+        """All committed changes of batches that are done."""
+        done = self.spark.read.schema("batch long").parquet(f"{self.folder}/done").select("batch").distinct()
+        return self.spark.read.parquet(f"{self.folder}/changes").join(F.broadcast(done), "batch", "left_semi").drop("batch")
