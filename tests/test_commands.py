@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import struct
 
 import pytest
 
@@ -8,6 +9,7 @@ from tidelog.errors import CLASSES, LogError
 from tidelog.operators.progress import Tracker
 from tidelog.sources import commands as C
 from tidelog.sources import options as O
+from tidelog.sources import wire
 
 
 def test_quoting():
@@ -99,3 +101,94 @@ def test_tracker():
     for a, f, r in ((5, 3, 4), (2, 9, 7), (0, 0, 0)):
         t.apply(a), t.flush(f), t.receive(r)
     assert (t.applied, t.flushed, t.received) == (5, 9, 7) and t.feedback() == (7, 5)
+
+
+def test_base_backup():
+    assert C.base_backup() == "BASE_BACKUP"
+    every = C.BackupOptions("l'a", "server", "/tmp", True, "fast", True, True, "gzip", "level=5", 1000, True, True, "yes", "SHA256", True)
+    assert C.base_backup(every) == (
+        "BASE_BACKUP (LABEL 'l''a', TARGET 'server', TARGET_DETAIL '/tmp', PROGRESS true, CHECKPOINT 'fast', WAL true, WAIT true, COMPRESSION 'gzip', "
+        "COMPRESSION_DETAIL 'level=5', MAX_RATE 1000, TABLESPACE_MAP true, VERIFY_CHECKSUMS true, MANIFEST 'yes', MANIFEST_CHECKSUMS 'SHA256', INCREMENTAL)"
+    )
+    assert C.prepare_base_backup(140_000) == "BASE_BACKUP" and C.prepare_base_backup(0, every) == C.base_backup(every)
+    for version, options in ((140_005, C.BackupOptions(label="x")), (160_000, every)):
+        with pytest.raises(LogError):
+            C.prepare_base_backup(version, options)
+
+
+def test_prepared_commands():
+    assert C.prepare_create_slot(140_000, "p", False) == C.create_slot("p", False) and C.prepare_read_slot(0, "s") == C.read_slot("s")
+    assert C.prepare_alter_slot(180_000, "s", two_phase=True) == C.alter_slot("s", two_phase=True)
+    with pytest.raises(LogError, match=r"TWO_PHASE replication slots require PostgreSQL 15\+, but the server reports 14.2"):
+        C.prepare_create_slot(140_002, "s", options=C.SlotOptions(two_phase=True))
+    for act in (lambda: C.prepare_alter_slot(170_000, "s", two_phase=True), lambda: C.prepare_alter_slot(160_000, "s", failover=True), lambda: C.prepare_read_slot(140_000, "s")):
+        with pytest.raises(LogError, match="requires PostgreSQL"):
+            act()
+
+
+def test_initialise():
+    said = []
+    assert C.initialise(said.append, "s") and said == ["IDENTIFY_SYSTEM", C.create_slot("s")]
+
+    def there(sql):
+        if sql.startswith("CREATE"):
+            raise LogError("backend", 'replication slot "s" already exists')
+
+    assert not C.initialise(there, "s")
+
+
+def test_feedback():
+    from tidelog.operators.progress import Feedback
+
+    now, t = [0.0], Tracker()
+    f = Feedback(t, interval=10, clock=lambda: now[0])
+    assert f.status() is None and f.status(force=True) is None
+    t.receive(9), t.apply(5)
+    assert f.status() == wire.standby_status(9, 5, 5, 0) and f.status() is None
+    t.flush(7)
+    assert f.status() is None
+    now[0] = 10.0
+    assert f.status() == wire.standby_status(9, 7, 5, 0)
+    now[0] = 30.0
+    assert f.status() is None
+    asks = lambda end, wanted: b"k" + struct.pack(">QqB", end, 0, wanted)
+    assert f.keepalive(asks(12, 0)) == wire.standby_status(12, 7, 5, 0) and f.keepalive(asks(3, 1)) == wire.standby_status(12, 7, 5, 0)
+    assert f.end() == [wire.standby_status(12, 7, 5, 0), b"c\0\0\0\4"] and f.end() == []
+    assert wire.hot_standby_feedback(-1, 1, 2, 3, 4) == b"h" + struct.pack(">qIIII", -1, 1, 2, 3, 4)
+
+
+def test_result_set():
+    column = lambda name: name + b"\0" + bytes(18)
+    head = struct.pack(">H", 2) + column(b"a") + column(b"b")
+    row = struct.pack(">Hi", 2, 2) + b"hi" + struct.pack(">i", -1)
+    empty = struct.pack(">Hii", 2, 0, 0)
+    got = wire.result_set([("N", b"SNOTICE\0\0"), ("T", head), ("D", row), ("D", empty), ("C", b"SELECT 2\0"), ("Z", b"I"), ("D", row)])
+    assert got == [{"a": b"hi", "b": None}, {"a": b"", "b": b""}]
+    with pytest.raises(LogError, match=r"ERROR: no such slot \(42704\)"):
+        wire.result_set([("E", b"SERROR\0C42704\0Mno such slot\0\0")])
+
+
+def test_poll():
+    from tidelog.streaming.consumer import Poll
+
+    def of(*steps):
+        for s in steps:
+            if isinstance(s, str):
+                raise LogError(s, s)
+            yield s
+
+    p = Poll(of(1, 2))
+    assert [p.next() for _ in range(4)] == [1, 2, None, None]
+    p = Poll(of(1, "stopped"))
+    assert [p.next() for _ in range(3)] == [1, None, None]
+    p = Poll(of("authentication"))
+    with pytest.raises(LogError):
+        p.next()
+    assert p.next() is None
+
+
+def test_sampler():
+    from tidelog.operators.metrics import Sampler
+
+    got = Sampler().sample()
+    assert got["cpu_percent"] >= 0 and got["rss_mb"] > 1

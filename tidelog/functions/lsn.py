@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -39,3 +41,16 @@ def server_micros(ts: Column) -> Column:
 def capped(lsn: Column, received: Column) -> Column:
     """A position never beyond what was received; 0 stays 0."""
     return F.when(lsn > 0, F.least(lsn, received)).otherwise(lsn)
+
+
+def unsigned(lsn: Column) -> Column:
+    """A position of any 64 bits as decimal(20,0): positions of 2**63 and more, negative as longs, come out positive and in order."""
+    wide = lsn.cast("decimal(20,0)")
+    return F.when(lsn < 0, wide + F.lit(Decimal(1 << 64))).otherwise(wide).cast("decimal(20,0)")
+
+
+def from_unsigned(value: Column) -> Column:
+    """The long of the same 64 bits; null beyond them."""
+    high = F.lit(Decimal(1 << 63))
+    low = F.when((value >= 0) & (value < high), value.cast("long"))
+    return F.when((value >= high) & (value < F.lit(Decimal(1 << 64))), (value - F.lit(Decimal(1 << 64))).cast("long")).otherwise(low)

@@ -116,3 +116,44 @@ def quote_literal(s: Column) -> Column:
 
 def mask_password(s: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(s, r"(://[^:/@]+:)[^@]*@", "$1***@"), r"(password\s*=\s*)('[^']*'|\S+)", "$1***")
+
+
+def slot_type_name(logical: Column) -> Column:
+    """LOGICAL or PHYSICAL. Fixed values."""
+    return F.when(logical, "LOGICAL").when(~logical, "PHYSICAL")
+
+
+def wire_text(value: Column) -> Column:
+    """A wire column's string, of text and binary values alike, with bytes that are no UTF-8 replaced; null for an empty one."""
+    some = value["kind"].isin("t", "b") & (F.octet_length(value["value"]) > 0)
+    return F.when(some, F.make_valid_utf8(value["value"].cast("string")))
+
+
+def is_null(value: Column) -> Column:
+    return value["kind"] == "n"
+
+
+def is_text(value: Column) -> Column:
+    return value["kind"] == "t"
+
+
+def is_binary(value: Column) -> Column:
+    return value["kind"] == "b"
+
+
+def is_unchanged(value: Column) -> Column:
+    """Of a wire column: kind u; of a row's value: not there."""
+    return value.isNull() | (value["kind"] == "u")
+
+
+def row_names(row: Column) -> Column:
+    return F.transform(row, lambda c: c["name"])
+
+
+def is_empty(row: Column) -> Column:
+    return F.size(row) == 0
+
+
+def same_row(a: Column, b: Column) -> Column:
+    """Equal names, kinds and bytes in the same order."""
+    return a.eqNullSafe(b)

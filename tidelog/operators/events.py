@@ -124,7 +124,9 @@ def events(messages: DataFrame, assigned: DataFrame | None = None) -> DataFrame:
         "prepare_lsn",
         "end_lsn",
         "message_lsn",
+        "abort_lsn",
         server_time(F.col("ts")).alias("event_ts"),
+        server_time(F.col("prepare_ts")).alias("prepare_event_ts"),
         F.col("oid").alias("relation_oid"),
         F.when(change | (F.col("tag") == "R"), rel["namespace"]).otherwise(F.when(F.col("tag") == "Y", F.col("namespace"))).alias("schema"),
         F.when(change | (F.col("tag") == "R"), rel["name"]).otherwise(F.when(F.col("tag") == "Y", F.col("name"))).alias("table"),
@@ -133,6 +135,7 @@ def events(messages: DataFrame, assigned: DataFrame | None = None) -> DataFrame:
         F.when(F.col("tag").isin("U", "D"), key_columns(key, rel["columns"])).alias("key_columns"),
         named(names(F.filter(rel["columns"], lambda c: c["is_key"]))).alias("primary_key"),
         named(names(rel["columns"])).alias("column_names"),
+        F.when(F.col("tag") == "R", rel["columns"]).alias("relation_columns"),
         named_row(F.col("old"), rel["columns"]).alias("old_row"),
         named_row(F.col("new"), rel["columns"]).alias("new_row"),
         F.when(F.col("tag") == "T", F.coalesce("tables", F.array().cast("array<string>"))).alias("truncate_tables"),

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+import time
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -43,3 +46,30 @@ def latency(log: DataFrame) -> DataFrame:
     gaps = rows.withColumn("_before", before).join(ends, ["slot", "_bucket"]).select("slot", (F.col("server_time") - F.coalesce("_before", "_t")).alias("gap")).where("gap is not null")
     by_gap = gaps.groupBy("slot", "gap").agg(F.count(F.lit(1)).alias("n"))
     return by_gap.groupBy("slot").agg(F.sum("n").alias("n_gaps"), F.percentile("gap", 0.5, F.col("n")).alias("p50"), F.percentile("gap", 0.99, F.col("n")).alias("p99"))
+
+
+def rates(bronze: DataFrame) -> DataFrame:
+    """(slot, second, n_frames, n_bytes) for each second of server time in which frames came; seconds count from 2000."""
+    second = F.floor(F.col("server_time") / 1_000_000).alias("second")
+    return bronze.groupBy("slot", second).agg(F.count(F.lit(1)).alias("n_frames"), F.sum(F.coalesce(F.octet_length("data"), F.lit(0))).cast("long").alias("n_bytes"))
+
+
+def throughput(rates: DataFrame) -> DataFrame:
+    """Per slot: seconds from the first to the last, and frames and MB a second over them."""
+    seconds = F.max("second") - F.min("second") + 1
+    return rates.groupBy("slot").agg(seconds.alias("seconds"), (F.sum("n_frames") / seconds).alias("frames_per_second"), (F.sum("n_bytes") / seconds / 1e6).alias("mb_per_second"))
+
+
+class Sampler:
+    """CPU share and resident memory of this process, from /proc, since the sample before."""
+
+    def __init__(self):
+        self.at, self.cpu = time.monotonic(), time.process_time()
+
+    def sample(self) -> dict[str, float]:
+        at, cpu = time.monotonic(), time.process_time()
+        with open("/proc/self/statm") as f:
+            pages = int(f.read().split()[1])
+        out = {"cpu_percent": 100 * (cpu - self.cpu) / max(at - self.at, 1e-9), "rss_mb": pages * os.sysconf("SC_PAGE_SIZE") / 1e6}
+        self.at, self.cpu = at, cpu
+        return out

@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import time
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tidelog.sources import wire
+
 
 def running(log: DataFrame) -> DataFrame:
     """Adds received (highest position so far) and applied (highest end of a commit so far, 0 before one).
@@ -41,3 +46,43 @@ class Tracker:
     def feedback(self) -> tuple[int, int]:
         """(flushed, applied), neither beyond what was received; 0 stays 0."""
         return min(self.flushed, self.received), min(self.applied, self.received)
+
+
+class Feedback:
+    """What a consumer tells the server: a status message when the interval has passed and something changed, or when asked.
+
+    Nothing is sent before something was received. Keepalives count as received and may ask for a reply. The end of the
+    copy is said once, after a last status.
+    """
+
+    def __init__(self, tracker: Tracker, interval: float = 10.0, clock: Callable[[], float] = time.monotonic, now: Callable[[], int] = lambda: 0):
+        self.tracker, self.interval, self.clock, self.now = tracker, interval, clock, now
+        self.last: tuple[int, int, int] | None = None
+        self.at, self.ended = float("-inf"), False
+
+    def _state(self) -> tuple[int, int, int]:
+        return (self.tracker.received, *self.tracker.feedback())
+
+    def due(self) -> bool:
+        return self.clock() - self.at >= self.interval and self._state() != self.last
+
+    def status(self, force: bool = False) -> bytes | None:
+        """The bytes of a status message if one is due, else None."""
+        if not self.tracker.received or not (force or self.due()):
+            return None
+        self.last, self.at = self._state(), self.clock()
+        return wire.standby_status(*self.last, self.now())
+
+    def keepalive(self, frame: bytes) -> bytes | None:
+        """Takes in a keepalive; the status it asks for, if it does."""
+        end, _, wanted = wire.keepalive(frame)
+        self.tracker.receive(end)
+        return self.status(force=wanted)
+
+    def end(self) -> list[bytes]:
+        """A last status and the end of the copy, the first time; nothing after."""
+        if self.ended:
+            return []
+        self.ended = True
+        last = self.status(force=True)
+        return [*([last] if last else []), wire.copy_done()]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from typing import get_args, get_type_hints
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -35,6 +36,12 @@ class Router:
             self.typed[handler] = (None, run)
         return self
 
+    def on_table(self, row: type, kind: str, run: Callable[[DataFrame], None], handler: str | None = None) -> Router:
+        """A typed handler for the table that a class is bound to by wal_table(); its rows have the class's annotations as columns."""
+        if not getattr(row, "wal_table", None):
+            raise ValueError(f"{row.__name__} is bound to no table")
+        return self.on(row.wal_table, kind, handler or f"{row.__name__}.{kind}", fields_of(row), run)
+
     def handler(self) -> Column:
         """Name of an event's handler, null for none."""
         out = F.lit(self.default).cast("string")
@@ -71,6 +78,21 @@ def wal_table(name: str) -> Callable[[type], type]:
     return bind
 
 
+#: Kind of a field by its annotation.
+KINDS = {int: "i64", float: "f64", bool: "bool", str: "string", bytes: "bytes"}
+
+
+def fields_of(row: type) -> list[Field]:
+    """The fields a class's annotations stand for; X | None is one that may be NULL, a class attribute its default."""
+    out = []
+    for name, kind in get_type_hints(row).items():
+        some = [k for k in get_args(kind) if k is not type(None)] or [kind]
+        if some[0] not in KINDS:
+            raise ValueError(f"{name} has no kind for {kind}")
+        out.append(Field(name, KINDS[some[0]], optional=len(some) < len(get_args(kind)), default=getattr(row, name, None)))
+    return out
+
+
 def categories(events: DataFrame) -> DataFrame:
     return events.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
 

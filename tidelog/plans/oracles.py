@@ -93,7 +93,7 @@ ORACLES = {
         SELECT seq FROM all_events UNION ALL SELECT seq FROM rels WHERE b <> 10)
         WHERE seq <= (SELECT min(seq) FROM (SELECT seq FROM all_events UNION ALL SELECT seq FROM rels) WHERE seq + 1 >= {2 * SPAN})""",
     "net_state": _LOG + "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM state",
-    "net_state_whole_rows": _LOG + "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM log WHERE tag = 'I' AND done AND m <> 3",
+    "net_state_whole_rows": _LOG + "SELECT o_orderkey, CASE WHEN o_orderkey % 4 <> 2 THEN o_custkey END AS o_custkey, o_orderstatus, o_totalprice FROM state",
     "history_scd2": _LOG + f"""SELECT o_orderkey, valid_from, CASE WHEN live THEN valid_to END AS valid_to, status FROM (
         SELECT key AS o_orderkey, end_seq AS valid_from, live, status, lead(end_seq) OVER (PARTITION BY key ORDER BY end_seq, seq, step) AS valid_to FROM (
           SELECT o_orderkey AS key, end_seq, seq, 1 AS step, true AS live, o_orderstatus AS status FROM log WHERE done AND tag = 'I'
@@ -101,8 +101,8 @@ ORACLES = {
           UNION ALL SELECT o_orderkey, end_seq, seq, 0, false, NULL FROM log WHERE done AND (tag = 'D' OR moved)
           UNION ALL SELECT o_orderkey + {MOVED}, end_seq, seq, 1, true, o_orderstatus FROM log WHERE done AND moved)) WHERE live""",
     "toast_fill": _LOG + "SELECT seq, o_custkey FROM log WHERE done AND tag = 'U' AND NOT moved",
-    "typed_strict": """SELECT event_id, CASE event_id % 6 WHEN 2 THEN -event_id ELSE event_id END AS number, event_id % 6 <> 1 AS flag, event_type AS word, 7 AS extra
-        FROM events WHERE event_id % 6 < 3""",
+    "typed_strict": """SELECT event_id, CASE event_id % 6 WHEN 2 THEN -event_id WHEN 3 THEN 42 WHEN 4 THEN -7 WHEN 5 THEN 99999999999 ELSE event_id END AS number,
+        event_id % 6 IN (0, 2, 3, 5) AS flag, event_type AS word, 7 AS extra FROM events""",
     "typed_lenient": """SELECT event_id, CAST(CASE WHEN k < 2 THEN event_id WHEN k = 2 THEN -event_id ELSE 0 END AS INT) AS number,
         k IN (0, 2, 5) AS flag, event_type AS word, CASE WHEN k < 3 THEN 0::BIGINT WHEN k = 5 THEN 1 ELSE 2 END AS n_errors,
         CASE k WHEN 3 THEN 'failed to parse '' 42'' as i32' WHEN 4 THEN 'failed to parse ''42.7'' as i32' WHEN 5 THEN 'failed to parse ''99999999999'' as i32' ELSE '' END AS first_error
@@ -136,8 +136,18 @@ ORACLES = {
     "rolled_back_parts": _PARTS + f"SELECT seq, xid + {P.PART_XID} AS part_xid FROM raw WHERE cut",
     "bucket_edges": _PARTS + f"""SELECT zero + {_LAST} AS seq, 'C' AS tag, xid, zero + 10 AS begin_seq FROM batches WHERE way IN (0, 4)
         UNION ALL SELECT zero + {P.BUCKET}, 'M', NULL, NULL FROM batches WHERE way = 4""",
-    "open_transactions": _PARTS + """SELECT status, count(*) AS transactions, CAST(sum((SELECT count(*) FROM raw WHERE raw.b = status.b)) AS BIGINT) AS changes
+    "undecided_transactions": _PARTS + """SELECT status, count(*) AS transactions, CAST(sum((SELECT count(*) FROM raw WHERE raw.b = status.b)) AS BIGINT) AS changes
         FROM status GROUP BY status""",
+    "typed_update": _LOG + f"""SELECT seq, CASE WHEN moved THEN o_orderkey END AS old_key, CASE WHEN moved THEN o_orderkey + {MOVED} ELSE o_orderkey END AS new_key,
+        CASE WHEN moved THEN o_custkey END AS customer, CASE WHEN moved THEN o_orderstatus ELSE 'U' END AS status FROM log WHERE tag = 'U'""",
+    "json_roundtrip": _PARTS + ", all_tables AS (SELECT tab AS t FROM raw WHERE tag = 'I' UNION ALL SELECT 'orders' FROM orders) SELECT t AS table, true AS same, count(*) AS n FROM all_tables GROUP BY t",
+    "event_json": _LOG + f"""SELECT seq, CASE tag WHEN 'I' THEN 'Insert' ELSE 'Delete' END AS kind, {_AT}seq AS lsn, o_orderkey, NULL AS committed FROM log WHERE tag <> 'U'
+        UNION ALL SELECT seq, CASE event_type WHEN 'begin' THEN 'Begin' WHEN 'commit' THEN 'Commit' ELSE 'StreamStop' END, {_AT}seq, NULL,
+          CASE WHEN event_type <> 'stream_stop' THEN strftime(make_timestamp((946684800 + 757382400 + b * 60 + t) * 1000000), '%Y-%m-%dT%H:%M:%SZ') END
+        FROM control WHERE event_type IN ('begin', 'commit', 'stream_stop')""",
+    "metrics_rates": _LOG + """SELECT 'orders_slot' AS slot, 757382400 + b * 60 + t AS second, count(*) AS n_frames FROM (
+          SELECT b, t FROM log UNION ALL SELECT b, coalesce(t, CAST((seq - 10) % 1000 // 300 AS INT)) FROM control
+          UNION ALL SELECT 1, 0 FROM others UNION ALL SELECT b, 0 FROM rels) GROUP BY 1, 2""",
     "metrics_bytes": _LOG + """, named AS (SELECT *, 44 + CASE WHEN b >= 10 THEN 15 ELSE 0 END AS names, CASE WHEN b >= 10 THEN strlen(o_orderpriority) ELSE 0 END AS last_size,
           strlen(CAST(o_custkey AS VARCHAR)) + strlen(o_orderstatus) AS two, strlen(CAST(o_totalprice AS VARCHAR)) AS price,
           strlen(CAST(o_orderkey AS VARCHAR)) AS key_size, strlen(CAST(o_orderkey + 10000000 AS VARCHAR)) AS moved_size FROM log),

@@ -134,9 +134,9 @@ def net_state(spark, sf_dir):
 
 
 def net_state_whole_rows(spark, sf_dir):
-    """The fast path for whole rows, on inserts and deletes alone."""
-    changes = _committed(spark, sf_dir).where("tag in ('I', 'D')")
-    return project.strict(state.latest(changes).select("row"), ORDER)
+    """The fast path takes the last change's row as it was sent: a customer that it left out as unchanged is null here."""
+    fields = [ORDER[0], Field("o_custkey", "i64", optional=True), *ORDER[2:]]
+    return project.strict(state.latest(_committed(spark, sf_dir)).select("row"), fields)
 
 
 def history_scd2(spark, sf_dir):
@@ -149,23 +149,25 @@ def toast_fill(spark, sf_dir):
     return rows.select("seq", S.text(F.col("o_custkey")).cast("long").alias("o_custkey"))
 
 
-def _texts(spark, sf_dir):
-    """Rows of awkward texts made from events: numbers out of range, with signs and decimals, and words."""
+def _texts(spark, sf_dir, numbers, flags):
+    """A row of texts for each event: a number (+ and - before its id, or the text that is named), a flag and a word."""
     e = _table(spark, sf_dir, "events")
     k = F.col("event_id") % 6
-    raw = F.when(k == 0, F.col("event_id").cast("string")).when(k == 1, F.concat(F.lit("+"), F.col("event_id"))).when(k == 2, F.concat(F.lit("-"), F.col("event_id"))).when(k == 3, F.lit(" 42")).when(k == 4, F.lit("42.7")).otherwise(F.lit("99999999999"))
-    flag = F.element_at(F.array(*[F.lit(x) for x in ("t", "off", "yes", "T", "y", "1")]), (k + 1).cast("int"))
+    raw = F.when(k == 0, F.col("event_id").cast("string")).when(k == 1, F.concat(F.lit("+"), F.col("event_id"))).when(k == 2, F.concat(F.lit("-"), F.col("event_id")))
+    for at, text in enumerate(numbers, 3):
+        raw = raw.when(k == at, F.lit(text))
+    flag = F.element_at(F.array(*[F.lit(x) for x in flags]), (k + 1).cast("int"))
     cell = lambda name, c, kind="t": F.struct(F.lit(name).alias("name"), F.lit(kind).alias("kind"), F.encode(c, "UTF-8").alias("value"))
     return e.select("event_id", F.array(cell("number", raw), cell("flag", flag), cell("word", F.col("event_type"))).alias("row"))
 
 
 def typed_strict(spark, sf_dir):
-    rows = _texts(spark, sf_dir).where("event_id % 6 < 3")
+    rows = _texts(spark, sf_dir, ("42", "-0007", "99999999999"), ("t", "off", "yes", "true", "0", "1"))
     return project.strict(rows, [Field("number", "i64"), Field("flag", "bool"), Field("word", "string"), Field("extra", "i32", default=7)])
 
 
 def typed_lenient(spark, sf_dir):
-    rows = project.lenient(_texts(spark, sf_dir), [Field("number", "i32"), Field("flag", "bool"), Field("word", "string")])
+    rows = project.lenient(_texts(spark, sf_dir, (" 42", "42.7", "99999999999"), ("t", "off", "yes", "T", "y", "1")), [Field("number", "i32"), Field("flag", "bool"), Field("word", "string")])
     return rows.select("event_id", "number", "flag", "word", F.size("errors").cast("long").alias("n_errors"), F.coalesce(F.get("errors", F.lit(0))["message"], F.lit("")).alias("first_error"))
 
 
@@ -222,6 +224,33 @@ def frames_header(spark, sf_dir):
     return cut.select("seq", "wal_start", "wal_end", "server_time")
 
 
+def typed_update(spark, sf_dir):
+    rows = _events(spark, sf_dir).where("tag = 'U'")
+    fields = [ORDER[0], Field("o_custkey", "i64", optional=True), Field("o_orderstatus", "string", optional=True)]
+    got = project.typed_changes(rows, "update", fields)
+    return got.select("seq", F.col("old.o_orderkey").alias("old_key"), F.col("new.o_orderkey").alias("new_key"), F.col("new.o_custkey").alias("customer"), F.col("new.o_orderstatus").alias("status"))
+
+
+def json_roundtrip(spark, sf_dir):
+    """Rows, texts and binary values, written as JSON and read back."""
+    rows = _events(spark, sf_dir).unionByName(_events(spark, sf_dir, "parts")).where("tag = 'I'")
+    back = project.row_from_json(project.row_json(F.col("new_row")))
+    return rows.groupBy("table", S.same_row(back, F.col("new_row")).alias("same")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def event_json(spark, sf_dir):
+    """Events as JSON, and what other readers find in it."""
+    rows = _events(spark, sf_dir).where("tag in ('I', 'B', 'C', 'D', 'E')").select("seq", project.event_json().alias("json"))
+    at = lambda path: F.get_json_object("json", f"$.event_type.{path}")
+    kind = F.when(F.get_json_object("json", "$.event_type") == "StreamStop", "StreamStop").otherwise(F.get(F.json_object_keys(F.get_json_object("json", "$.event_type")), F.lit(0)))
+    price = F.coalesce(at("Insert.data.o_orderkey"), at("Delete.old_data.o_orderkey"))
+    return rows.select("seq", kind.alias("kind"), F.get_json_object("json", "$.lsn").cast("long").alias("lsn"), price.cast("long").alias("o_orderkey"), F.coalesce(at("Begin.commit_timestamp"), at("Commit.commit_timestamp")).alias("committed"))
+
+
+def metrics_rates(spark, sf_dir):
+    return metrics.rates(silver.bronze(spark, sf_dir)).select("slot", "second", "n_frames")
+
+
 def full_identity_state(spark, sf_dir):
     """The table whose old rows are whole: rows told apart by value."""
     fields = [Field("p_partkey", "i64"), Field("p_name", "string"), Field("p_brand", "string"), Field("p_size", "i32"), Field("p_retailprice", "f64")]
@@ -263,7 +292,7 @@ def bucket_edges(spark, sf_dir):
     return _assigned(spark, sf_dir, "parts").where("tag in ('M', 'C')").select("seq", "tag", F.col("txn_id").alias("xid"), F.col("txn_seq").alias("begin_seq"))
 
 
-def open_transactions(spark, sf_dir):
+def undecided_transactions(spark, sf_dir):
     return txn.stats(_assigned(spark, sf_dir, "parts"))
 
 
@@ -272,7 +301,8 @@ NAMES = (
     "key_columns", "truncate_tables", "txn_assign", "txn_stats", "committed_only", "aborted_rows", "two_phase_visible", "bounded_replay",
     "bounded_replay_raw", "net_state", "net_state_whole_rows", "history_scd2", "toast_fill", "typed_strict", "typed_lenient", "row_json", "route_counts",
     "event_categories", "progress_lsn", "metrics_bytes", "metrics_latency", "snapshot_plus_stream", "encode_roundtrip", "quarantine", "frames_header",
-    "full_identity_state", "keyless_copies", "binary_columns", "full_old_rows", "reused_xids", "rolled_back_parts", "bucket_edges", "open_transactions",
+    "full_identity_state", "keyless_copies", "binary_columns", "full_old_rows", "reused_xids", "rolled_back_parts", "bucket_edges", "undecided_transactions",
+    "typed_update", "json_roundtrip", "event_json", "metrics_rates",
 )
 
 

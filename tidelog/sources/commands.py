@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Callable
+from dataclasses import dataclass, fields
 
 from tidelog.errors import LogError
 
@@ -140,7 +141,8 @@ def preflight(version: int, *features: str) -> None:
     for f in features:
         least, what = NEEDS[f]
         if 0 < version < least:
-            raise LogError("config", f"{what} requires PostgreSQL {least // 10000}+, but the server reports {version // 10000}.{version % 10000}")
+            verb = "require" if what.endswith("slots") else "requires"
+            raise LogError("config", f"{what} {verb} PostgreSQL {least // 10000}+, but the server reports {version // 10000}.{version % 10000}")
 
 
 @dataclass(frozen=True)
@@ -171,3 +173,71 @@ class StreamOptions:
         if self.streaming != "off":
             out["streaming"] = self.streaming
         return out | ({"origin": self.origin} if self.origin else {})
+
+
+@dataclass(frozen=True)
+class BackupOptions:
+    """Options of a base backup; they are written in this order."""
+
+    label: str | None = None
+    target: str | None = None
+    target_detail: str | None = None
+    progress: bool = False
+    checkpoint: str | None = None
+    wal: bool = False
+    wait: bool = False
+    compression: str | None = None
+    compression_detail: str | None = None
+    max_rate: int | None = None
+    tablespace_map: bool = False
+    verify_checksums: bool = False
+    manifest: str | None = None
+    manifest_checksums: str | None = None
+    incremental: bool = False
+
+    def parts(self) -> list[str]:
+        given = ((f.name.upper(), getattr(self, f.name)) for f in fields(self))
+        written = lambda name, x: (name if name == "INCREMENTAL" else f"{name} true") if x is True else f"{name} {x if isinstance(x, int) else literal(x)}"
+        return [written(name, x) for name, x in given if x is not None and x is not False]
+
+
+def base_backup(options: BackupOptions = BackupOptions()) -> str:  # noqa: B008
+    return f"BASE_BACKUP{_options(options.parts())}"
+
+
+def prepare_create_slot(version: int, name: str, logical: bool = True, plugin: str | None = "pgoutput", options: SlotOptions = SlotOptions()) -> str:  # noqa: B008
+    """create_slot(), for a server that is new enough for its options."""
+    if logical:
+        preflight(version, *[f for f in ("two_phase", "failover") if getattr(options, f)])
+    return create_slot(name, logical, plugin, options)
+
+
+def prepare_alter_slot(version: int, name: str, two_phase: bool | None = None, failover: bool | None = None) -> str:
+    preflight(version, "alter_slot", *["alter_two_phase"] * (two_phase is not None))
+    return alter_slot(name, two_phase, failover)
+
+
+def prepare_read_slot(version: int, name: str) -> str:
+    preflight(version, "read_slot")
+    return read_slot(name)
+
+
+def prepare_base_backup(version: int, options: BackupOptions = BackupOptions()) -> str:  # noqa: B008
+    if options.incremental:
+        preflight(version, "incremental_backup")
+    if options.parts() and 0 < version < NEEDS["backup_options"][0]:
+        said = f"BASE_BACKUP with options uses the PostgreSQL 15+ parenthesized grammar, but the server reports {version // 10000}.{version % 10000}; omit all options or use PostgreSQL 15+"
+        raise LogError("config", said)
+    return base_backup(options)
+
+
+def initialise(run: Callable[[str], object], slot: str, options: SlotOptions = SlotOptions(), plugin: str = "pgoutput") -> bool:  # noqa: B008
+    """Identifies the system and makes sure that the slot is there; True if it was created now, False if it was there."""
+    run("IDENTIFY_SYSTEM")
+    try:
+        run(create_slot(slot, plugin=plugin, options=options))
+    except LogError as e:
+        if "already exists" not in str(e):
+            raise
+        return False
+    return True

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import random
 import re
+import time
 from collections.abc import Callable
 from typing import TypeVar
 
@@ -58,13 +59,15 @@ def backoff(attempt: int, first: float = 1.0, factor: float = 2.0, most: float =
     return min(most, first * factor**attempt) * (1 + jitter * (2 * (rng or random).random() - 1))
 
 
-def with_retry(act: Callable[[], T], sleep: Callable[[float], None], attempts: int = 3) -> T:
-    """act(), again after errors that are retried; the last error is raised."""
+def with_retry(act: Callable[[], T], sleep: Callable[[float], None], attempts: int = 5, most: float = 300.0, clock: Callable[[], float] = time.monotonic) -> T:
+    """act(), again after errors that are retried, so often and so long (in seconds) at most; the last error is raised."""
+    began = clock()
     for k in range(attempts):
         try:
             return act()
         except LogError as e:
-            if not e.retried or k == attempts - 1:
+            wait = backoff(k)
+            if not e.retried or k == attempts - 1 or clock() - began + wait > most:
                 raise
-            sleep(backoff(k))
+            sleep(wait)
     raise LogError("config", "no attempts")

@@ -198,3 +198,47 @@ def split_frames(data: bytes, most: int = 128 << 20) -> tuple[list[tuple[str, by
         out.append((tag, bytes(data[at + 5 : at + 1 + n])))
         at += n + 1
     return out, bytes(data[at:])
+
+
+def hot_standby_feedback(sent: int, xmin: int, xmin_epoch: int, catalog_xmin: int, catalog_epoch: int) -> bytes:
+    return b"h" + struct.pack(">qIIII", sent, xmin, xmin_epoch, catalog_xmin, catalog_epoch)
+
+
+def copy_done() -> bytes:
+    return b"c" + struct.pack(">I", 4)
+
+
+def result_set(messages: list[tuple[str, bytes]]) -> list[dict[str, bytes | None]]:
+    """Rows of a query from the server's messages (tag, body) up to ready-for-query: T names columns, D is a row, C ends a command.
+
+    Of several commands the last one with rows counts. NULL is None and differs from an empty value. An error message
+    (E) raises; notices (N), status (S) and copy starts (W, H) are passed over.
+    """
+    rows: list[dict[str, bytes | None]] = []
+    names: list[str] = []
+    for tag, body in messages:
+        r = Reader(body)
+        if tag == "T":
+            rows, names = [], []
+            for _ in range(r.number("H")):
+                names.append(r.text())
+                r.take(18)
+        elif tag == "D":
+            values = []
+            for _ in range(r.number("H")):
+                n = r.number("i")
+                values.append(None if n < 0 else r.take(n))
+            rows.append(dict(zip(names, values, strict=True)))
+        elif tag == "E":
+            raise LogError("backend", error_text(body))
+        elif tag == "Z":
+            break
+    return rows
+
+
+def error_text(body: bytes) -> str:
+    """Severity, message and code of an error or notice message."""
+    r, parts = Reader(body), {}
+    while r.left() and (field := chr(r.number("B"))) != "\0":
+        parts[field] = r.text()
+    return f"{parts.get('S', 'ERROR')}: {parts.get('M', '')} ({parts.get('C', '')})"
