@@ -267,13 +267,49 @@ def test_pivots(spark):
     assert pivots.near_duplicates(frame.limit(0)).count() == 0
 
 
-def test_pivot_recall(spark):
-    frame = spark.read.parquet("/root/testdata/check_s/embeddings.parquet").where("label in (0, 1)")
-    rows = frame.collect()
-    v = np.array([r["embedding"] for r in rows], float)
-    v /= np.linalg.norm(v, axis=1, keepdims=True)
-    near = (v @ v.T >= pivots.COSINE) & (np.array([r["label"] for r in rows])[:, None] == np.array([r["label"] for r in rows]))
-    assert pivots.near_duplicates(frame).agg(F.sum("n_links")).first()[0] >= 0.9 * (near.sum() - len(rows))
+def planted(v, labels, rng):
+    """Rows of near copies on top of vectors: pairs just above and below the cosine, chains, exact copies, and a hot group of a third of all rows."""
+    unit = lambda x: x / np.linalg.norm(x, axis=-1, keepdims=True)
+    v = unit(v)
+
+    def at(x, cosine):
+        y = rng.normal(size=x.shape)
+        y = unit(y - (y * x).sum(-1, keepdims=True) * x)
+        return cosine * x + np.sqrt(1 - cosine**2) * y
+
+    rows, names = [v], [labels]
+    for cosine in (0.925, 0.9295, 0.9305, 0.935, 0.95, 0.99, 1.0):
+        some = rng.integers(0, len(v), 400)
+        rows.append(at(v[some], cosine))
+        names.append(labels[some])
+    hot = at(np.repeat(v[:1], 2000, 0), np.sqrt(0.95))
+    return np.concatenate([*rows, hot]), np.concatenate([*names, np.repeat(labels[:1], 2000)])
+
+
+@pytest.mark.parametrize("long", [pivots.LONG, 50])
+def test_pivot_recall(spark, monkeypatch, long):
+    """Links of thousands of planted near copies on top of sf0.1, many just above and below the cosine, against all pairs."""
+    rows = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").where("label is not null and embedding is not null").collect()
+    v, labels = planted(np.array([r["embedding"] for r in rows], float), np.array([r["label"] for r in rows]), np.random.default_rng(8))
+    near = (v @ v.T >= pivots.COSINE) & (labels[:, None] == labels)
+    frame = spark.createDataFrame([(k, x, int(y)) for k, (x, y) in enumerate(zip(v.tolist(), labels, strict=True))], "vec_id long, embedding array<double>, label int")
+    monkeypatch.setattr(pivots.linked, "__defaults__", (*pivots.linked.__defaults__[:-1], long))
+    got = {r["vec_id"]: r["n_links"] for r in pivots.near_duplicates(frame).collect()}
+    true, found = near.sum(1) - 1, np.array([got[k] for k in range(len(v))])
+    assert true.sum() > 1_000_000 and (found <= true).all()
+    lone = true < 100
+    assert found.sum() >= 0.95 * true.sum() and found[lone].sum() >= 0.9 * true[lone].sum()
+
+
+def test_long_lists_give_the_same_links(spark):
+    """Dealing a list out again loses no candidate and counts none twice."""
+    rng = np.random.default_rng(9)
+    v, labels = planted(rng.normal(size=(600, 16)), np.arange(600) % 2, rng)
+    frame = spark.createDataFrame([(k, x, str(y), 1) for k, (x, y) in enumerate(zip(v.tolist(), labels, strict=True))], "node long, v array<double>, label string, weight long")
+    described = pivots.describe(frame, pivots.draw_pivots(frame))
+    count = lambda found: {(r["node"], r["n"]) for r in found.where("edge = 0").groupBy("node").agg(F.sum("n").alias("n")).collect()}
+    few = count(pivots.linked(described, block=100, long=10**9))
+    assert few == count(pivots.linked(described, block=100, long=60)) and len(few) > 2000
 
 
 def test_pivot_recall_of_a_hot_group(spark):

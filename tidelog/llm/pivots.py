@@ -3,9 +3,13 @@
 Reference points (pivots) are vectors drawn by hash from the table, a number that grows with its root, no two of them
 close to each other: a group of near copies owns one pivot, however large it is, and its members' lists agree. Every
 vector is described by its nearest pivots in order, by cosine. Inverted lists hold the vectors of one label that name a
-pivot. Two vectors are candidates if they share enough pivots, or one that is close to both; each pair is looked at in the list of the lowest pivot they
-share, and its cosine is verified in double precision. Lists are compared block against block, so a hot list is many
-bounded tasks, and what leaves a block pair is counts and a spanning forest, never all pairs.
+pivot. Two vectors are candidates if they share enough pivots, or one that is close to both; each pair is looked at in
+the list of the lowest pivot they share, and its cosine is verified in double precision.
+
+A list that is long is dealt out again by the next pivot its vectors name, where a pair meets under the second lowest
+pivot it shares, and by closeness to the list's own pivot for pairs that share no other. Only what is long even then,
+vectors that agree on two pivots or lie close to one, is compared block against block. So a list is many bounded tasks,
+and what leaves a task is counts and a spanning forest, never all pairs.
 """
 
 from __future__ import annotations
@@ -13,30 +17,35 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidelog.sources.scratch import materialise
+
 from .components import components
-from .scratch import materialise
 
 COSINE = 0.93
 #: Nearest pivots that describe a vector, and how many two vectors must share.
 NEAREST, SHARED = 6, 2
-#: Pivots: the root of the number of vectors times this, within these bounds.
-PER_ROOT, FEWEST, MOST = 2.0, 16, 4096
+#: Pivots: the root of the number of vectors times this, within these bounds and so many bytes, as every worker has them.
+PER_ROOT, FEWEST, MOST, PIVOT_BYTES = 2.0, 16, 65_536, 32 << 20
 #: Cosine from which a pivot is close: no two pivots are, and vectors with a close pivot in common need no second one.
 CLOSE = 0.8
 #: Vectors looked at for each pivot wanted.
 DRAWS = 2
-#: Rows of a block of an inverted list.
-BLOCK = 512
+#: Rows of a block of an inverted list, and rows from which on a list is dealt out again.
+BLOCK, LONG = 512, 2048
+#: Lists that are not dealt out again, and those of vectors close to the list's pivot.
+WHOLE, NEARBY = -1, -2
+#: Fill of a vector's pivots after the last one.
+NOTHING = -(1 << 31)
 
 
 def usable(vectors: DataFrame, vec_id: str, embedding: str, label: str) -> DataFrame:
     """(vec_id, label, v) of the rows that can link: label and vector not null, components finite, norm above zero."""
-    v = F.col(embedding).cast("array<double>")
+    single = vectors.schema[embedding].dataType.simpleString() == "array<float>"
+    v = F.col(embedding).cast("array<float>" if single else "array<double>")
     fine = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists(v, lambda x: x != 0)
     rows = vectors.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(label).cast("string").alias("label"), v.alias("v"))
     return rows.where(F.col("label").isNotNull() & F.col("v").isNotNull()).where(fine)
@@ -44,23 +53,32 @@ def usable(vectors: DataFrame, vec_id: str, embedding: str, label: str) -> DataF
 
 def draw_pivots(nodes: DataFrame) -> np.ndarray:
     """Unit pivot vectors: of a bounded sample of the distinct vectors, by hash, those that are close to none before them."""
-    n = nodes.count()
-    k = int(np.clip(PER_ROOT * np.sqrt(n), FEWEST, MOST))
-    rows = nodes.select("v", F.xxhash64("v", F.lit("pivot")).alias("h")).orderBy("h").limit(DRAWS * k).collect()
-    if not rows:
+    seen = nodes.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("v")).alias("length")).first()
+    if not seen["n"]:
         return np.zeros((0, 0))
-    length = max(len(r["v"]) for r in rows)
-    points = [r["v"] for r in rows if len(r["v"]) == length]
-    return _spread(_unit(np.array(points, float).reshape(len(points), length)), k)
+    length = seen["length"]
+    k = int(np.clip(PER_ROOT * np.sqrt(seen["n"]), FEWEST, max(FEWEST, min(MOST, PIVOT_BYTES // (8 * length)))))
+    drawn = nodes.where(F.size("v") == length).select("v", F.xxhash64("v", F.lit("pivot")).alias("h")).orderBy("h").limit(DRAWS * k)
+    return _spread(_unit(_matrix(drawn.toArrow().column("v"), length)), k)
+
+
+def _matrix(v: pa.ChunkedArray | pa.Array, length: int) -> np.ndarray:
+    """Vectors of one length as rows of doubles."""
+    whole = v.combine_chunks() if isinstance(v, pa.ChunkedArray) else v
+    return whole.flatten().to_numpy(zero_copy_only=False).astype(float).reshape(-1, length)
 
 
 def _spread(points: np.ndarray, most: int) -> np.ndarray:
-    """The first points, at most so many, of which none is close to one before it."""
-    free, taken = np.ones(len(points), bool), []
-    for at in range(len(points)):
-        if free[at] and len(taken) < most:
-            taken.append(at)
-            free &= points @ points[at] < CLOSE
+    """The first points, at most so many, of which none is close to one before it; a block's against all others at once."""
+    taken: list[int] = []
+    for at in range(0, len(points), BLOCK):
+        block = points[at : at + BLOCK]
+        free = (block @ points[taken].T < CLOSE).all(1) if taken else np.ones(len(block), bool)
+        inner = block @ block.T
+        for k in range(len(block)):
+            if free[k] and len(taken) < most:
+                taken.append(at + k)
+                free &= inner[k] < CLOSE
     return points[taken]
 
 
@@ -75,46 +93,66 @@ def describe(nodes: DataFrame, pivots: np.ndarray, nearest: int = NEAREST) -> Da
     Vectors of another length get no pivot's list but their length's own.
     """
     shared = nodes.sparkSession.sparkContext.broadcast(pivots)
-    size = pivots.shape[1]
+    size, few = pivots.shape[1], min(nearest, len(pivots))
+    step = max(1, (8 << 20) // max(1, len(pivots)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 4096):
-                part = batch.slice(at, 4096)
-                vectors = part.column(2).to_pylist()
-                fits = [k for k, v in enumerate(vectors) if len(v) == size]
-                near: list[list[int]] = [[-len(v)] for v in vectors]
-                close = [0] * len(vectors)
-                if fits:
-                    cosines = _unit(np.array([vectors[k] for k in fits])) @ shared.value.T
-                    few = min(nearest, cosines.shape[1])
-                    order = np.argsort(-cosines, axis=1, kind="stable")[:, :few]
-                    many = (np.take_along_axis(cosines, order, 1) >= CLOSE).sum(1)
-                    for k, row, c in zip(fits, order.tolist(), many.tolist(), strict=True):
-                        near[k], close[k] = row, c
-                found = [pa.array(near, pa.list_(pa.int32())), pa.array(close, pa.int32())]
-                yield pa.RecordBatch.from_arrays([*part.columns, *found], [*part.schema.names, "near", "close"])
-
-    schema = "node long, label string, v array<double>, weight long, near array<int>, close int"
-    return nodes.select("node", "label", "v", "weight").mapInArrow(run, schema)
-
-
-def block_links(a: pd.DataFrame, b: pd.DataFrame, pivot: int, cosine: float, shared: int) -> tuple[np.ndarray, np.ndarray]:
-    """Index pairs (row of a, row of b) that are candidates whose lowest shared pivot is this one, verified by cosine."""
-    left, right = (_unit(np.array(x["v"].tolist(), float)) for x in (a, b))
-    names = np.unique(np.concatenate([np.concatenate(x["near"].tolist()) for x in (a, b)]))
-    hot, warm = ([np.zeros((len(x), len(names)), np.float32) for x in (a, b)] for _ in range(2))
-    for m, c, x in zip(hot, warm, (a, b), strict=True):
-        for k, (near, close) in enumerate(zip(x["near"], x["close"], strict=True)):
-            at = np.searchsorted(names, near)
-            m[k, at] = 1
-            c[k, at[:close]] = 1
+            for at in range(0, batch.num_rows, step):
+                part = batch.slice(at, step)
+                lengths = part.column(2).value_lengths().to_numpy(zero_copy_only=False)
+                fits = np.flatnonzero(lengths == size)
+                near = np.full((len(lengths), few), NOTHING, np.int64)
+                near[:, 0] = -lengths
+                close = np.zeros(len(lengths), np.int64)
+                if len(fits):
+                    cosines = _unit(_matrix(part.column(2).take(pa.array(fits)), size)) @ shared.value.T
+                    top = np.argpartition(-cosines, few - 1, axis=1)[:, :few]
+                    values = np.take_along_axis(cosines, top, 1)
+                    order = np.lexsort((top, -values), axis=1)
+                    near[fits] = np.take_along_axis(top, order, 1)
+                    close[fits] = (values >= CLOSE).sum(1)
+                kept = near != NOTHING
+                lists = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(kept.sum(1))), pa.int32()), pa.array(near[kept], pa.int32()))
+                yield pa.RecordBatch.from_arrays([*part.columns, lists, pa.array(close, pa.int32())], [*part.schema.names, "near", "close"])
+
+    kind = nodes.schema["v"].dataType.simpleString()
+    return nodes.select("node", "label", "v", "weight").mapInArrow(run, f"node long, label string, v {kind}, weight long, near array<int>, close int")
+
+
+def _one_hot(near: pa.Array, close: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The pivots that are named, in order, and for each row which of them it names and which of those are close."""
+    counts = near.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+    names, at = np.unique(near.flatten().to_numpy(zero_copy_only=False), return_inverse=True)
+    row = np.repeat(np.arange(len(counts)), counts)
+    place = np.arange(len(at)) - np.repeat(np.cumsum(counts) - counts, counts)
+    hot, warm = (np.zeros((len(counts), len(names)), np.float32) for _ in range(2))
+    hot[row, at] = 1
+    inner = place < close[row]
+    warm[row[inner], at[inner]] = 1
+    return names, hot, warm
+
+
+def block_links(table: pa.Table, a: np.ndarray, b: np.ndarray, pivot: int, sub: int, cosine: float, shared: int) -> tuple[np.ndarray, np.ndarray]:
+    """Row pairs (of a, of b) that are candidates of this list, verified by cosine: each pair of a label is one of one list."""
+    near, close = table.column("near").combine_chunks(), table.column("close").to_numpy()
+    vectors = table.column("v").combine_chunks()
+    units = _unit(_matrix(vectors, len(vectors[0])))
+    names, hot, warm = _one_hot(near, close)
     lower = int(np.searchsorted(names, pivot))
-    common = hot[0] @ hot[1].T
-    first = (hot[0][:, :lower] @ hot[1][:, :lower].T) == 0
-    need = np.minimum(shared, np.minimum(hot[0].sum(1)[:, None], hot[1].sum(1)[None]))
-    enough = (common >= need) | (warm[0] @ warm[1].T > 0)
-    return np.nonzero(enough & first & (left @ right.T >= cosine))
+    mine, other = hot[a], hot[b]
+    good = (mine[:, :lower] @ other[:, :lower].T) == 0
+    common = mine @ other.T
+    if sub == WHOLE:
+        need = np.minimum(shared, np.minimum(mine.sum(1)[:, None], other.sum(1)[None]))
+        good &= (common >= need) | (warm[a] @ warm[b].T > 0)
+    elif sub == NEARBY:
+        good &= common == 1
+    else:
+        upper = int(np.searchsorted(names, sub))
+        good &= (mine[:, lower + 1 : upper] @ other[:, lower + 1 : upper].T) == 0
+    i, j = np.nonzero(good & (units[a] @ units[b].T >= cosine))
+    return a[i], b[j]
 
 
 def _forest(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -131,44 +169,46 @@ def _forest(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return names[label[moved]], names[moved]
 
 
-def linked(described: DataFrame, cosine: float = COSINE, shared: int = SHARED, block: int = BLOCK) -> DataFrame:
+def lists(described: DataFrame, block: int = BLOCK, long: int = LONG) -> DataFrame:
+    """(label, pivot, sub, p, o, mine, row): the block pairs of all lists that hold two rows or more."""
+    row = F.struct("node", "weight", "v", "near", "close").alias("row")
+    posts = described.select("label", row, F.posexplode("near").alias("at", "pivot"))
+    sizes = posts.groupBy("label", "pivot").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    posts = posts.join(sizes, ["label", "pivot"])
+    later = F.filter("row.near", lambda q: q > F.col("pivot"))
+    nearby = F.when(F.col("at") < F.col("row.close"), F.array(F.lit(NEARBY))).otherwise(F.array().cast("array<int>"))
+    dealt = posts.where(F.col("n") > long).select("label", "pivot", "row", F.explode(F.concat(later, nearby)).alias("sub"))
+    inner = dealt.groupBy("label", "pivot", "sub").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    dealt = dealt.join(inner, ["label", "pivot", "sub"])
+    posts = posts.where(F.col("n") <= long).withColumn("sub", F.lit(WHOLE)).select(dealt.columns).unionByName(dealt)
+    pieces = F.ceil(F.col("n") / block)
+    posts = posts.withColumn("mine", F.pmod(F.xxhash64("row.node"), pieces)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), pieces - 1)))
+    return posts.select("label", "pivot", "sub", F.least("mine", "other").alias("p"), F.greatest("mine", "other").alias("o"), "mine", "row.*")
+
+
+def linked(described: DataFrame, cosine: float = COSINE, shared: int = SHARED, block: int = BLOCK, long: int = LONG) -> DataFrame:
     """What block pairs found: (edge 0, node, .., n) with a node's links by weight, and (edge 1, node, other).
 
     A node's weight is the number of equal vectors it stands for.
     """
-    posts = described.select("node", "label", "weight", "v", "near", "close", F.explode("near").alias("pivot"))
-    sizes = posts.groupBy("label", "pivot").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    posts = posts.join(sizes, ["label", "pivot"])
-    pieces = F.ceil(F.col("n") / block)
-    mine = F.pmod(F.xxhash64("node"), pieces)
-    posts = posts.withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), pieces - 1)))
-    posts = posts.select(
-        "label", "pivot", F.least("mine", "other").alias("p"), F.greatest("mine", "other").alias("o"), "mine", "node", "weight", "v", "near", "close"
-    )
 
-    def compare(part: pd.DataFrame) -> pd.DataFrame:
-        p, o, pivot = int(part["p"].iloc[0]), int(part["o"].iloc[0]), int(part["pivot"].iloc[0])
-        part = part.sort_values("node")
-        a, b = part[part["mine"] == p], part[part["mine"] == o]
-        if not len(a) or not len(b):
-            return pd.DataFrame({c: np.zeros(0, np.int64) for c in ("edge", "node", "other", "n")})
-        i, j = block_links(a, b, pivot, cosine, shared)
-        x, y = a["node"].to_numpy()[i], b["node"].to_numpy()[j]
-        keep = x < y if p == o else np.ones(len(x), bool)
-        x, y, i, j = x[keep], y[keep], i[keep], j[keep]
-        wa, wb = a["weight"].to_numpy(), b["weight"].to_numpy()
-        counts = pd.concat([pd.Series(wb[j]).groupby(x).sum(), pd.Series(wa[i]).groupby(y).sum()]).groupby(level=0).sum()
-        low, high = _forest(x, y)
-        return pd.DataFrame(
-            {
-                "edge": np.repeat([0, 1], [len(counts), len(low)]),
-                "node": np.concatenate([counts.index.to_numpy(np.int64), low]),
-                "other": np.concatenate([counts.index.to_numpy(np.int64), high]),
-                "n": np.concatenate([counts.to_numpy(np.int64), np.zeros(len(low), np.int64)]),
-            }
-        )
-
-    return posts.groupBy("label", "pivot", "p", "o").applyInPandas(compare, "edge long, node long, other long, n long")
+    def compare(table: pa.Table) -> pa.Table:
+        table = table.sort_by("node")
+        p, o, pivot, sub = (table.column(c)[0].as_py() for c in ("p", "o", "pivot", "sub"))
+        mine, node, weight = (table.column(c).to_numpy() for c in ("mine", "node", "weight"))
+        a, b = np.flatnonzero(mine == p), np.flatnonzero(mine == o)
+        i, j = block_links(table, a, b, pivot, sub, cosine, shared) if len(a) and len(b) else (a[:0], b[:0])
+        if p == o:
+            i, j = i[node[i] < node[j]], j[node[i] < node[j]]
+        counts = np.bincount(i, weight[j], len(node)) + np.bincount(j, weight[i], len(node))
+        some = np.flatnonzero(counts)
+        low, high = _forest(node[i], node[j])
+        none = np.zeros(len(low), np.int64)
+        columns = [np.repeat([0, 1], [len(some), len(low)]), np.append(node[some], low), np.append(node[some], high), np.append(counts[some].astype(np.int64), none)]
+        return pa.table([pa.array(c, pa.int64()) for c in columns], ["edge", "node", "other", "n"])
+
+    posts = lists(described, block, long)
+    return posts.groupBy("label", "pivot", "sub", "p", "o").applyInArrow(compare, "edge long, node long, other long, n long")
 
 
 def near_duplicates(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding", label: str = "label", cosine: float = COSINE) -> DataFrame:
@@ -177,7 +217,9 @@ def near_duplicates(vectors: DataFrame, vec_id: str = "vec_id", embedding: str =
     Vectors link only to vectors of the same label that is not null. Vectors that are null, empty, zero or hold a null
     or non-finite component link with nothing; so do rows with a null vec_id, whose component_id is null and which are
     kept. Equal vectors of a label are one node whose weight is their number, so repeated rows count as links of each
-    other; a vec_id should not name two different vectors. The pivots are a bounded sample; every vector is indexed.
+    other; a vec_id should not name two different vectors. Ties (equal cosines to pivots, and at the cosine asked for,
+which links) go by pivot number. An empty table gives an empty table; other columns are ignored, whatever their names.
+The pivots are a bounded sample; every vector is indexed.
     """
     fine = usable(vectors.where(F.col(vec_id).isNotNull()), vec_id, embedding, label)
     nodes = fine.groupBy("label", "v").agg(F.min("vec_id").alias("node"), F.count(F.lit(1)).alias("weight"))
