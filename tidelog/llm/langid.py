@@ -11,12 +11,13 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 #: First and last code point of the scripts that are told apart.
@@ -46,9 +47,8 @@ SWITCH = 9.0
 WORST = -6.0
 #: Labelled texts learned from, for each language (in expectation: rows are drawn by a hash).
 SAMPLE = 1500
-#: Words and languages a model keeps, by count.
-MAX_WORDS = 60_000
-MAX_LANGUAGES = 64
+#: Words a model keeps of each language's sample, by count.
+MAX_WORDS = 30_000
 GRAMS = 1 << 14
 #: Weight of a trigram score, as neighbouring trigrams say much the same.
 GRAM_WEIGHT = np.float32(0.5)
@@ -108,9 +108,13 @@ class Model:
 
 
 def learn(docs: DataFrame, lang: str = "lang", text: str = "text", sample: int = SAMPLE) -> Model:
-    """A model of the labelled rows; null labels and texts teach nothing, and no label at all gives a model without languages."""
+    """A model of the labelled rows; null labels and texts teach nothing, and no label at all gives a model without languages.
+
+    Every label is a language of the model, however rare. Labels are as many as there are languages, so their counts are
+    collected; of words, each language's own most frequent MAX_WORDS of its sample are.
+    """
     labelled = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull())
-    counts = labelled.groupBy(lang).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), lang).limit(MAX_LANGUAGES).collect()
+    counts = labelled.groupBy(lang).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), lang).collect()
     languages = sorted(r[lang] for r in counts)
     if not languages:
         return Model([])
@@ -133,7 +137,8 @@ def learn(docs: DataFrame, lang: str = "lang", text: str = "text", sample: int =
         yield _counted(seen)
 
     table = rows.mapInArrow(count, "language int, word string, n long").groupBy("language", "word").agg(F.sum("n").alias("n"))
-    kept = table.orderBy(F.desc("n"), "word", "language").limit(2 * MAX_WORDS).collect()
+    rank = F.row_number().over(W.partitionBy("language").orderBy(F.desc("n"), "word"))
+    kept = table.withColumn("rank", rank).where(F.col("rank") <= MAX_WORDS).collect()
     by_word: dict[str, np.ndarray] = {}
     for r in kept:
         by_word.setdefault(r["word"], np.zeros(len(languages)))[r["language"]] = r["n"]
@@ -150,9 +155,9 @@ def learn(docs: DataFrame, lang: str = "lang", text: str = "text", sample: int =
     own = scripts >= OWN_SCRIPT * np.maximum(total, 1)
     own[-1] = True
     own[~own.any(1)] = True
-    table = np.log((counts + 0.5) / (total + 0.5 * len(words)))[counts.sum(1) >= 3][:MAX_WORDS].astype(np.float32)
+    table = np.log((counts + 0.5) / (total + 0.5 * len(words)))[counts.sum(1) >= 3].astype(np.float32)
     return Model(
-        languages, {w: k for k, w in enumerate(words[: len(table)])}, table, np.log(by_gram / by_gram.sum(0)).astype(np.float32), own
+        languages, {w: k for k, w in enumerate([w for w, n in zip(words, counts.sum(1), strict=True) if n >= 3])}, table, np.log(by_gram / by_gram.sum(0)).astype(np.float32), own
     )
 
 
@@ -250,31 +255,42 @@ def identify(docs: DataFrame, model: Model, keep: list[Column], text: str = "tex
     """The kept columns, lang_pred, score and spans (array of lang, start, end in code points) of every whole text.
 
     Null and empty texts and texts without a letter are `und` with score 0 and no span. A row's result depends on its
-    text alone, so repeated rows agree; an empty table gives an empty table.
+    text alone, whole and however long, so repeated rows agree; an empty table gives an empty table. A kept column named
+    like a result gives way to it.
     """
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(model)
-    rows = docs.select(F.col(f"`{text}`").cast("string").alias("_text"), *keep)
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema[1:]), "lang_pred string", "score double", "spans array<struct<lang:string,start:int,end:int>>"])
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    results = {"lang_pred": "string", "score": "double", "spans": "array<struct<lang:string,start:int,end:int>>"}
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def made() -> Callable[[pa.Array], list[pa.Array]]:
         scores = Scores(shared.value)
+
+        def run(texts: pa.Array) -> list[pa.Array]:
+            found = label(texts.to_pylist(), shared.value, scores, switch)
+            spans = [[{"lang": x, "start": a, "end": b} for x, a, b in f[2]] for f in found]
+            kind = pa.list_(pa.struct([("lang", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
+            return [pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64()), pa.array(spans, kind)]
+
+        return run
+
+    return by_text(docs, keep, text, results, made)
+
+
+def by_text(docs: DataFrame, keep: list[Column], text: str, results: dict[str, str], made: Callable[[], Callable[[pa.Array], list[pa.Array]]]) -> DataFrame:
+    """The kept columns, but for those named like a result, and the results of each text: made() in a worker gives a function of a block of texts."""
+    names = docs.select(*keep).columns
+    some = [k for k, n in enumerate(names) if n not in results]
+    row = F.struct(F.lit(0).alias("n"), *[keep[k].alias(f"c{k}") for k in some])
+    rows = docs.select(F.col(f"`{text}`").cast("string").alias("text"), row.alias("kept"))
+    schema = f"kept {rows.schema['kept'].dataType.simpleString()}, " + ", ".join(f"{n} {t}" for n, t in results.items())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = made()
         for batch in batches:
             for at, n in blocks(batch.column(0)):
                 part = batch.slice(at, n)
-                found = label(part.column(0).to_pylist(), shared.value, scores, switch)
-                spans = [[{"lang": x, "start": a, "end": b} for x, a, b in f[2]] for f in found]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        *part.columns[1:],
-                        pa.array([f[0] for f in found], pa.string()),
-                        pa.array([f[1] for f in found], pa.float64()),
-                        pa.array(spans, pa.list_(pa.struct([("lang", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))),
-                    ],
-                    [*part.schema.names[1:], "lang_pred", "score", "spans"],
-                )
-
-    return rows.mapInArrow(run, schema)
+                yield pa.RecordBatch.from_arrays([part.column(1), *found(part.column(0))], ["kept", *results])
+
+    return rows.mapInArrow(run, schema).select(*[F.col("kept")[f"c{k}"].alias(names[k]) for k in some], *results)
 
 
 def blocks(texts: pa.Array, size: int = BLOCK * 6) -> Iterator[tuple[int, int]]:
