@@ -1,17 +1,19 @@
 """Packing documents into fixed-length sequences by cutting-stock column generation.
 
 A document of more than one sequence is cut into full sequences and one rest, so the lengths to place are 1 to 1024;
-rounded up to classes of four tokens their histogram has at most 256 rows, whatever the corpus. On it the linear program of the cutting-stock problem
-is solved by column generation: a basis of patterns gives each length a price, an unbounded-knapsack dynamic program
-finds the best-priced pattern, and it enters the basis until the Farley bound says that no plan can be noticeably
-shorter, or twice as many patterns as there are classes have hardly shortened the plan. Basis patterns are used the rounded-down number of times; what is left (less than one use of each pattern) is
-filled by decreasing lengths. Pieces are ranked within their class, and the rank names the pattern, the sequence and the
-place in it by a lookup of bounded size; offsets are running sums of the true lengths within a sequence.
+short ones are planned as they are, longer ones in classes of two or four tokens, so the histogram has 352 rows at most,
+whatever the corpus. On it the linear program of the cutting-stock problem is solved by column generation: a basis of
+patterns gives each length a price, an unbounded-knapsack dynamic program finds the best-priced pattern, and it enters
+the basis until the Farley bound says that no plan can be noticeably shorter, or twice as many patterns as there are
+classes have hardly shortened the plan. Basis patterns are used the rounded-down number of times; what is left (less
+than one use of each pattern) is filled by decreasing lengths. Pieces are ranked within their class, and the rank names
+the pattern, the sequence and the place in it by binary search; offsets are running sums of the true lengths within a
+sequence.
 """
 
 from __future__ import annotations
 
-import os
+import json
 import re
 import zlib
 from collections.abc import Iterator
@@ -19,7 +21,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -27,55 +29,76 @@ from tidelog.sources.scratch import materialise
 
 LENGTH = 1024
 END_ID = 0
-#: Rank salts: rows of one length are ranked in so many parts.
-PARTS = 64
+#: Rows of a class that are ranked in one task, in expectation.
+PART = 1 << 18
 #: Column generation ends when the plan is within this share of the lower bound.
 GAP = 5e-4
-#: Lengths are planned in classes of so many tokens, rounded up.
-GRAIN = 4
+#: Up to a length, lengths are planned in classes of so many tokens, rounded up.
+STEPS = ((64, 1), (256, 2), (LENGTH, 4))
+#: What splits a text into words before a byte-level BPE merges their bytes. Fixed value.
+WORDS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+
+
+def _byte_of() -> dict[str, int]:
+    """The byte each character of a byte-level vocabulary stands for: printable ones themselves, the others from U+0100 on."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in plain]
+    return {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(others)}
 
 
 class Encoder:
-    """Ids of a byte-level BPE vocabulary file; control strings in a text are ordinary text.
+    """Ids of a tokenizer's JSON file, as its library gives them with add_special_tokens=False.
 
-    The vocabulary's rank file next to the given one is used where present, as it encodes faster to the same ids. The
-    word pattern's lookahead only matters where two white-space characters meet; other texts go without it.
+    The file's added tokens are found in a text and have their own ids, or are ordinary text if control is False. A
+    plain byte-level BPE, as the file says it is, is encoded by its merges as ranks, which gives the same ids faster; any
+    other file by the library itself. The word pattern's lookahead only matters where two white-space characters meet;
+    other texts go without it.
     """
 
     _adjacent = re.compile(r"\s\s")
     _lookahead = r"|\s+(?!\S)"
 
-    def __init__(self, path: str):
-        ranks = re.sub(r"\.json$", ".tiktoken", path)
-        if ranks != path and os.path.exists(ranks):
-            import base64
-
-            import tiktoken
-
-            with open(ranks, "rb") as f:
-                table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-            whole = _pattern()
-            made = lambda p: tiktoken.Encoding("ranks", pat_str=p, mergeable_ranks=table, special_tokens={}).encode_ordinary
-            self._encode = made(whole)
-            self._plain = made(whole.replace(self._lookahead, "")) if self._lookahead in whole else self._encode
-        else:
+    def __init__(self, path: str, control: bool = True):
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        added = {t["content"]: t["id"] for t in spec["added_tokens"]} if control else {}
+        ranks = self._ranks(spec)
+        if ranks is None:
             from tokenizers import Tokenizer
 
             own = Tokenizer.from_file(path)
-            own.encode_special_tokens = True
+            own.encode_special_tokens = not control
             self._encode = self._plain = lambda text: own.encode(text, add_special_tokens=False).ids
+            return
+        import tiktoken
+
+        made = lambda pattern: tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens=added)
+        whole, short = made(WORDS), made(WORDS.replace(self._lookahead, ""))
+        marks = re.compile("|".join(map(re.escape, added))) if added else None
+        pick = lambda e: lambda text: e.encode(text, allowed_special="all") if marks and marks.search(text) else e.encode_ordinary(text)
+        self._encode, self._plain = pick(whole), pick(short)
+
+    @staticmethod
+    def _ranks(spec: dict) -> dict[bytes, int] | None:
+        """Bytes and id of each token, if ids order the merges and nothing else shapes the ids; else None."""
+        model, split = spec["model"], spec.get("pre_tokenizer") or {}
+        plain = model.get("type") == "BPE" and not any(model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges"))
+        plain &= split.get("type") == "ByteLevel" and not split.get("add_prefix_space") and split.get("use_regex", True) and not spec.get("normalizer")
+        plain &= all(not t[k] for t in spec["added_tokens"] for k in ("single_word", "lstrip", "rstrip", "normalized"))
+        if not plain:
+            return None
+        merges = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+        made = [model["vocab"].get(a + b) for a, b in merges]
+        byte_of = _byte_of()
+        added = {t["content"] for t in spec["added_tokens"]}
+        ranks = {bytes(byte_of[c] for c in token): k for token, k in model["vocab"].items() if token not in added}
+        return ranks if None not in made and made == sorted(made) and len(ranks) == len(merges) + 256 else None
 
     def ids(self, text: str) -> np.ndarray:
         encode = self._encode if self._adjacent.search(text) else self._plain
         return np.array(encode(text), np.uint32)
 
 
-def _pattern() -> str:
-    import public_tokenizers
-
-    return public_tokenizers.PATTERN
-
-
 def pieces(docs: DataFrame, tokenizer: str, with_ids: bool = True, length: int = LENGTH) -> DataFrame:
     """(doc_id, start, length, ids_crc32, doc_tokens[, ids]): each document's ids and the end id, cut at multiples of length."""
 
@@ -235,55 +258,78 @@ def _knapsack(sizes: np.ndarray, price: np.ndarray, length: int) -> tuple[float,
     return float(best[length]), column
 
 
-def _slots(done: Plan) -> list[tuple[int, int, int, int, int, int]]:
-    """(class, first rank, end rank, first sequence, uses of the class in a sequence, place of the first) rows."""
-    rows, base, ranks = [], 0, {}
-    for pattern, times in zip(done.patterns, done.uses, strict=True):
-        place = 0
-        for size, n in sorted(pattern.items(), reverse=True):
-            first = ranks.get(size, 0)
-            ranks[size] = first + n * times
-            rows.append((size, first, first + n * times, base, n, place))
-            place += n
-        base += times
-    return rows
-
-
-def pack(docs: DataFrame, tokenizer: str, with_ids: bool = True, length: int = LENGTH, grain: int = GRAIN) -> DataFrame:
+def class_of(length: Column) -> Column:
+    """The length a piece is planned as: rounded up by the step of its range."""
+    out = F.lit(None).cast("long")
+    for upto, step in reversed(STEPS):
+        out = F.when(length <= upto, F.ceil(length / step) * step).otherwise(out)
+    return out
+
+
+class Places:
+    """Sequence and place in it by class and rank: the runs of ranks that each pattern takes of a class."""
+
+    def __init__(self, done: Plan):
+        runs: dict[int, list[tuple[int, int, int, int]]] = {}
+        base, ranks = 0, {}
+        for pattern, times in zip(done.patterns, done.uses, strict=True):
+            place = 0
+            for size, n in sorted(pattern.items(), reverse=True):
+                first = ranks.get(size, 0)
+                ranks[size] = first + n * times
+                runs.setdefault(size, []).append((first, base, n, place))
+                place += n
+            base += times
+        self.runs = {size: np.array(r, np.int64).T for size, r in runs.items()}
+
+    def find(self, size: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        sequence, place = np.zeros(len(rank), np.int64), np.zeros(len(rank), np.int64)
+        for s in np.unique(size):
+            rows = size == s
+            first, base, n, at = self.runs[int(s)]
+            k = np.searchsorted(first, rank[rows], "right") - 1
+            inner = rank[rows] - first[k]
+            sequence[rows], place[rows] = base[k] + inner // n[k], at[k] + inner % n[k]
+        return sequence, place
+
+
+def pack(docs: DataFrame, tokenizer: str, with_ids: bool = True, length: int = LENGTH) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset [, ids].
 
-    Null and empty texts are one piece of the end id alone. Rows of one doc_id, repeated or not, are packed one by
-    one. An empty table gives an empty table. Other columns of the input are ignored. What reaches the driver is the
-    histogram (at most length / grain rows times PARTS); what is broadcast is the rank offsets (as many rows) and the
-    plan's slots, whose number depends on the classes alone.
+    Null and empty texts are one piece of the end id alone; a text of any length is cut into as many pieces as it
+    needs, and its ids are held by one task. Rows of one doc_id, repeated or not, are packed one by one; pieces that tie
+    in rank are alike in all that is ranked. An empty table gives an empty table. Other columns of the input are
+    ignored, whatever their names. A class is ranked in parts of about PART rows. What reaches the driver is the count
+    of each class and of each part of the large ones; what workers get is these counts and the plan's runs, whose number
+    depends on the classes alone.
     """
     spark = docs.sparkSession
-    cut = materialise(pieces(docs, tokenizer, with_ids, length), "pieces")
-    cut = cut.withColumn("part", F.pmod(F.xxhash64("doc_id", "start"), F.lit(PARTS)).cast("int")).withColumn(
-        "size", F.ceil(F.col("length") / grain)
-    )
-    known = cut.groupBy("size", "part").agg(F.count(F.lit(1)).alias("n")).collect()
-    histogram: dict[int, int] = {}
-    offsets = []
-    for row in sorted(known, key=lambda r: (r["size"], r["part"])):
-        offsets.append((row["size"], row["part"], histogram.get(row["size"], 0)))
-        histogram[row["size"]] = histogram.get(row["size"], 0) + row["n"]
-    slots = spark.createDataFrame(
-        _slots(plan(histogram, length // grain)), "size long, first long, end long, base long, n long, slot long"
-    )
-    offsets = spark.createDataFrame(offsets, "size long, part int, before long")
+    cut = materialise(pieces(docs, tokenizer, with_ids, length).withColumn("size", class_of(F.col("length"))), "pieces")
+    histogram = {r["size"]: r["n"] for r in cut.groupBy("size").agg(F.count(F.lit(1)).alias("n")).collect()}
+    parts = F.create_map(*[F.lit(x).cast("long") for s, n in histogram.items() for x in (s, -(-n // PART))]) if histogram else F.create_map(F.lit(0).cast("long"), F.lit(1).cast("long"))
+    cut = cut.withColumn("part", F.pmod(F.xxhash64("doc_id", "start"), F.element_at(parts, F.col("size"))))
+    known = cut.groupBy("size", "part").agg(F.count(F.lit(1)).alias("n")).orderBy("size", "part").collect()
+    before: dict[int, np.ndarray] = {}
+    for s in histogram:
+        counts = np.zeros(-(-histogram[s] // PART), np.int64)
+        for r in known:
+            if r["size"] == s:
+                counts[r["part"]] = r["n"]
+        before[s] = np.cumsum(counts) - counts
+    shared = spark.sparkContext.broadcast((Places(plan(histogram, length)), before))
+
+    @F.arrow_udf("struct<sequence_id:long,place:long>")
+    def find(size: pa.Array, part: pa.Array, local: pa.Array) -> pa.Array:
+        places, offsets = shared.value
+        s, p, k = (x.to_numpy(zero_copy_only=False) for x in (size, part, local))
+        rank = k.astype(np.int64)
+        for one in np.unique(s):
+            rank[s == one] += offsets[int(one)][p[s == one]]
+        return pa.StructArray.from_arrays([pa.array(x) for x in places.find(s, rank)], ["sequence_id", "place"])
+
     by_rank = W.partitionBy("size", "part").orderBy("doc_id", "start", "ids_crc32")
-    ranked = cut.withColumn("local", F.row_number().over(by_rank) - 1).join(F.broadcast(offsets), ["size", "part"])
-    ranked = ranked.withColumn("rank", F.col("before") + F.col("local"))
-    k = F.col("rank") - F.col("first")
-    placed = (
-        ranked.join(F.broadcast(slots), "size")
-        .where("rank >= first and rank < end")
-        .withColumn("sequence_id", F.col("base") + F.floor(k / F.col("n")))
-        .withColumn("place", F.col("slot") + k % F.col("n"))
-    )
+    ranked = cut.withColumn("local", (F.row_number().over(by_rank) - 1).cast("long"))
+    placed = ranked.withColumn("at", find("size", "part", "local")).select("*", "at.sequence_id", "at.place")
     within = W.partitionBy("sequence_id").orderBy("place").rowsBetween(W.unboundedPreceding, -1)
     offset = F.coalesce(F.sum("length").over(within), F.lit(0).cast("long"))
-    return placed.select(
-        "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", offset.alias("offset"), *["ids"] * with_ids
-    )
+    return placed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", offset.alias("offset"), *["ids"] * with_ids)
