@@ -1,8 +1,10 @@
 """Licence scans by sentence rules.
 
-A text is split into sentences, each is normalised (lower case, everything but letters, digits and inner dots is one
-space) and looked up among known licence sentences. The identifiers found, in order, are matched against the licence
-rules, first rule first; what a rule matches is used up. Identifiers left over are reported as unmatched.
+A text is split into sentences: comment marks at the start of lines go, a wrapped line goes on in the next, and a
+sentence ends at . ! ? ; : before white space, at a blank line or at the text's end. Each is normalised (lower case,
+everything but letters, digits and inner dots is one space) and looked up among known licence sentences; one that is
+not known as a whole is looked up line by line. The identifiers found, in order, are matched against the licence rules,
+first rule first; what a rule matches is used up. Identifiers left over are reported as unmatched.
 
 Native: DataFrame functions only, one pass over the text and no shuffle.
 """
@@ -12,95 +14,141 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Identifier and normalised sentence. Fixed values.
-SENTENCES = (
-    ("apache2line", "licensed under the apache license version 2.0"),
-    ("apache2line", "this work is licensed under the apache license version 2.0"),
+#: Licences by identifier, as one-line notices name them (normalised). Fixed values.
+NAMES = (
+    ("Apache-2.0", ("apache license version 2.0", "apache 2.0 license", "apache license 2.0")),
+    ("MIT", ("mit license",)),
+    ("BSD-2-Clause", ("bsd 2 clause license", "2 clause bsd license")),
+    ("BSD-3-Clause", ("bsd 3 clause license", "3 clause bsd license")),
+    ("ISC", ("isc license",)),
+    ("GPL-2.0", ("gnu general public license version 2", "gpl version 2", "gplv2")),
+    ("GPL-3.0", ("gnu general public license version 3", "gpl version 3", "gplv3")),
+    ("LGPL-2.1", ("gnu lesser general public license version 2.1",)),
+    ("LGPL-3.0", ("gnu lesser general public license version 3",)),
+    ("AGPL-3.0", ("gnu affero general public license version 3",)),
+    ("MPL-2.0", ("mozilla public license version 2.0",)),
+    ("CC-BY-4.0", ("cc by 4.0", "creative commons attribution 4.0 international license")),
+    ("CC-BY-SA-4.0", ("cc by sa 4.0", "creative commons attribution sharealike 4.0 international license")),
+    ("CC-BY-NC-4.0", ("cc by nc 4.0", "creative commons attribution noncommercial 4.0 international license")),
+    ("CC0-1.0", ("cc0 1.0",)),
+)
+LEADS = ("", "this work is ", "this project is ", "this software is ", "this file is ", "the code is ")
+VERBS = ("licensed under ", "released under ", "distributed under ", "available under ")
+#: Identifiers that stand behind an SPDX tag. Fixed values.
+SPDX = (
+    "Apache-2.0", "MIT", "BSD-2-Clause", "BSD-3-Clause", "ISC", "GPL-2.0", "GPL-2.0-only", "GPL-2.0-or-later", "GPL-3.0", "GPL-3.0-only", "GPL-3.0-or-later",
+    "LGPL-2.1-only", "LGPL-2.1-or-later", "LGPL-3.0-only", "LGPL-3.0-or-later", "AGPL-3.0-only", "AGPL-3.0-or-later", "MPL-2.0", "CC0-1.0", "CC-BY-4.0", "CC-BY-SA-4.0", "Unlicense", "BSL-1.0",
+)
+#: Identifier and normalised sentence, as the published texts are split. Fixed values.
+TEXTS = (
+    ("apache2notice", "licensed under the apache license version 2.0 the license"),
     ("apache2you", "you may not use this file except in compliance with the license"),
     ("apache2get", "you may obtain a copy of the license at"),
     ("apache2asis", "unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis without warranties or conditions of any kind either express or implied"),
-    ("mitline", "released under the mit license"),
-    ("mitline", "licensed under the mit license"),
-    ("mitline", "this project is licensed under the mit license"),
+    ("apache2see", "see the license for the specific language governing permissions and limitations under the license"),
     ("mitgrant", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so subject to the following conditions"),
     ("mitkeep", "the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software"),
     ("mitasis", "the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of merchantability fitness for a particular purpose and noninfringement"),
+    ("mitliable", "in no event shall the authors or copyright holders be liable for any claim damages or other liability whether in an action of contract tort or otherwise arising from out of or in connection with the software or the use or other dealings in the software"),
     ("bsdgrant", "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met"),
     ("bsdsource", "redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer"),
     ("bsdbinary", "redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation and or other materials provided with the distribution"),
     ("bsdname", "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission"),
-    ("bsd3line", "licensed under the bsd 3 clause license"),
-    ("bsd2line", "licensed under the bsd 2 clause license"),
-    ("gpl3line", "this work is licensed under the gnu general public license version 3"),
-    ("gpl3line", "licensed under the gnu general public license version 3"),
-    ("gpl2line", "this work is licensed under the gnu general public license version 2"),
-    ("gpl2line", "licensed under the gnu general public license version 2"),
-    ("gplfree", "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 3 of the license or at your option any later version"),
-    ("gplhope", "this program is distributed in the hope that it will be useful but without any warranty without even the implied warranty of merchantability or fitness for a particular purpose"),
-    ("lgpl3line", "licensed under the gnu lesser general public license version 3"),
-    ("agpl3line", "licensed under the gnu affero general public license version 3"),
-    ("mpl2line", "this source code form is subject to the terms of the mozilla public license v. 2.0"),
-    ("mpl2line", "licensed under the mozilla public license version 2.0"),
-    ("ccby4line", "licensed under cc by 4.0"),
-    ("ccbysa4line", "licensed under cc by sa 4.0"),
-    ("ccbync4line", "licensed under cc by nc 4.0"),
+    ("bsdasis", "this software is provided by the copyright holders and contributors as is and any express or implied warranties including but not limited to the implied warranties of merchantability and fitness for a particular purpose are disclaimed"),
+    ("bsdliable", "in no event shall the copyright holder or contributors be liable for any direct indirect incidental special exemplary or consequential damages including but not limited to procurement of substitute goods or services"),
+    ("bsdliable", "in no event shall the copyright owner or contributors be liable for any direct indirect incidental special exemplary or consequential damages including but not limited to procurement of substitute goods or services"),
+    ("bsdloss", "loss of use data or profits"),
+    ("bsdcaused", "or business interruption however caused and on any theory of liability whether in contract strict liability or tort including negligence or otherwise arising in any way out of the use of this software even if advised of the possibility of such damage"),
+    ("iscgrant", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies"),
+    ("iscasis", "the software is provided as is and the author disclaims all warranties with regard to this software including all implied warranties of merchantability and fitness"),
+    ("gplfree", "this program is free software"),
+    ("gpl3later", "you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 3 of the license or at your option any later version"),
+    ("agpl3later", "you can redistribute it and or modify it under the terms of the gnu affero general public license as published by the free software foundation either version 3 of the license or at your option any later version"),
+    ("lgpl3later", "you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 3 of the license or at your option any later version"),
+    ("gplterms", "you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation"),
+    ("gpl2later", "either version 2 of the license or at your option any later version"),
+    ("gplhope", "this program is distributed in the hope that it will be useful but without any warranty"),
+    ("gpleven", "without even the implied warranty of merchantability or fitness for a particular purpose"),
+    ("mpl2line", "this source code form is subject to the terms of the mozilla public license v.2.0"),
     ("cc0line", "this work is dedicated to the public domain under cc0 1.0"),
     ("allrights", "all rights reserved"),
-    ("spdxapache2", "spdx license identifier apache 2.0"),
-    ("spdxmit", "spdx license identifier mit"),
-    ("spdxgpl3", "spdx license identifier gpl 3.0 or later"),
+)
+
+
+def _plain(name: str) -> str:
+    return name.lower().replace("-", " ")
+
+
+SENTENCES = (
+    *TEXTS,
+    *((f"line:{licence}", f"{lead}{verb}{the}{name}") for licence, names in NAMES for name in names for lead in LEADS for verb in VERBS for the in ("the ", "a ", "")),
+    *((f"spdx:{licence}", f"spdx license identifier {_plain(licence)}") for licence in SPDX),
 )
 #: Licence and the identifiers that name it, in order; rules are tried in this order. Fixed values.
 RULES = (
-    ("Apache-2.0", ("apache2line", "apache2you", "apache2get", "apache2asis")),
-    ("MIT", ("mitline", "mitgrant", "mitkeep", "mitasis")),
-    ("MIT", ("mitgrant", "mitkeep", "mitasis")),
-    ("BSD-3-Clause", ("bsdgrant", "bsdsource", "bsdbinary", "bsdname")),
-    ("BSD-2-Clause", ("bsdgrant", "bsdsource", "bsdbinary")),
-    ("GPL-3.0-or-later", ("gplfree", "gplhope")),
-    ("GPL-3.0-or-later", ("gplfree",)),
-    ("GPL-3.0-or-later", ("spdxgpl3",)),
-    ("Apache-2.0", ("apache2line",)),
-    ("Apache-2.0", ("spdxapache2",)),
-    ("MIT", ("mitline",)),
-    ("MIT", ("spdxmit",)),
-    ("BSD-3-Clause", ("bsd3line",)),
-    ("BSD-2-Clause", ("bsd2line",)),
-    ("GPL-3.0", ("gpl3line",)),
-    ("GPL-2.0", ("gpl2line",)),
-    ("LGPL-3.0", ("lgpl3line",)),
-    ("AGPL-3.0", ("agpl3line",)),
+    *(("Apache-2.0", (first, "apache2you", "apache2get", "apache2asis", *last)) for last in (("apache2see",), ()) for first in ("apache2notice", "line:Apache-2.0")),
+    *(("MIT", (*first, "mitgrant", "mitkeep", "mitasis", *last)) for last in (("mitliable",), ()) for first in (("line:MIT",), ())),
+    *((name, ("bsdgrant", "bsdsource", "bsdbinary", *own, *last)) for last in (("bsdasis", "bsdliable", "bsdloss", "bsdcaused"), ()) for name, own in (("BSD-3-Clause", ("bsdname",)), ("BSD-2-Clause", ()))),
+    ("ISC", ("iscgrant", "iscasis")),
+    ("ISC", ("iscgrant",)),
+    *((name, ("gplfree", *terms, *last)) for last in (("gplhope", "gpleven"), ()) for name, terms in (
+        ("GPL-3.0-or-later", ("gpl3later",)), ("AGPL-3.0-or-later", ("agpl3later",)), ("LGPL-3.0-or-later", ("lgpl3later",)), ("GPL-2.0-or-later", ("gplterms", "gpl2later")),
+    )),
+    ("Apache-2.0", ("apache2notice",)),
     ("MPL-2.0", ("mpl2line",)),
-    ("CC-BY-4.0", ("ccby4line",)),
-    ("CC-BY-SA-4.0", ("ccbysa4line",)),
-    ("CC-BY-NC-4.0", ("ccbync4line",)),
+    *((name, (f"spdx:{name}",)) for name in SPDX),
+    *((name, (f"line:{name}",)) for name, _ in NAMES),
     ("CC0-1.0", ("cc0line",)),
     ("Proprietary", ("allrights",)),
+)
+#: Every known sentence holds one of these; a text without any has no identifier.
+HINTS = ("licen", "copyright", "warrant", "permi", "software", "gpl", "cc0", "cc by", "cc-by", "public", "rights", "profits", "business", "compliance", "version", "mozilla")
+END = "\u0002"
+#: Regular expressions of the split, in order, and what replaces a match; they read alike in Java and RE2.
+STEPS = (
+    (r"(?m)^[ \t]*(/\*+|\*+/|\*+|//+|#+|;+|--+|<!--|%+)", ""),
+    (r"spdx-license-identifier[ \t]*:", "spdx-license-identifier "),
+    (r"\bv\.[ \t\r\n]+", "v."),
+    (r"[.!?;:]+([ \t\r\n]|$)", END + "\\1"),
+    (r"\n([ \t\r]*\n)+", END),
+    (r"[^a-z0-9.\n" + END + "]+", " "),
+    (r" ?\n ?", "\n"),
 )
 
 
 def sentences(text: Column) -> Column:
-    """Normalised sentences: they end at a line break, or at . ! ? ; : before white space or the end."""
-    lines = F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"[.!?;:]+(?=[ \t\r]|$)|[.!?;:]*\n", "\n")
-    plain = F.regexp_replace(lines, r"[^a-z0-9.\n]+", " ")
-    return F.split(F.regexp_replace(plain, r" ?\n ?", "\n"), "\n")
+    """Sentences, normalised but for the line breaks in them."""
+    out = F.lower(text)
+    for pattern, by in STEPS:
+        out = F.regexp_replace(out, pattern, by.replace("\\1", "$1"))
+    return F.split(out, END)
 
 
 def identifiers(text: Column) -> Column:
     """Identifiers of the known sentences of a text, in order."""
-    known = list(dict.fromkeys(s for _, s in SENTENCES))
-    found = F.filter(sentences(text), lambda s: F.trim(s).isin(known))
-    name = F.create_map(*[F.lit(x) for i, s in SENTENCES for x in (s, i)])
-    return F.transform(found, lambda s: F.element_at(name, F.trim(s)))
+    known = dict((s, i) for i, s in reversed(SENTENCES))
+    names = F.create_map(*[F.lit(x) for s, i in known.items() for x in (s, i)])
+    some = list(known)
+
+    def found(sentence: Column) -> Column:
+        lines = F.filter(F.transform(F.split(sentence, "\n"), lambda x: F.trim(x)), lambda x: x != "")
+        whole = F.array_join(lines, " ")
+        return F.when(whole.isin(some), F.array(whole)).otherwise(F.filter(lines, lambda x: x.isin(some)))
+
+    hit = F.transform(F.flatten(F.transform(sentences(text), found)), lambda s: F.element_at(names, s))
+    hinted = F.lower(text).rlike("|".join(HINTS))
+    return F.when(hinted, hit).otherwise(F.array().cast("array<string>"))
 
 
 def scan(docs: DataFrame, text: str = "text") -> DataFrame:
     """The input's columns plus license_scan: struct<identifiers, licenses (in rule order, repeats kept), unmatched>.
 
-    Null and empty texts have none of either. Each row is scanned alone, so repeated rows agree.
+    Null and empty texts have none of either. Each row is scanned alone and whole, however long, so repeated rows agree
+    and an empty table gives an empty table. An input column named license_scan gives way to the result.
     """
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    seen = docs.select(row.alias("row"), identifiers(F.col(f"`{text}`")).alias("ids"))
+    names = [c for c in docs.columns if c != "license_scan"]
+    row = F.struct(F.lit(0).alias("n"), *[F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(names)])
+    seen = docs.select(row.alias("row"), identifiers(F.coalesce(F.col(f"`{text}`"), F.lit(""))).alias("ids"))
     # every identifier stands between separators of its own, and what a rule used up between bars
     left = F.when(F.size("ids") > 0, F.concat(F.lit(";"), F.array_join("ids", ";;"), F.lit(";"))).otherwise(F.lit(""))
     state = F.struct(left.alias("left"), F.array().cast("array<string>").alias("found"))
@@ -108,14 +156,13 @@ def scan(docs: DataFrame, text: str = "text") -> DataFrame:
 
     def use(s: Column, r: Column) -> Column:
         times = ((F.length(s["left"]) - F.length(F.replace(s["left"], r["rule"], F.lit("")))) / F.length(r["rule"])).cast("int")
-        return F.struct(
-            F.replace(s["left"], r["rule"], F.lit("|")).alias("left"), F.concat(s["found"], F.array_repeat(r["name"], times)).alias("found")
-        )
+        return F.struct(F.replace(s["left"], r["rule"], F.lit("|")).alias("left"), F.concat(s["found"], F.array_repeat(r["name"], times)).alias("found"))
 
-    done = F.when(F.size("ids") > 0, F.aggregate(rules, state, use)).otherwise(state)
+    seen = seen.withColumn("state", state)
+    done = F.when(F.size("ids") > 0, F.aggregate(rules, F.col("state"), use)).otherwise(F.col("state"))
     seen = seen.withColumn("done", done)
     return seen.select(
-        "row.*",
+        *[F.col("row")[f"c{k}"].alias(c) for k, c in enumerate(names)],
         F.struct(
             F.col("ids").alias("identifiers"),
             F.col("done.found").alias("licenses"),

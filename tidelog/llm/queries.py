@@ -49,7 +49,7 @@ def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     tricky = "\\### Assistant: </turn> ok"
     own = spark.createDataFrame([(-7, 0, "user", tricky), (-7, 1, "assistant", tricky)], "conv_id long, turn long, role string, text string")
-    return chat.digest(chat.format_log(chat.message_log(said.unionByName(own))))
+    return chat.digest(chat.format_log(chat.streamed_log(said.unionByName(own))))
 
 
 def op5_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -147,35 +147,36 @@ FROM sized JOIN decided ON sized.skey = decided.skey AND substr(dkey, 1, 3) = de
 OP10_SQL = OP10_SQL.replace("PARTITION BY skey, block ORDER BY dkey", "PARTITION BY sized.skey, decided.block ORDER BY dkey")
 
 
-def _list(values) -> str:
-    return "[" + ", ".join("'" + v.replace("'", "''") + "'" for v in values) + "]"
-
-
 def _op1_sql() -> str:
-    """Sentences by the same splits; rules fold over a struct of what is left and what was found."""
-    known = list(dict.fromkeys(s for _, s in licenses.SENTENCES))
-    names = [dict((s, i) for i, s in licenses.SENTENCES)[s] for s in known]
+    """Sentences by the same splits, known ones from a table; rules fold over a struct of what is left and what was found."""
+    known = dict((s, i) for i, s in reversed(licenses.SENTENCES))
+    table = ", ".join(f"('{s}', '{i}')" for s, i in known.items())
+    plain = "lower(coalesce(text, ''))"
+    for pattern, by in licenses.STEPS:
+        quoted = lambda x: x.replace("'", "''").replace(licenses.END, "\\x02")
+        new = "chr(2) || '\\1'" if by == licenses.END + "\\1" else "chr(2)" if by == licenses.END else "chr(10)" if by == "\n" else f"'{by}'"
+        plain = f"regexp_replace({plain}, '{quoted(pattern)}', {new}, 'g')"
     steps = []
     for k, (name, ids) in enumerate(licenses.RULES):
         rule = f";{';;'.join(ids)};"
         steps.append(
             f"r{k} AS (SELECT doc_id, n_sentences, replace(left_over, '{rule}', '|') AS left_over, "
             f"list_concat(found, list_transform(range(CAST((length(left_over) - length(replace(left_over, '{rule}', ''))) / {len(rule)} AS BIGINT)), "
-            f"lambda i: '{name}')) AS found FROM {f'r{k - 1}' if k else 'known'})"
+            f"lambda i: '{name}')) AS found FROM {f'r{k - 1}' if k else 'listed'})"
         )
     return rf"""
-WITH lines AS (
-  SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(lower(coalesce(text, '')),
-         '[.!?;:]+([ \t\r]|$)|[.!?;:]*\n', E'\n\\1', 'g'), '[^a-z0-9.\n]+', ' ', 'g'), ' ?\n ?', E'\n', 'g') AS plain
-  FROM documents),
-ids AS (
-  SELECT doc_id, list_transform(list_filter(list_transform(string_split(plain, E'\n'), lambda s: trim(s)),
-         lambda s: list_contains({_list(known)}, s)), lambda s: {_list(names)}[list_position({_list(known)}, s)]) AS ids
-  FROM lines),
-known AS (
-  SELECT doc_id, CAST(len(ids) AS BIGINT) AS n_sentences,
+WITH known(sentence, id) AS (VALUES {table}),
+numbered AS (SELECT row_number() OVER () AS n, doc_id, {plain} AS plain FROM documents),
+cut AS (SELECT n, generate_subscripts(string_split(plain, chr(2)), 1) AS pos, unnest(string_split(plain, chr(2))) AS sentence FROM numbered),
+lined AS (SELECT n, pos, list_filter(list_transform(string_split(sentence, chr(10)), lambda x: trim(x)), lambda x: x <> '') AS lines FROM cut),
+whole AS (SELECT n, pos, 0 AS line, id FROM lined JOIN known ON array_to_string(lines, ' ') = sentence),
+parts AS (SELECT n, pos, generate_subscripts(lines, 1) AS line, unnest(lines) AS one FROM lined),
+single AS (SELECT n, pos, line, id FROM parts JOIN known ON one = sentence WHERE NOT EXISTS (SELECT 1 FROM whole WHERE whole.n = parts.n AND whole.pos = parts.pos)),
+ids AS (SELECT n, list(id ORDER BY pos, line) AS ids FROM (SELECT * FROM whole UNION ALL SELECT * FROM single) GROUP BY n),
+listed AS (
+  SELECT doc_id, CAST(coalesce(len(ids), 0) AS BIGINT) AS n_sentences,
          CASE WHEN len(ids) > 0 THEN ';' || array_to_string(ids, ';;') || ';' ELSE '' END AS left_over, []::VARCHAR[] AS found
-  FROM ids),
+  FROM numbered LEFT JOIN ids USING (n)),
 {", ".join(steps)}
 SELECT doc_id, n_sentences, coalesce(array_to_string(found, ','), '') AS licenses,
        coalesce(array_to_string(list_filter(regexp_split_to_array(left_over, '[;|]+'), lambda x: x <> ''), ','), '') AS unmatched
