@@ -1,9 +1,9 @@
 """Chat formatting by event-sourced reconstruction.
 
-A log of events is folded into final messages and the messages are rendered. Folding is keyed by message: the events of
-one message are sorted by sequence and streamed, so a task holds one message at a time. Rendering is keyed by
-conversation: messages are sorted by place and streamed as fragments whose concatenation is the formatted conversation,
-so no task holds a conversation, however long.
+A log of events is partitioned by conversation and sorted by message and sequence; the events of a message are folded
+into its final text one after the other, so a task holds one message at a time. The messages of a partition are then
+sorted by place and streamed as rendered fragments whose concatenation is the formatted conversation, so no task holds
+a conversation, however long, and the log crosses the network once.
 
 Events are `message` (starts a message with a text), `delta` (appends), `edit` (replaces the text), `regenerate` (drops
 the text, later deltas give the new one) and `delete` (drops the message). Template of a turn:
@@ -66,7 +66,8 @@ def fold(events: DataFrame) -> DataFrame:
     place is the sequence number of a message's first event. Nulls: no text is an empty one, no role an empty one, a
     null event is `message`, a null seq comes first. Ties in seq go by event order above, then role and text; equal
     rows are events of their own. A message whose last word is `delete` is left out; a delta, edit or regeneration of
-    a message that never started starts it.
+    a message that never started starts it. Rows of a conversation stay in one partition. Other columns are ignored; a
+    message's text is held whole by one task, a conversation's never is. An empty log gives an empty table.
     """
     order = F.coalesce(F.array_position(F.array(*map(F.lit, EVENTS)), F.coalesce("event", F.lit("message"))), F.lit(0)).cast("int")
     rows = events.select(
@@ -78,7 +79,7 @@ def fold(events: DataFrame) -> DataFrame:
         F.coalesce("text", F.lit("")).alias("text"),
     )
     keys = ["conv_id", "message_id"]
-    rows = rows.repartition(*keys).sortWithinPartitions(*keys, "seq", "event", "role", "text")
+    rows = rows.repartition("conv_id").sortWithinPartitions(*keys, "seq", "event", "role", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, place, role, parts, live = None, None, "", [], False
@@ -115,13 +116,14 @@ def _messages(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
 
 
-def fragments(messages: DataFrame) -> DataFrame:
+def fragments(messages: DataFrame, dealt: bool = False) -> DataFrame:
     """(conv_id, ordinal, at, fragment, loss_start, loss_end) in conversation order within each partition.
 
     fragment is a rendered turn, at its first code point in the conversation, loss_start and loss_end the masked code
-    points of the conversation (equal for turns without loss). Messages of equal place go by message_id, role, text.
+    points of the conversation (equal for turns without loss). Messages of equal place go by role, text, message_id. dealt
+    says that a conversation's messages are in one partition already, as fold() leaves them.
     """
-    rows = messages.repartition("conv_id").sortWithinPartitions("conv_id", "place", "role", "text", "message_id")
+    rows = (messages if dealt else messages.repartition("conv_id")).sortWithinPartitions("conv_id", "place", "role", "text", "message_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         conv, ordinal, at = object(), 0, 0
@@ -147,7 +149,7 @@ def fragments(messages: DataFrame) -> DataFrame:
 
 def format_log(events: DataFrame) -> DataFrame:
     """fragments() of fold(): an empty log gives an empty table; columns beside those named are ignored."""
-    return fragments(fold(events))
+    return fragments(fold(events), dealt=True)
 
 
 def digest(formatted: DataFrame) -> DataFrame:
@@ -214,3 +216,29 @@ def message_log(conversations: DataFrame) -> DataFrame:
         "role",
         "text",
     )
+
+
+def streamed_log(conversations: DataFrame) -> DataFrame:
+    """conversations as the log of a chat service that ends in the same messages.
+
+    By turn a message is sent whole (0 of 4), streamed in thirds (1), drafted and edited (2), or drafted, streamed,
+    regenerated and streamed again (3); every seventh turn one more message is sent and deleted. A message's events lie
+    in the log from its turn on, among those of later messages.
+    """
+    text, turn = F.coalesce("text", F.lit("")), F.coalesce("seq", F.lit(0).cast("long"))
+    third = F.ceil(F.char_length(text) / 3).cast("int")
+    cut = lambda k: F.substring(text, third * k + 1, third)
+    event = lambda k, kind, said: F.struct(F.lit("").alias("mark"), (F.col("seq") + k).alias("seq"), F.lit(kind).alias("event"), said.alias("text"))
+    deltas = lambda first: [event(first + k, "delta", cut(k)) for k in range(3)]
+    draft, none = F.lit("a draft </turn> that goes"), F.lit("")
+    way = F.pmod(turn, F.lit(4))
+    events = (
+        F.when(way == 1, F.array(event(0, "message", none), *deltas(1)))
+        .when(way == 2, F.array(event(0, "message", draft), event(5, "edit", text)))
+        .when(way == 3, F.array(event(0, "message", draft), event(1, "delta", draft), event(2, "regenerate", none), *deltas(3)))
+        .otherwise(F.array(event(0, "message", text)))
+    )
+    gone = F.transform(F.array(event(0, "message", draft), event(4, "delete", none)), lambda e: e.withField("mark", F.lit("gone")))
+    events = F.concat(events, F.when(F.pmod(turn, F.lit(7)) == 0, gone).otherwise(F.slice(gone, 1, 0)))
+    rows = message_log(conversations).select("conv_id", "message_id", "role", F.explode(events).alias("e"))
+    return rows.select("conv_id", F.concat("message_id", "e.mark").alias("message_id"), "e.seq", "e.event", "role", "e.text")
