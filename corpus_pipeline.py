@@ -38,10 +38,8 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with every secret masked and n_chars counted anew where one was."""
     found = secrets.scan(docs, secrets.network(), [_row(docs)])
-    masked, text = F.size("spans") > 0, F.col("row.text")
-    clean = F.when(masked, secrets.redacted(text, F.col("spans"))).otherwise(text)
-    kind = docs.schema["n_chars"].dataType
-    new = {"text": clean, "n_chars": F.when(masked, F.char_length(clean).cast(kind)).otherwise(F.col("row.n_chars"))}
+    masked, kind = F.size("spans") > 0, docs.schema["n_chars"].dataType
+    new = {"text": F.col("clean"), "n_chars": F.when(masked, F.char_length("clean").cast(kind)).otherwise(F.col("row.n_chars"))}
     return found.select(*[new.get(c, F.col("row")[c]).alias(c) for c in docs.columns])
 
 

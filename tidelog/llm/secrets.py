@@ -10,9 +10,9 @@ secret; its output is calibrated on held-out findings and the threshold is the h
 from __future__ import annotations
 
 import base64
+import bisect
 import re
 import string
-from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .charnet import CharNet, calibrate, encode, train
-from .langid import blocks
+from .langid import by_text
 
 KINDS = ("assign", "access", "hex", "model")
 WORDS = r"(?:[pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])"
@@ -55,9 +55,9 @@ def candidates(text: str, spans: list[tuple[int, int, int]]) -> list[tuple[int,
 
     Nothing a base span covers is looked at, but for values of credential words, which are seen whole.
     """
-    out = []
+    out, cover = [], Cover(spans)
     for m in CANDIDATE.finditer(text):
-        for a, b in _uncovered(*m.span(), spans):
+        for a, b in cover.left(*m.span()):
             out += _windows(text, a, b)
             parts = [(a + p.start(), a + p.end()) for p in PART.finditer(text[a:b])]
             if parts != [(a, b)]:
@@ -65,22 +65,33 @@ def candidates(text: str, spans: list[tuple[int, int, int]]) -> list[tuple[int,
     if "=" in text or ":" in text:
         for m in VALUE.finditer(text):
             a, b = m.span(m.lastindex)
-            if _uncovered(a, b, spans):
+            if cover.left(a, b):
                 out += [(x, y, a, b) for x, y, *_ in _windows(text, a, b)]
     return out
 
 
-def _uncovered(a: int, b: int, spans: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
-    """What the spans, in order, leave of a stretch."""
-    out = []
-    for s, _, e in spans:
-        if s >= b:
-            break
-        if e > a:
+class Cover:
+    """What spans cover, as stretches apart; tells what they leave of another one by binary search."""
+
+    def __init__(self, spans: list[tuple[int, int, int]]):
+        self.parts: list[tuple[int, int]] = []
+        for a, _, b in spans:
+            if self.parts and a <= self.parts[-1][1]:
+                self.parts[-1] = (self.parts[-1][0], max(b, self.parts[-1][1]))
+            else:
+                self.parts.append((a, b))
+        self.ends = [b for _, b in self.parts]
+
+    def left(self, a: int, b: int) -> list[tuple[int, int]]:
+        out = []
+        for k in range(bisect.bisect_right(self.ends, a), len(self.parts)):
+            s, e = self.parts[k]
+            if s >= b:
+                break
             if s > a:
                 out.append((a, s))
             a = max(a, e)
-    return [*out, (a, b)] if a < b else out
+        return [*out, (a, b)] if a < b else out
 
 
 def _windows(text: str, a: int, b: int) -> list[tuple[int, int, int, int]]:
@@ -189,25 +200,35 @@ def network() -> CharNet:
 
 
 def scan(docs: DataFrame, net: CharNet, keep: list[Column], text: str = "text") -> DataFrame:
-    """The kept columns and spans: array of (kind, start, end, score), in code points, by start.
+    """The kept columns, spans: array of (kind, start, end, score), in code points, by start, and clean: the text with its spans masked.
 
     Fixed patterns keep all of their spans, with score 1; kind `model` spans are the network's, and overlap none of
-    them. Null and empty texts have no span. Rows are scored one by one, so repeated rows agree.
+    them. Texts are looked at whole, however long. Null and empty texts have no span, and a text without one is clean as
+    it is. Rows are scored one by one, so repeated rows agree; an empty table gives an empty table. A kept column named
+    like a result gives way to it.
     """
     shared = docs.sparkSession.sparkContext.broadcast(net)
-    rows = docs.select(F.col(f"`{text}`").cast("string").alias("_text"), *keep)
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema[1:]), "spans array<struct<kind:string,start:int,end:int,score:double>>"])
     kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("score", pa.float64())]))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at, n in blocks(batch.column(0)):
-                part = batch.slice(at, n)
-                found = find(part.column(0).to_pylist(), shared.value)
-                spans = pa.array([[dict(zip(("kind", "start", "end", "score"), s, strict=True)) for s in f] for f in found], kind)
-                yield pa.RecordBatch.from_arrays([*part.columns[1:], spans], [*part.schema.names[1:], "spans"])
+    def run(texts: pa.Array) -> list[pa.Array]:
+        rows = texts.to_pylist()
+        found = find(rows, shared.value)
+        spans = pa.array([[dict(zip(("kind", "start", "end", "score"), s, strict=True)) for s in f] for f in found], kind)
+        return [spans, pa.array([masked(t, f) for t, f in zip(rows, found, strict=True)], pa.string())]
+
+    return by_text(docs, keep, text, {"spans": "array<struct<kind:string,start:int,end:int,score:double>>", "clean": "string"}, lambda: run)
 
-    return rows.mapInArrow(run, schema)
+
+def masked(text: str | None, spans: list[tuple[str, int, int, float]]) -> str | None:
+    """The text with every span replaced by a mark of its kind; of overlapping spans the first one's."""
+    if not spans:
+        return text
+    out, at = [], 0
+    for kind, a, b, _ in spans:
+        if a >= at:
+            out += [text[at:a], f"<secret:{kind}>"]
+        at = max(at, b)
+    return "".join([*out, text[at:]])
 
 
 def find(texts: list[str | None], net: CharNet) -> list[list[tuple[str, int, int, float]]]:
@@ -222,12 +243,13 @@ def find(texts: list[str | None], net: CharNet) -> list[list[tuple[str, int, int
             hits.setdefault(k, []).append((a, b, float(p)))
     for k, found in hits.items():
         whole: list[tuple[int, int, float]] = []
+        cover = Cover(spans[k])
         for a, b, p in sorted(found):
             if whole and a < whole[-1][1]:
                 whole[-1] = (whole[-1][0], max(b, whole[-1][1]), max(p, whole[-1][2]))
             else:
                 whole.append((a, b, p))
-        out[k] += [(x, 3, y, p) for a, b, p in whole for x, y in _uncovered(a, b, spans[k])]
+        out[k] += [(x, 3, y, p) for a, b, p in whole for x, y in cover.left(a, b)]
     return [[(KINDS[kind], a, b, p) for a, kind, b, p in sorted(s)] for s in out]
 
 
@@ -236,16 +258,3 @@ def digest(spans: Column) -> Column:
     return F.array_join(
         F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ","
     )
-
-
-def redacted(text: Column, spans: Column) -> Column:
-    """The text with every span replaced by a mark of its kind; overlapping spans are one."""
-    state = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
-
-    def step(s: Column, x: Column) -> Column:
-        gap = F.when(x["start"] > s["at"], F.concat(F.substring(text, s["at"] + 1, x["start"] - s["at"]), F.lit("<secret:"), x["kind"], F.lit(">")))
-        gap = gap.when(x["start"] == s["at"], F.concat(F.lit("<secret:"), x["kind"], F.lit(">"))).otherwise(F.lit(""))
-        return F.struct(F.concat(s["out"], gap).alias("out"), F.greatest(s["at"], x["end"]).alias("at"))
-
-    done = F.aggregate(spans, state, step)
-    return F.when(F.size(spans) == 0, text).otherwise(F.concat(done["out"], F.substring(text, done["at"] + 1, F.char_length(text))))
