@@ -19,13 +19,13 @@ from pyspark.sql import functions as F
 
 from tidelog.sources.scratch import materialise
 
-from .langid import blocks
+from .langid import by_text
 
 WORD = re.compile(r"[^\W\d_]+")
 #: Labelled documents learned from (in expectation: they are drawn by a hash).
 SAMPLE = 12_000
-#: Words counted and features kept, at most.
-COUNTED, FEATURES = 50_000, 2_000
+#: Features kept: of all words of the sample those that stand out most.
+FEATURES = 2_000
 #: A feature's signed root of the likelihood-ratio statistic is this at least.
 STANDS_OUT = 5.0
 PENALTY = 3e-4
@@ -97,7 +97,10 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model | N
     share = min(1.0, sample / max(n, 1))
     known = known.where(F.pmod(F.xxhash64("doc_id", F.lit("toxic")), F.lit(1 << 30)) < share * (1 << 30))
     texts = docs.where("text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    rows = materialise(texts.join(F.broadcast(known), "doc_id").select("toxic", "text"), "labelled")
+    rows = materialise(texts.join(F.broadcast(known), "doc_id").select("doc_id", "toxic", "text"), "labelled")
+    # a doc_id may stand in many rows: so that the sample stays bounded these are drawn from as well
+    most = min(1.0, 2 * sample / max(rows.count(), 1))
+    rows = rows.where(F.pmod(F.xxhash64("doc_id", "text", F.lit("row")), F.lit(1 << 30)) < most * (1 << 30)).select("toxic", "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[str, list[int]] = {}
@@ -111,15 +114,14 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model | N
         yield _counts(seen)
 
     per = rows.mapInArrow(count, "word string, clean long, toxic long").groupBy("word").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
-    table = per.orderBy(F.desc(F.col("clean") + F.col("toxic")), "word").limit(COUNTED).collect()
     size = {r["toxic"]: r["n"] for r in rows.groupBy((F.col("toxic") > 0).alias("toxic")).agg(F.count(F.lit(1)).alias("n")).collect()}
     if len(size) < 2:
         return None
-    a, b = (np.array([r[c] for r in table], float) for c in ("clean", "toxic"))
-    z = _stands_out(a, b, size[False], size[True])
-    best = [k for k in np.argsort(-np.abs(z), kind="stable")[:FEATURES] if abs(z[k]) >= STANDS_OUT] or list(np.argsort(-np.abs(z), kind="stable")[:20])
-    place = {table[k]["word"]: i for i, k in enumerate(best)}
-    marks = {table[k]["word"] for k in best if z[k] > 0}
+    per = per.withColumn("z", _stands_out(F.col("clean"), F.col("toxic"), size[False], size[True]))
+    table = per.orderBy(F.desc(F.abs("z")), "word").limit(FEATURES).collect()
+    best = [r for r in table if abs(r["z"]) >= STANDS_OUT] or table[:20]
+    place = {r["word"]: i for i, r in enumerate(best)}
+    marks = {r["word"] for r in best if r["z"] > 0}
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -133,7 +135,8 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model | N
                 amount.append(float(sum(np.log1p(n) for w, n in words.items() if w in marks)))
             yield pa.RecordBatch.from_arrays([pa.array(toxic, pa.int32()), pa.array(at, pa.list_(pa.int32())), pa.array(value, pa.list_(pa.float64())), pa.array(amount, pa.float64())], ["toxic", "at", "value", "amount"])
 
-    made = rows.mapInArrow(features, "toxic int, at array<int>, value array<double>, amount double").orderBy("toxic", "amount", "at", "value").collect()
+    made = rows.mapInArrow(features, "toxic int, at array<int>, value array<double>, amount double").collect()
+    made.sort(key=lambda r: (r["toxic"], r["amount"], r["at"], r["value"]))
     toxic, amount = np.array([r["toxic"] > 0 for r in made]), np.array([r["amount"] for r in made])
     grade = np.where(toxic, 1 + (amount > np.median(amount[toxic])), 0)
     x = [dict(zip(r["at"], r["value"], strict=True)) for r in made]
@@ -141,12 +144,12 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model | N
     return Model({w: float(weights[i]) for w, i in place.items()}, thresholds)
 
 
-def _stands_out(a: np.ndarray, b: np.ndarray, n_a: int, n_b: int) -> np.ndarray:
+def _stands_out(a: Column, b: Column, n_a: int, n_b: int) -> Column:
     """Signed root of the likelihood-ratio statistic of a of n_a texts against b of n_b."""
-    share = (a + b) / (n_a + n_b)
-    part = lambda seen, awaited: np.where(seen > 0, seen * np.log(np.maximum(seen, 1e-9) / np.maximum(awaited, 1e-9)), 0.0)
+    share = (a + b) / F.lit(float(n_a + n_b))
+    part = lambda seen, awaited: F.when(seen > 0, seen * F.log(seen / awaited)).otherwise(0.0)
     g = part(a, n_a * share) + part(n_a - a, n_a * (1 - share)) + part(b, n_b * share) + part(n_b - b, n_b * (1 - share))
-    return np.sqrt(np.maximum(2 * g, 0)) * np.sign(b / n_b - a / n_a)
+    return F.sqrt(F.greatest(2 * g, F.lit(0.0))) * F.signum(b / n_b - a / n_a)
 
 
 def _counts(seen: dict[str, list[int]]) -> pa.RecordBatch:
@@ -158,28 +161,23 @@ def _counts(seen: dict[str, list[int]]) -> pa.RecordBatch:
 
 
 def grade(docs: DataFrame, model: Model | None, keep: list[Column], text: str = "text") -> DataFrame:
-    """The kept columns, severity (expected grade), grade (the likeliest) and toxic (the chance of a grade above 0 is over CUT).
+    """The kept columns, severity (expected grade), grade (the likeliest, of equal ones the lowest) and toxic (the chance of a grade above 0 is over CUT).
 
-    Null and empty texts score as a text without marking words. Without a model every severity is null and no row is
-    toxic. A row's result depends on its text alone; an empty table gives an empty table.
+    Texts are read whole, however long. Null and empty texts score as a text without marking words. Without a model
+    every severity is null and no row is toxic. A row's result depends on its text alone; an empty table gives an empty
+    table. A kept column named like a result gives way to it.
     """
-    rows = docs.select(F.col(f"`{text}`").cast("string").alias("_text"), *keep)
+    results = {"severity": "double", "grade": "int", "toxic": "boolean"}
     if model is None:
-        return rows.drop("_text").withColumns({"severity": F.lit(None).cast("double"), "grade": F.lit(None).cast("int"), "toxic": F.lit(False)})
+        names = docs.select(*keep).columns
+        kept = [c for c, n in zip(keep, names, strict=True) if n not in results]
+        return docs.select(*kept, F.lit(None).cast("double").alias("severity"), F.lit(None).cast("int").alias("grade"), F.lit(False).alias("toxic"))
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema[1:]), "severity double, grade int, toxic boolean"])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
-        for batch in batches:
-            for at, n in blocks(batch.column(0)):
-                part = batch.slice(at, n)
-                margins = np.array([model.margin(tokens(t.as_py())) for t in part.column(0)])
-                above = model.above(margins)
-                chance = -np.diff(np.column_stack([np.ones(n), above, np.zeros(n)]), axis=1)
-                yield pa.RecordBatch.from_arrays(
-                    [*part.columns[1:], pa.array(above.sum(1)), pa.array(chance.argmax(1).astype(np.int32)), pa.array(above[:, 0] > CUT)],
-                    [*part.schema.names[1:], "severity", "grade", "toxic"],
-                )
-
-    return rows.mapInArrow(run, schema)
+    def run(texts: pa.Array) -> list[pa.Array]:
+        own = shared.value
+        above = own.above(np.array([own.margin(tokens(t.as_py())) for t in texts]))
+        chance = -np.diff(np.column_stack([np.ones(len(texts)), above, np.zeros(len(texts))]), axis=1)
+        return [pa.array(above.sum(1)), pa.array(chance.argmax(1).astype(np.int32)), pa.array(above[:, 0] > CUT)]
+
+    return by_text(docs, keep, text, results, lambda: run)
