@@ -1,11 +1,10 @@
 """Packing documents into fixed-length sequences by cutting-stock column generation.
 
 A document of more than one sequence is cut into full sequences and one rest, so the lengths to place are 1 to 1024;
-short ones are planned as they are, longer ones in classes of two or four tokens, so the histogram has 352 rows at most,
-whatever the corpus. On it the linear program of the cutting-stock problem is solved by column generation: a basis of
-patterns gives each length a price, an unbounded-knapsack dynamic program finds the best-priced pattern, and it enters
-the basis until the Farley bound says that no plan can be noticeably shorter, or twice as many patterns as there are
-classes have hardly shortened the plan. Basis patterns are used the rounded-down number of times; what is left (less
+rounded up to classes of four tokens their histogram has at most 256 rows, whatever the corpus. On it the linear program
+of the cutting-stock problem is solved by column generation: a basis of patterns gives each length a price, an
+unbounded-knapsack dynamic program finds the best-priced pattern, and it enters the basis until the Farley bound says
+that no plan can be noticeably shorter, or twice as many patterns as there are classes have hardly shortened the plan. Basis patterns are used the rounded-down number of times; what is left (less
 than one use of each pattern) is filled by decreasing lengths. Pieces are ranked within their class, and the rank names
 the pattern, the sequence and the place in it by binary search; offsets are running sums of the true lengths within a
 sequence.
@@ -21,7 +20,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -33,8 +32,8 @@ END_ID = 0
 PART = 1 << 18
 #: Column generation ends when the plan is within this share of the lower bound.
 GAP = 5e-4
-#: Up to a length, lengths are planned in classes of so many tokens, rounded up.
-STEPS = ((64, 1), (256, 2), (LENGTH, 4))
+#: Lengths are planned in classes of so many tokens, rounded up: the plan's cost grows with the cube of their number.
+GRAIN = 4
 #: What splits a text into words before a byte-level BPE merges their bytes. Fixed value.
 WORDS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
@@ -180,7 +179,7 @@ def _column_generation(sizes: np.ndarray, demand: np.ndarray, length: int, gap:
     """Basis matrix (lengths x patterns), amounts and lower bound: a revised simplex whose columns a knapsack prices."""
     m = len(sizes)
     basis, amount = _first_basis(sizes, demand, length)
-    inverse, bound, before = np.linalg.inv(basis), demand @ sizes / length, np.inf
+    inverse, bound, before = _inverse(basis), float((demand * sizes).sum()) / length, np.inf
     for turn in range(60 * m):
         price = inverse.sum(0)
         value, column = _knapsack(sizes, price, length)
@@ -192,7 +191,8 @@ def _column_generation(sizes: np.ndarray, demand: np.ndarray, length: int, gap:
             if total > (1 - gap / 10) * before:
                 break
             before = total
-        direction = inverse @ column
+        used = np.flatnonzero(column)
+        direction = (inverse[:, used] * column[used]).sum(1)
         ratio = np.where(direction > 1e-10, np.maximum(amount, 0) / np.where(direction > 1e-10, direction, 1), np.inf)
         out = int(ratio.argmin())
         step = ratio[out]
@@ -203,11 +203,25 @@ def _column_generation(sizes: np.ndarray, demand: np.ndarray, length: int, gap:
         inverse -= np.outer(direction, row)
         inverse[out] = row
         if turn % 400 == 399:
-            inverse = np.linalg.inv(basis)
-            amount = inverse @ demand
+            inverse = _inverse(basis)
+            amount = (inverse * demand).sum(1)
     return basis, np.maximum(amount, 0), float(bound)
 
 
+def _inverse(a: np.ndarray) -> np.ndarray:
+    """Gauss-Jordan with row pivots, in plain array steps: threaded LAPACK calls can stall for minutes beside a busy JVM."""
+    m = len(a)
+    both = np.concatenate([a.astype(float), np.eye(m)], axis=1)
+    for k in range(m):
+        top = k + int(np.abs(both[k:, k]).argmax())
+        both[[k, top]] = both[[top, k]]
+        both[k] /= both[k, k]
+        rows = np.flatnonzero(both[:, k])
+        rows = rows[rows != k]
+        both[rows] -= np.outer(both[rows, k], both[k])
+    return both[:, m:]
+
+
 def _first_basis(sizes: np.ndarray, demand: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     """A feasible basis by decreasing lengths: column j is made for length j and filled up with shorter ones still in demand.
 
@@ -258,14 +272,6 @@ def _knapsack(sizes: np.ndarray, price: np.ndarray, length: int) -> tuple[float,
     return float(best[length]), column
 
 
-def class_of(length: Column) -> Column:
-    """The length a piece is planned as: rounded up by the step of its range."""
-    out = F.lit(None).cast("long")
-    for upto, step in reversed(STEPS):
-        out = F.when(length <= upto, F.ceil(length / step) * step).otherwise(out)
-    return out
-
-
 class Places:
     """Sequence and place in it by class and rank: the runs of ranks that each pattern takes of a class."""
 
@@ -293,7 +299,7 @@ class Places:
         return sequence, place
 
 
-def pack(docs: DataFrame, tokenizer: str, with_ids: bool = True, length: int = LENGTH) -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str, with_ids: bool = True, length: int = LENGTH, grain: int = GRAIN) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset [, ids].
 
     Null and empty texts are one piece of the end id alone; a text of any length is cut into as many pieces as it
@@ -304,7 +310,7 @@ def pack(docs: DataFrame, tokenizer: str, with_ids: bool = True, length: int = L
     depends on the classes alone.
     """
     spark = docs.sparkSession
-    cut = materialise(pieces(docs, tokenizer, with_ids, length).withColumn("size", class_of(F.col("length"))), "pieces")
+    cut = materialise(pieces(docs, tokenizer, with_ids, length).withColumn("size", F.ceil(F.col("length") / grain)), "pieces")
     histogram = {r["size"]: r["n"] for r in cut.groupBy("size").agg(F.count(F.lit(1)).alias("n")).collect()}
     parts = F.create_map(*[F.lit(x).cast("long") for s, n in histogram.items() for x in (s, -(-n // PART))]) if histogram else F.create_map(F.lit(0).cast("long"), F.lit(1).cast("long"))
     cut = cut.withColumn("part", F.pmod(F.xxhash64("doc_id", "start"), F.element_at(parts, F.col("size"))))
@@ -316,7 +322,7 @@ def pack(docs: DataFrame, tokenizer: str, with_ids: bool = True, length: int = L
             if r["size"] == s:
                 counts[r["part"]] = r["n"]
         before[s] = np.cumsum(counts) - counts
-    shared = spark.sparkContext.broadcast((Places(plan(histogram, length)), before))
+    shared = spark.sparkContext.broadcast((Places(plan(histogram, length // grain)), before))
 
     @F.arrow_udf("struct<sequence_id:long,place:long>")
     def find(size: pa.Array, part: pa.Array, local: pa.Array) -> pa.Array:
