@@ -4,7 +4,7 @@ Each text's counts are transformed to a vector (log words, log word length, log
 Per language and source, vectors are gathered on a grid, so a group is an array of cells with counts whose size the grid
 bounds, however many rows the group has; the group by cell is pre-aggregated before it is shuffled. On that array
 concentration steps run: the nearest three quarters by Mahalanobis distance give the next centre and covariance, from a
-median and a classical start, and the smaller determinant wins. Groups too small for an estimate take that of their
+median start, a classical one and some of hashed subsets of the cells, and the smallest determinant wins. Groups too small for an estimate take that of their
 language, or of all documents if the language is too small as well. A document is rejected beyond a chi-square cutoff.
 
 Native: DataFrame functions only.
@@ -29,13 +29,18 @@ CELLS = (48, 80, 24, 24)
 #: Standard deviation added to each dimension's own: statistics that are constant in a group still have a scale.
 FLOOR = (0.5, 0.1, 0.5, 0.5)
 #: Share of a group the estimate rests on, and the factor that makes its covariance consistent for normal vectors.
-CORE, CONSISTENT = 0.75, 1.44
+#: (0.75 over the chance that chi-square with 6 degrees is below the 0.75 quantile of that with 4.)
+CORE, CONSISTENT = 0.75, 1.487
+#: Starts from subsets, and the share of the cells that each has.
+SUBSETS, SUBSET = 4, 4
 CONCENTRATIONS = 5
 #: Squared distance beyond which a vector is an outlier: about the 1 - 1e-6 quantile of chi-square with 4 degrees.
 CUTOFF = 33.4
 #: Documents a group or language needs for an estimate of its own.
 LEAST = 30
 MIN_WORDS, MAX_REPEAT_PERCENT = 10, 20
+#: Groups up to which their estimates are broadcast; beyond that rows are joined to them, salted.
+FEW_GROUPS = 100_000
 SALTS = 32
 
 
@@ -195,29 +200,38 @@ def estimates(vectors: DataFrame) -> DataFrame:
         return F.aggregate(F.sequence(F.lit(1), F.lit(CONCENTRATIONS)), start, lambda s, _: _concentrate(c, total, s))
 
     size = lambda s: F.log(s["l00"]) + F.log(s["l11"]) + F.log(s["l22"]) + F.log(s["l33"])
-    both = F.array(converge(_median_start(c, total)), converge(let(_moments(c, total), _estimate)))
-    best = let(both, lambda b: F.when(size(F.get(b, F.lit(0))) <= size(F.get(b, F.lit(1))), F.get(b, F.lit(0))).otherwise(F.get(b, F.lit(1))))
+    chance = lambda x, k: F.pmod(F.xxhash64(*[x[d] for d in DIMS], F.lit(k)), F.lit(SUBSET))
+    some = [F.filter(c, lambda x, k=k: chance(x, k) == 0) for k in range(SUBSETS)]
+    subsets = [let(_moments(F.when(F.size(x) > 0, x).otherwise(c), total), _estimate) for x in some]
+    starts = F.array(_median_start(c, total), let(_moments(c, total), _estimate), *subsets)
+    ends = F.transform(starts, converge)
+    best = F.aggregate(ends, F.get(ends, F.lit(0)), lambda a, x: F.when(size(x) < size(a), x).otherwise(a))
     return placed.join(groups.select("pool", best.alias("state")), "pool").select("lang", "source", "state")
 
 
 def judge(docs: DataFrame, text: str = "text", carried: list[str] | None = None) -> DataFrame:
     """The carried columns (all by default) plus quality: struct<statistics.., base_failed, distance, kept>.
 
-    Null texts have no words and fail the base. Null languages and sources are groups of their own. Every
-    document that passes the base has a distance; for others it is null. Vectors are compared, not rows, so repeated rows and ties agree; an empty table gives an empty table. Texts are read once: statistics and
-    carried columns go to a table in the shared folder, from which the estimates and the verdict read. What is shuffled
-    is cells, and for the verdict each row once, salted within its group.
+    Null texts have no words and fail the base. Null languages and sources are groups of their own. Every document
+    that passes the base has a distance; for others it is null. Vectors are compared, not rows, so repeated rows and
+    ties agree; an empty table gives an empty table. Texts are read whole, however long, and once: statistics and carried
+    columns go to a table in the shared folder, from which the estimates and the verdict read. What is shuffled is cells;
+    rows only where there are too many groups to broadcast their estimates. A carried column named quality gives way.
     """
-    row = F.struct(F.lit(True).alias("_"), *[F.col(f"`{c}`") for c in (docs.columns if carried is None else carried)])
+    names = [c for c in (docs.columns if carried is None else carried) if c != "quality"]
+    row = F.struct(F.lit(True).alias("_"), *[F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(names)])
     group = lambda c: F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("")).alias(c)
     measured = materialise(docs.select(row.alias("row"), statistics(F.col(f"`{text}`")).alias("s"), group("lang"), group("source")), "statistics")
     measured = measured.withColumn("failed", base_failed(F.col("s")))
     vectors = measured.where("not failed").select("lang", "source", *[v.alias(x) for v, x in zip(vector(F.col("s")), DIMS, strict=True)])
-    found = estimates(vectors).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    salted = measured.withColumn("salt", F.pmod(F.xxhash64("s", "row"), F.lit(SALTS)).cast("int"))
-    joined = salted.join(found, ["lang", "source", "salt"], "left")
+    found = materialise(estimates(vectors), "estimates")
+    if found.count() <= FEW_GROUPS:
+        joined = measured.join(F.broadcast(found), ["lang", "source"], "left")
+    else:
+        found = found.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        salted = measured.withColumn("salt", F.pmod(F.xxhash64("s", "row"), F.lit(SALTS)).cast("int"))
+        joined = salted.join(found, ["lang", "source", "salt"], "left")
     distance = F.when(~F.col("failed") & F.col("state").isNotNull(), _distance(vector(F.col("s")), F.col("state")))
     joined = joined.withColumn("distance", distance)
     verdict = F.struct("s.*", F.col("failed").alias("base_failed"), "distance", (~F.col("failed") & (F.coalesce("distance", F.lit(0.0)) <= CUTOFF)).alias("kept"))
-    names = [f.name for f in measured.schema["row"].dataType][1:]
-    return joined.select(*[F.col("row")[c].alias(c) for c in names], verdict.alias("quality"))
+    return joined.select(*[F.col("row")[f"c{k}"].alias(c) for k, c in enumerate(names)], verdict.alias("quality"))
