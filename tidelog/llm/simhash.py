@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tidelog.operators.carry import broadcast_if_few
 from tidelog.sources.scratch import materialise
 
 from .components import components
@@ -31,6 +32,8 @@ PIECE = 2048
 #: Words of 64 lanes compared at a time.
 CHUNK = 1 << 16
 ALL = np.uint64(0xFFFFFFFFFFFFFFFF)
+#: Fingerprints, or ids, up to which they are broadcast, and salts of the join beyond that.
+FEW_NAMED, SALTS = 1_000_000, 32
 
 
 def fingerprint(text: str | None, size: int = SHINGLE) -> int:
@@ -69,7 +72,11 @@ def fingerprints(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") ->
 
 
 def block_masks(n: int, radius: int = RADIUS) -> list[int]:
-    """Bit masks of the bucket tables: the fewest blocks for which n random fingerprints leave at most 64 in a bucket."""
+    """Bit masks of the bucket tables: the fewest blocks for which n random fingerprints leave at most 64 in a bucket.
+
+    Every choice finds all links; it only weighs rows (5 tables of each up to 256 thousand fingerprints, 70 at most, from
+    some billions on) against the size of buckets.
+    """
     blocks = radius + 1
     while n / 2 ** (64 * (blocks - radius) // blocks) > 64 and blocks < 2 * radius:
         blocks += 1
@@ -202,28 +209,46 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     """(doc_id, fp, component_id): component_id is the smallest doc_id reachable over links of at most radius bits.
 
     Null and empty texts have fingerprint 0 and link like any other. Equal fingerprints are one node, so a group of
-    copies costs one row. A null doc_id takes part but never names a component unless its component has no other id
+    copies costs one row. Texts are read whole, however long; an empty table gives an empty table. A null doc_id takes part but never names a component unless its component has no other id
     (then null). Repeated rows and ids give repeated rows; other columns of the input are ignored.
     """
     prints = materialise(fingerprints(docs), "fingerprints")
-    nodes = materialise(prints.groupBy("fp").agg(F.min("doc_id").alias("low")), "nodes")
+    nodes = materialise(prints.groupBy("fp").agg(F.min("doc_id").alias("low"), F.count(F.lit(1)).alias("n")), "nodes")
     comps = components(links(nodes.select("fp"), radius))
     linked = nodes.join(comps.withColumnRenamed("node", "fp"), "fp")
     lowest = linked.groupBy("component").agg(F.min("low").alias("lowest"))
     named = linked.join(lowest, "component").select("fp", "lowest")
-    named = nodes.join(named, "fp", "left").select("fp", F.coalesce("lowest", "low").alias("component_id"))
-    return prints.join(named, "fp").select("doc_id", "fp", "component_id")
+    copies = nodes.where("n > 1").join(named, "fp", "left_anti").select("fp", F.col("low").alias("lowest"))
+    return _named(prints, materialise(named.unionByName(copies), "named"))
+
+
+def _named(prints: DataFrame, named: DataFrame) -> DataFrame:
+    """Fingerprints with the component of those that have one of more than a row; the others are their own.
+
+    Components are broadcast where few; else both sides are joined salted, as one fingerprint may have very many rows.
+    """
+    if named.count() <= FEW_NAMED:
+        out = prints.join(F.broadcast(named.withColumn("there", F.lit(True))), "fp", "left")
+    else:
+        salted = named.withColumn("there", F.lit(True)).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        out = prints.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int")).join(salted, ["fp", "salt"], "left")
+    return out.select("doc_id", "fp", F.when(F.col("there"), F.col("lowest")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
 def deduplicated(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     """The rows of docs that stay, columns as they are: of each component the row of the smallest doc_id.
 
     If that doc_id repeats, the first row by its columns as text stays. Rows without a doc_id can't be named by a
-    component and all stay.
+    component and all stay. Texts of any length are read whole; an empty table gives an empty table. What is decided is
+    ids: texts are only moved where a doc_id repeats, and all of them where the ids to drop are too many to broadcast.
     """
-    keep = near_duplicates(docs, radius).where("doc_id = component_id").select("doc_id").distinct()
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    named = docs.where("doc_id is not null").select("doc_id", row.alias("row")).join(keep, "doc_id")
-    first = F.row_number().over(W.partitionBy("doc_id").orderBy(F.to_json("row")))
-    named = named.select("row", first.alias("n")).where("n = 1").select("row.*")
-    return named.unionByName(docs.where("doc_id is null"))
+    found = near_duplicates(docs, radius).where("doc_id is not null")
+    seen = found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.min("component_id").alias("c"))
+    noted = seen.where("n > 1 or c != doc_id").select(F.col("doc_id").alias("_noted_id"), (F.col("c") == F.col("doc_id")).alias("_stays"))
+    noted = broadcast_if_few(materialise(noted, "noted"), F.lit(1), FEW_NAMED)
+    row = F.struct(*[F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(docs.columns)])
+    back = [F.col("row")[f"c{k}"].alias(c) for k, c in enumerate(docs.columns)]
+    rows = docs.select(F.col("doc_id").cast("long").alias("id"), row.alias("row")).join(noted, F.col("id") == F.col("_noted_id"), "left")
+    first = F.row_number().over(W.partitionBy("id").orderBy(F.to_json("row")))
+    once = rows.where("_stays").withColumn("at", first).where("at = 1").select(back)
+    return rows.where("_stays is null").select(back).unionByName(once)
