@@ -272,6 +272,11 @@ def _knapsack(sizes: np.ndarray, price: np.ndarray, length: int) -> tuple[float,
     return float(best[length]), column
 
 
+def parts_of(n: int) -> int:
+    """Parts in which a class of n rows is ranked: about PART rows each, or for smaller classes up to 64 of about a thousand."""
+    return max(-(-n // PART), min(64, -(-n // 1024)))
+
+
 class Places:
     """Sequence and place in it by class and rank: the runs of ranks that each pattern takes of a class."""
 
@@ -312,12 +317,12 @@ def pack(docs: DataFrame, tokenizer: str, with_ids: bool = True, length: int = L
     spark = docs.sparkSession
     cut = materialise(pieces(docs, tokenizer, with_ids, length).withColumn("size", F.ceil(F.col("length") / grain)), "pieces")
     histogram = {r["size"]: r["n"] for r in cut.groupBy("size").agg(F.count(F.lit(1)).alias("n")).collect()}
-    parts = F.create_map(*[F.lit(x).cast("long") for s, n in histogram.items() for x in (s, -(-n // PART))]) if histogram else F.create_map(F.lit(0).cast("long"), F.lit(1).cast("long"))
+    parts = F.create_map(*[F.lit(x).cast("long") for s, n in histogram.items() for x in (s, parts_of(n))]) if histogram else F.create_map(F.lit(0).cast("long"), F.lit(1).cast("long"))
     cut = cut.withColumn("part", F.pmod(F.xxhash64("doc_id", "start"), F.element_at(parts, F.col("size"))))
     known = cut.groupBy("size", "part").agg(F.count(F.lit(1)).alias("n")).orderBy("size", "part").collect()
     before: dict[int, np.ndarray] = {}
     for s in histogram:
-        counts = np.zeros(-(-histogram[s] // PART), np.int64)
+        counts = np.zeros(parts_of(histogram[s]), np.int64)
         for r in known:
             if r["size"] == s:
                 counts[r["part"]] = r["n"]
