@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm import langid, mixing, packing, secrets, simhash
+from tidelog.llm import copies, langid, mixing, packing, secrets, simhash
 from tidelog.llm.queries import tokenizer_path
 from tidelog.sources.scratch import materialise
 
@@ -31,8 +31,8 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: the one of the smallest doc_id."""
-    return simhash.deduplicated(docs)
+    """One document of each group of near copies (5-word shingles, similarity 0.8): the one of the smallest doc_id."""
+    return simhash.deduplicated(docs, copies.near_copies(docs))
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -502,7 +502,7 @@ def test_simhash(spark, awkward, nothing):
     assert sorted((r["doc_id"] for r in kept), key=str) == sorted([1, 2, 5, 7, None], key=str) and kept[0].__fields__ == awkward.columns
 
 
-@pytest.mark.parametrize("radius", [0, 3, 4, 7])
+@pytest.mark.parametrize("radius", [0, 3, 4, 7, 8, 15, 24, 31])
 def test_bit_planes(radius):
     rng = np.random.default_rng(radius)
     fps = rng.integers(0, 1 << 63, 400, np.uint64)

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline as P
 from tests.llm.test_operators import SF, components
-from tidelog.llm import langid, packing, queries, secrets, simhash
+from tidelog.llm import copies, langid, packing, queries, secrets, simhash
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -62,8 +62,8 @@ def test_against_plain_stages(spark):
     rows = [(r["doc_id"], r["source"], r["text"]) for r in frame.collect()]
     found = langid.label([t for *_, t in rows], model, langid.Scores(model))
     rows = [r for r, (lang, share, _) in zip(rows, found, strict=True) if lang != "und" and share >= P.LEAST_SHARE]
-    fps = {d: simhash.fingerprint(t) for d, _, t in rows}
-    comps = components({d: {e for e in fps if e != d and (fps[d] ^ fps[e]).bit_count() <= 4} for d in fps})
+    sets = {d: word_sets(t) for d, _, t in rows}
+    comps = components({d: {e for e in sets if e != d and alike(sets[d], sets[e])} for d in sets})
     rows = [r for r in rows if comps[r[0]] == r[0]]
     clean = []
     for (d, s, t), spans in zip(rows, secrets.find([t for *_, t in rows], secrets.network()), strict=True):
@@ -85,6 +85,50 @@ def test_against_plain_stages(spark):
         assert [a for a, _ in sorted(pieces)] == [0, *ends[:-1]] and ends[-1] <= 1024
 
 
+def word_sets(text):
+    words = WORD.findall(re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+
+def alike(a, b):
+    """5-word shingles of similarity 0.8 or more; two texts without a word are alike."""
+    small, large = sorted((len(a), len(b)))
+    if 5 * small < 4 * large or not large:
+        return not large
+    both = len(a & b)
+    return 5 * both >= 4 * (len(a) + len(b) - both)
+
+
+def test_near_copies(spark, monkeypatch):
+    """Edited copies of every degree, chains, and hot groups cut into pieces: the classes of all pairs compared in plain Python."""
+    monkeypatch.setattr(copies, "PIECE", 16)
+    rng = np.random.default_rng(5)
+    bases = [[f"w{k}" for k in rng.integers(0, 2000, n)] for n in (7, 30, 120, 400, 900)]
+    texts = [None, "", " \n", "one", "ONE", "one two", "a b c d e", "A b c d e f"]
+    for base in bases:
+        now = list(base)
+        for k in range(40):
+            edited = list(base)
+            for at in rng.integers(0, len(base), rng.integers(0, 1 + len(base) // 25)):
+                edited[at] = f"x{rng.integers(0, 50)}"
+            now[int(rng.integers(0, len(now)))] = f"y{k}"
+            texts += [" ".join(edited), "\t".join(now).upper()]
+    texts += texts[:20]
+    order = rng.permutation(len(texts))
+    frame = spark.createDataFrame([(int(k), texts[k], 1, "x") for k in order], "doc_id long, text string, node int, keys string").repartition(5)
+    sets = {k: word_sets(t) for k, t in enumerate(texts)}
+    want = components({d: {e for e in sets if e != d and alike(sets[d], sets[e])} for d in sets})
+    found = copies.near_copies(frame)
+    got = {r["doc_id"]: r["component_id"] for r in found.collect()}
+    assert got == want and 10 < len(set(want.values())) < len(texts) - 100
+    kept = simhash.deduplicated(frame, found)
+    assert kept.columns == frame.columns and {r["doc_id"] for r in kept.collect()} == set(want.values())
+
+
+def test_stage_keeps_5_words_at_08():
+    assert (copies.SHINGLE, copies.SIMILARITY) == (5, 0.8)
+
+
 def _by_sequence(rows):
     out = defaultdict(list)
     for r in rows:

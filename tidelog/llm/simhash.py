@@ -3,8 +3,8 @@
 Fingerprints are compared inside buckets of equal bit blocks: with a radius r and s blocks, two fingerprints within r
 differ in at most r blocks, so they agree on some choice of s - r whole blocks; every choice is a table of buckets and
 no link can be missed. Inside a bucket, fingerprints are turned into vertical bit planes of 64 lanes a word. Each
-query word XORs one plane at a time, a carry-save ripple of three counter planes plus an overflow plane keeps 64
-distances at once, and a word is abandoned as soon as all of its lanes exceed the radius.
+query word XORs one plane at a time, a carry-save ripple of counter planes (three up to radius 7, five up to 31) plus an
+overflow plane keeps 64 distances at once, and a word is abandoned as soon as all of its lanes exceed the radius.
 """
 
 from __future__ import annotations
@@ -48,10 +48,11 @@ def fingerprint(text: str | None, size: int = SHINGLE) -> int:
     hashes = np.fromiter(
         [digest(line[a : b - 1], SEED) for a, b in zip(starts, ends[size - 1 :], strict=False)], np.uint64, len(words) - size + 1
     )
-    return _majority(hashes)
+    return majority(hashes)
 
 
-def _majority(hashes: np.ndarray) -> int:
+def majority(hashes: np.ndarray) -> int:
+    """The fingerprint of shingle hashes: bits that over half of them have."""
     n, ones = len(hashes), np.zeros(64, np.int64)
     for at in range(0, n, 1 << 14):
         bits = np.unpackbits(hashes[at : at + (1 << 14)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
@@ -86,7 +87,7 @@ def block_masks(n: int, radius: int = RADIUS) -> list[int]:
 
 
 def near_pairs(fps: np.ndarray, groups: np.ndarray, radius: int = RADIUS) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Index pairs (i < j) of one group whose fingerprints differ in at most radius (0 to 7) bits; equal groups are adjacent."""
+    """Index pairs (i < j) of one group whose fingerprints differ in at most radius (0 to 31) bits; equal groups are adjacent."""
     n = len(fps)
     words = -(-n // 64)
     padded = np.zeros(words * 64, np.uint64)
@@ -113,19 +114,19 @@ def _compare(fps, planes, q, w, end, radius) -> Iterator[tuple[np.ndarray, np.nd
     high = np.minimum(end[q] - 64 * w, 64).astype(np.uint64)
     alive = (ALL << low) & (ALL >> (np.uint64(64) - high))
     mine = fps[q]
-    c0, c1, c2, over = (np.zeros(len(q), np.uint64) for _ in range(4))
+    counter = [np.zeros(len(q), np.uint64) for _ in range(max(3, radius.bit_length()))]
+    over = np.zeros(len(q), np.uint64)
     for b in range(64):
         differ = planes[b][w] ^ (np.uint64(0) - ((mine >> np.uint64(b)) & np.uint64(1)))
-        carry = c0 & differ
-        c0 ^= differ
-        carry, c1 = c1 & carry, c1 ^ carry
-        carry, c2 = c2 & carry, c2 ^ carry
+        carry = differ
+        for k, plane in enumerate(counter):
+            carry, counter[k] = plane & carry, plane ^ carry
         over |= carry
         if b % 8 == 7:
-            alive &= ~(over | _above((c0, c1, c2), radius))
+            alive &= ~(over | _above(counter, radius))
             keep = alive != 0
             if not keep.all():
-                q, w, mine, alive, c0, c1, c2, over = (x[keep] for x in (q, w, mine, alive, c0, c1, c2, over))
+                q, w, mine, alive, over, *counter = (x[keep] for x in (q, w, mine, alive, over, *counter))
             if not len(q):
                 return
     lanes = np.unpackbits(np.ascontiguousarray(alive).view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
@@ -133,10 +134,10 @@ def _compare(fps, planes, q, w, end, radius) -> Iterator[tuple[np.ndarray, np.nd
     yield q[row], w[row] * 64 + lane
 
 
-def _above(counter: tuple[np.ndarray, ...], radius: int) -> np.ndarray:
-    """Lanes whose three-bit counter is over radius, by a bitwise comparator from the highest bit down."""
+def _above(counter: list[np.ndarray], radius: int) -> np.ndarray:
+    """Lanes whose counter is over radius, by a bitwise comparator from the highest plane down."""
     more, equal = np.zeros_like(counter[0]), np.full_like(counter[0], ALL)
-    for k in (2, 1, 0):
+    for k in reversed(range(len(counter))):
         if radius >> k & 1:
             equal = equal & counter[k]
         else:
@@ -219,30 +220,32 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     lowest = linked.groupBy("component").agg(F.min("low").alias("lowest"))
     named = linked.join(lowest, "component").select("fp", "lowest")
     copies = nodes.where("n > 1").join(named, "fp", "left_anti").select("fp", F.col("low").alias("lowest"))
-    return _named(prints, materialise(named.unionByName(copies), "named"))
+    return named_rows(prints, materialise(named.unionByName(copies), "named"))
 
 
-def _named(prints: DataFrame, named: DataFrame) -> DataFrame:
+def named_rows(prints: DataFrame, named: DataFrame, on: str = "fp") -> DataFrame:
     """Fingerprints with the component of those that have one of more than a row; the others are their own.
 
     Components are broadcast where few; else both sides are joined salted, as one fingerprint may have very many rows.
     """
     if named.count() <= FEW_NAMED:
-        out = prints.join(F.broadcast(named.withColumn("there", F.lit(True))), "fp", "left")
+        out = prints.join(F.broadcast(named.withColumn("there", F.lit(True))), on, "left")
     else:
         salted = named.withColumn("there", F.lit(True)).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        out = prints.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int")).join(salted, ["fp", "salt"], "left")
-    return out.select("doc_id", "fp", F.when(F.col("there"), F.col("lowest")).otherwise(F.col("doc_id")).alias("component_id"))
+        out = prints.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int")).join(salted, [on, "salt"], "left")
+    return out.select("doc_id", on, F.when(F.col("there"), F.col("lowest")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
-def deduplicated(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
+def deduplicated(docs: DataFrame, found: DataFrame | None = None) -> DataFrame:
     """The rows of docs that stay, columns as they are: of each component the row of the smallest doc_id.
 
+    Components are those of found (doc_id, component_id), or else of near_duplicates.
+
     If that doc_id repeats, the first row by its columns as text stays. Rows without a doc_id can't be named by a
     component and all stay. Texts of any length are read whole; an empty table gives an empty table. What is decided is
     ids: texts are only moved where a doc_id repeats, and all of them where the ids to drop are too many to broadcast.
     """
-    found = near_duplicates(docs, radius).where("doc_id is not null")
+    found = (near_duplicates(docs) if found is None else found).where("doc_id is not null")
     seen = found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.min("component_id").alias("c"))
     noted = seen.where("n > 1 or c != doc_id").select(F.col("doc_id").alias("_noted_id"), (F.col("c") == F.col("doc_id")).alias("_stays"))
     noted = broadcast_if_few(materialise(noted, "noted"), F.lit(1), FEW_NAMED)
