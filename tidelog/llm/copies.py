@@ -49,7 +49,12 @@ def shingles(text: str | None, size: int = SHINGLE) -> np.ndarray:
     ends = list(accumulate(len(w) + 1 for w in words))
     digest = xxhash.xxh64_intdigest
     hashes = (digest(line[a : b - 1], SEED) for a, b in zip([0, *ends], ends[size - 1 :], strict=False))
-    return np.unique(np.fromiter(hashes, np.uint64, len(words) - size + 1))
+    return _distinct(np.fromiter(hashes, np.uint64, len(words) - size + 1))
+
+
+def _distinct(values: np.ndarray) -> np.ndarray:
+    values = np.sort(values)
+    return values[np.append(True, values[1:] != values[:-1])]
 
 
 def band_keys(hashes: np.ndarray) -> list[int]:
@@ -69,7 +74,7 @@ def _sketches(docs: DataFrame) -> DataFrame:
             sets = [shingles(t.as_py()) for t in batch.column(1)]
             node = np.array([xxhash.xxh64_intdigest(s.tobytes(), SEED) for s in sets], np.uint64).view(np.int64)
             fp = np.array([majority(s) for s in sets], np.uint64).view(np.int64)
-            small = [np.unique(s.astype(np.uint32)).view(np.int32) for s in sets]
+            small = [_distinct(s.astype(np.uint32)).view(np.int32) if len(s) else s.astype(np.int32) for s in sets]
             columns = [
                 batch.column(0),
                 pa.array(node),
