@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from tidelog.sources.scratch import materialise
 
 from .components import components
+from .langid import blocks
 from .simhash import PIECE, SEED, majority, named_rows, near_pairs
 
 SHINGLE = 5
@@ -32,8 +33,8 @@ RADIUS = 24
 BANDS, ROWS = 16, 4
 #: Shingles that one piece of a bucket holds on average.
 PIECE_SHINGLES = 1 << 21
-#: Hashes that are permuted at a time.
-CHUNK = 1 << 12
+#: Hashes that are permuted, and words of 64 lanes that are compared, at a time.
+CHUNK, WORDS = 1 << 10, 1 << 12
 
 _DRAWS = np.random.default_rng(SEED)
 _MASK = _DRAWS.integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64)
@@ -71,35 +72,36 @@ def _sketches(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [shingles(t.as_py()) for t in batch.column(1)]
-            node = np.array([xxhash.xxh64_intdigest(s.tobytes(), SEED) for s in sets], np.uint64).view(np.int64)
-            fp = np.array([majority(s) for s in sets], np.uint64).view(np.int64)
-            small = [_distinct(s.astype(np.uint32)).view(np.int32) if len(s) else s.astype(np.int32) for s in sets]
-            columns = [
-                batch.column(0),
-                pa.array(node),
-                pa.array(fp),
-                pa.array([len(s) for s in small], pa.int64()),
-                pa.array([band_keys(s) if len(s) else [] for s in sets], pa.list_(pa.int64())),
-                pa.array(small, pa.list_(pa.int32())),
-            ]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "node", "fp", "size", "keys", "shingles"])
-
+            for at, n in blocks(batch.column(1)):
+                part = batch.slice(at, n)
+                yield pa.RecordBatch.from_arrays([part.column(0), *sketch(part.column(1))], names)
+
+    def sketch(texts: pa.Array) -> list[pa.Array]:
+        sets = [shingles(t.as_py()) for t in texts]
+        small = [_distinct(s.astype(np.uint32)) if len(s) else s.astype(np.uint32) for s in sets]
+        return [
+            pa.array(np.array([xxhash.xxh64_intdigest(s.tobytes(), SEED) for s in sets], np.uint64).view(np.int64)),
+            pa.array(np.array([majority(s) for s in sets], np.uint64).view(np.int64)),
+            pa.array([len(s) for s in small], pa.int64()),
+            pa.array([band_keys(s) if len(s) else [] for s in sets], pa.list_(pa.int64())),
+            pa.array([s.tobytes() for s in small], pa.binary()),
+        ]
+
+    names = ["doc_id", "node", "fp", "size", "keys", "shingles"]
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, node long, fp long, size long, keys array<long>, shingles array<int>")
+    return rows.mapInArrow(run, "doc_id long, node long, fp long, size long, keys array<long>, shingles binary")
 
 
 def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Stars of the near copies in each bucket piece, from rows (key, p, o, node, fp, shingles) in order of the first three."""
     for group in _groups(batches):
         fps = group.column("fp").to_numpy().astype(np.int64).view(np.uint64)
-        sets = group.column("shingles").combine_chunks()
-        label = np.arange(len(fps))
-        sizes = np.array([len(s) for s in sets])
-        for i, j in near_pairs(fps, np.zeros(len(fps), np.int64), RADIUS):
-            fits = np.minimum(sizes[i], sizes[j]) >= SIMILARITY * np.maximum(sizes[i], sizes[j])
-            for a, b in zip(i[fits].tolist(), j[fits].tolist(), strict=True):
-                if label[a] != label[b] and _similar(sets[a].values.to_numpy(), sets[b].values.to_numpy()):
+        sets = [np.frombuffer(x.as_buffer(), np.uint32) for x in group.column("shingles")]
+        sizes, label = np.array([len(s) for s in sets]), np.arange(len(fps))
+        for i, j in near_pairs(fps, np.zeros(len(fps), np.int64), RADIUS, WORDS):
+            untied = (label[i] != label[j]) & (np.minimum(sizes[i], sizes[j]) >= SIMILARITY * np.maximum(sizes[i], sizes[j]))
+            for a, b in zip(i[untied].tolist(), j[untied].tolist(), strict=True):
+                if label[a] != label[b] and _similar(sets[a], sets[b]):
                     low, high = sorted((label[a], label[b]))
                     label[label == high] = low
         moved = np.flatnonzero(label != np.arange(len(fps)))

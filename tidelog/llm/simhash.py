@@ -86,7 +86,7 @@ def block_masks(n: int, radius: int = RADIUS) -> list[int]:
     return [sum(c) for c in combinations(each, blocks - radius)]
 
 
-def near_pairs(fps: np.ndarray, groups: np.ndarray, radius: int = RADIUS) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def near_pairs(fps: np.ndarray, groups: np.ndarray, radius: int = RADIUS, chunk: int = CHUNK) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Index pairs (i < j) of one group whose fingerprints differ in at most radius (0 to 31) bits; equal groups are adjacent."""
     n = len(fps)
     words = -(-n // 64)
@@ -102,7 +102,7 @@ def near_pairs(fps: np.ndarray, groups: np.ndarray, radius: int = RADIUS) -> Ite
     until = np.cumsum(count)
     at = 0
     while at < len(query):
-        stop = max(at + 1, int(np.searchsorted(until, (until[at - 1] if at else 0) + CHUNK, "right")))
+        stop = max(at + 1, int(np.searchsorted(until, (until[at - 1] if at else 0) + chunk, "right")))
         q = np.repeat(query[at:stop], count[at:stop])
         within = np.arange(len(q)) - np.repeat(np.cumsum(count[at:stop]) - count[at:stop], count[at:stop])
         yield from _compare(fps, planes, q, np.repeat(first[at:stop], count[at:stop]) + within, end, radius)
