@@ -1,4 +1,4 @@
-"""The registered queries of the ten operators, thin digests of their results, and DuckDB SQL where SQL can say it."""
+"""The registered queries of the operators, thin digests of their results, and DuckDB SQL where SQL can say it."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, langid, licenses, mixing, packing, pivots, quality, secrets, simhash, toxicity
+from . import chat, langid, licenses, mixing, packing, periodic, pivots, quality, repeats, resample, secrets, simhash, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -89,6 +89,34 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "mix.size", "mix.source_size", "mix.target", words.alias("taken"))
 
 
+def op11_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeats.without_repeats(table(spark, sf_dir, "documents"), [F.col("doc_id")])
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["stop"] - s["start"])
+    return found.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = docs.withColumn("text", periodic.planted(F.col("text"), F.col("doc_id")))
+    found = periodic.periodic_runs(docs, [F.col("doc_id")]).withColumn("top", periodic.strongest(F.col("runs")))
+    line = lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "top.start",
+        "top.length",
+        "top.period",
+        F.floor(1000 * F.col("top.length") / F.col("top.period")).alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform("runs", line), ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_license_scan": op1_license_scan,
@@ -101,6 +129,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_packing": op8_packing,
         "op9_toxicity": op9_toxicity,
         "op10_mixing": op10_mixing,
+        "op11_suffix_array_dedup": op11_suffix_array_dedup,
+        "op12_periodic_runs": op12_periodic_runs,
+        "op13_importance_resampling": op13_importance_resampling,
     }
 
 
@@ -184,5 +215,42 @@ FROM r{len(licenses.RULES) - 1}
 """
 
 
+OP13_SQL = r"""
+WITH steps AS (
+  SELECT i, list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: CASE WHEN x % 2 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END) AS v
+  FROM (SELECT unnest(range(CAST(0 AS BIGINT), 256)) AS i)),
+crc AS (SELECT list(v ORDER BY i) AS t FROM steps),
+said AS (
+  SELECT row_number() OVER () AS u, doc_id, list_filter(regexp_split_to_array(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') AS ws
+  FROM documents),
+wanted AS (
+  SELECT unnest(list_filter(regexp_split_to_array(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '')) AS w
+  FROM benchmark),
+rows AS (SELECT u, unnest(ws) AS w FROM said),
+coded AS (SELECT w, hex(encode(w)) AS h FROM (SELECT w FROM rows UNION SELECT w FROM wanted)),
+hashed AS (
+  SELECT w, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(range(CAST(length(h) / 2 AS BIGINT)),
+             lambda i: CAST(16 * (instr('0123456789ABCDEF', h[2 * i + 1]) - 1) + instr('0123456789ABCDEF', h[2 * i + 2]) - 1 AS BIGINT))),
+           lambda x, b: xor(x >> 8, t[(xor(x, b) & 255) + 1])), 4294967295) % 10000 AS bucket
+  FROM coded, crc),
+source AS (SELECT bucket, count(*) AS s FROM rows JOIN hashed USING (w) GROUP BY bucket),
+target AS (SELECT bucket, count(*) AS t FROM wanted JOIN hashed USING (w) GROUP BY bucket),
+gains AS (
+  SELECT bucket, CAST(floor(1000 * ln(((coalesce(t, 0) + 1.0::DOUBLE) * ((SELECT sum(s) FROM source) + 10000)::DOUBLE)
+           / ((s + 1.0::DOUBLE) * (coalesce((SELECT sum(t) FROM target), 0) + 10000)::DOUBLE))) AS BIGINT) AS gain
+  FROM source LEFT JOIN target USING (bucket)),
+weights AS (SELECT u, CAST(sum(gain) AS BIGINT) AS weight FROM rows JOIN hashed USING (w) JOIN gains USING (bucket) GROUP BY u),
+keyed AS (
+  SELECT u, doc_id, CAST(len(ws) AS BIGINT) AS n_features, coalesce(weight, 0) AS weight,
+         CAST('0x' || substr(sha256('2024:' || coalesce(CAST(doc_id AS VARCHAR), 'null')), 1, 8) AS BIGINT)::DOUBLE AS h
+  FROM said LEFT JOIN weights USING (u)),
+scored AS (SELECT *, weight + CAST(floor(-1000 * ln(-ln((h + 0.5) / 4294967296.0))) AS BIGINT) AS score FROM keyed),
+able AS (SELECT u, row_number() OVER (ORDER BY score DESC, doc_id NULLS LAST, n_features) AS place, count(*) OVER () AS n FROM scored WHERE n_features >= 20)
+SELECT doc_id, n_features, weight, score, CASE WHEN place <= 10 * n // 100 THEN place END AS rank FROM scored LEFT JOIN able USING (u)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_license_scan": _op1_sql(), "op10_mixing": OP10_SQL}
+    return {"op1_license_scan": _op1_sql(), "op10_mixing": OP10_SQL, "op13_importance_resampling": OP13_SQL}
