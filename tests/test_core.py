@@ -144,8 +144,6 @@ def test_framing(spark):
     assert [(r["wal_start"], r["wal_end"], r["server_time"], bytes(r["data"])) for r in framing.unframe(frame).orderBy("seq").collect()] == [(1, 2, -1, b"B"), (0, 0, 0, b"")]
     assert [(r["wal_end"], r["reply_wanted"]) for r in framing.keepalives(frame).collect()] == [(5, True)]
     assert {r["seq"]: r["reason"] for r in framing.malformed(frame).collect()} == {3: "short data frame", 4: "unknown frame"}
-    captured = spark.createDataFrame([("s", 1, b"d\0\0\0\6ab")], "slot string, seq long, bytes binary")
-    assert [(r["tag"], bytes(r["body"])) for r in framing.split_log(captured).collect()] == [("d", b"ab")]
 
 
 def test_router(spark):

@@ -50,6 +50,31 @@ def carry_forward(log: DataFrame, values: dict[str, Column], key: str | None = N
     return out.select(*log.columns, *[c.alias(n) for n, c in found.items()])
 
 
+#: How the value of a bucket adds to what came before it.
+_JOINED = {"sum": lambda a, b: F.coalesce(a, F.lit(0)) + F.coalesce(b, F.lit(0)), "max": F.greatest}
+
+
+def running(log: DataFrame, values: dict[str, tuple[str, Column]], before: bool = False, order: str = "seq") -> DataFrame:
+    """Adds a column for each name: the sum or max ("sum", "max") of its values of the slot's rows up to this one (or before it).
+
+    The log has slot, the order's column and _bucket. As in carry_forward(), a task orders the rows of a bucket, the
+    buckets of a stretch, or the stretches of a slot, and a bucket's value joins what the ones before it come to. A sum
+    over nothing is 0, a max is null.
+    """
+    fold = lambda kind, c: getattr(F, kind)(c)
+    cells = {f"_v_{n}": v for n, (_, v) in values.items()}
+    heads = log.withColumns(cells).groupBy("slot", "_bucket").agg(*[fold(k, f"_v_{n}").alias(f"_e_{n}") for n, (k, _) in values.items()])
+    heads = heads.withColumn("_stretch", F.floor(F.col("_bucket") / STRETCH))
+    tops = heads.groupBy("slot", "_stretch").agg(*[fold(k, f"_e_{n}").alias(f"_e_{n}") for n, (k, _) in values.items()])
+    earlier = lambda part, at, n, k: fold(k, f"_e_{n}").over(W.partitionBy(*part).orderBy(at).rowsBetween(W.unboundedPreceding, -1))
+    tops = tops.select("slot", "_stretch", *[earlier(["slot"], "_stretch", n, k).alias(f"_t_{n}") for n, (k, _) in values.items()])
+    heads = heads.withColumns({f"_b_{n}": earlier(["slot", "_stretch"], "_bucket", n, k) for n, (k, _) in values.items()}).join(tops, ["slot", "_stretch"])
+    heads = heads.select("slot", "_bucket", *[_JOINED[k](F.col(f"_b_{n}"), F.col(f"_t_{n}")).alias(f"_i_{n}") for n, (k, _) in values.items()])
+    inside = W.partitionBy("slot", "_bucket").orderBy(order).rowsBetween(W.unboundedPreceding, -1 if before else 0)
+    rows = log.withColumns({f"_h_{n}": fold(k, v).over(inside) for n, (k, v) in values.items()}).join(heads, ["slot", "_bucket"])
+    return rows.select(*log.columns, *[_JOINED[k](F.col(f"_h_{n}"), F.col(f"_i_{n}")).alias(n) for n, (k, _) in values.items()])
+
+
 def broadcast_if_few(frame: DataFrame, weight: Column, most: int) -> DataFrame:
     """The frame, marked for broadcast if its rows weigh at most so much together; else as it is, to be joined by a shuffle."""
     total = frame.agg(F.sum(weight)).first()[0] or 0

@@ -2,14 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidelog.sources import wire
-
 
 def number(data: Column, at: int, n: int) -> Column:
     """Big-endian unsigned integer of n bytes from place at (from 1); null from 2**63 on."""
@@ -39,20 +34,3 @@ def malformed(frames: DataFrame) -> DataFrame:
     reason = F.when((kind == F.lit(b"w")) & (F.length(f) < 25), "short data frame").when((kind == F.lit(b"k")) & (F.length(f) < 18), "short keepalive")
     reason = reason.when((F.length(f) > 0) & ~kind.isin([F.lit(b"w"), F.lit(b"k")]), "unknown frame")
     return frames.select("slot", "seq", reason.alias("reason")).where("reason is not null")
-
-
-def split_log(captured: DataFrame) -> DataFrame:
-    """(slot, seq, bytes) of captured byte logs -> (slot, seq, part, tag, body): the whole messages of each, in order."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = [
-                (slot, seq, k, tag, body)
-                for slot, seq, data in zip(*(c.to_pylist() for c in batch.columns), strict=True)
-                for k, (tag, body) in enumerate(wire.split_frames(data or b"")[0])
-            ]
-            kinds = (pa.string(), pa.int64(), pa.int64(), pa.string(), pa.binary())
-            columns = list(zip(*rows, strict=True)) or [()] * 5
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["slot", "seq", "part", "tag", "body"])
-
-    return captured.select("slot", "seq", "bytes").mapInArrow(run, "slot string, seq long, part long, tag string, body binary")

@@ -6,25 +6,20 @@ import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tidelog.operators import carry
 from tidelog.sources import wire
 
 
 def running(log: DataFrame) -> DataFrame:
     """Adds received (highest position so far) and applied (highest end of a commit so far, 0 before one).
 
-    Both only grow. A bucket's rows are read in order in one task; what it inherits is the highest of the buckets before.
+    Both only grow. No task orders more than a bucket of rows, a stretch of buckets, or the stretches of a slot.
     """
-    here = W.partitionBy("slot", "_bucket").orderBy("seq").rowsBetween(W.unboundedPreceding, 0)
     done = F.when(F.col("tag").isin("C", "c", "K"), F.col("end_lsn"))
-    tops = log.groupBy("slot", "_bucket").agg(F.max("lsn").alias("_r"), F.max(done).alias("_a"))
-    before = W.partitionBy("slot").orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
-    tops = tops.select("slot", "_bucket", F.max("_r").over(before).alias("_r"), F.max("_a").over(before).alias("_a"))
-    rows = log.withColumn("received", F.max("lsn").over(here)).withColumn("applied", F.max(done).over(here)).join(tops, ["slot", "_bucket"])
-    zero = F.lit(0).cast("long")
-    return rows.withColumn("received", F.greatest("received", "_r")).withColumn("applied", F.coalesce(F.greatest("applied", "_a"), zero)).drop("_r", "_a")
+    rows = carry.running(log, {"received": ("max", F.col("lsn")), "applied": ("max", done)})
+    return rows.withColumn("applied", F.coalesce("applied", F.lit(0).cast("long")))
 
 
 class Tracker:
