@@ -16,7 +16,7 @@ from tests.oracle import assert_same, duck
 from tidelog.functions import lsn as L
 from tidelog.functions import scalars as S
 from tidelog.operators import events as E
-from tidelog.operators import framing, project, route, state, txn
+from tidelog.operators import framing, frontier, project, route, state, txn
 from tidelog.operators.decode import decode
 from tidelog.operators.project import Field
 from tidelog.plans import queries, silver
@@ -364,6 +364,67 @@ def test_consumer(spark, tmp_path):
     assert order == sorted(order) and len(order) == consumer.replay.changes().count()
 
 
+def test_consumer_stops_at_a_target_and_goes_on(spark, tmp_path):
+    """Every change is handled once by the two runs together, and the first one ends with the commit that reaches the target."""
+    from tidelog.streaming.consumer import Consumer
+    from tidelog.streaming.replay import Replay
+
+    _frames(spark, tmp_path / "frames", 0, 9000)
+    at = lambda seq: 97_500_059_648 + 64 * seq
+    handled: list[list[int]] = []
+    run = lambda target: Consumer(Replay(spark, str(tmp_path / "out"), 4, lambda rows, n: handled.append([r["commit_seq"] for r in rows.collect()])), target=target)
+    first = run(at(2700))
+    first.run(str(tmp_path / "frames"), str(tmp_path / "checkpoint"), maxFrames="1000")
+    stop = silver.committed(spark, SF).where(F.col("txn_end_lsn") >= at(2700)).agg(F.min("commit_seq")).first()[0]
+    seen = [c for batch in handled for c in batch]
+    assert first.reached.is_set() and max(seen) == stop and first.tracker.applied == at(stop + 1)
+    second = run(None)
+    second.run(str(tmp_path / "frames"), str(tmp_path / "checkpoint"), maxFrames="2500")
+    later = [c for batch in handled for c in batch][len(seen) :]
+    assert min(later) > stop and len(seen) + len(later) == silver.committed(spark, SF).where("commit_seq < 9000").count()
+    assert_same(second.replay.changes().where("tag in ('I', 'U', 'D')").select(*ROWS).toPandas(), _all(spark, 9000))
+
+
+def test_consumer_by_hand_confirms_only_what_is_whole(spark, tmp_path):
+    """Transactions are said to be done from the last to the first: nothing is confirmed before the first one is."""
+    from tidelog.streaming.consumer import Consumer
+    from tidelog.streaming.replay import Replay
+
+    _frames(spark, tmp_path / "frames", 0, 2500)
+    consumer = Consumer(Replay(spark, str(tmp_path / "out"), 4), by_hand=True)
+    consumer.run(str(tmp_path / "frames"), str(tmp_path / "checkpoint"))
+    ends = consumer.frontier.pending()
+    assert len(ends) > 4 and consumer.tracker.applied == 0
+    assert [consumer.done(e) for e in reversed(ends[1:])] == [0] * (len(ends) - 1)
+    assert consumer.done(ends[0]) == ends[-1] == consumer.tracker.applied
+
+
+def test_frontier():
+    f = frontier.Frontier(safe=10)
+    for end in (10, 20, 30, 40):
+        f.expect(end)
+    assert [f.apply(x) for x in (30, 30, 20, 5, 50, 40)] == [10, 10, 30, 30, 30, 50] and f.pending() == []
+
+
+def test_rates_and_slots_of_a_source(spark, tmp_path):
+    """A bucket saves up a burst over a pause and no more; other slots of the folder do not count, even behind what was read."""
+    from tidelog.sources.capture import StreamReader
+
+    rows = spark.range(1000).selectExpr("'a' as slot", "id as seq", "id as wal_start", "id as wal_end", "0L as server_time", "unhex('42') as data")
+    rows.coalesce(1).write.option("parquet.block.row.count.limit", "100").parquet(str(tmp_path / "frames"))
+    now = [0.0]
+    reader = StreamReader({"path": str(tmp_path / "frames"), "slot": "a", "maxframes": "800", "progress": str(tmp_path / "p"), "framespersecond": "100", "burst": "2"}, clock=lambda: now[0])
+    told = []
+    for at in (0.0, 0.0, 1.0, 1.5, 60.0, 60.0, 61.0, 62.0, 63.0, 64.0, 65.0):
+        now[0] = at
+        told.append(reader.latestOffset()["seq"])
+    assert told[:8] == [200, 200, 300, 350, 550, 550, 650, 750] and told[-1] == 1000
+    spark.range(50).selectExpr("'b' as slot", "id as seq", "id as wal_start", "id as wal_end", "0L as server_time", "unhex('42') as data").write.mode("append").parquet(str(tmp_path / "frames"))
+    assert reader.latestOffset()["seq"] == 1000
+    capture_all = StreamReader({"path": str(tmp_path / "frames"), "slot": "b"})
+    assert capture_all.latestOffset()["seq"] == 50
+
+
 def test_values(spark):
     one = lambda c: spark.range(1).select(c.alias("x")).first()["x"]
     cell = lambda kind, v: F.struct(F.lit(kind).alias("kind"), F.lit(v).cast("binary").alias("value"))

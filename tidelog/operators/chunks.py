@@ -50,10 +50,10 @@ def blocks(captured: DataFrame, size: int = BLOCK) -> DataFrame:
     piece = F.substring("bytes", (low - F.col("begin") + 1).cast("int"), (high - low).cast("int"))
     parts = parts.select("slot", "block", low.alias("low"), piece.alias("piece"), (high > low).alias("some")).where("some")
     totals = chunks.groupBy("slot").agg(F.sum(F.length("bytes").cast("long")).alias("total"))
-    return parts.groupBy("slot", "block").agg(_joined("low").alias("data")).join(F.broadcast(totals), "slot")
+    return parts.groupBy("slot", "block").agg(joined("low").alias("data")).join(F.broadcast(totals), "slot")
 
 
-def _joined(order: str) -> Column:
+def joined(order: str) -> Column:
     """The pieces of a group in order, as one value; by texts, so that the time is in proportion to the length."""
     return F.unhex(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(order, "piece"))), lambda x: F.hex(x["piece"])), ""))
 
@@ -172,8 +172,8 @@ def split_log(captured: DataFrame, size: int = BLOCK, fan: int = FAN) -> DataFra
     low, high = F.greatest(F.col("at") + HEADER, F.col("block") * size), F.least(F.col("upto"), (F.col("block") + 1) * size)
     piece = F.substring("data", (low - F.col("block") * size + 1).cast("int"), (high - low).cast("int"))
     pieces = reach.join(cut.select("slot", "block", "data"), ["slot", "block"]).select("slot", "at", "tag", "block", piece.alias("piece"))
-    joined = pieces.groupBy("slot", "at").agg(F.first("tag").alias("tag"), _joined("block").alias("body")).withColumn("error", F.lit(None).cast("string"))
-    return whole.drop("upto").unionByName(joined)
+    long = pieces.groupBy("slot", "at").agg(F.first("tag").alias("tag"), joined("block").alias("body")).withColumn("error", F.lit(None).cast("string"))
+    return whole.drop("upto").unionByName(long)
 
 
 def _splitter(size: int):

@@ -159,5 +159,18 @@ ORACLES = {
           UNION ALL SELECT event_type, CASE WHEN event_type IN ('begin', 'commit') THEN 30 WHEN event_type = 'relation' THEN 100 ELSE 20 END
             FROM all_events WHERE event_type NOT IN ('insert', 'update', 'delete'))
         SELECT event_type, count(*) AS n_events, CAST(sum(n) AS BIGINT) AS n_bytes FROM sizes GROUP BY event_type""",
+    "frames_across_chunks": _LOG + f"""SELECT {_AT}seq AS wal_start, {_AT}(seq + 1) AS wal_end, 757382400000000 + b * 60000000 + t * 1000000 AS server_time FROM (
+        SELECT seq, b, t FROM log UNION ALL SELECT seq, b, coalesce(t, CAST((seq - 10) % 1000 // 300 AS INT)) FROM control
+        UNION ALL SELECT seq, 1, 0 FROM others UNION ALL SELECT seq, b, 0 FROM rels)""",
+    "recovered_log": _LOG + "SELECT seq AS place, tag, xid, end_seq AS commit_place FROM log WHERE done",
+    "log_gaps": _LOG + f""", sent AS (SELECT seq FROM all_events UNION ALL SELECT seq FROM rels WHERE b <> 10), top AS (SELECT max(seq) AS top FROM sent)
+        SELECT 2 AS session, {_AT}(max(seq) FILTER (seq <= top * 3 // 10) + 1) AS gap_from, {_AT}min(seq) FILTER (seq > top * 5 // 10) AS gap_to FROM sent, top""",
+    "safe_progress": _LOG + f""", ends AS (SELECT DISTINCT end_seq AS seq FROM log WHERE done UNION SELECT seq FROM control WHERE commit_at IS NOT NULL),
+        steps AS (SELECT seq, CASE WHEN seq % 13 <> 5 OR seq < 9000 THEN seq * 7 % 1000 + seq // 4000 * 500 END AS step FROM ends),
+        safe AS (SELECT seq, max(coalesce(step, 1000000000)) OVER (ORDER BY seq) AS step FROM steps)
+        SELECT step, max({_AT}(seq + 1)) AS safe_lsn FROM safe WHERE step < 1000000000 GROUP BY step""",
+    "applied_intervals": _LOG + """, ends AS (SELECT DISTINCT seq, seq % 13 = 5 AND seq >= 9000 AS open FROM control WHERE commit_at IS NOT NULL),
+        runs AS (SELECT seq, open, sum(CASE WHEN open THEN 1 ELSE 0 END) OVER (ORDER BY seq) AS g FROM ends)
+        SELECT min(seq) AS first_seq, max(seq) AS last_seq, count(*) AS n FROM runs WHERE NOT open GROUP BY g""",
     "quarantine": _LOG + "SELECT tag, count(*) AS n FROM log WHERE b < 5 GROUP BY tag",
 }

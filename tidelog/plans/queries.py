@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tidelog.functions import lsn as L
 from tidelog.functions import scalars as S
 from tidelog.operators import events as E
-from tidelog.operators import metrics, progress, project, route, state, txn
+from tidelog.operators import chunks, frontier, metrics, progress, project, route, sessions, state, txn
 from tidelog.operators.decode import decode
 from tidelog.operators.encode import encode, frames
 from tidelog.operators.framing import unframe
@@ -296,13 +296,75 @@ def undecided_transactions(spark, sf_dir):
     return txn.stats(_assigned(spark, sf_dir, "parts"))
 
 
+def _cut_log(spark, sf_dir):
+    """The log as a stream of copy messages, in chunks that end anywhere: every message is cut in two, and five such pieces make a chunk."""
+    f = frames(silver.bronze(spark, sf_dir)).select("slot", "seq", "frame")
+    sent = F.concat(F.lit(b"d"), F.unhex(F.lpad(F.hex(F.length("frame") + 4), 8, "0")), F.col("frame"))
+    cut = F.pmod(F.col("seq") * 7, F.length(sent) + 1).cast("int")
+    two = F.array(F.struct(F.lit(0).alias("k"), F.substring(sent, F.lit(1), cut).alias("piece")), F.struct(F.lit(1).alias("k"), F.substring(sent, cut + 1, F.length(sent)).alias("piece")))
+    pieces = f.select("slot", "seq", F.explode(two).alias("x")).select("slot", (2 * F.col("seq") + F.col("x.k")).alias("n"), "x.piece")
+    return pieces.groupBy("slot", F.floor((F.col("n") + 3) / 5).alias("seq")).agg(chunks.joined("n").alias("bytes"))
+
+
+def frames_across_chunks(spark, sf_dir):
+    """Headers of all frames of a stream whose chunks end inside of messages, and of lengths."""
+    parts = materialise(chunks.split_log(_cut_log(spark, sf_dir)), "split")
+    return unframe(parts.select("slot", F.col("at").alias("seq"), F.col("body").alias("frame"))).select("wal_start", "wal_end", "server_time")
+
+
+def _sessions(spark, sf_dir, cuts):
+    """The log as captured by several connections: (session, from, to) in tenths of it; later ones count anew and are sent the relations again."""
+    log = silver.bronze(spark, sf_dir)
+    top = F.broadcast(log.agg(F.max("seq").alias("top")))
+    out = None
+    for session, low, high in cuts:
+        at, cut = F.col("seq"), F.expr(f"top * {low} div 10")
+        rows = log.crossJoin(top).where((at > cut) & (at <= F.expr(f"top * {high} div 10")))
+        rows = rows.withColumn("seq", at if session == 1 else 10**7 + 3 * at)
+        if session > 1:
+            again = log.crossJoin(top).where((F.substring("data", 1, 1) == F.lit(b"R")) & (at <= cut)).withColumns({"wal_start": F.lit(0).cast("long"), "wal_end": F.lit(0).cast("long")})
+            rows = rows.unionByName(again)
+        rows = rows.select("slot", F.lit(session).alias("session"), "seq", "wal_start", "wal_end", "server_time", "data")
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+def recovered_log(spark, sf_dir):
+    """Committed changes of a log that was captured three times in part, with overlaps, by their places in it."""
+    log = materialise(sessions.merged(_sessions(spark, sf_dir, [(1, -1, 6), (2, 4, 8), (3, 3, 10)])), "merged")
+    messages = materialise(decode(log, C.VERSION), "recovered")
+    changes = txn.committed(materialise(E.events(messages, txn.assign(messages)), "recovered-events"))
+    place = lambda c: F.expr(f"({c} - {C.BASE_LSN}) div 64")
+    return changes.where("tag in ('I', 'U', 'D')").select(place("lsn").alias("place"), "tag", F.col("txn_id").alias("xid"), place("commit_lsn").alias("commit_place"))
+
+
+def log_gaps(spark, sf_dir):
+    return sessions.gaps(_sessions(spark, sf_dir, [(1, -1, 3), (2, 5, 7), (3, 6, 9)])).select("session", "gap_from", "gap_to")
+
+
+def _worked(spark, sf_dir):
+    """Commits of the log, and a step for each that was applied: out of order, and none for some of its last."""
+    commits = txn.outcomes(_assigned(spark, sf_dir)).where("status = 'committed'").select("slot", F.col("commit_seq").alias("seq"), "end_lsn")
+    late = F.col("seq") * 7 % 1000 + F.expr("seq div 4000") * 500
+    return commits, commits.where("seq % 13 != 5 or seq < 9000").select("slot", "seq", late.alias("step"))
+
+
+def safe_progress(spark, sf_dir):
+    """The position that is safe to confirm after each step that moves it, where transactions are applied out of order."""
+    return frontier.frontier(*_worked(spark, sf_dir)).select("step", "safe_lsn")
+
+
+def applied_intervals(spark, sf_dir):
+    return frontier.intervals(*_worked(spark, sf_dir)).select("first_seq", "last_seq", "n")
+
+
 NAMES = (
     "lsn_format", "lsn_parse", "pg_timestamp", "decode_insert", "decode_update", "decode_delete", "decode_control", "decode_other", "relation_changes",
     "key_columns", "truncate_tables", "txn_assign", "txn_stats", "committed_only", "aborted_rows", "two_phase_visible", "bounded_replay",
     "bounded_replay_raw", "net_state", "net_state_whole_rows", "history_scd2", "toast_fill", "typed_strict", "typed_lenient", "row_json", "route_counts",
     "event_categories", "progress_lsn", "metrics_bytes", "metrics_latency", "snapshot_plus_stream", "encode_roundtrip", "quarantine", "frames_header",
     "full_identity_state", "keyless_copies", "binary_columns", "full_old_rows", "reused_xids", "rolled_back_parts", "bucket_edges", "undecided_transactions",
-    "typed_update", "json_roundtrip", "event_json", "metrics_rates",
+    "typed_update", "json_roundtrip", "event_json", "metrics_rates", "frames_across_chunks", "recovered_log", "log_gaps", "safe_progress", "applied_intervals",
 )
 
 

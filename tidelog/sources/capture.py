@@ -2,17 +2,20 @@
 
 Options: path (folder of bronze Parquet files, any URI pyarrow opens), slot (one slot of it), startLsn (HI/LO, frames
 from there on), maxFrames (sequence numbers of a micro-batch), progress (a folder where the reader notes how far it has
-planned). Offsets are sequence numbers and only grow. A reader that starts anew does not know where its query stood: it
-reads on from what the progress folder says or, without one, offers all there is, which is never behind.
+planned), stopAt (HI/LO: the last batch ends with the first commit whose end is at or past it; what follows stays unread,
+for a query started later without it), framesPerSecond, bytesPerSecond, burst (seconds that may be saved up). Offsets are
+sequence numbers of the slot and only grow. A reader that starts anew does not know where its query stood: it reads on from
+what the progress folder says or, without one, offers all there is, which is never behind.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import time
+from collections.abc import Callable, Iterator
+from typing import NamedTuple
 
 import pyarrow as pa
 import pyarrow.compute as pc
-import pyarrow.dataset as ds
 import pyarrow.fs as pf
 import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession
@@ -62,6 +65,27 @@ class CaptureSource(DataSource):
         return StreamReader(dict(self.options))
 
 
+class Group(NamedTuple):
+    """A row group: its number in the file, first and last seq of the slot, rows, bytes, and the highest position of its frames."""
+
+    number: int
+    low: int
+    high: int
+    rows: int
+    size: int
+    reach: int
+
+
+#: Where the end position stands in the payload of each kind of commit. Fixed values.
+_ENDS = {ord("C"): 10, ord("K"): 10, ord("c"): 14}
+
+
+def _commit_end(data: bytes | None) -> int:
+    """The end of the commit that a payload is, -1 for other payloads."""
+    at = _ENDS.get(data[0]) if data else None
+    return int.from_bytes(data[at : at + 8], "big") if at and len(data) >= at + 8 else -1
+
+
 class _Files:
     def __init__(self, options: dict[str, str]):
         if "path" not in options:
@@ -73,10 +97,10 @@ class _Files:
         self.most = int(options.get("maxframes", PIECE))
         if self.most < 1:
             raise LogError("config", "maxFrames is below 1")
-        self.seen: dict[str, list[tuple[int, int, int, int]]] = {}
+        self.seen: dict[str, list[Group]] = {}
 
-    def look(self, told: int = 0) -> list[tuple[str, int, int, int, int]]:
-        """(file, row group, first and last seq, rows) of all files; every file's footer is read once.
+    def look(self, told: int = 0) -> list[tuple[str, Group]]:
+        """All files' row groups that hold the slot; every file's footer is read once.
 
         Row groups without statistics are read for their numbers. A file that comes later must lie behind what was told.
         """
@@ -86,30 +110,56 @@ class _Files:
             if info.type != pf.FileType.File or name.startswith(("_", ".")) or info.path in self.seen:
                 continue
             found = self._groups(system, info.path)
-            if any(low < told for _, low, _, _ in found):
+            if any(g.low < told for g in found):
                 raise LogError("protocol", f"{info.path} holds frames before {told}, which were read already")
             self.seen[info.path] = found
-        return [(f, *g) for f, groups in sorted(self.seen.items()) for g in groups]
+        return [(f, g) for f, groups in sorted(self.seen.items()) for g in groups]
 
-    @staticmethod
-    def _groups(system: pf.FileSystem, path: str) -> list[tuple[int, int, int, int]]:
+    def _groups(self, system: pf.FileSystem, path: str) -> list[Group]:
         with system.open_input_file(path) as f:
             file = pq.ParquetFile(f)
-            column = file.schema_arrow.get_field_index("seq")
             out = []
             for k in range(file.metadata.num_row_groups):
                 group = file.metadata.row_group(k)
-                stats = next((c.statistics for c in map(group.column, range(group.num_columns)) if c.path_in_schema == "seq"), None)
-                if column < 0 or not group.num_rows:
+                stats = {c.path_in_schema: c.statistics for c in map(group.column, range(group.num_columns))}
+                ends = {n: (x.min, x.max) for n, x in stats.items() if x is not None and x.has_min_max}
+                if not group.num_rows or "seq" not in stats:
                     continue
-                if stats is not None and stats.has_min_max:
-                    low, high = stats.min, stats.max
-                else:
-                    ends = pc.min_max(file.read_row_group(k, columns=["seq"]).column("seq")).as_py()
-                    low, high = ends["min"], ends["max"]
-                if low is not None:
-                    out.append((k, low, high, group.num_rows))
-            return out
+                one_slot = ends.get("slot", (None, ""))
+                if self.slot and one_slot[0] == one_slot[1] != self.slot:
+                    continue
+                if "seq" not in ends or (self.slot and one_slot[0] != one_slot[1]):
+                    rows = file.read_row_group(k, columns=["slot", "seq"])
+                    rows = rows.filter(pc.field("slot") == self.slot) if self.slot else rows
+                    low_high = pc.min_max(rows.column("seq")).as_py()
+                    ends["seq"] = (low_high["min"], low_high["max"])
+                if ends["seq"][0] is not None:
+                    reach = max((ends[n][1] if n in ends else 1 << 62) for n in ("wal_start", "wal_end"))
+                    out.append(Group(k, *ends["seq"], group.num_rows, group.total_byte_size, reach))
+        return out
+
+    def commit_at(self, target: int, start: int, end: int) -> int | None:
+        """The number of the first commit from start to before end whose end is at or past the target.
+
+        Only row groups that reach the target are read, those with the lowest numbers first: a frame's positions are never
+        below the end of the commit that it holds. So the log in front of the target is not looked at.
+        """
+        system, _ = opened(self.path)
+        found: int | None = None
+        for path, g in sorted(self.look(), key=lambda x: x[1].low):
+            if g.reach < target or g.high < start or g.low >= end or (found is not None and g.low > found):
+                continue
+            with system.open_input_file(path) as f:
+                for batch in pq.ParquetFile(f).iter_batches(row_groups=[g.number], columns=["slot", "seq", "wal_start", "wal_end", "data"]):
+                    kept = pa.table(batch).filter(self._wanted(start, end) & ((pc.field("wal_start") >= target) | (pc.field("wal_end") >= target)))
+                    for seq, data in zip(kept.column("seq").to_pylist(), kept.column("data").to_pylist(), strict=True):
+                        if (found is None or seq < found) and _commit_end(data) >= target:
+                            found = seq
+        return found
+
+    def _wanted(self, start: int, end: int) -> pc.Expression:
+        keep = (pc.field("seq") >= start) & (pc.field("seq") < end)
+        return keep & (pc.field("slot") == self.slot) if self.slot else keep
 
     def plan(self, start: int, end: int) -> list[Groups]:
         """Row groups that hold numbers from start to before end, about PIECE frames a partition."""
@@ -120,14 +170,14 @@ class _Files:
             if held[1]:
                 out.append(Groups(held[0], tuple(held[1]), start, end))
 
-        for path, k, low, high, rows in self.look():
-            if high < start or low >= end:
+        for path, g in self.look():
+            if g.high < start or g.low >= end:
                 continue
-            if held[0] != path or held[2] + rows > PIECE:
+            if held[0] != path or held[2] + g.rows > PIECE:
                 close()
                 held = (path, [], 0)
-            held[1].append(k)
-            held = (path, held[1], held[2] + rows)
+            held[1].append(g.number)
+            held = (path, held[1], held[2] + g.rows)
         close()
         return out or [Groups("", (), start, end)]
 
@@ -135,8 +185,7 @@ class _Files:
         if not part.groups:
             return
         system, _ = opened(self.path)
-        keep = (ds.field("seq") >= part.start) & (ds.field("seq") < part.end) & (ds.field("wal_start") >= self.start_lsn)
-        keep = keep & (ds.field("slot") == self.slot) if self.slot else keep
+        keep = self._wanted(part.start, part.end) & (pc.field("wal_start") >= self.start_lsn)
         with system.open_input_file(part.path) as f:
             file = pq.ParquetFile(f)
             for batch in file.iter_batches(row_groups=list(part.groups), columns=list(NAMES)):
@@ -149,28 +198,84 @@ class Reader(_Files, DataSourceReader):
         return self.plan(0, 1 << 63 - 1)
 
 
+class Bucket:
+    """A token bucket: so many a second flow in, at most burst seconds of them are held, and it begins full."""
+
+    def __init__(self, rate: float, burst: float, clock: Callable[[], float] = time.monotonic):
+        self.rate, self.most, self.clock = rate, rate * burst, clock
+        self.tokens, self.at = self.most, clock()
+
+    def level(self) -> float:
+        now = self.clock()
+        self.tokens, self.at = min(self.most, self.tokens + (now - self.at) * self.rate), now
+        return self.tokens
+
+    def take(self, n: float) -> None:
+        """What is taken beyond the level is a debt, paid before anything else is let through."""
+        self.tokens = self.level() - n
+
+
 class StreamReader(_Files, DataSourceStreamReader):
     """Every batch is a run of sequence numbers; files that arrive later lie behind the ones before."""
 
-    def __init__(self, options: dict[str, str]):
+    def __init__(self, options: dict[str, str], clock: Callable[[], float] = time.monotonic):
         super().__init__(options)
         self.told: int | None = None
+        self.target = lsn_number(options["stopat"]) if options.get("stopat") else None
+        self.cut: int | None = None
+        burst = float(options.get("burst", 1))
+        rates = {n: float(options[n + "persecond"]) for n in ("frames", "bytes") if n + "persecond" in options}
+        if burst <= 0 or any(r <= 0 for r in rates.values()):
+            raise LogError("config", "framesPerSecond, bytesPerSecond and burst are above 0")
+        self.buckets = {n: Bucket(r, burst, clock) for n, r in rates.items()}
 
     def initialOffset(self) -> dict:
         return {"seq": 0}
 
     def latestOffset(self) -> dict:
-        """The end of the next batch: at most maxFrames on from the last one, and never before it."""
+        """The end of the next batch: at most maxFrames on from the last one, as the rates allow, and never before it."""
         known = self.look(self.told or 0)
-        high = max((h + 1 for *_, h, _ in known), default=0)
+        high = max((g.high + 1 for _, g in known), default=0)
         if self.told is None:
             noted = self._noted()
-            first = min((low for _, _, low, _, _ in known), default=0)
-            self.told = high if self.progress is None else max(noted, first)
-        self.told = max(self.told, min(high, self.told + self.most))
+            first = min((g.low for _, g in known), default=0)
+            self.told = self._bounded(0, high) if self.progress is None else max(noted, first)
+        end = self._bounded(self.told, max(self.told, min(high, self.told + self.most)))
+        self.told = self._admitted(self.told, end)
         self._note()
         return {"seq": self.told}
 
+    def _bounded(self, start: int, end: int) -> int:
+        """end, or the place behind the commit that reaches the target, if it lies before it."""
+        if self.target is not None and self.cut is None and end > start:
+            found = self.commit_at(self.target, 0, end)
+            self.cut = None if found is None else found + 1
+        return end if self.cut is None else max(start, min(end, self.cut))
+
+    def _admitted(self, start: int, end: int) -> int:
+        """As many numbers as the buckets let through now; frames and bytes of a row group are taken to be spread evenly."""
+        levels = {n: b.level() for n, b in self.buckets.items()}
+        if not levels or end <= start:
+            return end
+        if min(levels.values()) <= 0:
+            return start
+        frames = size = 0.0
+        at = start
+        for g in sorted((g for _, g in self.look() if g.high >= start and g.low < end), key=lambda g: g.low):
+            span = g.high - g.low + 1
+            low, high = max(g.low, start, at), min(g.high + 1, end)
+            share = min([1.0, *[max(levels[n] - had, 0) / max(per, 1e-9) for n, had, per in (("frames", frames, g.rows * (high - low) / span), ("bytes", size, g.size * (high - low) / span)) if n in levels]])
+            upto = low + max(int((high - low) * share), 0)
+            frames, size, at = frames + g.rows * (upto - low) / span, size + g.size * (upto - low) / span, max(at, upto)
+            if share < 1:
+                break
+        else:
+            at = end
+        for n, used in (("frames", frames), ("bytes", size)):
+            if n in self.buckets:
+                self.buckets[n].take(used)
+        return at
+
     def partitions(self, start: dict, end: dict) -> list[Groups]:
         self.told = max(self.told or 0, end["seq"])
         return self.plan(start["seq"], end["seq"])

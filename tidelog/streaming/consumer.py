@@ -3,50 +3,66 @@
 from __future__ import annotations
 
 import threading
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, Row
-from pyspark.sql import functions as F
 
 from tidelog.errors import LogError
+from tidelog.operators.frontier import Frontier
 from tidelog.operators.progress import Feedback, Tracker
+from tidelog.sources.commands import lsn_text
 from tidelog.streaming.replay import Replay
 
 
 class Consumer:
-    """Runs a replay and acknowledges what was handled: a batch counts as applied after its handler came back.
+    """Runs a replay of one slot and acknowledges what was handled, never beyond a transaction that was not.
 
-    stop() ends after the batch that runs; target (a position) ends by itself after the first batch whose commits reach
-    it. A handler's error ends the query, and start() goes on from the batch that failed.
+    A batch's transactions count as applied when the handler comes back; with by_hand=True the handler's user says so
+    for each, in any order, by done(). What is acknowledged is the end of the unbroken run of applied commits.
+
+    stop() ends after the batch that runs. target (a position) ends the stream with the first commit whose end is at or
+    past it: the source plans no frame behind that commit, so a later start without a target reads on right there. A
+    handler's error ends the query, and start() goes on from the batch that failed.
     """
 
-    def __init__(self, replay: Replay, feedback: Feedback | None = None, target: int | None = None):
-        self.replay, self.tracker, self.target = replay, feedback.tracker if feedback else Tracker(), target
-        self.feedback = feedback or Feedback(self.tracker)
+    def __init__(self, replay: Replay, feedback: Feedback | None = None, target: int | None = None, by_hand: bool = False):
+        self.replay, self.tracker, self.target, self.by_hand = replay, feedback.tracker if feedback else Tracker(), target, by_hand
+        self.feedback, self.frontier = feedback or Feedback(self.tracker), Frontier()
         self.sent: list[bytes] = []
-        self.query, self.reached, self._user = None, threading.Event(), replay.handler
+        self.query, self.reached, self._user, self._lock = None, threading.Event(), replay.handler, threading.Lock()
         replay.handler = self._handle
 
     def _handle(self, changes: DataFrame, number: int) -> None:
-        if self.reached.is_set():
-            return
+        ends = [r[0] for r in self.replay.ends(number).collect()]
+        with self._lock:
+            for end in ends:
+                self.tracker.receive(end)
+                self.frontier.expect(end)
         if self._user:
             self._user(changes, number)
-        end = changes.agg(F.max("txn_end_lsn")).first()[0]
-        if end is not None:
-            self.tracker.receive(end)
-            self.tracker.apply(end)
+        if not self.by_hand:
+            self.done(*ends)
+        if self.target is not None and ends and ends[-1] >= self.target:
+            self.reached.set()
+
+    def done(self, *ends: int) -> int:
+        """Transactions that end there are applied; acknowledges and gives the position up to which all are."""
+        with self._lock:
+            for end in ends:
+                self.frontier.apply(end)
+            if self.frontier.safe:
+                self.tracker.apply(self.frontier.safe)
             if status := self.feedback.status():
                 self.sent.append(status)
-            if self.target is not None and end >= self.target:
-                self.reached.set()
+            return self.frontier.safe
 
     def start(self, path: str, checkpoint: str, **options: str) -> Consumer:
-        self.query = self.replay.start(path, checkpoint, **options)
+        bounds = {} if self.target is None else {"stopAt": lsn_text(self.target)}
+        self.query = self.replay.start(path, checkpoint, **(bounds | options))
         return self
 
     def run(self, path: str, checkpoint: str, **options: str) -> None:
-        """Handles all there is and returns; a handler's error is raised after the stream was stopped."""
+        """Handles all there is, or all up to the target, and returns; a handler's error is raised after the stream was stopped."""
         self.start(path, checkpoint, **options)
         try:
             self.query.processAllAvailable()

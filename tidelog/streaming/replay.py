@@ -23,8 +23,8 @@ from tidelog.sources.scratch import materialise
 class Replay:
     """Writes committed changes of a frame stream, transaction by transaction, to gold under a folder.
 
-    carry holds the frames later batches still need: those of undecided transactions, and the relation messages. A
-    batch writes its changes, then calls the handler, then notes that it is done: a batch that fails or is stopped
+    carry holds the frames later batches still need: those of undecided transactions, and of each relation the versions
+    that hold from the oldest of these on. A batch writes its changes, then calls the handler, then notes that it is done: a batch that fails or is stopped
     before the note is run again with the same rows, and one that is noted is not handled twice.
     """
 
@@ -58,14 +58,29 @@ class Replay:
         changes = txn.committed(log, final).drop("_bucket")
         changes.write.mode("overwrite").parquet(self._path("changes", number))
         still = log.where("txn_id is not null").join(final.select(*txn.KEY), txn.KEY, "left_anti").select("slot", "seq")
-        tag, at = F.substring("data", 1, 1), ["slot", "seq"]
+        at = ["slot", "seq"]
         frames = frames.withColumn("slot", F.coalesce("slot", F.lit("")))
-        kept = frames.join(still, at, "left_semi").unionByName(frames.where(tag == F.lit(b"R")).join(still, at, "left_anti"))
-        kept.write.mode("overwrite").parquet(self._path("carry", number))
+        needed = materialise(still.unionByName(self._versions(messages, still)).distinct(), "still")
+        frames.join(needed, at, "left_semi").write.mode("overwrite").parquet(self._path("carry", number))
+        ends = final.where("status = 'committed'").select("slot", "commit_seq", "end_lsn")
+        ends.write.mode("overwrite").parquet(self._path("commits", number))
         if self.handler:
             self.handler(self.spark.read.schema(changes.schema).parquet(self._path("changes", number)), number)
         self.spark.createDataFrame([(number,)], "batch long").write.mode("overwrite").parquet(done)
 
+    @staticmethod
+    def _versions(messages: DataFrame, still: DataFrame) -> DataFrame:
+        """(slot, seq) of the relation messages that hold at the oldest undecided change, or at the end of the batch, or come later."""
+        sent = messages.where("tag = 'R' and error is null").select("slot", "oid", "seq")
+        oldest = still.groupBy("slot").agg(F.min("seq").alias("_from"))
+        marked = sent.join(oldest, "slot", "left").withColumn("_early", F.col("_from").isNull() | (F.col("seq") <= F.col("_from")))
+        last = marked.where("_early").groupBy("slot", "oid").agg(F.max("seq").alias("seq")).select("slot", "seq")
+        return last.unionByName(marked.where("not _early").select("slot", "seq"))
+
+    def ends(self, batch: int) -> DataFrame:
+        """(end_lsn) of the transactions that committed in a batch, in their order."""
+        return self.spark.read.schema("slot string, commit_seq long, end_lsn long").parquet(self._path("commits", batch)).orderBy("commit_seq").select("end_lsn")
+
     def start(self, path: str, checkpoint: str, **options: str) -> StreamingQuery:
         """Runs until stopped; started again with the same folders it reads on where it was."""
         capture.register(self.spark)
