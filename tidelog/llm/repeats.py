@@ -32,8 +32,8 @@ from tidelog.sources.scratch import materialise
 
 #: Bytes of a window, of an anchor, and starts of windows that one row of the second pass stands for.
 WINDOW, GRAM, BLOCK = 400, 64, 25
-#: Keys, or places, up to which they are broadcast; beyond that they are joined by a shuffle.
-FEW = 1_000_000
+#: Keys, places with their texts, and names of texts, up to which they are broadcast; beyond that they are joined by a shuffle.
+FEW, FEW_PLACES, FEW_TEXTS = 1_000_000, 250_000, 4_000_000
 #: Window starts that are looked at together.
 CHUNK = 1 << 19
 #: Bytes of texts, and rows, that a task holds at a time (a single text may be longer).
@@ -164,30 +164,48 @@ def _next_digit(window: int, block: int) -> Callable:
     return run
 
 
+def _recurring(rows: DataFrame, key: str, name: str) -> DataFrame:
+    """The keys that stand for more than one row, by weight; a weight of 2 is of what stands there more than once already."""
+    keys = rows.groupBy(key).agg(F.sum("weight").alias("n")).where("n > 1").select(key)
+    return broadcast_if_few(materialise(keys, name), F.lit(1), FEW)
+
+
 def _settled(rows: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
-    """(spans, groups): places of what is the same all around as something else, and a row for each that differs.
+    """(spans, open): places of what is the same all around as something else, and one place of each kind of the buckets with several.
 
-    A weight of 2 marks what stands there more than once already, so that it counts as repeated.
+    A digit that stands alone is left behind by a count of digits, so that only what recurs is grouped by its surroundings.
     """
     rows = materialise(rows, f"{name}_rows")
+    live = rows.join(_recurring(rows, "digit", f"{name}_digits"), "digit", "left_semi")
     place = F.struct("tid", "at", "lo", "hi").alias("place")
-    groups = materialise(rows.groupBy("digit", "around").agg(F.sum("weight").alias("n"), F.min(place).alias("place")), f"{name}_groups")
-    again = materialise(groups.where("n > 1").select("around"), f"{name}_again")
-    return rows.join(broadcast_if_few(again, F.lit(1), FEW), "around", "left_semi").select("tid", "start", "stop"), groups
-
-
-def _open(groups: DataFrame, name: str) -> DataFrame:
-    """Places that go on: one of each kind, where a digit's bucket has several kinds."""
+    groups = materialise(live.groupBy("digit", "around").agg(F.sum("weight").alias("n"), F.min(place).alias("place")), f"{name}_groups")
+    again = broadcast_if_few(materialise(groups.where("n > 1").select("around"), f"{name}_again"), F.lit(1), FEW)
     mixed = materialise(groups.groupBy("digit").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1").select("digit"), f"{name}_mixed")
     more = groups.join(broadcast_if_few(mixed, F.lit(1), FEW), "digit", "left_semi")
-    return materialise(more.select("place.*", F.least("n", F.lit(2)).cast("int").alias("weight")), f"{name}_open")
+    more = materialise(more.select("place.*", F.least("n", F.lit(2)).cast("int").alias("weight")), f"{name}_open")
+    return rows.join(again, "around", "left_semi").select("tid", "start", "stop"), more
 
 
 def _beside(texts: DataFrame, rows: DataFrame, name: str, how: str) -> DataFrame:
-    """Texts with the rows of each as an array: joined by broadcast where these are few, else by shuffling texts by tid."""
+    """Texts with the rows of each as an array: joined by broadcast where these are few, else by a shuffle.
+
+    Texts that have no rows are not shuffled while the names of those that have are few enough to broadcast: these are
+    then read apart ("left"), or left out ("inner").
+    """
     each = rows.groupBy("tid").agg(F.collect_set(F.struct(*[c for c in rows.columns if c != "tid"])).alias(name))
     each = materialise(each, name)
-    return texts.join(broadcast_if_few(each, F.size(name), FEW), "tid", how)
+    total, named = each.agg(F.sum(F.size(name)), F.count(F.lit(1))).first()
+    if (total or 0) <= FEW_PLACES:
+        return texts.join(F.broadcast(each), "tid", how)
+    if named > FEW_TEXTS:
+        return texts.join(each, "tid", how)
+    code, codes = F.xxhash64("tid").alias("_code"), F.broadcast(each.select(F.xxhash64("tid").alias("_code")).distinct())
+    apart = texts.withColumn("_code", code)
+    found = apart.join(codes, "_code", "left_semi").drop("_code").join(each, "tid", how)
+    if how == "inner":
+        return found
+    rest = apart.join(codes, "_code", "left_anti").drop("_code").withColumn(name, F.lit(None).cast(each.schema[name].dataType))
+    return found.unionByName(rest)
 
 
 def tid(text: Column) -> Column:
@@ -206,12 +224,12 @@ def repeated(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", window
     copies = materialise(copies, "copies")
     marked = texts.join(broadcast_if_few(copies, F.lit(1), FEW), "tid", "left").where("n is null or id <=> least")
     marked = marked.select("tid", "text", F.when(F.col("n") > 1, 2).otherwise(1).alias("weight"))
-    spans, groups = _settled(marked.mapInArrow(_first_digit(window, gram), _SCHEMA), "first")
-    for name, size in (("second", block), ("third", 1)):
-        beside = _beside(marked.select("tid", "text"), _open(groups, name), "places", "inner")
-        more, groups = _settled(beside.select("tid", "text", "places").mapInArrow(_next_digit(window, size), _SCHEMA), name)
-        spans = spans.unionByName(more)
-    return spans
+    spans, places = _settled(marked.mapInArrow(_first_digit(window, gram), _SCHEMA), "first")
+    deeper = lambda size: _beside(marked.select("tid", "text"), places, "places", "inner").select("tid", "text", "places").mapInArrow(_next_digit(window, size), _SCHEMA)
+    more, places = _settled(deeper(block), "second")
+    windows = materialise(deeper(1), "windows")
+    last = windows.join(_recurring(windows, "around", "repeated"), "around", "left_semi").select("tid", "start", "stop")
+    return spans.unionByName(more).unionByName(last)
 
 
 def without_repeats(docs: DataFrame, carried: list[Column], text: str = "text", doc_id: str = "doc_id", window: int = WINDOW, gram: int = GRAM, block: int = BLOCK) -> DataFrame:

@@ -33,7 +33,7 @@ def _whole_new() -> Column:
     return F.when(partial, filled).otherwise(F.col("new_row"))
 
 
-def _changes(changes: DataFrame) -> DataFrame:
+def whole_changes(changes: DataFrame) -> DataFrame:
     """Inserts, updates and deletes with whole new rows where the log has them; a change that can't name its row fails the query."""
     rows = changes.where(F.col("tag").isin("I", "U", "D")).withColumn("new_row", _whole_new())
     lost = by_value() & (F.col("tag") != "I") & F.col("old_row").isNull()
@@ -46,7 +46,7 @@ def keyed(changes: DataFrame) -> DataFrame:
 
     Order is (commit_seq, seq, step): a removal comes before the upsert it belongs to.
     """
-    rows = _changes(changes)
+    rows = whole_changes(changes)
     names = F.when(by_value(), F.col("column_names")).otherwise(F.col("primary_key"))
     pick = lambda row: F.transform("_names", lambda n: F.get(F.filter(row, lambda c: c["name"] == n), F.lit(0))["value"])
     rows = rows.withColumn("_names", names).withColumns({"_old_key": pick("old_row"), "_new_key": pick("new_row")})
@@ -88,7 +88,7 @@ def net_state(changes: DataFrame) -> DataFrame:
     by value are counted, inserts up and deletes down. All passes are pre-aggregated; no task holds the history of a key.
     """
     rows = after_truncates(changes.where(F.col("tag").isin("I", "U", "D")), changes)
-    return _by_key(keyed(rows.where(~by_value()))).unionByName(_by_value(_changes(rows.where(by_value()))))
+    return _by_key(keyed(rows.where(~by_value()))).unionByName(_by_value(whole_changes(rows.where(by_value()))))
 
 
 def _by_key(rows: DataFrame) -> DataFrame:

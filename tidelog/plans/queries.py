@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,7 +18,8 @@ from tidelog.operators.framing import unframe
 from tidelog.operators.project import Field
 from tidelog.plans import silver
 from tidelog.sources import changelog as C
-from tidelog.sources.scratch import materialise
+from tidelog.sources.scratch import materialise, shared_dir
+from tidelog.streaming.upsert import UpsertSink
 
 ORDER = [Field("o_orderkey", "i64"), Field("o_custkey", "i64"), Field("o_orderstatus", "string"), Field("o_totalprice", "f64")]
 
@@ -358,6 +360,16 @@ def applied_intervals(spark, sf_dir):
     return frontier.intervals(*_worked(spark, sf_dir)).select("first_seq", "last_seq", "n")
 
 
+def upserted_state(spark, sf_dir):
+    """The orders, kept by an upsert sink that is handed the committed changes in five batches of whole transactions."""
+    changes = _committed(spark, sf_dir)
+    sink = UpsertSink(spark, f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/upserts-{uuid.uuid4().hex}", buckets=16)
+    top = changes.agg(F.max("commit_seq")).first()[0] or 0
+    for n in range(5):
+        sink(changes.where((F.col("commit_seq") > top * n // 5) & (F.col("commit_seq") <= top * (n + 1) // 5)), n)
+    return project.strict(sink.table().select("row"), ORDER)
+
+
 NAMES = (
     "lsn_format", "lsn_parse", "pg_timestamp", "decode_insert", "decode_update", "decode_delete", "decode_control", "decode_other", "relation_changes",
     "key_columns", "truncate_tables", "txn_assign", "txn_stats", "committed_only", "aborted_rows", "two_phase_visible", "bounded_replay",
@@ -365,6 +377,7 @@ NAMES = (
     "event_categories", "progress_lsn", "metrics_bytes", "metrics_latency", "snapshot_plus_stream", "encode_roundtrip", "quarantine", "frames_header",
     "full_identity_state", "keyless_copies", "binary_columns", "full_old_rows", "reused_xids", "rolled_back_parts", "bucket_edges", "undecided_transactions",
     "typed_update", "json_roundtrip", "event_json", "metrics_rates", "frames_across_chunks", "recovered_log", "log_gaps", "safe_progress", "applied_intervals",
+    "upserted_state",
 )
 
 
