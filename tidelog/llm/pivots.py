@@ -1,7 +1,7 @@
 """Embedding near-duplicates by a pivot-permutation index.
 
-Reference points (pivots) are vectors drawn by hash from the table, a number that grows with its root, no two of them
-close to each other: a group of near copies owns one pivot, however large it is, and its members' lists agree. Every
+Reference points (pivots) are vectors drawn by hash from the table, for each length of vectors a number that grows with
+the root of theirs, no two of them close to each other: a group of near copies owns one pivot, however large it is, and its members' lists agree. Every
 vector is described by its nearest pivots in order, by cosine. Inverted lists hold the vectors of one label that name a
 pivot. Two vectors are candidates if they share enough pivots, or one that is close to both; each pair is looked at in
 the list of the lowest pivot they share, and its cosine is verified in double precision.
@@ -51,15 +51,31 @@ def usable(vectors: DataFrame, vec_id: str, embedding: str, label: str) -> DataF
     return rows.where(F.col("label").isNotNull() & F.col("v").isNotNull()).where(fine)
 
 
-def draw_pivots(nodes: DataFrame) -> np.ndarray:
-    """Unit pivot vectors: of a bounded sample of the distinct vectors, by hash, those that are close to none before them."""
-    seen = nodes.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("v")).alias("length")).first()
-    if not seen["n"]:
-        return np.zeros((0, 0))
-    length = seen["length"]
-    k = int(np.clip(PER_ROOT * np.sqrt(seen["n"]), FEWEST, max(FEWEST, min(MOST, PIVOT_BYTES // (8 * length)))))
-    drawn = nodes.where(F.size("v") == length).select("v", F.xxhash64("v", F.lit("pivot")).alias("h")).orderBy("h").limit(DRAWS * k)
-    return _spread(_unit(_matrix(drawn.toArrow().column("v"), length)), k)
+def draw_pivots(nodes: DataFrame) -> dict[int, tuple[int, np.ndarray]]:
+    """For each frequent length of vectors: the number of its first pivot, and its pivots as unit rows.
+
+    Pivots are of a bounded sample of the distinct vectors, by hash, those that are close to none before them; where these
+    are fewer than FEWEST, the next ones of the sample too. A length is frequent with FEWEST distinct vectors; where there
+    are so many lengths that their pivots would not fit, only those with LONG are, as the others' lists are short.
+    """
+    seen = nodes.groupBy(F.size("v").alias("length")).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= FEWEST).orderBy(F.desc("n"), "length").collect()
+    room = np.cumsum([8 * FEWEST * r["length"] for r in seen])
+    seen = [r for r, size in zip(seen, room, strict=True) if size <= PIVOT_BYTES or r["n"] >= LONG]
+    wanted = {r["length"]: int(np.clip(PER_ROOT * np.sqrt(r["n"]), FEWEST, MOST)) for r in seen}
+    share = min(1.0, PIVOT_BYTES / max(1, sum(8 * length * k for length, k in wanted.items())))
+    wanted = {length: max(FEWEST, int(k * share)) for length, k in wanted.items()}
+    if not wanted:
+        return {}
+    hashes = F.xxhash64("v", F.lit("pivot")).alias("h")
+    bounds = [(r["length"], int(min(1.0, 2 * DRAWS * wanted[r["length"]] / r["n"]) * ((1 << 63) - 1))) for r in seen]
+    drawn = nodes.select("v", hashes, F.size("v").alias("length")).join(F.broadcast(nodes.sparkSession.createDataFrame(bounds, "length int, below long")), "length")
+    table = drawn.where(F.col("h").bitwiseAND(F.lit((1 << 63) - 1)) <= F.col("below")).select("length", "h", "v").toArrow().sort_by([("length", "ascending"), ("h", "ascending")])
+    out, first, lengths = {}, 0, table.column("length").to_numpy()
+    for length, k in wanted.items():
+        own = table.column("v").take(pa.array(np.flatnonzero(lengths == length)[: DRAWS * k]))
+        out[length] = (first, _spread(_unit(_matrix(own, length)), k))
+        first += len(out[length][1])
+    return out
 
 
 def _matrix(v: pa.ChunkedArray | pa.Array, length: int) -> np.ndarray:
@@ -69,7 +85,7 @@ def _matrix(v: pa.ChunkedArray | pa.Array, length: int) -> np.ndarray:
 
 
 def _spread(points: np.ndarray, most: int) -> np.ndarray:
-    """The first points, at most so many, of which none is close to one before it; a block's against all others at once."""
+    """The first points, at most so many, of which none is close to one before it; of the others the first, up to FEWEST in all."""
     taken: list[int] = []
     for at in range(0, len(points), BLOCK):
         block = points[at : at + BLOCK]
@@ -79,7 +95,8 @@ def _spread(points: np.ndarray, most: int) -> np.ndarray:
             if free[k] and len(taken) < most:
                 taken.append(at + k)
                 free &= inner[k] < CLOSE
-    return points[taken]
+    rest = np.setdiff1d(np.arange(len(points)), taken)[: max(0, min(FEWEST, most) - len(taken))]
+    return points[np.append(np.array(taken, np.int64), rest)]
 
 
 def _unit(x: np.ndarray) -> np.ndarray:
@@ -87,31 +104,33 @@ def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def describe(nodes: DataFrame, pivots: np.ndarray, nearest: int = NEAREST) -> DataFrame:
-    """node, label, v, weight, near: the numbers of the nearest pivots, nearest first, and close: how many of them are close.
+def describe(nodes: DataFrame, pivots: dict[int, tuple[int, np.ndarray]], nearest: int = NEAREST) -> DataFrame:
+    """node, label, v, weight, near: the numbers of the nearest pivots of their length, nearest first, and close: how many of them are close.
 
-    Vectors of another length get no pivot's list but their length's own.
+    Vectors of a length without pivots are in their length's own list.
     """
     shared = nodes.sparkSession.sparkContext.broadcast(pivots)
-    size, few = pivots.shape[1], min(nearest, len(pivots))
-    step = max(1, (8 << 20) // max(1, len(pivots)))
+    step = max(1, (8 << 20) // max([1, *[len(p) for _, p in pivots.values()]]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, step):
                 part = batch.slice(at, step)
                 lengths = part.column(2).value_lengths().to_numpy(zero_copy_only=False)
-                fits = np.flatnonzero(lengths == size)
-                near = np.full((len(lengths), few), NOTHING, np.int64)
+                near = np.full((len(lengths), nearest), NOTHING, np.int64)
                 near[:, 0] = -lengths
                 close = np.zeros(len(lengths), np.int64)
-                if len(fits):
-                    cosines = _unit(_matrix(part.column(2).take(pa.array(fits)), size)) @ shared.value.T
-                    top = np.argpartition(-cosines, few - 1, axis=1)[:, :few]
-                    values = np.take_along_axis(cosines, top, 1)
-                    order = np.lexsort((top, -values), axis=1)
-                    near[fits] = np.take_along_axis(top, order, 1)
-                    close[fits] = (values >= CLOSE).sum(1)
+                for length in np.unique(lengths).tolist():
+                    if length in shared.value:
+                        own = np.flatnonzero(lengths == length)
+                        first, points = shared.value[length]
+                        few = min(nearest, len(points))
+                        cosines = _unit(_matrix(part.column(2).take(pa.array(own)), length)) @ points.T
+                        top = np.argpartition(-cosines, few - 1, axis=1)[:, :few]
+                        values = np.take_along_axis(cosines, top, 1)
+                        order = np.lexsort((top, -values), axis=1)
+                        near[own, :few] = first + np.take_along_axis(top, order, 1)
+                        close[own] = (values >= CLOSE).sum(1)
                 kept = near != NOTHING
                 lists = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(kept.sum(1))), pa.int32()), pa.array(near[kept], pa.int32()))
                 yield pa.RecordBatch.from_arrays([*part.columns, lists, pa.array(close, pa.int32())], [*part.schema.names, "near", "close"])
@@ -175,12 +194,13 @@ def lists(described: DataFrame, block: int = BLOCK, long: int = LONG) -> DataFra
     posts = described.select("label", row, F.posexplode("near").alias("at", "pivot"))
     sizes = posts.groupBy("label", "pivot").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     posts = posts.join(sizes, ["label", "pivot"])
+    again = (F.col("n") > long) & (F.size("row.near") >= SHARED)  # a list of vectors that name no other pivot stays whole, in blocks
     later = F.filter("row.near", lambda q: q > F.col("pivot"))
     nearby = F.when(F.col("at") < F.col("row.close"), F.array(F.lit(NEARBY))).otherwise(F.array().cast("array<int>"))
-    dealt = posts.where(F.col("n") > long).select("label", "pivot", "row", F.explode(F.concat(later, nearby)).alias("sub"))
+    dealt = posts.where(again).select("label", "pivot", "row", F.explode(F.concat(later, nearby)).alias("sub"))
     inner = dealt.groupBy("label", "pivot", "sub").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     dealt = dealt.join(inner, ["label", "pivot", "sub"])
-    posts = posts.where(F.col("n") <= long).withColumn("sub", F.lit(WHOLE)).select(dealt.columns).unionByName(dealt)
+    posts = posts.where(~again).withColumn("sub", F.lit(WHOLE)).select(dealt.columns).unionByName(dealt)
     pieces = F.ceil(F.col("n") / block)
     posts = posts.withColumn("mine", F.pmod(F.xxhash64("row.node"), pieces)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), pieces - 1)))
     return posts.select("label", "pivot", "sub", F.least("mine", "other").alias("p"), F.greatest("mine", "other").alias("o"), "mine", "row.*")
@@ -227,15 +247,11 @@ The pivots are a bounded sample; every vector is indexed.
     members = materialise(
         fine.select("vec_id", "label", "v").join(nodes, ["label", "v"]).select("vec_id", "node", "weight"), "members"
     )
-    pivots = draw_pivots(nodes)
-    if len(pivots):
-        described = materialise(describe(nodes, pivots), "described")
-        found = materialise(linked(described, cosine), "links")
-        counts = found.where("edge = 0").groupBy("node").agg(F.sum("n").alias("n"))
-        comps = components(found.where("edge = 1").select(F.col("node").alias("a"), F.col("other").alias("b")))
-        members = members.join(counts, "node", "left").join(comps, "node", "left")
-    else:
-        members = members.withColumns({"n": F.lit(0).cast("long"), "component": F.lit(None).cast("long")})
+    described = materialise(describe(nodes, draw_pivots(nodes)), "described")
+    found = materialise(linked(described, cosine), "links")
+    counts = found.where("edge = 0").groupBy("node").agg(F.sum("n").alias("n"))
+    comps = components(found.where("edge = 1").select(F.col("node").alias("a"), F.col("other").alias("b")))
+    members = members.join(counts, "node", "left").join(comps, "node", "left")
     result = members.select(
         "vec_id", (F.coalesce("n", F.lit(0)) + F.col("weight") - 1).cast("long").alias("n_links"), F.coalesce("component", "node").alias("component_id")
     )
