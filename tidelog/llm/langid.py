@@ -50,13 +50,17 @@ SAMPLE = 1500
 #: Words a model keeps of each language's sample, by count.
 MAX_WORDS = 30_000
 GRAMS = 1 << 14
+#: Languages of a model, and bytes of its two score tables; with 1,000 languages or fewer words and buckets come to the figures above.
+MAX_LANGUAGES, MODEL_BYTES = 8192, 256 << 20
 #: Weight of a trigram score, as neighbouring trigrams say much the same.
 GRAM_WEIGHT = np.float32(0.5)
 #: A script counts as a language's own from this share of its words on.
 OWN_SCRIPT = 0.01
 #: Scored words a worker keeps.
 CACHE = 200_000
-#: Words whose paths are found at once.
+#: Bytes of their scores, and of the scores of the words whose paths are found at once.
+CACHE_BYTES, PATH_BYTES = 64 << 20, 64 << 20
+#: Words whose paths are found at once, of few languages.
 BLOCK = 400_000
 
 
@@ -72,7 +76,7 @@ def scripts_of(words: list[str]) -> np.ndarray:
 SCRIPT_NAMES = list(dict.fromkeys(name for name, _, _ in SCRIPTS))
 
 
-def grams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+def grams(words: list[str], buckets: int = GRAMS) -> tuple[np.ndarray, np.ndarray]:
     """Trigram buckets of all words one after the other, and how many each word has; words carry a start and an end mark."""
     codes = np.frombuffer(("^" + "$^".join(words) + "$").encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
     mix = lambda h, c: (h * np.uint64(1000003) + c) & np.uint64(0xFFFFFFFF)
@@ -81,7 +85,7 @@ def grams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     until = np.cumsum(count + 2)
     inner = np.ones(len(codes), bool)
     inner[until - 1] = inner[until - 2] = False
-    return ((h ^ (h >> np.uint64(15))) % np.uint64(GRAMS)).astype(np.int64)[inner[:-2]], count
+    return ((h ^ (h >> np.uint64(15))) % np.uint64(buckets)).astype(np.int64)[inner[:-2]], count
 
 
 @dataclass
@@ -101,7 +105,7 @@ class Model:
         out[seen >= 0] = self.table[seen[seen >= 0]]
         new = np.flatnonzero(seen < 0)
         if len(new):
-            at, count = grams([words[k].lower() for k in new])
+            at, count = grams([words[k].lower() for k in new], len(self.grams))
             out[new] = GRAM_WEIGHT * np.add.reduceat(self.grams[at], np.cumsum(count) - count, axis=0)
         out[~self.scripts[scripts_of(words)]] = -np.inf
         return np.maximum(out - out.max(1, keepdims=True), WORST)
@@ -110,19 +114,23 @@ class Model:
 def learn(docs: DataFrame, lang: str = "lang", text: str = "text", sample: int = SAMPLE) -> Model:
     """A model of the labelled rows; null labels and texts teach nothing, and no label at all gives a model without languages.
 
-    Every label is a language of the model, however rare. Labels are as many as there are languages, so their counts are
-    collected; of words, each language's own most frequent MAX_WORDS of its sample are.
+    Every label is a language of the model, however rare, up to MAX_LANGUAGES, the most frequent: a column of labels that
+    holds more is no column of languages. The sample is drawn by a hash of doc_id and text, so that a text which repeats
+    is not drawn whole or not at all. Of each language's words the most frequent of its sample are kept, MAX_WORDS or as
+    many as a model of MODEL_BYTES has room for; trigrams share as many buckets as it has room for.
     """
     labelled = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull())
-    counts = labelled.groupBy(lang).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), lang).collect()
-    languages = sorted(r[lang] for r in counts)
+    counts = labelled.groupBy(F.col(lang).alias("_lang")).agg(F.count(F.lit(1)).alias("_n")).orderBy(F.desc("_n"), "_lang").limit(MAX_LANGUAGES).collect()
+    languages = sorted(r["_lang"] for r in counts)
     if not languages:
         return Model([])
     at = {x: i for i, x in enumerate(languages)}
-    share = F.lit(0.0)
-    for r in counts:
-        share = F.when(F.col(lang) == r[lang], F.lit(min(1.0, sample / r["n"]))).otherwise(share)
-    drawn = F.pmod(F.xxhash64(F.col(text), F.lit("sample")), F.lit(1 << 30)) < share * (1 << 30)
+    room = MODEL_BYTES // (4 * len(languages))
+    buckets, most = min(GRAMS, 1 << max(8, (room // 2).bit_length() - 1)), min(MAX_WORDS, max(20, room // 2 // len(languages)))
+    shares = F.broadcast(docs.sparkSession.createDataFrame([(r["_lang"], min(1.0, sample / r["_n"])) for r in counts], "_lang string, _share double"))
+    labelled = labelled.join(shares, F.col(lang).cast("string") == F.col("_lang"))
+    own = [F.col("doc_id")] if "doc_id" in docs.columns else []
+    drawn = F.pmod(F.xxhash64(F.col(text), *own, F.lit("sample")), F.lit(1 << 30)) < F.col("_share") * (1 << 30)
     rows = labelled.where(drawn).select(F.col(lang).cast("string").alias("lang"), F.col(text).cast("string").alias("text"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -138,7 +146,7 @@ def learn(docs: DataFrame, lang: str = "lang", text: str = "text", sample: int =
 
     table = rows.mapInArrow(count, "language int, word string, n long").groupBy("language", "word").agg(F.sum("n").alias("n"))
     rank = F.row_number().over(W.partitionBy("language").orderBy(F.desc("n"), "word"))
-    kept = table.withColumn("rank", rank).where(F.col("rank") <= MAX_WORDS).collect()
+    kept = table.withColumn("rank", rank).where(F.col("rank") <= most).collect()
     by_word: dict[str, np.ndarray] = {}
     for r in kept:
         by_word.setdefault(r["word"], np.zeros(len(languages)))[r["language"]] = r["n"]
@@ -147,8 +155,8 @@ def learn(docs: DataFrame, lang: str = "lang", text: str = "text", sample: int =
     words = sorted(by_word, key=lambda w: (-by_word[w].sum(), w))
     counts = np.stack([by_word[w] for w in words])
     total = counts.sum(0)
-    by_gram = np.full((GRAMS, len(languages)), 0.5)
-    bucket, each = grams(words)
+    by_gram = np.full((buckets, len(languages)), 0.5)
+    bucket, each = grams(words, buckets)
     np.add.at(by_gram, bucket, np.repeat(np.sqrt(counts), each, axis=0))
     scripts = np.zeros((len(SCRIPT_NAMES) + 1, len(languages)))
     np.add.at(scripts, scripts_of(words), counts)
@@ -176,10 +184,11 @@ class Scores:
     """Rows of words in a growing score table; words without a letter have row -1. A cache of bounded size."""
 
     def __init__(self, model: Model):
-        self.model, self.rows, self.table, self.used = model, {}, np.zeros((1 << 12, len(model.languages)), np.float32), 0
+        self.model, self.rows, self.table, self.used = model, {}, np.zeros((1 << 6, len(model.languages)), np.float32), 0
+        self.most = CACHE_BYTES // (4 * max(1, len(model.languages)))
 
     def of(self, texts: list[list[str]]) -> list[np.ndarray]:
-        if self.used > CACHE:
+        if self.used > min(CACHE, self.most):
             self.__init__(self.model)
         new = [w for w in set().union(*texts) if w not in self.rows]
         spelled = [w for w in new if w.isalpha() or any(map(str.isalpha, w))]
@@ -272,11 +281,12 @@ def identify(docs: DataFrame, model: Model, keep: list[Column], text: str = "tex
 
         return run
 
-    return by_text(docs, keep, text, results, made)
+    size = min(6 * BLOCK, max(1, 6 * PATH_BYTES // (4 * max(1, len(model.languages)))))
+    return by_text(docs, keep, text, results, made, size)
 
 
-def by_text(docs: DataFrame, keep: list[Column], text: str, results: dict[str, str], made: Callable[[], Callable[[pa.Array], list[pa.Array]]]) -> DataFrame:
-    """The kept columns, but for those named like a result, and the results of each text: made() in a worker gives a function of a block of texts."""
+def by_text(docs: DataFrame, keep: list[Column], text: str, results: dict[str, str], made: Callable[[], Callable[[pa.Array], list[pa.Array]]], size: int = 6 * BLOCK) -> DataFrame:
+    """The kept columns, but for those named like a result, and the results of each text: made() in a worker gives a function of a block of texts of so many bytes."""
     names = docs.select(*keep).columns
     some = [k for k, n in enumerate(names) if n not in results]
     row = F.struct(F.lit(0).alias("n"), *[keep[k].alias(f"c{k}") for k in some])
@@ -286,7 +296,7 @@ def by_text(docs: DataFrame, keep: list[Column], text: str, results: dict[str, s
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = made()
         for batch in batches:
-            for at, n in blocks(batch.column(0)):
+            for at, n in blocks(batch.column(0), size):
                 part = batch.slice(at, n)
                 yield pa.RecordBatch.from_arrays([part.column(1), *found(part.column(0))], ["kept", *results])
 
