@@ -406,6 +406,35 @@ def test_long_lists_give_the_same_links(spark):
     assert few == count(pivots.linked(described, block=100, long=60)) and len(few) > 2000
 
 
+def test_pivots_of_several_lengths(spark):
+    """Thousands of vectors of two lengths and one of a third in one label, whose lists are long: all links stay."""
+    rng = np.random.default_rng(12)
+    rows, want = [], 0
+    for size in (16, 24):
+        v, _ = planted(rng.normal(size=(900, size)), np.zeros(900, int), rng)
+        unit = v / np.linalg.norm(v, axis=1, keepdims=True)
+        want += int((unit @ unit.T >= pivots.COSINE).sum()) - len(v)
+        rows += v.tolist()
+    rows.append(rng.normal(size=17).tolist())
+    frame = spark.createDataFrame([(k, x, "one") for k, x in enumerate(rows)], "vec_id long, embedding array<double>, label string")
+    assert 0.95 * want <= pivots.near_duplicates(frame).agg(F.sum("n_links")).first()[0] <= want and want > 100_000
+
+
+def test_pivots_of_one_narrow_bundle(spark):
+    """All vectors of a label lie so close together that no two of the sample can both be pivots by distance; a few lie a little off."""
+    rng = np.random.default_rng(13)
+    axis = np.eye(32)[:1]
+    off = rng.normal(size=(3000, 32)) * np.where(np.arange(3000) % 50 == 0, 0.16, 0.05)[:, None]
+    v = axis + off
+    unit = v / np.linalg.norm(v, axis=1, keepdims=True)
+    want = int((unit @ unit.T >= pivots.COSINE).sum()) - len(v)
+    frame = spark.createDataFrame([(k, x, "one") for k, x in enumerate(v.tolist())], "vec_id long, embedding array<double>, label string")
+    found = pivots.near_duplicates(frame)
+    assert 0.95 * want <= found.agg(F.sum("n_links")).first()[0] <= want and want > 1_000_000
+    described = pivots.describe(frame.select(F.col("vec_id").alias("node"), "label", F.col("embedding").alias("v"), F.lit(1).cast("long").alias("weight")), pivots.draw_pivots(frame.select(F.col("embedding").alias("v"))))
+    assert described.select(F.size("near")).distinct().collect() == [(pivots.NEAREST,)]
+
+
 def test_pivot_recall_of_a_hot_group(spark):
     rng = np.random.default_rng(4)
     unit = lambda x: x / np.linalg.norm(x, axis=1, keepdims=True)
@@ -478,6 +507,19 @@ def test_very_many_candidates():
     assert took[1] < 24 * took[0] + 0.2
 
 
+def test_windows_of_one_very_long_run():
+    """A run of 20 MB without a separator, and one with many: windows reach to the separators around them, in linear time."""
+    began = time.process_time()
+    text = "aB3" * 7_000_000
+    found = secrets.candidates(text, [])
+    assert len(found) == -(-(len(text) - secrets.MIDDLE) // (secrets.MIDDLE // 2)) + 1 and all(x[2:] == (0, len(text)) for x in found[:: len(found) // 50])
+    text = ("x" * 100 + "/") * 100
+    for x, y, a, b in secrets._windows(text, 0, len(text)):
+        left, right = max(text.rfind("/", 0, x), text.rfind("=", 0, x)) + 1, text.find("/", y)
+        assert (a, b) == (left, right if right >= 0 else len(text))
+    assert time.process_time() - began < 60
+
+
 def brute_fingerprint(text):
     words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
     shingles = [" ".join(words[i : i + 4]) for i in range(max(1, len(words) - 3))] if words else []
@@ -609,6 +651,18 @@ def test_language_id_of_whole_documents(spark):
         assert got[r["doc_id"]]["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2)
 
 
+def test_thousands_of_labels(spark):
+    """A dirty column of labels: a model of bounded size that still tells the frequent ones."""
+    rng = np.random.default_rng(21)
+    stems = {"en": "the of and to in that was for it with".split(), "de": "der die und den von zu das mit sich auf".split()}
+    rows = [(k, " ".join(rng.choice(stems[x], 30)), x) for k, x in enumerate(["en", "de"] * 300)]
+    rows += [(1000 + k, f"wort{k} " + " ".join(rng.choice(stems["en"], 5)), f"label {k}") for k in range(5000)]
+    model = langid.learn(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert len(model.languages) == 5002 and model.table.nbytes + model.grams.nbytes <= langid.MODEL_BYTES
+    found = langid.identify(spark.createDataFrame([(1, "der und die von zu das mit"), (2, "the of and that was for it")], "doc_id long, text string"), model, [F.col("doc_id")])
+    assert {r["doc_id"]: r["lang_pred"] for r in found.collect()} == {1: "de", 2: "en"}
+
+
 def test_rare_languages_are_learned(spark):
     """A hundred labelled languages, one of them in a single text."""
     rows = [(k, f"wort{k}ab wort{k}cd " * 30, f"l{k % 100}", "a", 0) for k in range(300)] + [(999, "einzig artig selten " * 5, "rare", "a", 0)]

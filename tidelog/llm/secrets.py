@@ -26,6 +26,7 @@ from .langid import by_text
 KINDS = ("assign", "access", "hex", "model")
 WORDS = r"(?:[pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])"
 ASSIGN = re.compile(WORDS + r"""["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
+SEPARATOR = re.compile("[/=]")
 #: What stands after a credential word: quoted, or up to white space.
 VALUE = re.compile(WORDS + r"""["']?[ \t]*[:=][ \t]*(?:"([^"\n]+)"|'([^'\n]+)'|([^\s"']\S*))""")
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
@@ -98,11 +99,11 @@ def _windows(text: str, a: int, b: int) -> list[tuple[int, int, int, int]]:
     """Overlapping stretches of MIDDLE characters, each with itself carried on to the next separator."""
     if b - a <= MIDDLE:
         return [(a, b, a, b)]
+    marks = [m.start() for m in SEPARATOR.finditer(text, a, b)]  # once for the run, so that time is in proportion to it
     out = []
     for x in [*range(a, b - MIDDLE, MIDDLE // 2), b - MIDDLE]:
-        left = max(text.rfind(c, a, x) for c in "/=") + 1
-        ends = [e for e in (text.find(c, x + MIDDLE, b) for c in "/=") if e >= 0]
-        out.append((x, x + MIDDLE, left or a, min(ends, default=b)))
+        before, after = bisect.bisect_left(marks, x) - 1, bisect.bisect_left(marks, x + MIDDLE)
+        out.append((x, x + MIDDLE, marks[before] + 1 if before >= 0 else a, marks[after] if after < len(marks) else b))
     return out
 
 
