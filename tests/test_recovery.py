@@ -5,14 +5,15 @@ from __future__ import annotations
 import random
 
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from tests.test_core import BEGIN, COMMIT, FULL, PUT, REL, log
-from tidelog.operators import carry, frontier, sessions, state, txn
+from tidelog.operators import carry, frontier, sessions, snapshot, state, txn
 from tidelog.operators import events as E
 from tidelog.operators.decode import decode
 from tidelog.sources.scratch import materialise
-from tidelog.streaming.upsert import UpsertSink
+from tidelog.streaming.upsert import VALUES, UpsertSink
 
 CAPTURE = "slot string, session int, seq long, wal_start long, wal_end long, server_time long, data binary"
 
@@ -96,8 +97,11 @@ def test_frontier_is_the_unbroken_run(spark):
             assert done == max([e for s, e in want.items() if s <= step], default=0)
 
 
-def committed(spark, body, seed):
-    """Changes of random transactions on a keyed table, a table of full rows, with moves, unchanged values and truncates."""
+def committed(spark, body, seed, states=None):
+    """Changes of random transactions on a keyed table, a table of full rows, with moves, unchanged values and truncates.
+
+    states, a list, gets the keyed table after each transaction.
+    """
     rng, messages, xid = random.Random(seed), [(REL, False), (FULL, False)], 0
     put = lambda oid, tag, k, v, **more: {"tag": tag, "oid": oid, "new": [("t", str(k).encode()), ("u", None) if v is None else ("t", v.encode())]} | more
     pair = lambda k, v: [("t", str(k).encode()), ("t", v.encode())]
@@ -136,6 +140,8 @@ def committed(spark, body, seed):
                 keyed[k] = keyed[k] if rng.random() < 0.5 else v
                 messages.append((put(1, "U", k, None if keyed[k] != v else v), False))
         messages.append((COMMIT, False))
+        if states is not None:
+            states.append(dict(keyed))
     decoded = materialise(decode(log(spark, messages), 4), "m")
     rows = materialise(txn.committed(materialise(E.events(decoded, txn.assign(decoded)), "e")), "c")
     return rows, sorted([("t", k, v) for k, v in keyed.items()] + [("f", k, v) for k, v in full])
@@ -181,3 +187,42 @@ def test_upserts_touch_only_their_buckets(spark, tmp_path):
     sink(changes.where(F.col("commit_seq") != first), 1)
     assert len(list((tmp_path / "sink" / "data" / "batch=0").glob("bucket=*"))) == 8 and len(list((tmp_path / "sink" / "data" / "batch=1").glob("bucket=*"))) == 1
     assert ("t", 7, "b") in held(sink.table()) and sink.table().count() == 200 and ("t", 7, "a") in held(sink.table(0))
+
+
+@pytest.mark.parametrize("seed", [11, 12])
+def test_chunks_read_at_any_time_give_the_state(spark, seed):
+    """Every row of a chunk is read at a time of its own between the marks; the log is there from the lowest mark on."""
+    rng, states = random.Random(seed), []
+    changes, want = committed(spark, 50, seed, states)
+    ends = sorted(r[0] for r in changes.select("commit_seq").distinct().collect())
+    assert len(ends) == len(states)
+    marks, rows = [], []
+    for chunk, (a, b) in enumerate([(0, 6), (6, 13), (13, 31)]):
+        low = rng.randint(5, 20)
+        high = low + rng.randint(0, 20)
+        marks.append(("s", "public", "t", chunk, ends[low], ends[high]))
+        for k in range(a, b):
+            at = states[rng.randint(low, high)]
+            if k in at:
+                rows.append(("s", "public", "t", chunk, ["id"], [("id", "t", str(k).encode()), ("v", "t", at[k].encode())]))
+    chunks = spark.createDataFrame(rows, f"slot string, schema string, table string, chunk int, primary_key array<string>, row {VALUES}")
+    table = spark.createDataFrame(marks, "slot string, schema string, table string, chunk int, low long, high long")
+    later = changes.where(F.col("commit_seq") > min(m[4] for m in marks)).where("table = 't' or tag = 'T'")
+    got = held(snapshot.chunked_state(chunks, table, later))
+    assert got == [r for r in want if r[0] == "t"]
+    assert held(snapshot.chunked_state(chunks.limit(0), table, later.limit(0))) == []
+    with pytest.raises(PySparkException, match="without a key"):
+        snapshot.chunked_state(chunks.withColumn("primary_key", F.array().cast("array<string>")), table, later).collect()
+
+
+def test_hot_keys_in_segments(spark, monkeypatch):
+    """History and filled values of keys whose changes are dealt out in segments and stretches are those of one piece."""
+    changes, _ = committed(spark, 80, 7)
+    made = lambda: (sorted(map(str, state.history(changes).collect())), sorted(map(str, state.toast_fill(changes, ["v"]).select("seq", "step", "v").collect())))
+    whole = made()
+    monkeypatch.setattr(state, "HOT", 3)
+    monkeypatch.setattr(state, "SEGMENT", 40)
+    monkeypatch.setattr(carry, "STRETCH", 2)
+    assert made() == whole and len(whole[0]) > 100
+    monkeypatch.setattr(carry, "FEW_HEADS", -1)
+    assert made() == whole

@@ -7,17 +7,18 @@ identity is full and all are. Equal rows of such a table are copies, and the sta
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidelog.functions.scalars import get
-from tidelog.operators.carry import broadcast_if_few
+from tidelog.operators.carry import along_keys, broadcast_if_few
 
 TABLE = ["slot", "schema", "table"]
 BY = [*TABLE, "key"]
 AT = ["commit_seq", "seq", "step"]
 #: Truncated tables, one for each truncate that holds, up to which they are broadcast.
 FEW_CUTS = 1_000_000
+#: Changes of one key from which on they are ordered in segments, and commit places of a segment.
+HOT, SEGMENT = 100_000, 1 << 13
 
 
 def by_value() -> Column:
@@ -127,26 +128,40 @@ def latest(changes: DataFrame) -> DataFrame:
     return seen.select(*BY, F.col("x.new_row").alias("row"), F.col("x.commit_seq").alias("commit_seq"))
 
 
-def _lives(changes: DataFrame) -> DataFrame:
-    """Keyed rows with _life, which counts the births and truncates a key has seen, and _cut, the first truncate after the row."""
+def _cut_in_segments(rows: DataFrame) -> DataFrame:
+    """Adds _segment: for keys with more than HOT changes the stretch of commits that a row lies in, null for others."""
+    hot = rows.groupBy(*BY).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > HOT).select(*BY, F.lit(True).alias("_hot"))
+    rows = rows.join(broadcast_if_few(hot, F.lit(1), FEW_CUTS), BY, "left")
+    return rows.withColumn("_segment", F.when(F.col("_hot"), F.floor(F.col("commit_seq") / SEGMENT))).drop("_hot")
+
+
+def _lives(changes: DataFrame, values: dict[str, Column] | None = None) -> DataFrame:
+    """Keyed rows with _life, told apart by the last birth or removal of the key and the truncates before, and the next change and truncate.
+
+    _next and _cut are places (commit_seq, seq). values are carried along a key: the last one that is not null.
+    """
     cuts = _cuts(changes).groupBy("slot", "_t").agg(F.sort_array(F.collect_list(F.struct("commit_seq", "seq"))).alias("_cuts"))
     rows = keyed(changes).withColumn("_t", _table_name()).join(broadcast_if_few(cuts, F.size("_cuts"), FEW_CUTS), ["slot", "_t"], "left")
     here = F.struct("commit_seq", "seq")
     wiped = F.coalesce(F.size(F.filter("_cuts", lambda c: c < here)), F.lit(0))
-    by = W.partitionBy(*BY).orderBy(*AT)
-    births = F.sum(F.when(F.col("live") & (F.col("tag") != "I"), 0).otherwise(1)).over(by.rowsBetween(W.unboundedPreceding, 0))
-    rows = rows.withColumn("_life", F.struct(births.alias("births"), wiped.alias("wiped")))
-    return rows.withColumn("_cut", F.get(F.filter("_cuts", lambda c: c > here), F.lit(0))).drop("_cuts", "_t")
+    rows = rows.withColumns({"_wiped": wiped, "_cut": F.get(F.filter("_cuts", lambda c: c > here), F.lit(0))}).drop("_cuts", "_t")
+    fresh = F.when(~(F.col("live") & (F.col("tag") != "I")), _position())
+    known = {f"_last_{n}": F.when(v.isNotNull(), F.struct(_position().alias("at"), F.col("_wiped").alias("wiped"), v.alias("value"))) for n, v in (values or {}).items()}
+    rows = along_keys(_cut_in_segments(rows), BY, AT, {"_born": fresh} | known, {"_next": here})
+    return rows.withColumn("_life", F.struct("_born", "_wiped"))
 
 
 def toast_fill(changes: DataFrame, columns: list[str]) -> DataFrame:
     """Adds one value struct per column: the change's own, or the last one of its key since the key was last absent or its table truncated.
 
-    The changes of a key are ordered in one task, as each row's result depends on the ones before.
+    The changes of a key are ordered in one task; where they are many, in segments, each of which starts from what the
+    ones before come to.
     """
-    life = W.partitionBy(*BY, "_life").orderBy(*AT).rowsBetween(W.unboundedPreceding, 0)
-    filled = [F.last(F.when(F.col("live"), get(F.col("new_row"), c)), ignorenulls=True).over(life).alias(c) for c in columns]
-    return _lives(changes).select("*", *filled).drop("_life", "_cut")
+    rows = _lives(changes, {c: F.when(F.col("live"), get(F.col("new_row"), c)) for c in columns})
+    last = lambda c: F.col(f"_last_{c}")
+    same = lambda c: (last(c)["wiped"] == F.col("_wiped")) & (F.col("_born").isNull() | (last(c)["at"] >= F.col("_born")))
+    filled = [F.when(same(c), last(c)["value"]).alias(c) for c in columns]
+    return rows.select(*[c for c in rows.columns if not c.startswith("_")], *filled)
 
 
 def history(changes: DataFrame) -> DataFrame:
@@ -154,19 +169,20 @@ def history(changes: DataFrame) -> DataFrame:
 
     A version ends with the next change of its key or with a truncate of its table. Unchanged values are filled as by
     toast_fill(). Rows told apart by value are keyed by all values; a repeat replaces the row before. The changes of a
-    key are ordered in one task, as every version depends on its neighbours.
+    key with many are ordered in segments.
     """
-    by, life = W.partitionBy(*BY).orderBy(*AT), W.partitionBy(*BY, "_life")
-    rows = _lives(changes).withColumn("_next", F.lead(F.struct("commit_seq", "seq")).over(by))
+    rows = _lives(changes)
     end = F.when(F.col("_next").isNull() | (F.col("_cut") < F.col("_next")), F.col("_cut")).otherwise(F.col("_next"))
-    partial = F.max(F.size("new_row") < F.size("column_names")).over(life)
-    rows = rows.withColumns({"valid_to": end["commit_seq"], "valid_from": F.col("commit_seq"), "_partial": partial & F.col("live")}).where("live")
+    rows = rows.withColumns({"valid_to": end["commit_seq"], "valid_from": F.col("commit_seq")}).where("live")
+    partial = rows.where(F.size("new_row") < F.size("column_names")).select(*BY, "_life").distinct().withColumn("_partial", F.lit(True))
+    rows = rows.join(broadcast_if_few(partial, F.lit(1), FEW_CUTS), [*BY, "_life"], "left")
     names = [*BY, "row", "valid_from", "valid_to"]
-    whole = rows.where("not _partial").withColumn("row", F.col("new_row")).select(names)
-    cells = rows.where("_partial").select(*BY, "_life", *AT, "valid_from", "valid_to", "new_row", F.posexplode("column_names").alias("_pos", "_name"))
+    whole = rows.where("_partial is null").withColumn("row", F.col("new_row")).select(names)
+    cells = rows.where("_partial").select(*BY, "_life", "_segment", *AT, "valid_from", "valid_to", "new_row", F.posexplode("column_names").alias("_pos", "_name"))
     own = F.get(F.filter("new_row", lambda c: c["name"] == F.col("_name")), F.lit(0))
-    seen = W.partitionBy(*BY, "_life", "_name").orderBy(*AT).rowsBetween(W.unboundedPreceding, 0)
-    cells = cells.withColumn("_own", own).withColumn("_value", F.last("_own", ignorenulls=True).over(seen)).where("_value is not null")
+    cells = cells.withColumn("_own", own).drop("new_row")
+    known = F.when(F.col("_own").isNotNull(), F.struct(_position().alias("at"), F.col("_own").alias("value")))
+    cells = along_keys(cells, [*BY, "_life", "_name"], AT, {"_value": known}).withColumn("_value", F.col("_value.value")).where("_value is not null")
     listed = F.sort_array(F.collect_list(F.struct("_pos", "_value")))
     filled = cells.groupBy(*BY, "valid_from", "valid_to", *AT[1:]).agg(F.transform(listed, lambda x: x["_value"]).alias("row"))
     return whole.unionByName(filled.select(names))

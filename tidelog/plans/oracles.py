@@ -93,6 +93,7 @@ ORACLES = {
         SELECT seq FROM all_events UNION ALL SELECT seq FROM rels WHERE b <> 10)
         WHERE seq <= (SELECT min(seq) FROM (SELECT seq FROM all_events UNION ALL SELECT seq FROM rels) WHERE seq + 1 >= {2 * SPAN})""",
     "net_state": _LOG + "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM state",
+    "chunked_snapshot": _LOG + "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM state",
     "upserted_state": _LOG + "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM state",
     "net_state_whole_rows": _LOG + "SELECT o_orderkey, CASE WHEN o_orderkey % 4 <> 2 THEN o_custkey END AS o_custkey, o_orderstatus, o_totalprice FROM state",
     "history_scd2": _LOG + f"""SELECT o_orderkey, valid_from, CASE WHEN live THEN valid_to END AS valid_to, status FROM (

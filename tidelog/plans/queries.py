@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tidelog.functions import lsn as L
 from tidelog.functions import scalars as S
 from tidelog.operators import events as E
-from tidelog.operators import chunks, frontier, metrics, progress, project, route, sessions, state, txn
+from tidelog.operators import chunks, frontier, metrics, progress, project, route, sessions, snapshot, state, txn
 from tidelog.operators.decode import decode
 from tidelog.operators.encode import encode, frames
 from tidelog.operators.framing import unframe
@@ -370,6 +370,37 @@ def upserted_state(spark, sf_dir):
     return project.strict(sink.table().select("row"), ORDER)
 
 
+def _orders_at(spark, sf_dir, time):
+    """The orders table as it stands at a place of its log (time is a column of o_orderkey), as named values; what a reader of the source sees."""
+    o = _table(spark, sf_dir, "orders").select("*", F.expr("o_orderkey div 100").alias("b"), (F.col("o_orderkey") % 4).alias("m"))
+    way = F.col("b") % 7
+    end = lambda t: F.col("b") * C.SPAN + t * 300 + 10 + F.when(way == 4, 160).otherwise(150)
+    done = (way < 4) | (way == 5) | ((way == 4) & (F.col("b") % 2 == 0))
+    there = done & (end(0) <= time) & ~((F.col("m") == 3) & (end(2) <= time))
+    moved = (F.col("m") == 1) & (way == 3) & (end(1) <= time)
+    status = F.when((F.col("m") == 2) & (end(1) <= time), "U").otherwise(F.col("o_orderstatus"))
+    o = o.where(there).withColumns({"o_orderkey": F.when(moved, F.col("o_orderkey") + C.MOVED).otherwise(F.col("o_orderkey")), "o_orderstatus": status})
+    cell = lambda n: F.struct(F.lit(n).alias("name"), F.lit("t").alias("kind"), F.encode(F.col(n).cast("string"), "UTF-8").alias("value"))
+    return o.select("o_orderkey", F.array(*[cell(n) for n, *_ in C.COLUMNS[:4]]).alias("row"))
+
+
+def chunked_snapshot(spark, sf_dir):
+    """The orders, read in five chunks while the last part of the log runs: half of a chunk's rows at its low mark, half at its high one."""
+    last, top = _table(spark, sf_dir, "orders").agg(F.max("o_orderkey")).first()[0] or 0, 5
+    span = (last // 100 + 1) * C.SPAN
+    low = lambda c: F.lit(span) * (30 + 10 * c).cast("long") / 100
+    marks = spark.range(top).select(F.lit(C.SLOT).alias("slot"), F.lit("public").alias("schema"), F.lit("orders").alias("table"), F.col("id").alias("chunk"), low(F.col("id")).cast("long").alias("low"), (low(F.col("id")) + span * 13 / 100).cast("long").alias("high"))
+    part = F.least(F.expr(f"o_orderkey * {top - 1} div {last + 1}"), F.lit(top - 1))
+    chunk_rows = None
+    for mark in marks.collect():
+        for half, at in enumerate((mark["low"], mark["high"])):
+            read = _orders_at(spark, sf_dir, F.lit(at)).where((part == mark["chunk"]) & (F.col("o_orderkey") % 2 == half)).withColumn("chunk", F.lit(mark["chunk"]))
+            chunk_rows = read if chunk_rows is None else chunk_rows.unionByName(read)
+    chunk_rows = chunk_rows.select(F.lit(C.SLOT).alias("slot"), F.lit("public").alias("schema"), F.lit("orders").alias("table"), "chunk", F.array(F.lit("o_orderkey")).alias("primary_key"), "row")
+    log = _committed(spark, sf_dir).where(F.col("commit_seq") > F.lit(span) * 3 / 10)
+    return project.strict(snapshot.chunked_state(materialise(chunk_rows, "chunks"), marks, log).select("row"), ORDER)
+
+
 NAMES = (
     "lsn_format", "lsn_parse", "pg_timestamp", "decode_insert", "decode_update", "decode_delete", "decode_control", "decode_other", "relation_changes",
     "key_columns", "truncate_tables", "txn_assign", "txn_stats", "committed_only", "aborted_rows", "two_phase_visible", "bounded_replay",
@@ -377,7 +408,7 @@ NAMES = (
     "event_categories", "progress_lsn", "metrics_bytes", "metrics_latency", "snapshot_plus_stream", "encode_roundtrip", "quarantine", "frames_header",
     "full_identity_state", "keyless_copies", "binary_columns", "full_old_rows", "reused_xids", "rolled_back_parts", "bucket_edges", "undecided_transactions",
     "typed_update", "json_roundtrip", "event_json", "metrics_rates", "frames_across_chunks", "recovered_log", "log_gaps", "safe_progress", "applied_intervals",
-    "upserted_state",
+    "upserted_state", "chunked_snapshot",
 )
 
 
