@@ -177,3 +177,29 @@ def bounded_replay_raw(bronze: DataFrame, target: int) -> DataFrame:
     """Frames up to and with the first whose end is at or past the target; may cut a transaction."""
     cut = bronze.where(F.col("wal_end") >= target).groupBy("slot").agg(F.min("seq").alias("_cut"))
     return bronze.join(cut, "slot", "left").where("_cut is null or seq <= _cut").drop("_cut")
+
+
+def origins(assigned: DataFrame) -> DataFrame:
+    """(slot, txn_id, txn_seq, txn_origin): transactions that came from elsewhere, by the last origin message that stands in them.
+
+    The message may stand in any part of a streamed transaction; it holds for all parts.
+    """
+    said = assigned.where("tag = 'O' and txn_id is not null")
+    return said.groupBy(*KEY).agg(F.max_by("origin_name", "seq").alias("txn_origin"))
+
+
+def with_origin(rows: DataFrame, assigned: DataFrame) -> DataFrame:
+    """Adds txn_origin to rows that have KEY: null for changes made on the server itself."""
+    return rows.join(broadcast_if_few(origins(assigned), F.lit(1), FEW_MARKS), KEY, "left")
+
+
+def of_origin(rows: DataFrame, assigned: DataFrame, origin: str = "none") -> DataFrame:
+    """Rows by where their transaction came from: `any` keeps all, `none` those made on the server itself, another name those from there.
+
+    Rows outside of transactions count as made here. Needed where changes go round: a node applies its neighbours'
+    changes, which it must not send back.
+    """
+    if origin == "any":
+        return rows
+    marked = with_origin(rows, assigned)
+    return marked.where(F.col("txn_origin").isNull() if origin == "none" else F.col("txn_origin") == origin).drop("txn_origin")

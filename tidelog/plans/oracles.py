@@ -143,10 +143,17 @@ ORACLES = {
     "typed_update": _LOG + f"""SELECT seq, CASE WHEN moved THEN o_orderkey END AS old_key, CASE WHEN moved THEN o_orderkey + {MOVED} ELSE o_orderkey END AS new_key,
         CASE WHEN moved THEN o_custkey END AS customer, CASE WHEN moved THEN o_orderstatus ELSE 'U' END AS status FROM log WHERE tag = 'U'""",
     "json_roundtrip": _PARTS + ", all_tables AS (SELECT tab AS t FROM raw WHERE tag = 'I' UNION ALL SELECT 'orders' FROM orders) SELECT t AS table, true AS same, count(*) AS n FROM all_tables GROUP BY t",
-    "event_json": _LOG + f"""SELECT seq, CASE tag WHEN 'I' THEN 'Insert' ELSE 'Delete' END AS kind, {_AT}seq AS lsn, o_orderkey, NULL AS committed FROM log WHERE tag <> 'U'
-        UNION ALL SELECT seq, CASE event_type WHEN 'begin' THEN 'Begin' WHEN 'commit' THEN 'Commit' ELSE 'StreamStop' END, {_AT}seq, NULL,
-          CASE WHEN event_type <> 'stream_stop' THEN strftime(make_timestamp((946684800 + 757382400 + b * 60 + t) * 1000000), '%Y-%m-%dT%H:%M:%SZ') END
-        FROM control WHERE event_type IN ('begin', 'commit', 'stream_stop')""",
+    "event_json": _LOG + f""", keyed AS (SELECT seq, CASE WHEN moved THEN o_orderkey + {MOVED} ELSE o_orderkey END AS o_orderkey FROM log),
+        named AS (SELECT seq, event_type, list_aggregate(list_transform(string_split(event_type, '_'), lambda x: upper(x[1]) || x[2:]), 'string_agg', '') AS kind FROM all_events)
+        SELECT e.seq, kind, {_AT}e.seq AS lsn, o_orderkey, c.xid,
+          CASE WHEN kind IN ('Begin', 'Commit') THEN strftime(make_timestamp((946684800 + 757382400 + c.b * 60 + c.t) * 1000000), '%Y-%m-%dT%H:%M:%SZ') END AS committed
+        FROM named e LEFT JOIN keyed USING (seq) LEFT JOIN control c ON e.seq = c.seq""",
+    "local_changes": _LOG + "SELECT seq, tag, xid FROM log WHERE done AND (b + t) % 3 <> 1",
+    "latency_sketches": _LOG + """SELECT 'orders_slot' AS slot, (946684800 + server_time // 1000000) // 3600 * 3600 AS hour, count(*) AS n_gaps, true AS p50_holds, true AS p99_holds FROM (
+        SELECT server_time, lag(server_time) OVER (ORDER BY seq) AS before FROM (
+          SELECT seq, 757382400000000 + b * 60000000 + t * 1000000 AS server_time FROM log
+          UNION ALL SELECT seq, 757382400000000 + b * 60000000 + coalesce(t, CAST((seq - 10) % 1000 // 300 AS INT)) * 1000000 FROM control
+          UNION ALL SELECT seq, 757382400000000 + 60000000 FROM others UNION ALL SELECT seq, 757382400000000 + b * 60000000 FROM rels)) WHERE before IS NOT NULL GROUP BY 1, 2""",
     "metrics_rates": _LOG + """SELECT 'orders_slot' AS slot, 757382400 + b * 60 + t AS second, count(*) AS n_frames FROM (
           SELECT b, t FROM log UNION ALL SELECT b, coalesce(t, CAST((seq - 10) % 1000 // 300 AS INT)) FROM control
           UNION ALL SELECT 1, 0 FROM others UNION ALL SELECT b, 0 FROM rels) GROUP BY 1, 2""",

@@ -241,12 +241,13 @@ def json_roundtrip(spark, sf_dir):
 
 
 def event_json(spark, sf_dir):
-    """Events as JSON, and what other readers find in it."""
-    rows = _events(spark, sf_dir).where("tag in ('I', 'B', 'C', 'D', 'E')").select("seq", project.event_json().alias("json"))
-    at = lambda path: F.get_json_object("json", f"$.event_type.{path}")
+    """All events as JSON, and what other readers find in it: kind, position, key, transaction, and time of a commit."""
+    rows = _events(spark, sf_dir).select("seq", project.event_json().alias("json"))
+    at = lambda *paths: F.coalesce(*[F.get_json_object("json", f"$.event_type.{p}") for p in paths])
     kind = F.when(F.get_json_object("json", "$.event_type") == "StreamStop", "StreamStop").otherwise(F.get(F.json_object_keys(F.get_json_object("json", "$.event_type")), F.lit(0)))
-    price = F.coalesce(at("Insert.data.o_orderkey"), at("Delete.old_data.o_orderkey"))
-    return rows.select("seq", kind.alias("kind"), F.get_json_object("json", "$.lsn").cast("long").alias("lsn"), price.cast("long").alias("o_orderkey"), F.coalesce(at("Begin.commit_timestamp"), at("Commit.commit_timestamp")).alias("committed"))
+    key = at("Insert.data.o_orderkey", "Update.new_data.o_orderkey", "Delete.old_data.o_orderkey")
+    xid = at(*[f"{k}.transaction_id" for k in ("Begin", "StreamStart", "StreamCommit", "StreamAbort", "BeginPrepare", "Prepare", "CommitPrepared", "RollbackPrepared")])
+    return rows.select("seq", kind.alias("kind"), F.get_json_object("json", "$.lsn").cast("long").alias("lsn"), key.cast("long").alias("o_orderkey"), xid.cast("long").alias("xid"), at("Begin.commit_timestamp", "Commit.commit_timestamp").alias("committed"))
 
 
 def metrics_rates(spark, sf_dir):
@@ -401,6 +402,36 @@ def chunked_snapshot(spark, sf_dir):
     return project.strict(snapshot.chunked_state(materialise(chunk_rows, "chunks"), marks, log).select("row"), ORDER)
 
 
+def local_changes(spark, sf_dir):
+    """Committed changes made on the server itself, of a log in which a third of the transactions say that they came from elsewhere.
+
+    The origin message stands behind the changes, of streamed transactions in their second part.
+    """
+    log = C.messages(spark, sf_dir)
+    begun = log.where("tag in ('B', 'b') or (tag = 'S' and first_segment)").where(F.expr(f"(seq div {C.SPAN} + seq % {C.SPAN} div 300) % 3 = 1"))
+    from_afar = begun.select("slot", (F.col("seq") + 135).alias("seq"), "wal_start", "wal_end", "server_time", F.lit("O").alias("tag"), F.when(F.col("tag") == "S", F.col("xid")).alias("stream_xid"), F.col("wal_start").alias("message_lsn"), F.lit("far").alias("name"))
+    sent = encode(log.unionByName(from_afar, allowMissingColumns=True), C.VERSION).select("slot", "seq", "wal_start", "wal_end", "server_time", "data")
+    messages = materialise(decode(sent, C.VERSION), "origins")
+    rows = materialise(E.events(messages, txn.assign(messages)), "origin-events")
+    kept = txn.of_origin(txn.committed(rows), rows, "none")
+    return kept.where("tag in ('I', 'U', 'D')").select("seq", "tag", F.col("txn_id").alias("xid"))
+
+
+def latency_sketches(spark, sf_dir):
+    """Quantiles of the gaps of each hour, from merged sketches of minutes, held against exact ones a little below and above."""
+    gaps = materialise(metrics.gaps(silver.bronze(spark, sf_dir).select("slot", "seq", "server_time")), "gaps")
+    hours = metrics.merged(metrics.sketches(gaps).withColumn("hour", F.date_trunc("hour", "start")), ["slot", "hour"])
+    told = metrics.quantiles(hours, {"p50": 0.5, "p99": 0.99})
+    hour = F.date_trunc("hour", L.server_time(F.col("server_time"))).alias("hour")
+    exact = gaps.where("gap is not null").groupBy("slot", hour, "gap").agg(F.count(F.lit(1)).alias("n")).groupBy("slot", "hour")
+    edge = lambda q, n: F.percentile("gap", max(0.0, min(1.0, q)), F.col("n")).alias(n)
+    e = 2 * metrics.SKETCH_ERROR
+    exact = exact.agg(edge(0.5 - e, "a50"), edge(0.5 + e, "b50"), edge(0.99 - e, "a99"), edge(0.99 + e, "b99"))
+    both = told.join(exact, ["slot", "hour"])
+    inside = lambda p: F.col(f"p{p}").between(F.floor(f"a{p}"), F.ceil(f"b{p}")).alias(f"p{p}_holds")
+    return both.select("slot", F.unix_seconds("hour").alias("hour"), F.col("n").alias("n_gaps"), inside(50), inside(99))
+
+
 NAMES = (
     "lsn_format", "lsn_parse", "pg_timestamp", "decode_insert", "decode_update", "decode_delete", "decode_control", "decode_other", "relation_changes",
     "key_columns", "truncate_tables", "txn_assign", "txn_stats", "committed_only", "aborted_rows", "two_phase_visible", "bounded_replay",
@@ -408,7 +439,7 @@ NAMES = (
     "event_categories", "progress_lsn", "metrics_bytes", "metrics_latency", "snapshot_plus_stream", "encode_roundtrip", "quarantine", "frames_header",
     "full_identity_state", "keyless_copies", "binary_columns", "full_old_rows", "reused_xids", "rolled_back_parts", "bucket_edges", "undecided_transactions",
     "typed_update", "json_roundtrip", "event_json", "metrics_rates", "frames_across_chunks", "recovered_log", "log_gaps", "safe_progress", "applied_intervals",
-    "upserted_state", "chunked_snapshot",
+    "upserted_state", "chunked_snapshot", "local_changes", "latency_sketches",
 )
 
 
