@@ -147,13 +147,42 @@ def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     return log.select("slot", "seq", "wal_start", "wal_end", "server_time", "data")
 
 
-def generated(spark: SparkSession, rows: int, kind: str = "narrow", seed: int = 42) -> DataFrame:
-    """Synthetic insert messages of a load scenario: narrow (id, payload, time) or wide (id and 20 texts)."""
-    n = 20 if kind == "wide" else 1
-    letters = lambda j: F.substring(F.regexp_replace(F.sha2(F.concat_ws("-", F.lit(seed), "id", F.lit(j)), 512), "[0-9]", "q"), 1, 50 if kind == "wide" else 100)
-    cells = [_value(F.col("id")), *[_value(letters(j)) for j in range(n)], *([_value(F.lit("2024-01-01 00:00:00"))] if kind == "narrow" else [])]
+#: Load scenarios: columns beside the id, characters of each, rows of a transaction, and whether rows are changed again.
+SCENARIOS = {"narrow": (1, 100, 8000, False), "batch_100": (1, 100, 100, False), "wide": (20, 50, 500, False), "payload_2kb": (1, 2000, 500, False), "mixed": (1, 100, 500, True)}
+
+
+def generated(spark: SparkSession, rows: int, kind: str = "narrow", seed: int = 42, whole: bool = False) -> DataFrame:
+    """Messages of a load scenario: rows with an id, texts and (but for wide ones) a time; whole adds relation, begins and commits.
+
+    A mixed one inserts all rows of a transaction, then updates those with id % 4 = 1 and deletes those with id % 4 = 3,
+    a transaction each. Texts are letters made by a rule from the seed and the id.
+    """
+    n, length, batch, mixed = SCENARIOS[kind]
+    letters = lambda k: F.regexp_replace(F.sha2(F.concat_ws("-", F.lit(seed), "id", F.lit(k)), 512), "[0-9]", "q")
+    text = lambda j: F.substring(F.concat(*[letters(100 * j + k) for k in range(-(-length // 128))]), 1, length)
+    cells = [_value(F.col("id")), *[_value(text(j)) for j in range(n)], *([_value(F.lit("2024-01-01 00:00:00"))] if kind != "wide" else [])]
+    names = ["id", *[f"col{j}" for j in range(n)], *(["created_at"] if kind != "wide" else [])]
+    none = [_none("n")] * (len(cells) - 1)
+    step = 4 * batch  # sequence numbers of a batch: three transactions of its rows, a begin and a commit each
+    b, k = F.expr(f"(id - 1) div {batch}"), (F.col("id") - 1) % batch
+    number = lambda t, place: (b * step + t * (batch + 2) + place + 2).cast("long")
+    row = lambda t, tag, old, new, keyed=None: F.struct(number(t, k + 1).alias("seq"), F.lit(tag).alias("tag"), F.lit(keyed).cast("string").alias("key_type"), old.alias("old"), new.alias("new"))
+    gone = F.lit(None).cast(FIELDS["old"])
+    sent = [row(0, "I", gone, F.array(*cells))]
+    if mixed:
+        fresh = F.array(cells[0], _value(F.reverse(text(0))), *cells[2:])
+        sent += [F.when(F.col("id") % 4 == 1, row(1, "U", gone, fresh)), F.when(F.col("id") % 4 == 3, row(2, "D", F.array(cells[0], *none), gone, "K"))]
     ids = spark.range(1, rows + 1)
-    return ids.select(
-        F.lit("load").alias("slot"), (F.col("id") + 1).alias("seq"), _lsn(F.col("id")).alias("wal_start"), _lsn(F.col("id") + 1).alias("wal_end"), F.lit(0).cast("long").alias("server_time"),
-        F.lit("I").alias("tag"), F.lit(OID).cast("long").alias("oid"), F.array(*cells).alias("new"),
-    )
+    log = ids.select(F.explode(F.array_compact(F.array(*sent))).alias("x")).select("x.*", F.lit(OID).cast("long").alias("oid"))
+    if whole:
+        turns = ids.where(k == 0).select(b.alias("b"), F.explode(F.array(*[F.lit(t) for t in range(3 if mixed else 1)])).alias("t"))
+        zero = F.col("b") * step + F.col("t") * (batch + 2) + 2
+        ends = turns.select("*", F.explode(F.array(F.lit("B"), F.lit("C"))).alias("tag"))
+        at = zero + F.when(F.col("tag") == "C", batch + 1).otherwise(0)
+        xid = F.when(F.col("tag") == "B", (3 * F.col("b") + F.col("t") + 1) % (1 << 32))
+        commit = _lsn(zero + batch + 1)
+        marks = ends.select(at.cast("long").alias("seq"), "tag", xid.alias("xid"), F.lit(0).cast("long").alias("ts"), F.lit(0).alias("flags"), commit.alias("final_lsn"), commit.alias("commit_lsn"), (commit + 64).alias("end_lsn"))
+        columns = [(c, 20 if c == "id" else 25, -1, c == "id") for c in names]
+        about = spark.createDataFrame([(1, "R", OID, "public", "load", "d", columns)], f"seq long, tag string, oid long, namespace string, name string, replident string, columns {FIELDS['columns']}")
+        log = log.unionByName(marks, allowMissingColumns=True).unionByName(about, allowMissingColumns=True)
+    return log.select(F.lit("load").alias("slot"), _lsn(F.col("seq")).alias("wal_start"), _lsn(F.col("seq") + 1).alias("wal_end"), F.lit(0).cast("long").alias("server_time"), "*")
