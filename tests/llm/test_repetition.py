@@ -88,8 +88,9 @@ def test_repeated_windows_beyond_a_chunk(spark, monkeypatch):
 
 def test_repeats_of_awkward_rows(spark, monkeypatch):
     want = {}
-    for few in (repeats.FEW, -1):  # joined by broadcast, and by shuffle
+    for few, texts in ((10**6, 10**6), (-1, 10**6), (-1, -1)):  # keys broadcast and shuffled; texts that have places shuffled, and all
         monkeypatch.setattr(repeats, "FEW", few)
+        monkeypatch.setattr(repeats, "FEW_TEXTS", texts)
         found = repeats.without_repeats(docs(spark, AWKWARD), [F.col("doc_id"), F.col("spans").alias("theirs"), F.col("carried").alias("kept_name")]).collect()
         rows = sorted((r.doc_id or -1, r.n_bytes, str(r.spans), bytes(r.kept)) for r in found)
         assert len(rows) == len(AWKWARD) and all(r.theirs == "x" for r in found)

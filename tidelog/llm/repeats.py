@@ -32,8 +32,8 @@ from tidelog.sources.scratch import materialise
 
 #: Bytes of a window, of an anchor, and starts of windows that one row of the second pass stands for.
 WINDOW, GRAM, BLOCK = 400, 64, 25
-#: Keys, places with their texts, and names of texts, up to which they are broadcast; beyond that they are joined by a shuffle.
-FEW, FEW_PLACES, FEW_TEXTS = 1_000_000, 250_000, 4_000_000
+#: Keys, and names of texts, up to which they are broadcast; beyond that they are joined by a shuffle.
+FEW, FEW_TEXTS = 1_000_000, 4_000_000
 #: Window starts that are looked at together.
 CHUNK = 1 << 19
 #: Bytes of texts, and rows, that a task holds at a time (a single text may be longer).
@@ -187,17 +187,14 @@ def _settled(rows: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
 
 
 def _beside(texts: DataFrame, rows: DataFrame, name: str, how: str) -> DataFrame:
-    """Texts with the rows of each as an array: joined by broadcast where these are few, else by a shuffle.
+    """Texts with the rows of each as an array.
 
     Texts that have no rows are not shuffled while the names of those that have are few enough to broadcast: these are
     then read apart ("left"), or left out ("inner").
     """
     each = rows.groupBy("tid").agg(F.collect_set(F.struct(*[c for c in rows.columns if c != "tid"])).alias(name))
     each = materialise(each, name)
-    total, named = each.agg(F.sum(F.size(name)), F.count(F.lit(1))).first()
-    if (total or 0) <= FEW_PLACES:
-        return texts.join(F.broadcast(each), "tid", how)
-    if named > FEW_TEXTS:
+    if each.count() > FEW_TEXTS:
         return texts.join(each, "tid", how)
     code, codes = F.xxhash64("tid").alias("_code"), F.broadcast(each.select(F.xxhash64("tid").alias("_code")).distinct())
     apart = texts.withColumn("_code", code)
