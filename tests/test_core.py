@@ -399,6 +399,36 @@ def test_consumer_by_hand_confirms_only_what_is_whole(spark, tmp_path):
     assert consumer.done(ends[0]) == ends[-1] == consumer.tracker.applied
 
 
+def test_consumer_recovers(spark, tmp_path):
+    """Errors that are retried start the query again at the batch that failed; permanent ones and those of the code do not."""
+    from tidelog.errors import LogError
+    from tidelog.streaming.consumer import Consumer
+    from tidelog.streaming.replay import Replay
+
+    _frames(spark, tmp_path / "frames", 0, 2500)
+    calls, waits, errors = [], [], [LogError("connection_transient", "gone"), LogError("timeout", "late")]
+
+    def handler(rows, number):
+        calls.append(number)
+        if number == 1 and errors:
+            raise errors.pop(0)
+
+    def keep(replay, **kw):
+        consumer = Consumer(replay)
+        consumer.keep_running(str(tmp_path / "frames"), str(tmp_path / "checkpoint"), sleep=waits.append, maxFrames="900", **kw)
+        return consumer
+
+    consumer = keep(Replay(spark, str(tmp_path / "out"), 4, handler))
+    assert calls[:4] == [0, 1, 1, 1] and calls == sorted(calls) and len(set(calls)) == len(calls) - 2 and len(waits) == 2
+    assert consumer.tracker.applied == consumer.frontier.safe > 0 and consumer.sent[-1] == wire.copy_done()
+    _frames(spark, tmp_path / "frames", 2500, 3500)
+    for error in (LogError("authentication", "no"), RuntimeError("a bug")):
+        errors[:] = [error]
+        with pytest.raises(type(error), match=str(error)):
+            keep(Replay(spark, str(tmp_path / "out"), 4, lambda rows, n: (_ for _ in ()).throw(errors[0])))
+    assert len(waits) == 2
+
+
 def test_frontier():
     f = frontier.Frontier(safe=10)
     for end in (10, 20, 30, 40):

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable, Iterator
+from itertools import takewhile
 from typing import NamedTuple
 
 import pyarrow as pa
@@ -97,10 +98,11 @@ class _Files:
         self.most = int(options.get("maxframes", PIECE))
         if self.most < 1:
             raise LogError("config", "maxFrames is below 1")
-        self.seen: dict[str, list[Group]] = {}
+        self.seen: set[str] = set()
+        self.live: list[tuple[str, Group]] = []
 
     def look(self, told: int = 0) -> list[tuple[str, Group]]:
-        """All files' row groups that hold the slot; every file's footer is read once.
+        """Row groups that hold the slot and are not behind what was committed, by their first number; every file's footer is read once.
 
         Row groups without statistics are read for their numbers. A file that comes later must lie behind what was told.
         """
@@ -112,8 +114,10 @@ class _Files:
             found = self._groups(system, info.path)
             if any(g.low < told for g in found):
                 raise LogError("protocol", f"{info.path} holds frames before {told}, which were read already")
-            self.seen[info.path] = found
-        return [(f, g) for f, groups in sorted(self.seen.items()) for g in groups]
+            self.seen.add(info.path)
+            self.live += [(info.path, g) for g in found]
+        self.live.sort(key=lambda x: (x[1].low, x[0], x[1].number))
+        return self.live
 
     def _groups(self, system: pf.FileSystem, path: str) -> list[Group]:
         with system.open_input_file(path) as f:
@@ -146,7 +150,7 @@ class _Files:
         """
         system, _ = opened(self.path)
         found: int | None = None
-        for path, g in sorted(self.look(), key=lambda x: x[1].low):
+        for path, g in self.look():
             if g.reach < target or g.high < start or g.low >= end or (found is not None and g.low > found):
                 continue
             with system.open_input_file(path) as f:
@@ -170,9 +174,8 @@ class _Files:
             if held[1]:
                 out.append(Groups(held[0], tuple(held[1]), start, end))
 
-        for path, g in self.look():
-            if g.high < start or g.low >= end:
-                continue
+        wanted = [(path, g) for path, g in takewhile(lambda x: x[1].low < end, self.look()) if g.high >= start]
+        for path, g in sorted(wanted, key=lambda x: (x[0], x[1].number)):
             if held[0] != path or held[2] + g.rows > PIECE:
                 close()
                 held = (path, [], 0)
@@ -235,7 +238,7 @@ class StreamReader(_Files, DataSourceStreamReader):
     def latestOffset(self) -> dict:
         """The end of the next batch: at most maxFrames on from the last one, as the rates allow, and never before it."""
         known = self.look(self.told or 0)
-        high = max((g.high + 1 for _, g in known), default=0)
+        high = max((g.high + 1 for _, g in known), default=self.told or 0)
         if self.told is None:
             noted = self._noted()
             first = min((g.low for _, g in known), default=0)
@@ -261,7 +264,7 @@ class StreamReader(_Files, DataSourceStreamReader):
             return start
         frames = size = 0.0
         at = start
-        for g in sorted((g for _, g in self.look() if g.high >= start and g.low < end), key=lambda g: g.low):
+        for g in (g for _, g in self.look() if g.high >= start and g.low < end):
             span = g.high - g.low + 1
             low, high = max(g.low, start, at), min(g.high + 1, end)
             share = min([1.0, *[max(levels[n] - had, 0) / max(per, 1e-9) for n, had, per in (("frames", frames, g.rows * (high - low) / span), ("bytes", size, g.size * (high - low) / span)) if n in levels]])
@@ -302,7 +305,8 @@ class StreamReader(_Files, DataSourceStreamReader):
             system.delete_file(name)
 
     def commit(self, end: dict) -> None:
-        pass
+        """What lies before the end is not looked at again, so that planning goes through what is left to read."""
+        self.live = [(f, g) for f, g in self.live if g.high >= end["seq"]]
 
 
 def register(spark: SparkSession) -> None:

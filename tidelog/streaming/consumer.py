@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 import threading
-from collections.abc import Iterator
+import time
+from collections.abc import Callable, Iterator
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, Row
 
 from tidelog.errors import LogError
 from tidelog.operators.frontier import Frontier
 from tidelog.operators.progress import Feedback, Tracker
 from tidelog.sources.commands import lsn_text
+from tidelog.sources.options import with_retry
 from tidelog.streaming.replay import Replay
 
 
@@ -22,7 +25,7 @@ class Consumer:
 
     stop() ends after the batch that runs. target (a position) ends the stream with the first commit whose end is at or
     past it: the source plans no frame behind that commit, so a later start without a target reads on right there. A
-    handler's error ends the query, and start() goes on from the batch that failed.
+    handler's error ends the query, and start() goes on from the batch that failed; keep_running() does so by itself.
     """
 
     def __init__(self, replay: Replay, feedback: Feedback | None = None, target: int | None = None, by_hand: bool = False):
@@ -30,6 +33,7 @@ class Consumer:
         self.feedback, self.frontier = feedback or Feedback(self.tracker), Frontier()
         self.sent: list[bytes] = []
         self.query, self.reached, self._user, self._lock = None, threading.Event(), replay.handler, threading.Lock()
+        self.failure: Exception | None = None
         replay.handler = self._handle
 
     def _handle(self, changes: DataFrame, number: int) -> None:
@@ -39,7 +43,11 @@ class Consumer:
                 self.tracker.receive(end)
                 self.frontier.expect(end)
         if self._user:
-            self._user(changes, number)
+            try:
+                self._user(changes, number)
+            except Exception as e:
+                self.failure = e
+                raise
         if not self.by_hand:
             self.done(*ends)
         if self.target is not None and ends and ends[-1] >= self.target:
@@ -69,6 +77,27 @@ class Consumer:
         finally:
             self.stop()
 
+    def keep_running(self, path: str, checkpoint: str, attempts: int = 5, sleep: Callable[[float], None] = time.sleep, **options: str) -> None:
+        """run(), with the query started again where it failed after errors of a kind that is retried, so often and ever later.
+
+        A handler tells the kind by a LogError; any other error of a handler ends it. What the stream itself fails with,
+        as when the folder can't be read for a while, is retried.
+        """
+
+        def once() -> None:
+            self.failure = None
+            self.start(path, checkpoint, **options)
+            try:
+                self.query.processAllAvailable()
+            except StreamingQueryException as e:
+                self.query.stop()
+                raise (self.failure or LogError("io", str(e))) from e
+
+        try:
+            with_retry(once, sleep, attempts)
+        finally:
+            self.stop()
+
     def stop(self) -> None:
         """Stops the query, sends the last status and the end of the copy."""
         if self.query is not None:
