@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tidelog.functions.lsn import server_time
 from tidelog.functions.scalars import replica_identity
 from tidelog.operators.carry import broadcast_if_few, carry_forward, with_bucket
+from tidelog.sources.scratch import materialise
 
 #: Tag and event kind. Fixed values.
 EVENT_TYPES = {
@@ -72,14 +73,14 @@ def versioned(messages: DataFrame) -> DataFrame:
     return carry_forward(log, {"_version": F.when((F.col("tag") == "R") & F.col("error").isNull(), F.col("seq"))}, key="oid")
 
 
-def resolve(messages: DataFrame, rows: DataFrame | None = None) -> DataFrame:
+def resolve(messages: DataFrame, rows: DataFrame | None = None, versions: DataFrame | None = None) -> DataFrame:
     """Adds relation: the version of a change's relation at its place in the log, null where none was sent before.
 
     rows, if given, are the rows of messages to resolve, relation messages among them. Versions of few columns altogether are broadcast and found by
-    their time of validity; else rows carry the seq of theirs forward and are joined by it.
+    their time of validity; else rows carry the seq of theirs forward and are joined by it. versions, if given, are relations(messages).
     """
     rows = messages if rows is None else rows
-    valid = relations(messages).select("slot", "oid", "valid_from_seq", "valid_to_seq", _version().alias("relation"))
+    valid = (relations(messages) if versions is None else versions).select("slot", "oid", "valid_from_seq", "valid_to_seq", _version().alias("relation"))
     weight = valid.agg(F.sum(F.size("relation.columns") + 1)).first()[0] or 0
     if weight <= FEW_COLUMNS:
         names = {"slot": "_slot", "oid": "_oid"}
@@ -98,10 +99,11 @@ def events(messages: DataFrame, assigned: DataFrame | None = None) -> DataFrame:
     """
     rows = (messages if assigned is None else assigned).where("error is null")
     rows = rows if "_bucket" in rows.columns else with_bucket(rows)
-    fresh = relations(messages).where("is_change").select("slot", F.col("valid_from_seq").alias("seq"))
-    noted = fresh.withColumn("tables", F.array().cast("array<string>")).unionByName(truncated(messages)).withColumn("_noted", F.lit(True))
+    versions = materialise(relations(messages), "relations")
+    fresh = versions.where("is_change").select("slot", F.col("valid_from_seq").alias("seq"))
+    noted = fresh.withColumn("tables", F.array().cast("array<string>")).unionByName(truncated(messages, versions)).withColumn("_noted", F.lit(True))
     rows = rows.join(broadcast_if_few(noted, F.size("tables") + 1, FEW_NOTED), ["slot", "seq"], "left")
-    out = resolve(messages, rows).where("tag != 'R' or _noted")
+    out = resolve(messages, rows, versions).where("tag != 'R' or _noted")
     out = out.where(F.col("relation").isNotNull() | ~F.col("tag").isin(*CHANGES))
     rel, change = F.col("relation"), F.col("tag").isin(*CHANGES)
     named = lambda c: F.when(change, c)
@@ -149,11 +151,11 @@ def events(messages: DataFrame, assigned: DataFrame | None = None) -> DataFrame:
     )
 
 
-def truncated(messages: DataFrame) -> DataFrame:
+def truncated(messages: DataFrame, versions: DataFrame | None = None) -> DataFrame:
     """(slot, seq, tables) of truncations: full names in the order sent, relations never sent left out."""
     sent = messages.where("tag = 'T' and error is null").select("slot", "seq", F.posexplode("oids").alias("_at", "oid"))
-    versions = relations(messages).select("slot", "oid", full_name(F.col("namespace"), F.col("name")).alias("_name"), "valid_from_seq", "valid_to_seq")
-    found = sent.join(versions, ["slot", "oid"]).where("seq >= valid_from_seq and (valid_to_seq is null or seq < valid_to_seq)")
+    named = (relations(messages) if versions is None else versions).select("slot", "oid", full_name(F.col("namespace"), F.col("name")).alias("_name"), "valid_from_seq", "valid_to_seq")
+    found = sent.join(named, ["slot", "oid"]).where("seq >= valid_from_seq and (valid_to_seq is null or seq < valid_to_seq)")
     listed = found.groupBy("slot", "seq").agg(F.sort_array(F.collect_list(F.struct("_at", "_name"))).alias("_all"))
     return listed.select("slot", "seq", F.transform("_all", lambda x: x["_name"]).alias("tables"))
 

@@ -11,12 +11,15 @@ from pyspark.sql import functions as F
 
 from tidelog.functions.scalars import get
 from tidelog.operators.carry import along_keys, broadcast_if_few
+from tidelog.sources.scratch import materialise
 
 TABLE = ["slot", "schema", "table"]
 BY = [*TABLE, "key"]
 AT = ["commit_seq", "seq", "step"]
 #: Truncated tables, one for each truncate that holds, up to which they are broadcast.
 FEW_CUTS = 1_000_000
+#: Keys whose last change left values out, up to which they are broadcast.
+FEW_PARTIAL = 500_000
 #: Changes of one key from which on they are ordered in segments, and commit places of a segment.
 HOT, SEGMENT = 100_000, 1 << 13
 
@@ -96,9 +99,10 @@ def _by_key(rows: DataFrame) -> DataFrame:
     fresh = F.max(F.when(~F.col("live") | (F.col("tag") == "I"), _position())).alias("_born")
     whole = F.size("new_row") >= F.size("column_names")
     last = F.max_by(F.struct("live", "commit_seq", whole.alias("whole"), F.when(whole, F.col("new_row")).alias("row")), _position())
-    lives = rows.groupBy(*BY).agg(fresh, last.alias("_last")).where("_last.live")
+    lives = materialise(rows.groupBy(*BY).agg(fresh, last.alias("_last")).where("_last.live"), "lives")
     done = lives.where("_last.whole").select(*BY, "_last.row", "_last.commit_seq")
     partial = lives.where("not _last.whole").select(*BY, "_born", F.col("_last.commit_seq").alias("_commit"))
+    partial = broadcast_if_few(partial, F.lit(1), FEW_PARTIAL)
     values = rows.where("live").join(partial, BY).select(*BY, "_born", "_commit", _position().alias("_at"), F.posexplode("new_row").alias("_pos", "_c"))
     values = values.where(F.col("_born").isNull() | (F.col("_at") >= F.col("_born")))
     each = values.groupBy(*BY, F.col("_c.name").alias("name")).agg(
