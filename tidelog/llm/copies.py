@@ -20,6 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidelog.operators.carry import broadcast_if_few
 from tidelog.sources.scratch import materialise
 
 from .components import components
@@ -35,6 +36,8 @@ BANDS, ROWS = 16, 4
 PIECE_SHINGLES = 1 << 21
 #: Hashes that are permuted, and words of 64 lanes that are compared, at a time.
 CHUNK, WORDS = 1 << 10, 1 << 12
+#: Texts whose sets are wanted, up to which their ids are broadcast.
+FEW_ASKED = 4_000_000
 
 _DRAWS = np.random.default_rng(SEED)
 _MASK = _DRAWS.integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64)
@@ -67,8 +70,12 @@ def band_keys(hashes: np.ndarray) -> list[int]:
     return np.array([xxhash.xxh64_intdigest(r.tobytes(), k) for k, r in enumerate(rows)], np.uint64).view(np.int64).tolist()
 
 
+def _rows(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+
+
 def _sketches(docs: DataFrame) -> DataFrame:
-    """(doc_id, node, fp, size, keys, shingles): the set of every whole text, node its digest."""
+    """(doc_id, node, fp, size, keys): a sketch of the set of every whole text, node its digest. The sets themselves are not kept."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -78,18 +85,43 @@ def _sketches(docs: DataFrame) -> DataFrame:
 
     def sketch(texts: pa.Array) -> list[pa.Array]:
         sets = [shingles(t.as_py()) for t in texts]
-        small = [_distinct(s.astype(np.uint32)) if len(s) else s.astype(np.uint32) for s in sets]
         return [
-            pa.array(np.array([xxhash.xxh64_intdigest(s.tobytes(), SEED) for s in sets], np.uint64).view(np.int64)),
+            pa.array(np.array([_digest(s) for s in sets], np.uint64).view(np.int64)),
             pa.array(np.array([majority(s) for s in sets], np.uint64).view(np.int64)),
-            pa.array([len(s) for s in small], pa.int64()),
+            pa.array([len(_narrow(s)) for s in sets], pa.int64()),
             pa.array([band_keys(s) if len(s) else [] for s in sets], pa.list_(pa.int64())),
-            pa.array([s.tobytes() for s in small], pa.binary()),
         ]
 
-    names = ["doc_id", "node", "fp", "size", "keys", "shingles"]
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, node long, fp long, size long, keys array<long>, shingles binary")
+    names = ["doc_id", "node", "fp", "size", "keys"]
+    return _rows(docs).mapInArrow(run, "doc_id long, node long, fp long, size long, keys array<long>")
+
+
+def _digest(s: np.ndarray) -> int:
+    return xxhash.xxh64_intdigest(s.tobytes(), SEED)
+
+
+def _narrow(s: np.ndarray) -> np.ndarray:
+    """A set as 32-bit hashes, which sets are compared by."""
+    return _distinct(s.astype(np.uint32)) if len(s) else s.astype(np.uint32)
+
+
+def _sets(docs: DataFrame, asked: DataFrame) -> DataFrame:
+    """(node, shingles) of the nodes asked for (node, low), made anew from the text of their least doc_id.
+
+    While these ids are few enough to broadcast, other texts are not looked at and none is moved; beyond that texts are
+    joined to them. Where an id repeats or is null, its texts are told apart by their digest.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at, n in blocks(batch.column(0)):
+                sets = [shingles(t.as_py()) for t in batch.column(0).slice(at, n)]
+                nodes = np.array([_digest(s) for s in sets], np.uint64).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array([_narrow(s).tobytes() for s in sets], pa.binary())], ["node", "shingles"])
+
+    rows, ids = _rows(docs), asked.select(F.col("low")).distinct()
+    rows = rows.join(broadcast_if_few(ids, F.lit(1), FEW_ASKED), F.col("doc_id").eqNullSafe(F.col("low")), "left_semi").select("text")
+    return rows.mapInArrow(run, "node long, shingles binary").join(asked.select("node"), "node", "left_semi").dropDuplicates(["node"])
 
 
 def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -153,10 +185,9 @@ def near_copies(docs: DataFrame) -> DataFrame:
     other = F.explode(F.sequence(F.lit(0).cast("long"), pieces - 1)).alias("o")
     met = rows.join(once, "key").select("node", "key", F.pmod(F.xxhash64("node"), pieces).alias("p"), other)
     met = materialise(met.select("node", "key", F.least("p", "o").alias("p"), F.greatest("p", "o").alias("o")), "buckets")
-    asked = met.select("node").distinct()
-    sets = prints.select("node", "fp", "shingles").join(asked, "node", "left_semi").distinct()
+    asked = materialise(nodes.join(met.select("node").distinct(), "node").select("node", "low", "fp"), "asked")
     keys = ["key", "p", "o"]
-    full = met.join(sets, "node").select(*keys, "node", "fp", "shingles")
+    full = met.join(_sets(docs, asked), "node").join(asked.select("node", "fp"), "node").select(*keys, "node", "fp", "shingles")
     comps = components(full.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(_linked, "a long, b long"))
     linked = nodes.join(comps, "node")
     lowest = linked.groupBy("component").agg(F.min("low").alias("lowest"))
