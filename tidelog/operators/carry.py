@@ -79,27 +79,28 @@ def running(log: DataFrame, values: dict[str, tuple[str, Column]], before: bool
 FEW_HEADS = 1_000_000
 
 
-def along_keys(rows: DataFrame, by: list[str], order: list[str], highest: dict[str, Column], lowest_after: dict[str, Column] | None = None) -> DataFrame:
+def along_keys(rows: DataFrame, by: list[str], order: list[str], highest: dict[str, Column], lowest_after: dict[str, Column] | None = None, cut: bool = True) -> DataFrame:
     """Adds a column for each name: the highest value of the key's rows up to this one, or the lowest of those behind it.
 
     Values are structs led by the place of their row, so that the highest is the last known one and the lowest behind a
     row the next. That composes: what is known at the end of a segment of a key's rows is the higher of what its own rows
     say and what was known before. rows have _segment, null where a key's rows are one piece; else a task orders a
-    segment of a key, STRETCH segments' heads, or a key's stretches.
+    segment of a key, STRETCH segments' heads, or a key's stretches. cut=False says that no key has segments.
     """
     after = lowest_after or {}
     both = {n: (F.max, F.greatest, W.unboundedPreceding, -1) for n in highest} | {n: (F.min, F.least, 1, W.unboundedFollowing) for n in after}
     marked = rows.withColumns({f"_v_{n}": v for n, v in (highest | after).items()})
-    cut = marked.where("_segment is not null")
-    heads = cut.groupBy(*by, "_segment").agg(*[fold(f"_v_{n}").alias(f"_e_{n}") for n, (fold, *_) in both.items()]).withColumn("_stretch", F.floor(F.col("_segment") / STRETCH))
+    inside = W.partitionBy(*by, "_segment").orderBy(*order)
+    frame = lambda n: inside.rowsBetween(W.unboundedPreceding, 0) if n in highest else inside.rowsBetween(1, W.unboundedFollowing)
+    found = marked.withColumns({f"_h_{n}": fold(f"_v_{n}").over(frame(n)) for n, (fold, *_) in both.items()})
+    if not cut:
+        return found.select(*[c for c in rows.columns if c not in both], *[F.col(f"_h_{n}").alias(n) for n in both])
+    heads = marked.where("_segment is not null").groupBy(*by, "_segment").agg(*[fold(f"_v_{n}").alias(f"_e_{n}") for n, (fold, *_) in both.items()]).withColumn("_stretch", F.floor(F.col("_segment") / STRETCH))
     tops = heads.groupBy(*by, "_stretch").agg(*[fold(f"_e_{n}").alias(f"_e_{n}") for n, (fold, *_) in both.items()])
     outside = lambda part, at, n: both[n][0](f"_e_{n}").over(W.partitionBy(*part).orderBy(at).rowsBetween(*both[n][2:]))
     tops = tops.select(*by, "_stretch", *[outside(by, "_stretch", n).alias(f"_t_{n}") for n in both])
     heads = heads.withColumns({f"_b_{n}": outside([*by, "_stretch"], "_segment", n) for n in both}).join(tops, [*by, "_stretch"])
     heads = heads.select(*by, "_segment", *[join(f"_b_{n}", f"_t_{n}").alias(f"_i_{n}") for n, (_, join, *_) in both.items()])
-    inside = W.partitionBy(*by, "_segment").orderBy(*order)
-    frame = lambda n: inside.rowsBetween(W.unboundedPreceding, 0) if n in highest else inside.rowsBetween(1, W.unboundedFollowing)
-    found = marked.withColumns({f"_h_{n}": fold(f"_v_{n}").over(frame(n)) for n, (fold, *_) in both.items()})
     found = found.join(broadcast_if_few(heads, F.lit(1), FEW_HEADS), [*by, "_segment"], "left")
     return found.select(*[c for c in rows.columns if c not in both], *[join(f"_h_{n}", f"_i_{n}").alias(n) for n, (_, join, *_) in both.items()])
 

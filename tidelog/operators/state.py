@@ -132,17 +132,20 @@ def latest(changes: DataFrame) -> DataFrame:
     return seen.select(*BY, F.col("x.new_row").alias("row"), F.col("x.commit_seq").alias("commit_seq"))
 
 
-def _cut_in_segments(rows: DataFrame) -> DataFrame:
-    """Adds _segment: for keys with more than HOT changes the stretch of commits that a row lies in, null for others."""
+def _cut_in_segments(rows: DataFrame) -> tuple[DataFrame, bool]:
+    """Adds _segment: for keys with more than HOT changes the stretch of commits that a row lies in, null for others; and says if there are such."""
     hot = rows.groupBy(*BY).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > HOT).select(*BY, F.lit(True).alias("_hot"))
+    hot = materialise(hot, "hot")
+    if hot.isEmpty():
+        return rows.withColumn("_segment", F.lit(None).cast("long")), False
     rows = rows.join(broadcast_if_few(hot, F.lit(1), FEW_CUTS), BY, "left")
-    return rows.withColumn("_segment", F.when(F.col("_hot"), F.floor(F.col("commit_seq") / SEGMENT))).drop("_hot")
+    return rows.withColumn("_segment", F.when(F.col("_hot"), F.floor(F.col("commit_seq") / SEGMENT))).drop("_hot"), True
 
 
-def _lives(changes: DataFrame, values: dict[str, Column] | None = None) -> DataFrame:
+def _lives(changes: DataFrame, values: dict[str, Column] | None = None) -> tuple[DataFrame, bool]:
     """Keyed rows with _life, told apart by the last birth or removal of the key and the truncates before, and the next change and truncate.
 
-    _next and _cut are places (commit_seq, seq). values are carried along a key: the last one that is not null.
+    Also whether some keys are cut in segments. _next and _cut are places (commit_seq, seq). values are carried along a key: the last one that is not null.
     """
     cuts = _cuts(changes).groupBy("slot", "_t").agg(F.sort_array(F.collect_list(F.struct("commit_seq", "seq"))).alias("_cuts"))
     rows = keyed(changes).withColumn("_t", _table_name()).join(broadcast_if_few(cuts, F.size("_cuts"), FEW_CUTS), ["slot", "_t"], "left")
@@ -151,8 +154,9 @@ def _lives(changes: DataFrame, values: dict[str, Column] | None = None) -> DataF
     rows = rows.withColumns({"_wiped": wiped, "_cut": F.get(F.filter("_cuts", lambda c: c > here), F.lit(0))}).drop("_cuts", "_t")
     fresh = F.when(~(F.col("live") & (F.col("tag") != "I")), _position())
     known = {f"_last_{n}": F.when(v.isNotNull(), F.struct(_position().alias("at"), F.col("_wiped").alias("wiped"), v.alias("value"))) for n, v in (values or {}).items()}
-    rows = along_keys(_cut_in_segments(rows), BY, AT, {"_born": fresh} | known, {"_next": here})
-    return rows.withColumn("_life", F.struct("_born", "_wiped"))
+    rows, cut = _cut_in_segments(rows)
+    rows = along_keys(rows, BY, AT, {"_born": fresh} | known, {"_next": here}, cut)
+    return rows.withColumn("_life", F.struct("_born", "_wiped")), cut
 
 
 def toast_fill(changes: DataFrame, columns: list[str]) -> DataFrame:
@@ -161,7 +165,7 @@ def toast_fill(changes: DataFrame, columns: list[str]) -> DataFrame:
     The changes of a key are ordered in one task; where they are many, in segments, each of which starts from what the
     ones before come to.
     """
-    rows = _lives(changes, {c: F.when(F.col("live"), get(F.col("new_row"), c)) for c in columns})
+    rows, _ = _lives(changes, {c: F.when(F.col("live"), get(F.col("new_row"), c)) for c in columns})
     last = lambda c: F.col(f"_last_{c}")
     same = lambda c: (last(c)["wiped"] == F.col("_wiped")) & (F.col("_born").isNull() | (last(c)["at"] >= F.col("_born")))
     filled = [F.when(same(c), last(c)["value"]).alias(c) for c in columns]
@@ -175,9 +179,10 @@ def history(changes: DataFrame) -> DataFrame:
     toast_fill(). Rows told apart by value are keyed by all values; a repeat replaces the row before. The changes of a
     key with many are ordered in segments.
     """
-    rows = _lives(changes)
+    rows, cut = _lives(changes)
     end = F.when(F.col("_next").isNull() | (F.col("_cut") < F.col("_next")), F.col("_cut")).otherwise(F.col("_next"))
     rows = rows.withColumns({"valid_to": end["commit_seq"], "valid_from": F.col("commit_seq")}).where("live")
+    rows = materialise(rows, "versions")
     partial = rows.where(F.size("new_row") < F.size("column_names")).select(*BY, "_life").distinct().withColumn("_partial", F.lit(True))
     rows = rows.join(broadcast_if_few(partial, F.lit(1), FEW_CUTS), [*BY, "_life"], "left")
     names = [*BY, "row", "valid_from", "valid_to"]
@@ -186,7 +191,7 @@ def history(changes: DataFrame) -> DataFrame:
     own = F.get(F.filter("new_row", lambda c: c["name"] == F.col("_name")), F.lit(0))
     cells = cells.withColumn("_own", own).drop("new_row")
     known = F.when(F.col("_own").isNotNull(), F.struct(_position().alias("at"), F.col("_own").alias("value")))
-    cells = along_keys(cells, [*BY, "_life", "_name"], AT, {"_value": known}).withColumn("_value", F.col("_value.value")).where("_value is not null")
+    cells = along_keys(cells, [*BY, "_life", "_name"], AT, {"_value": known}, cut=cut).withColumn("_value", F.col("_value.value")).where("_value is not null")
     listed = F.sort_array(F.collect_list(F.struct("_pos", "_value")))
     filled = cells.groupBy(*BY, "valid_from", "valid_to", *AT[1:]).agg(F.transform(listed, lambda x: x["_value"]).alias("row"))
     return whole.unionByName(filled.select(names))
