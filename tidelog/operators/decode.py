@@ -15,11 +15,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidelog.errors import LogError
+from tidelog.functions.lsn import bits
 from tidelog.operators.carry import carry_forward, with_bucket
 from tidelog.sources import wire
 
 VALUE = "array<struct<kind:string,value:binary>>"
-#: Message columns by name; LSNs are longs, so positions of 2**63 and more are errors.
+#: Message columns by name; LSNs are the longs of their bits (see functions.lsn).
 SCALARS = {
     "xid": "long", "msg_xid": "long", "subxid": "long", "oid": "long", "flags": "int", "final_lsn": "long", "commit_lsn": "long",
     "prepare_lsn": "long", "end_lsn": "long", "message_lsn": "long", "abort_lsn": "long", "ts": "long", "prepare_ts": "long",
@@ -34,6 +35,7 @@ NESTED = {
 }
 #: End of no stream block.
 NONE = -1
+POSITIONS = ("final_lsn", "commit_lsn", "prepare_lsn", "end_lsn", "message_lsn", "abort_lsn")
 _ARROW = {"long": pa.int64(), "int": pa.int32(), "string": pa.string(), "boolean": pa.bool_(), "binary": pa.binary()}
 _VALUE = pa.list_(pa.struct([("kind", pa.string()), ("value", pa.binary())]))
 _COLUMN = pa.list_(pa.struct([("name", pa.string()), ("type_id", pa.int64()), ("type_modifier", pa.int32()), ("is_key", pa.bool_())]))
@@ -182,9 +184,9 @@ def _values(values: list | None) -> list | None:
 
 
 def _checked(m: dict) -> dict:
-    for name in ("final_lsn", "commit_lsn", "prepare_lsn", "end_lsn", "message_lsn", "abort_lsn"):
-        if m.get(name, 0) >= 1 << 63:
-            raise LogError("protocol", f"{name} is beyond 2**63")
+    for name in POSITIONS:
+        if name in m:
+            m[name] = bits(m[name])
     if "replident" in m:
         m["replident"] = chr(m["replident"]) if m["replident"] < 128 else "?"
     if "first_segment" in m:

@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidelog.operators.decode import NESTED, SCALARS
+from tidelog.functions.lsn import position
+from tidelog.operators.decode import NESTED, POSITIONS, SCALARS
 from tidelog.sources import wire
 
 
@@ -35,6 +36,9 @@ def encode(messages: DataFrame, version: int = 1) -> DataFrame:
 
 def _message(m: dict) -> dict:
     m = {k: v for k, v in m.items() if v is not None}
+    for name in POSITIONS:
+        if name in m:
+            m[name] = position(m[name])
     for name in ("old", "new"):
         if name in m:
             m[name] = [(x["kind"], x["value"]) for x in m[name]]

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 
 def number(data: Column, at: int, n: int) -> Column:
-    """Big-endian unsigned integer of n bytes from place at (from 1); null from 2**63 on."""
-    return F.conv(F.hex(F.substring(data, at, n)), 16, 10).try_cast("long")
+    """Big-endian integer of n bytes from place at (from 1); of 8 bytes the long of the same bits."""
+    return F.conv(F.hex(F.substring(data, at, n)), 16, -10).cast("long")
 
 
 def unframe(frames: DataFrame) -> DataFrame:
@@ -18,15 +18,13 @@ def unframe(frames: DataFrame) -> DataFrame:
     """
     f = F.col("frame")
     rows = frames.where((F.substring(f, 1, 1) == F.lit(b"w")) & (F.length(f) >= 25))
-    sent = F.conv(F.hex(F.substring(f, 18, 8)), 16, -10).cast("long")
-    return rows.select("slot", "seq", number(f, 2, 8).alias("wal_start"), number(f, 10, 8).alias("wal_end"), sent.alias("server_time"), F.expr("substring(frame, 26)").alias("data"))
+    return rows.select("slot", "seq", number(f, 2, 8).alias("wal_start"), number(f, 10, 8).alias("wal_end"), number(f, 18, 8).alias("server_time"), F.expr("substring(frame, 26)").alias("data"))
 
 
 def keepalives(frames: DataFrame) -> DataFrame:
     f = F.col("frame")
     rows = frames.where((F.substring(f, 1, 1) == F.lit(b"k")) & (F.length(f) >= 18))
-    sent = F.conv(F.hex(F.substring(f, 10, 8)), 16, -10).cast("long")
-    return rows.select("slot", "seq", number(f, 2, 8).alias("wal_end"), sent.alias("server_time"), (F.substring(f, 18, 1) != F.lit(b"\0")).alias("reply_wanted"))
+    return rows.select("slot", "seq", number(f, 2, 8).alias("wal_end"), number(f, 10, 8).alias("server_time"), (F.substring(f, 18, 1) != F.lit(b"\0")).alias("reply_wanted"))
 
 
 def malformed(frames: DataFrame) -> DataFrame:

@@ -12,6 +12,7 @@ import heapq
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidelog.functions.lsn import highest
 from tidelog.operators.carry import running, with_bucket
 
 NEVER = (1 << 63) - 1
@@ -37,7 +38,7 @@ def safe_steps(commits: DataFrame, applied: DataFrame) -> DataFrame:
 def frontier(commits: DataFrame, applied: DataFrame) -> DataFrame:
     """(slot, step, safe_lsn): the steps that moved the confirmed position, and where to. It only grows."""
     moved = safe_steps(commits, applied).where("safe_step is not null")
-    return moved.groupBy("slot", F.col("safe_step").alias("step")).agg(F.max("end_lsn").alias("safe_lsn"))
+    return moved.groupBy("slot", F.col("safe_step").alias("step")).agg(highest(F.col("end_lsn")).alias("safe_lsn"))
 
 
 def intervals(commits: DataFrame, applied: DataFrame) -> DataFrame:

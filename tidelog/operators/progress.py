@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidelog.functions import lsn as L
 from tidelog.operators import carry
 from tidelog.sources import wire
 
@@ -18,12 +19,12 @@ def running(log: DataFrame) -> DataFrame:
     Both only grow. No task orders more than a bucket of rows, a stretch of buckets, or the stretches of a slot.
     """
     done = F.when(F.col("tag").isin("C", "c", "K"), F.col("end_lsn"))
-    rows = carry.running(log, {"received": ("max", F.col("lsn")), "applied": ("max", done)})
-    return rows.withColumn("applied", F.coalesce("applied", F.lit(0).cast("long")))
+    rows = carry.running(log, {"received": ("max", L.ordered(F.col("lsn"))), "applied": ("max", L.ordered(done))})
+    return rows.withColumns({"received": L.ordered(F.col("received")), "applied": F.coalesce(L.ordered(F.col("applied")), F.lit(0).cast("long"))})
 
 
 class Tracker:
-    """Flushed and applied positions of a consumer: they only grow, 0 is no position, applied lifts flushed."""
+    """Flushed and applied positions of a consumer: they only grow, 0 is no position, applied lifts flushed. Numbers have no sign."""
 
     def __init__(self):
         self.flushed = self.applied = self.received = 0

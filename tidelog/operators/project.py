@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidelog.errors import LogError
 from tidelog.functions import scalars as S
+from tidelog.functions.lsn import unsigned
 
 #: Default of each target in lenient projection. Fixed values.
 DEFAULTS = dict.fromkeys([*S.SIGNED, *S.UNSIGNED], 0) | {"f32": 0.0, "f64": 0.0, "bool": False, "char": "\0", "string": "", "bytes": b""}
@@ -215,7 +216,7 @@ def _instant(ts: Column) -> Column:
 
 def event_json() -> Column:
     """A change event as JSON, from the silver columns: {"event_type":{kind:{..}},"lsn":..,"metadata":..}. Names are fixed values."""
-    c, text = F.col, lambda name: _quoted(F.col(name))
+    c, text, lsn = F.col, lambda name: _quoted(F.col(name)), lambda name: unsigned(F.col(name))
     identity = _quoted(F.initcap("replica_identity"))
     names = lambda name: _list(F.col(name), _quoted)
     row = lambda name: F.when(c(name).isNotNull(), row_json(c(name)))
@@ -224,28 +225,28 @@ def event_json() -> Column:
     column = lambda x: _object({"name": _quoted(x["name"]), "type_id": x["type_id"], "type_modifier": x["type_modifier"], "is_key": x["is_key"]})
     content = F.transform(F.when(F.length("content") > 0, F.sequence(F.lit(1), F.length("content"))).otherwise(F.array().cast("array<int>")), lambda k: F.conv(F.hex(F.substring(c("content"), k, F.lit(1))), 16, 10))
     at, xid, flags, gid = _instant(c("event_ts")), {"transaction_id": c("xid")}, {"flags": c("flags")}, {"gid": text("gid")}
-    ends = {"commit_lsn": c("commit_lsn"), "end_lsn": c("end_lsn")}
-    prepared = {"prepare_lsn": c("prepare_lsn"), "end_lsn": c("end_lsn"), "prepare_timestamp": at} | gid
+    ends = {"commit_lsn": lsn("commit_lsn"), "end_lsn": lsn("end_lsn")}
+    prepared = {"prepare_lsn": lsn("prepare_lsn"), "end_lsn": lsn("end_lsn"), "prepare_timestamp": at} | gid
     kinds = {
         "I": ("Insert", of_table | {"data": row("new_row")}),
         "U": ("Update", of_table | {"old_data": row("old_row"), "new_data": row("new_row")} | of_key),
         "D": ("Delete", of_table | {"old_data": row("old_row")} | of_key),
-        "B": ("Begin", xid | {"final_lsn": c("final_lsn"), "commit_timestamp": at}),
+        "B": ("Begin", xid | {"final_lsn": lsn("final_lsn"), "commit_timestamp": at}),
         "C": ("Commit", {"commit_timestamp": at} | ends),
         "S": ("StreamStart", xid | {"first_segment": c("first_segment")}),
         "c": ("StreamCommit", xid | ends | {"commit_timestamp": at}),
-        "A": ("StreamAbort", xid | {"subtransaction_xid": c("subxid"), "abort_lsn": c("abort_lsn"), "abort_timestamp": at}),
+        "A": ("StreamAbort", xid | {"subtransaction_xid": c("subxid"), "abort_lsn": lsn("abort_lsn"), "abort_timestamp": at}),
         "R": ("Relation", {"relation_id": c("relation_oid"), "namespace": text("schema"), "relation_name": text("table"), "replica_identity": identity, "columns": _list(c("relation_columns"), column)}),
         "Y": ("Type", {"type_id": c("relation_oid"), "namespace": text("schema"), "type_name": text("table")}),
-        "O": ("Origin", {"origin_lsn": c("message_lsn"), "origin_name": text("origin_name")}),
-        "M": ("Message", flags | {"message_lsn": c("message_lsn"), "prefix": text("prefix"), "content": _list(content, lambda x: x)}),
+        "O": ("Origin", {"origin_lsn": lsn("message_lsn"), "origin_name": text("origin_name")}),
+        "M": ("Message", flags | {"message_lsn": lsn("message_lsn"), "prefix": text("prefix"), "content": _list(content, lambda x: x)}),
         "b": ("BeginPrepare", xid | prepared),
         "P": ("Prepare", flags | xid | prepared),
         "K": ("CommitPrepared", flags | xid | ends | {"commit_timestamp": at} | gid),
-        "r": ("RollbackPrepared", flags | xid | {"prepare_end_lsn": c("prepare_lsn"), "rollback_end_lsn": c("end_lsn"), "prepare_timestamp": _instant(c("prepare_event_ts")), "rollback_timestamp": at} | gid),
+        "r": ("RollbackPrepared", flags | xid | {"prepare_end_lsn": lsn("prepare_lsn"), "rollback_end_lsn": lsn("end_lsn"), "prepare_timestamp": _instant(c("prepare_event_ts")), "rollback_timestamp": at} | gid),
         "p": ("StreamPrepare", flags | xid | prepared),
     }
     body = F.when(c("tag") == "E", F.lit('"StreamStop"')).when(c("tag") == "T", _object({"Truncate": names("truncate_tables")}))
     for tag, (name, fields) in kinds.items():
         body = body.when(c("tag") == tag, _object({name: _object(fields)}))
-    return _object({"event_type": body, "lsn": c("lsn"), "metadata": F.to_json("metadata")})
+    return _object({"event_type": body, "lsn": lsn("lsn"), "metadata": F.to_json("metadata")})

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tidelog.functions.lsn import ordered
 from tidelog.operators.carry import BUCKET, broadcast_if_few, carry_forward, running
 from tidelog.sources.scratch import materialise
 
@@ -23,9 +24,9 @@ NOWHERE = 0
 
 
 def _reaches(captured: DataFrame) -> DataFrame:
-    """One row a session: its lowest and highest position, the highest of the sessions before and the lowest of those after."""
-    placed = F.when(F.col("wal_start") != NOWHERE, F.col("wal_start"))
-    each = captured.groupBy("slot", "session").agg(F.min(placed).alias("low"), F.max(placed).alias("high"), F.max("wal_end").alias("end"))
+    """One row a session: its lowest and highest position, the highest of the sessions before and the lowest of those after, as they order."""
+    placed = F.when(F.col("wal_start") != NOWHERE, ordered(F.col("wal_start")))
+    each = captured.groupBy("slot", "session").agg(F.min(placed).alias("low"), F.max(placed).alias("high"), F.max(ordered(F.col("wal_end"))).alias("end"))
     by = W.partitionBy("slot").orderBy("session")
     before, after = by.rowsBetween(W.unboundedPreceding, -1), by.rowsBetween(1, W.unboundedFollowing)
     return each.select("slot", "session", "low", "high", F.max("high").over(before).alias("reach"), F.min("low").over(after).alias("later"), F.max("end").over(before).alias("told"))
@@ -38,7 +39,7 @@ def gaps(captured: DataFrame) -> DataFrame:
     there is known to the server alone.
     """
     each = _reaches(_read(captured)).where("low > told")
-    return each.select("slot", "session", F.col("told").alias("gap_from"), F.col("low").alias("gap_to"))
+    return each.select("slot", "session", ordered(F.col("told")).alias("gap_from"), ordered(F.col("low")).alias("gap_to"))
 
 
 def _read(captured: DataFrame) -> DataFrame:
@@ -54,7 +55,8 @@ def repeated(captured: DataFrame) -> DataFrame:
     rows = _read(captured)
     reaches = materialise(_reaches(rows), "reaches")
     rows = rows.join(broadcast_if_few(reaches.select("slot", "session", "reach", "later"), F.lit(1), FEW), ["slot", "session"])
-    shared = (F.col("wal_start") != NOWHERE) & ((F.col("wal_start") <= F.col("reach")) | (F.col("wal_start") >= F.col("later")))
+    at = ordered(F.col("wal_start"))
+    shared = (F.col("wal_start") != NOWHERE) & ((at <= F.col("reach")) | (at >= F.col("later")))
     same = ["slot", "wal_start", "digest"]
     zone = rows.where(shared).select("slot", "session", "seq", "wal_start", F.md5(F.coalesce("data", F.lit(b""))).alias("digest")).repartition(*same)
     zone = zone.withColumn("nth", F.row_number().over(W.partitionBy(*same, "session").orderBy("seq")))

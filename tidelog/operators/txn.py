@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidelog.functions import lsn as L
 from tidelog.operators.carry import broadcast_if_few, carry_forward, with_bucket
 
 DATA = ("I", "U", "D", "T", "M", "R", "Y", "O")
@@ -169,13 +170,13 @@ def stats(assigned: DataFrame) -> DataFrame:
 
 def bounded_replay(log: DataFrame, target: int) -> DataFrame:
     """Events up to and with the first commit whose end is at or past the target; all of them if there is none."""
-    cut = log.where(F.col("tag").isin("C", "c", "K") & (F.col("end_lsn") >= target)).groupBy("slot").agg(F.min("seq").alias("_cut"))
+    cut = log.where(F.col("tag").isin("C", "c", "K") & L.at_or_past(F.col("end_lsn"), target)).groupBy("slot").agg(F.min("seq").alias("_cut"))
     return log.join(cut, "slot", "left").where("_cut is null or seq <= _cut").drop("_cut")
 
 
 def bounded_replay_raw(bronze: DataFrame, target: int) -> DataFrame:
     """Frames up to and with the first whose end is at or past the target; may cut a transaction."""
-    cut = bronze.where(F.col("wal_end") >= target).groupBy("slot").agg(F.min("seq").alias("_cut"))
+    cut = bronze.where(L.at_or_past(F.col("wal_end"), target)).groupBy("slot").agg(F.min("seq").alias("_cut"))
     return bronze.join(cut, "slot", "left").where("_cut is null or seq <= _cut").drop("_cut")
 
 

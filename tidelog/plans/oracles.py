@@ -116,6 +116,12 @@ ORACLES = {
     "progress_lsn": _LOG + f"""SELECT e.seq, {_AT}max(e.seq) OVER w AS received,
         coalesce(max(CASE WHEN c.commit_at IS NOT NULL THEN {_AT}(e.seq + 1) END) OVER w, 0) AS applied
         FROM all_events e LEFT JOIN control c ON e.seq = c.seq AND c.commit_at IS NOT NULL WINDOW w AS (ORDER BY e.seq ROWS UNBOUNDED PRECEDING)""",
+    "positions_across_edge": _LOG + """, m AS (SELECT max(seq) // 2 AS middle FROM all_events),
+        placed AS (SELECT e.seq, 9223372036854775808::HUGEINT + 64 * (e.seq - middle) AS p, c.seq IS NOT NULL AS done, c.seq + 1 - middle >= 200 AS past
+                   FROM all_events e CROSS JOIN m LEFT JOIN control c ON e.seq = c.seq AND c.commit_at IS NOT NULL)
+        SELECT seq, printf('%X/%X', CAST(p // 4294967296 AS BIGINT), CAST(p % 4294967296 AS BIGINT)) AS place, CAST(max(p) OVER w AS VARCHAR) AS received,
+               coalesce(CAST(max(CASE WHEN done THEN p + 64 END) OVER w AS VARCHAR), '0') AS applied, seq <= coalesce(min(CASE WHEN past THEN seq END) OVER (), seq) AS kept
+        FROM placed WINDOW w AS (ORDER BY seq ROWS UNBOUNDED PRECEDING)""",
     "metrics_latency": _LOG + """SELECT 'orders_slot' AS slot, count(*) AS n_gaps, quantile_cont(gap, 0.5) AS p50, quantile_cont(gap, 0.99) AS p99 FROM (
         SELECT server_time - lag(server_time) OVER (ORDER BY seq) AS gap FROM (
           SELECT seq, b * 60000000 + t * 1000000 AS server_time FROM log

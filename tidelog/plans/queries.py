@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +13,7 @@ from tidelog.functions import lsn as L
 from tidelog.functions import scalars as S
 from tidelog.operators import events as E
 from tidelog.operators import chunks, frontier, metrics, progress, project, route, sessions, snapshot, state, txn
-from tidelog.operators.decode import decode
+from tidelog.operators.decode import POSITIONS, decode
 from tidelog.operators.encode import encode, frames
 from tidelog.operators.framing import unframe
 from tidelog.operators.project import Field
@@ -190,6 +191,21 @@ def progress_lsn(spark, sf_dir):
     return progress.running(_events(spark, sf_dir).select("slot", "seq", "lsn", "tag", "end_lsn", "_bucket")).select("seq", "received", "applied")
 
 
+def positions_across_edge(spark, sf_dir):
+    """The log moved to where its middle stands at 2**63, from frames to progress and a stop behind the edge."""
+    log = _messages(spark, sf_dir)
+    middle = (log.agg(F.max("seq")).first()[0] or 0) // 2
+    shift = L.BIAS - C.BASE_LSN - 64 * middle
+    moved = lambda c: L.from_unsigned(L.unsigned(F.col(c)) + F.lit(Decimal(shift)))
+    sent = frames(encode(log.withColumns({c: moved(c) for c in ("wal_start", "wal_end", *POSITIONS)}), C.VERSION))
+    messages = materialise(decode(unframe(sent.select("slot", "seq", "frame")), C.VERSION), "edge-messages")
+    events = materialise(E.events(messages, txn.assign(messages)).select("slot", "seq", "lsn", "tag", "end_lsn", "_bucket"), "edge-events")
+    kept = txn.bounded_replay(events, L.BIAS + 64 * 200).select("slot", "seq", F.lit(True).alias("kept"))
+    rows = progress.running(events).join(kept, ["slot", "seq"], "left")
+    text = lambda c: L.unsigned(F.col(c)).cast("string").alias(c)
+    return rows.select("seq", L.format_lsn(F.col("lsn")).alias("place"), text("received"), text("applied"), F.coalesce("kept", F.lit(False)).alias("kept"))
+
+
 def metrics_bytes(spark, sf_dir):
     return metrics.totals(_events(spark, sf_dir))
 
@@ -439,7 +455,7 @@ NAMES = (
     "event_categories", "progress_lsn", "metrics_bytes", "metrics_latency", "snapshot_plus_stream", "encode_roundtrip", "quarantine", "frames_header",
     "full_identity_state", "keyless_copies", "binary_columns", "full_old_rows", "reused_xids", "rolled_back_parts", "bucket_edges", "undecided_transactions",
     "typed_update", "json_roundtrip", "event_json", "metrics_rates", "frames_across_chunks", "recovered_log", "log_gaps", "safe_progress", "applied_intervals",
-    "upserted_state", "chunked_snapshot", "local_changes", "latency_sketches",
+    "upserted_state", "chunked_snapshot", "local_changes", "latency_sketches", "positions_across_edge",
 )
 
 

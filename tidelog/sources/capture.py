@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 
 from tidelog.errors import LogError
+from tidelog.functions import lsn as L
 from tidelog.sources.commands import lsn_number
 
 SCHEMA = "slot string, seq long, wal_start long, wal_end long, server_time long, data binary"
@@ -36,7 +37,7 @@ def frames(spark: SparkSession, path: str, slot: str | None = None, start_lsn: s
     """The frames of a folder as a plain Parquet scan: slot and position are pushed down to it."""
     rows = spark.read.schema(SCHEMA).parquet(path)
     rows = rows.where(F.col("slot") == slot) if slot else rows
-    return rows.where(F.col("wal_start") >= lsn_number(start_lsn)) if start_lsn else rows
+    return rows.where(L.at_or_past(F.col("wal_start"), lsn_number(start_lsn))) if start_lsn else rows
 
 
 def opened(path: str) -> tuple[pf.FileSystem, str]:
@@ -81,6 +82,18 @@ class Group(NamedTuple):
 _ENDS = {ord("C"): 10, ord("K"): 10, ord("c"): 14}
 
 
+def _reach(ends: tuple[int, int] | None) -> int:
+    """The highest position that longs from a lowest to a highest can hold."""
+    if ends is None or (ends[0] < 0 <= ends[1]):
+        return L.MASK
+    return L.position(ends[1])
+
+
+def _at_or_past(name: str, target: int) -> pc.Expression:
+    field = pc.field(name)
+    return (field >= target) | (field < 0) if target < L.BIAS else (field >= L.bits(target)) & (field < 0)
+
+
 def _commit_end(data: bytes | None) -> int:
     """The end of the commit that a payload is, -1 for other payloads."""
     at = _ENDS.get(data[0]) if data else None
@@ -138,7 +151,7 @@ class _Files:
                     low_high = pc.min_max(rows.column("seq")).as_py()
                     ends["seq"] = (low_high["min"], low_high["max"])
                 if ends["seq"][0] is not None:
-                    reach = max((ends[n][1] if n in ends else 1 << 62) for n in ("wal_start", "wal_end"))
+                    reach = max(_reach(ends.get(n)) for n in ("wal_start", "wal_end"))
                     out.append(Group(k, *ends["seq"], group.num_rows, group.total_byte_size, reach))
         return out
 
@@ -155,7 +168,7 @@ class _Files:
                 continue
             with system.open_input_file(path) as f:
                 for batch in pq.ParquetFile(f).iter_batches(row_groups=[g.number], columns=["slot", "seq", "wal_start", "wal_end", "data"]):
-                    kept = pa.table(batch).filter(self._wanted(start, end) & ((pc.field("wal_start") >= target) | (pc.field("wal_end") >= target)))
+                    kept = pa.table(batch).filter(self._wanted(start, end) & (_at_or_past("wal_start", target) | _at_or_past("wal_end", target)))
                     for seq, data in zip(kept.column("seq").to_pylist(), kept.column("data").to_pylist(), strict=True):
                         if (found is None or seq < found) and _commit_end(data) >= target:
                             found = seq
@@ -188,7 +201,7 @@ class _Files:
         if not part.groups:
             return
         system, _ = opened(self.path)
-        keep = self._wanted(part.start, part.end) & (pc.field("wal_start") >= self.start_lsn)
+        keep = self._wanted(part.start, part.end) & _at_or_past("wal_start", self.start_lsn)
         with system.open_input_file(part.path) as f:
             file = pq.ParquetFile(f)
             for batch in file.iter_batches(row_groups=list(part.groups), columns=list(NAMES)):

@@ -10,6 +10,7 @@ from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, Row
 
 from tidelog.errors import LogError
+from tidelog.functions.lsn import position
 from tidelog.operators.frontier import Frontier
 from tidelog.operators.progress import Feedback, Tracker
 from tidelog.sources.commands import lsn_text
@@ -37,7 +38,7 @@ class Consumer:
         replay.handler = self._handle
 
     def _handle(self, changes: DataFrame, number: int) -> None:
-        ends = [r[0] for r in self.replay.ends(number).collect()]
+        ends = [position(r[0]) for r in self.replay.ends(number).collect()]
         with self._lock:
             for end in ends:
                 self.tracker.receive(end)
