@@ -9,6 +9,7 @@ import time
 import zlib
 from collections import Counter, defaultdict
 
+import duckdb
 import numpy as np
 import pytest
 import xxhash
@@ -220,6 +221,70 @@ def test_quality_outliers(spark):
     assert all(got[k]["kept"] for k in range(60) if not got[k]["base_failed"]) and not any(got[100 + k]["kept"] for k in range(6))
 
 
+def plain_mcd(x, starts=200):
+    """The estimate as published, without grid, weights or floor: concentration of the nearest three quarters until nothing moves."""
+    rng, h, best = np.random.default_rng(2), int(np.ceil(len(x) * 0.75)), None
+    for _ in range(starts):
+        at = rng.choice(len(x), 8, replace=False)
+        for _ in range(50):
+            mean, cov = x[at].mean(0), np.cov(x[at].T, bias=True) + 1e-9 * np.eye(4)
+            d = np.einsum("ij,jk,ik->i", x - mean, np.linalg.inv(cov), x - mean)
+            new = np.argsort(d, kind="stable")[:h]
+            if set(new) == set(at):
+                break
+            at = new
+        det = np.linalg.det(np.cov(x[at].T, bias=True))
+        if best is None or det < best[0]:
+            best = (det, x[at].mean(0), np.cov(x[at].T, bias=True) * quality.CONSISTENT)
+    _, mean, cov = best
+    return np.einsum("ij,jk,ik->i", x - mean, np.linalg.inv(cov), x - mean)
+
+
+def test_quality_against_plain_estimate(spark):
+    """Where statistics spread, grid and floor change no verdict: correlated vectors, a tenth of them in a far clump."""
+    rng = np.random.default_rng(3)
+    mixing_matrix = np.array([[2.0, 0, 0, 0], [0.3, 0.5, 0, 0], [0.8, 0.4, 1.5, 0], [-1.0, 0.2, 0.5, 1.5]])
+    x = rng.normal(size=(400, 4)) @ mixing_matrix.T
+    x[:40] = x[:40] * 0.2 + np.array([9.0, -3.0, 9.0, 9.0])
+    rows = [("=en", "=a", *map(float, v)) for v in x]
+    state = quality.estimates(spark.createDataFrame(rows, "lang string, source string, x1 double, x2 double, x3 double, x4 double")).first()["state"]
+    lower = np.array([[state[f"l{j}{k}"] if k <= j else 0.0 for k in range(4)] for j in range(4)])
+    got = np.square(np.linalg.solve(lower, (x - np.array([state[f"m{j}"] for j in range(4)])).T)).sum(0)
+    want = plain_mcd(x)
+    assert (got[:40] > quality.CUTOFF).all() and ((got > quality.CUTOFF) == (want > quality.CUTOFF)).all()
+    assert np.median(np.abs(got / want - 1)) < 0.15
+
+
+def test_license_expressions(spark):
+    """SPDX expressions licence by licence, versions apart, and notices in common words."""
+    cases = {
+        "// SPDX-License-Identifier: Apache-2.0 OR MIT\n// Copyright someone": ["Apache-2.0", "MIT"],
+        "# SPDX-License-Identifier: GPL-2.0-only WITH Classpath-exception-2.0": ["GPL-2.0-only", "Classpath-exception-2.0"],
+        "SPDX-License-Identifier: (MIT AND Zlib) or GPL-2.0-or-later.": ["GPL-2.0-or-later", "MIT", "Zlib"],
+        "/* SPDX-License-Identifier: LGPL-2.1+ */": ["LGPL-2.1-or-later"],
+        "SPDX-License-Identifier: GPL-2.0": ["GPL-2.0"],
+        "SPDX-License-Identifier: Made-Up-1.0 OR ISC": ["ISC"],
+        "SPDX-License-Identifier:": [],
+        "This project is dual-licensed under the MIT License and the Apache License, Version 2.0.": ["Apache-2.0 OR MIT"],
+        "Licensed under the MIT license (see LICENSE).": ["MIT"],
+        "licensed under MIT": ["MIT"],
+        "Distributed under the GNU General Public License v3.0": ["GPL-3.0"],
+        "Licensed under GPLv2+": ["GPL-2.0-or-later"],
+        "Boost Software License - Version 1.0 - August 17th, 2003": ["BSL-1.0"],
+        "This is free and unencumbered software released into the public domain.": ["Unlicense"],
+        "This library is free software; you can redistribute it and/or\nmodify it under the terms of the GNU Lesser General Public\nLicense as published by the Free Software Foundation; either\nversion 2.1 of the License, or (at your option) any later version.": ["LGPL-2.1-or-later"],
+        "A gift or a loan and 1+1 with care, or later.": [],
+    }
+    frame = docs(spark, [(k, text, "en", "a", 0) for k, text in enumerate(cases)])
+    got = {r["doc_id"]: r["license_scan"] for r in licenses.scan(frame).collect()}
+    assert {text: sorted(got[k]["licenses"]) for k, text in enumerate(cases)} == {text: sorted(want) for text, want in cases.items()}
+    assert all(not s["unmatched"] for s in got.values())
+    con = duckdb.connect()
+    con.register("documents", frame.toPandas())
+    told = {r[0]: r[2] for r in con.execute(queries.oracle_sql()["op1_license_scan"]).fetchall()}
+    assert {k: sorted(told[k].split(",") if told[k] else []) for k in told} == {k: sorted(s["licenses"]) for k, s in got.items()}
+
+
 def test_quality_of_small_groups(spark):
     """A source per site: its documents are judged by their language, a lone language's by all documents."""
     rng = np.random.default_rng(6)

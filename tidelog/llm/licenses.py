@@ -3,7 +3,7 @@
 A text is split into sentences: comment marks at the start of lines go, a wrapped line goes on in the next, and a
 sentence ends at . ! ? ; : before white space, at a blank line or at the text's end. Each is normalised (lower case,
 everything but letters, digits and inner dots is one space) and looked up among known licence sentences; one that is
-not known as a whole is looked up line by line. The identifiers found, in order, are matched against the licence rules,
+not known as a whole is looked up line by line, and an SPDX expression licence by licence (OR, AND, WITH; a + is "or later"). The identifiers found, in order, are matched against the licence rules,
 first rule first; what a rule matches is used up. Identifiers left over are reported as unmatched.
 
 Native: DataFrame functions only, one pass over the text and no shuffle.
@@ -17,28 +17,37 @@ from pyspark.sql import functions as F
 #: Licences by identifier, as one-line notices name them (normalised). Fixed values.
 NAMES = (
     ("Apache-2.0", ("apache license version 2.0", "apache 2.0 license", "apache license 2.0")),
-    ("MIT", ("mit license",)),
+    ("MIT", ("mit license", "mit license see license", "mit license see the license file")),
     ("BSD-2-Clause", ("bsd 2 clause license", "2 clause bsd license")),
     ("BSD-3-Clause", ("bsd 3 clause license", "3 clause bsd license")),
     ("ISC", ("isc license",)),
-    ("GPL-2.0", ("gnu general public license version 2", "gpl version 2", "gplv2")),
-    ("GPL-3.0", ("gnu general public license version 3", "gpl version 3", "gplv3")),
-    ("LGPL-2.1", ("gnu lesser general public license version 2.1",)),
-    ("LGPL-3.0", ("gnu lesser general public license version 3",)),
-    ("AGPL-3.0", ("gnu affero general public license version 3",)),
+    ("GPL-2.0", ("gnu general public license version 2", "gnu general public license v2.0", "gpl version 2", "gplv2")),
+    ("GPL-2.0-or-later", ("gpl version 2 orlater", "gplv2 orlater")),
+    ("GPL-3.0", ("gnu general public license version 3", "gnu general public license v3.0", "gpl version 3", "gplv3")),
+    ("GPL-3.0-or-later", ("gpl version 3 orlater", "gplv3 orlater")),
+    ("LGPL-2.1", ("gnu lesser general public license version 2.1", "gnu lesser general public license v2.1")),
+    ("LGPL-3.0", ("gnu lesser general public license version 3", "gnu lesser general public license v3.0")),
+    ("AGPL-3.0", ("gnu affero general public license version 3", "gnu affero general public license v3.0")),
     ("MPL-2.0", ("mozilla public license version 2.0",)),
     ("CC-BY-4.0", ("cc by 4.0", "creative commons attribution 4.0 international license")),
     ("CC-BY-SA-4.0", ("cc by sa 4.0", "creative commons attribution sharealike 4.0 international license")),
     ("CC-BY-NC-4.0", ("cc by nc 4.0", "creative commons attribution noncommercial 4.0 international license")),
     ("CC0-1.0", ("cc0 1.0",)),
 )
+#: Names that only "licensed under" makes a notice of. Fixed values.
+BARE = (("MIT", "mit"), ("Apache-2.0", "apache 2.0"))
 LEADS = ("", "this work is ", "this project is ", "this software is ", "this file is ", "the code is ")
 VERBS = ("licensed under ", "released under ", "distributed under ", "available under ")
 #: Identifiers that stand behind an SPDX tag. Fixed values.
 SPDX = (
     "Apache-2.0", "MIT", "BSD-2-Clause", "BSD-3-Clause", "ISC", "GPL-2.0", "GPL-2.0-only", "GPL-2.0-or-later", "GPL-3.0", "GPL-3.0-only", "GPL-3.0-or-later",
-    "LGPL-2.1-only", "LGPL-2.1-or-later", "LGPL-3.0-only", "LGPL-3.0-or-later", "AGPL-3.0-only", "AGPL-3.0-or-later", "MPL-2.0", "CC0-1.0", "CC-BY-4.0", "CC-BY-SA-4.0", "Unlicense", "BSL-1.0",
+    "LGPL-2.0-only", "LGPL-2.0-or-later", "LGPL-2.1", "LGPL-2.1-only", "LGPL-2.1-or-later", "LGPL-3.0", "LGPL-3.0-only", "LGPL-3.0-or-later",
+    "AGPL-3.0", "AGPL-3.0-only", "AGPL-3.0-or-later", "MPL-1.1", "MPL-2.0", "EPL-2.0", "CC0-1.0", "CC-BY-4.0", "CC-BY-SA-4.0", "CC-BY-NC-4.0",
+    "Unlicense", "BSL-1.0", "0BSD", "Zlib", "NCSA", "PostgreSQL", "Python-2.0", "Artistic-2.0", "OFL-1.1", "WTFPL",
+    "Classpath-exception-2.0", "GCC-exception-3.1", "LLVM-exception", "Linux-syscall-note",
 )
+#: What stands before an SPDX expression, and what parts its licences, in normalised lines. Fixed values.
+TAG, JOINS = "spdx license identifier ", " (?:or|and|with) "
 #: Identifier and normalised sentence, as the published texts are split. Fixed values.
 TEXTS = (
     ("apache2notice", "licensed under the apache license version 2.0 the license"),
@@ -69,6 +78,13 @@ TEXTS = (
     ("gpl2later", "either version 2 of the license or at your option any later version"),
     ("gplhope", "this program is distributed in the hope that it will be useful but without any warranty"),
     ("gpleven", "without even the implied warranty of merchantability or fitness for a particular purpose"),
+    ("lgplfree", "this library is free software"),
+    ("lgplterms", "you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation"),
+    ("lgpl21later", "either version 2.1 of the license or at your option any later version"),
+    ("lgplhope", "this library is distributed in the hope that it will be useful but without any warranty"),
+    ("unlicense", "this is free and unencumbered software released into the public domain"),
+    ("boosttitle", "boost software license version 1.0 august 17th 2003"),
+    ("boosttitle", "boost software license version 1.0"),
     ("mpl2line", "this source code form is subject to the terms of the mozilla public license v.2.0"),
     ("cc0line", "this work is dedicated to the public domain under cc0 1.0"),
     ("allrights", "all rights reserved"),
@@ -76,13 +92,16 @@ TEXTS = (
 
 
 def _plain(name: str) -> str:
-    return name.lower().replace("-", " ")
+    return name.lower().replace("-or-later", " orlater").replace("-", " ")
 
 
 SENTENCES = (
     *TEXTS,
     *((f"line:{licence}", f"{lead}{verb}{the}{name}") for licence, names in NAMES for name in names for lead in LEADS for verb in VERBS for the in ("the ", "a ", "")),
-    *((f"spdx:{licence}", f"spdx license identifier {_plain(licence)}") for licence in SPDX),
+    *((f"line:{licence}", f"{lead}licensed under {the}{name}") for licence, name in BARE for lead in LEADS for the in ("the ", "")),
+    *((f"spdx:{licence}", f"{TAG}{_plain(licence)}") for licence in SPDX),
+    *(("dual:Apache-2.0 OR MIT", f"{lead}dual licensed under {the}{a} {both} {the}{b}") for lead in LEADS for the in ("the ", "") for both in ("and", "or")
+      for x, y in (("MIT", "Apache-2.0"), ("Apache-2.0", "MIT")) for a in dict(NAMES)[x][:1] for b in dict(NAMES)[y]),
 )
 #: Licence and the identifiers that name it, in order; rules are tried in this order. Fixed values.
 RULES = (
@@ -94,6 +113,10 @@ RULES = (
     *((name, ("gplfree", *terms, *last)) for last in (("gplhope", "gpleven"), ()) for name, terms in (
         ("GPL-3.0-or-later", ("gpl3later",)), ("AGPL-3.0-or-later", ("agpl3later",)), ("LGPL-3.0-or-later", ("lgpl3later",)), ("GPL-2.0-or-later", ("gplterms", "gpl2later")),
     )),
+    *(("LGPL-2.1-or-later", ("lgplfree", "lgplterms", "lgpl21later", *last)) for last in (("lgplhope", "gpleven"), ())),
+    ("Apache-2.0 OR MIT", ("dual:Apache-2.0 OR MIT",)),
+    ("Unlicense", ("unlicense",)),
+    ("BSL-1.0", ("boosttitle",)),
     ("Apache-2.0", ("apache2notice",)),
     ("MPL-2.0", ("mpl2line",)),
     *((name, (f"spdx:{name}",)) for name in SPDX),
@@ -109,6 +132,8 @@ STEPS = (
     (r"(?m)^[ \t]*(/\*+|\*+/|\*+|//+|#+|;+|--+|<!--|%+)", ""),
     (r"spdx-license-identifier[ \t]*:", "spdx-license-identifier "),
     (r"\bv\.[ \t\r\n]+", "v."),
+    (r"-or-later\b", " orlater"),
+    (r"([0-9])\+", "\\1 orlater"),
     (r"[.!?;:]+([ \t\r\n]|$)", END + "\\1"),
     (r"\n([ \t\r]*\n)+", END),
     (r"[^a-z0-9.\n" + END + "]+", " "),
@@ -130,10 +155,16 @@ def identifiers(text: Column) -> Column:
     names = F.create_map(*[F.lit(x) for s, i in known.items() for x in (s, i)])
     some = list(known)
 
+    def licences_of(line: Column) -> Column:
+        """A line, or one for each licence of the SPDX expression that it is."""
+        each = F.transform(F.split(F.substring(line, F.lit(len(TAG) + 1), F.length(line)), JOINS), lambda x: F.concat(F.lit(TAG), F.trim(x)))
+        return F.when(line.startswith(TAG), each).otherwise(F.array(line))
+
     def found(sentence: Column) -> Column:
         lines = F.filter(F.transform(F.split(sentence, "\n"), lambda x: F.trim(x)), lambda x: x != "")
         whole = F.array_join(lines, " ")
-        return F.when(whole.isin(some), F.array(whole)).otherwise(F.filter(lines, lambda x: x.isin(some)))
+        pieces = F.flatten(F.transform(lines, licences_of))
+        return F.when(whole.isin(some), F.array(whole)).otherwise(F.filter(pieces, lambda x: x.isin(some)))
 
     hit = F.transform(F.flatten(F.transform(sentences(text), found)), lambda s: F.element_at(names, s))
     hinted = F.lower(text).rlike("|".join(HINTS))

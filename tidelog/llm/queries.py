@@ -201,7 +201,11 @@ numbered AS (SELECT row_number() OVER () AS n, doc_id, {plain} AS plain FROM doc
 cut AS (SELECT n, generate_subscripts(string_split(plain, chr(2)), 1) AS pos, unnest(string_split(plain, chr(2))) AS sentence FROM numbered),
 lined AS (SELECT n, pos, list_filter(list_transform(string_split(sentence, chr(10)), lambda x: trim(x)), lambda x: x <> '') AS lines FROM cut),
 whole AS (SELECT n, pos, 0 AS line, id FROM lined JOIN known ON array_to_string(lines, ' ') = sentence),
-parts AS (SELECT n, pos, generate_subscripts(lines, 1) AS line, unnest(lines) AS one FROM lined),
+pieces AS (
+  SELECT n, pos, flatten(list_transform(lines, lambda x: CASE WHEN starts_with(x, '{licenses.TAG}')
+         THEN list_transform(regexp_split_to_array(substr(x, {len(licenses.TAG) + 1}), '{licenses.JOINS}'), lambda y: '{licenses.TAG}' || trim(y)) ELSE [x] END)) AS lines
+  FROM lined),
+parts AS (SELECT n, pos, generate_subscripts(lines, 1) AS line, unnest(lines) AS one FROM pieces),
 single AS (SELECT n, pos, line, id FROM parts JOIN known ON one = sentence WHERE NOT EXISTS (SELECT 1 FROM whole WHERE whole.n = parts.n AND whole.pos = parts.pos)),
 ids AS (SELECT n, list(id ORDER BY pos, line) AS ids FROM (SELECT * FROM whole UNION ALL SELECT * FROM single) GROUP BY n),
 listed AS (
