@@ -165,14 +165,13 @@ def as_map(row: Column) -> Column:
 
 def row_json(row: Column) -> Column:
     """Row as a JSON object in column order: text as a string, NULL as null, other bytes as {"$binary":"hex"}."""
-    quote = lambda s: F.to_json(F.array(s))
-    bare = lambda s: F.substring(quote(s), F.lit(2), F.length(quote(s)) - 2)
+    read = F.transform(row, lambda c: F.struct(_quoted(c["name"]).alias("name"), c["kind"].alias("kind"), S.text(c).alias("text"), c["value"].alias("value")))
 
     def value(c: Column) -> Column:
         binary = F.concat(F.lit('{"$binary":"'), S.hex_encode(c["value"]), F.lit('"}'))
-        return F.when(c["kind"] == "n", F.lit("null")).when(S.text(c).isNotNull(), bare(S.text(c))).otherwise(binary)
+        return F.when(c["kind"] == "n", F.lit("null")).when(c["text"].isNotNull(), _quoted(c["text"])).otherwise(binary)
 
-    return F.concat(F.lit("{"), F.array_join(F.transform(row, lambda c: F.concat(bare(c["name"]), F.lit(":"), value(c))), ","), F.lit("}"))
+    return F.concat(F.lit("{"), F.array_join(F.transform(read, lambda c: F.concat(c["name"], F.lit(":"), value(c))), ","), F.lit("}"))
 
 
 def row_from_json(json: Column) -> Column:
@@ -189,13 +188,14 @@ def row_from_json(json: Column) -> Column:
         binary = F.when(S.hex_decode(digits).isNotNull(), cell("b", S.hex_decode(digits)))
         return F.when(v.isNull() | F.is_variant_null(v), cell("n", F.lit(None))).when(kind == "STRING", cell("t", F.try_variant_get(v, "$", "string"))).otherwise(binary)
 
-    row = F.transform(entries, value)
-    return F.when(F.forall(row, lambda c: c.isNotNull()), row)
+    # as the one element of an array the row is found once for both uses
+    whole = F.transform(F.array(F.transform(entries, value)), lambda r: F.when(F.forall(r, lambda c: c.isNotNull()), r))
+    return F.get(whole, F.lit(0))
 
 
 def _quoted(text: Column) -> Column:
-    listed = F.to_json(F.array(text))
-    return F.when(text.isNull(), F.lit("null")).otherwise(F.substring(listed, F.lit(2), F.length(listed) - 2))
+    """A text in quotes, null as null. The brackets are outside of the quotes, so that trimming leaves those of the text."""
+    return F.btrim(F.to_json(F.array(text)), F.lit("[]"))
 
 
 def _object(fields: dict[str, Column]) -> Column:

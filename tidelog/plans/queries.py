@@ -259,11 +259,18 @@ def json_roundtrip(spark, sf_dir):
 def event_json(spark, sf_dir):
     """All events as JSON, and what other readers find in it: kind, position, key, transaction, and time of a commit."""
     rows = _events(spark, sf_dir).select("seq", project.event_json().alias("json"))
-    at = lambda *paths: F.coalesce(*[F.get_json_object("json", f"$.event_type.{p}") for p in paths])
-    kind = F.when(F.get_json_object("json", "$.event_type") == "StreamStop", "StreamStop").otherwise(F.get(F.json_object_keys(F.get_json_object("json", "$.event_type")), F.lit(0)))
-    key = at("Insert.data.o_orderkey", "Update.new_data.o_orderkey", "Delete.old_data.o_orderkey")
-    xid = at(*[f"{k}.transaction_id" for k in ("Begin", "StreamStart", "StreamCommit", "StreamAbort", "BeginPrepare", "Prepare", "CommitPrepared", "RollbackPrepared")])
-    return rows.select("seq", kind.alias("kind"), F.get_json_object("json", "$.lsn").cast("long").alias("lsn"), key.cast("long").alias("o_orderkey"), xid.cast("long").alias("xid"), at("Begin.commit_timestamp", "Commit.commit_timestamp").alias("committed"))
+    row = "struct<o_orderkey:string>"
+    body = f"struct<data:{row},old_data:{row},new_data:{row},transaction_id:string,commit_timestamp:string>"
+    rows = rows.select("seq", "json", F.from_json("json", f"lsn string, event_type map<string,{body}>").alias("read"))
+    # a kind without fields, or with a list, is no such map
+    other = F.when(F.get_json_object("json", "$.event_type") == "StreamStop", "StreamStop").otherwise(F.get(F.json_object_keys(F.get_json_object("json", "$.event_type")), F.lit(0)))
+    kind = F.coalesce(F.get(F.map_keys("read.event_type"), F.lit(0)), other)
+    rows = rows.select("seq", kind.alias("kind"), F.col("read.lsn").alias("lsn"), F.get(F.map_values("read.event_type"), F.lit(0)).alias("body"))
+    among = lambda *kinds: F.col("kind").isin(*kinds)
+    key = F.when(among("Insert"), F.col("body.data.o_orderkey")).when(among("Update"), F.col("body.new_data.o_orderkey")).when(among("Delete"), F.col("body.old_data.o_orderkey"))
+    xid = F.when(among("Begin", "StreamStart", "StreamCommit", "StreamAbort", "BeginPrepare", "Prepare", "CommitPrepared", "RollbackPrepared"), F.col("body.transaction_id"))
+    committed = F.when(among("Begin", "Commit"), F.col("body.commit_timestamp"))
+    return rows.select("seq", "kind", F.col("lsn").cast("long"), key.cast("long").alias("o_orderkey"), xid.cast("long").alias("xid"), committed.alias("committed"))
 
 
 def metrics_rates(spark, sf_dir):
