@@ -40,40 +40,46 @@ FIELDS = {
 }
 
 
-def _message(t: Column | int, place: Column | int, tag: str, **fields: Column) -> Column:
-    given = {"tag": F.lit(tag)} | fields
-    cells = [(given.get(n, F.lit(None))).cast(kind).alias(n) for n, kind in FIELDS.items()]
-    as_int = lambda x: (F.lit(x) if isinstance(x, int) else x).cast("int")
-    return F.struct(as_int(t).alias("t"), as_int(place).alias("place"), *cells)
+def cells(given: dict[str, Column]) -> list[Column]:
+    """All message fields as columns, those that are not given as null.."""
+    return [F.lit(given.get(n)).cast(kind).alias(n) for n, kind in FIELDS.items()]
+
+
+#: Rows of a source table from which one task makes its part of a log.
+ROWS = 25_000
+
+
+def spread(table: DataFrame, key: str) -> DataFrame:
+    """The table dealt out by ranges of its key, so that a log's tasks are by its rows and not by the row groups of a file."""
+    return table.repartitionByRange(-(-table.count() // ROWS) or 1, key)
 
 
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The log's messages with slot, seq, wal_start, wal_end, server_time and stream_xid."""
-    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    orders = spread(spark.read.parquet(f"{sf_dir}/orders.parquet"), "o_orderkey")
     number = F.col("o_orderkey").cast("long")
     b = F.expr("o_orderkey div 100")
     orders = orders.select("*", b.alias("b"), (number % 4).alias("m"), (number % 100).alias("k")).withColumn("way", F.col("b") % 7)
-    streamed, wide = F.col("way").isin(5, 6), F.col("b") >= WIDE_FROM
-    cells = lambda *first: F.when(wide, F.array(*first, _value(F.col("o_orderpriority")))).otherwise(F.array(*first))
-    key, moved = _value(number), _value(number + MOVED)
-    cust, status, price = _value(F.col("o_custkey")), _value(F.col("o_orderstatus")), _value(F.col("o_totalprice"))
-    keys_only = F.when(wide, F.array(key, *[_none("n")] * 4)).otherwise(F.array(key, *[_none("n")] * 3))
+    # what happens to an order: 0 it is inserted, 1 updated, 2 moved, 3 deleted
+    m = F.col("m")
+    happens = F.array(F.lit(0), F.when(m == 2, 1), F.when((m == 1) & (F.col("way") == 3), 2), F.when(m == 3, 3))
+    rows = orders.select("*", F.explode(F.array_compact(happens)).alias("c"))
+    c, streamed, wide = F.col("c"), F.col("way").isin(5, 6), F.col("b") >= WIDE_FROM
+    t = F.when(c == 0, 0).when(c == 3, 2).otherwise(1)
     place = F.when(streamed & (F.col("k") >= 50), F.col("k") + 30).otherwise(F.col("k") + 1)
-
-    def change(t: int, tag: str, **fields: Column) -> Column:
-        xid = F.when(streamed, 1000 + 3 * F.col("b") + t)
-        return _message(t, place, tag, oid=F.lit(OID), stream_xid=xid, msg_xid=xid, **fields)
-
-    changes = F.array_compact(
-        F.array(
-            change(0, "I", new=cells(key, cust, status, price)),
-            F.when(F.col("m") == 2, change(1, "U", new=cells(key, _none("u"), _value(F.lit("U")), price))),
-            F.when((F.col("m") == 1) & (F.col("way") == 3), change(1, "U", key_type=F.lit("K"), old=keys_only, new=cells(moved, cust, status, price))),
-            F.when(F.col("m") == 3, change(2, "D", key_type=F.lit("K"), old=keys_only)),
-        )
-    )
-    rows = orders.select("b", F.explode(changes).alias("x"))
-    log = rows.select("b", "x.*").unionByName(_controls(orders.select("b", "way").distinct()))
+    xid = F.when(streamed, 1000 + 3 * F.col("b") + t)
+    key = _value(number + F.when(c == 2, MOVED).otherwise(0))
+    cust = F.when(c == 1, _none("u")).otherwise(_value(F.col("o_custkey")))
+    status = _value(F.when(c == 1, "U").otherwise(F.col("o_orderstatus")))
+    first = [key, cust, status, _value(F.col("o_totalprice"))]
+    new = F.when(wide, F.array(*first, _value(F.col("o_orderpriority")))).otherwise(F.array(*first))
+    old = F.when(wide, F.array(_value(number), *[_none("n")] * 4)).otherwise(F.array(_value(number), *[_none("n")] * 3))
+    keyed = c.isin(2, 3)
+    given = {
+        "tag": F.when(c == 0, "I").when(c == 3, "D").otherwise("U"), "oid": OID, "stream_xid": xid, "msg_xid": xid,
+        "key_type": F.when(keyed, "K"), "old": F.when(keyed, old), "new": F.when(c != 3, new),
+    }
+    log = rows.select("b", t.alias("t"), place.cast("int").alias("place"), *cells(given)).unionByName(_controls(orders.select("b", "way").distinct()))
     seq = _seq(F.col("b"), F.col("t"), F.col("place"))
     time = _time(F.col("b"), F.col("t"))
     return log.select(F.lit(SLOT).alias("slot"), seq.alias("seq"), _lsn(seq).alias("wal_start"), _lsn(seq + 1).alias("wal_end"), time.alias("server_time"), *FIELDS)

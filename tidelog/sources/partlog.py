@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tidelog.operators.carry import BUCKET
 from tidelog.operators.encode import encode
-from tidelog.sources.changelog import FIELDS, _message, _value
+from tidelog.sources.changelog import FIELDS, _value, cells, spread
 
 SLOT, PARTS, LOOSE, BINS, VERSION = "parts_slot", 20_001, 20_002, 20_003, 4
 COLUMNS = (("p_partkey", 20), ("p_name", 25), ("p_brand", 25), ("p_size", 23), ("p_retailprice", 701))
@@ -34,30 +34,27 @@ def _binary(c: Column) -> Column:
 
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The log's messages with slot, seq, wal_start, wal_end, server_time and stream_xid."""
-    part = spark.read.parquet(f"{sf_dir}/part.parquet").where("p_partkey is not null")
+    part = spread(spark.read.parquet(f"{sf_dir}/part.parquet").where("p_partkey is not null"), "p_partkey")
     b, k = F.expr(f"p_partkey div {BATCH}"), F.col("p_partkey") % BATCH
     part = part.select("*", b.alias("b"), k.alias("k")).withColumns({"way": F.col("b") % 6, "xid": FIRST_XID + F.col("b") % XIDS})
     streamed = F.col("way").isin(1, 2, 3, 5)
     row = lambda size: F.array(*[_value(size if c == "p_size" else F.col(c)) for c, _ in COLUMNS])
-    part = part.withColumns({"old": row(F.col("p_size")), "new": row(F.col("p_size") + 1)})
-    sub = F.when((F.col("way") == 1) & (k % 5 == 4), F.col("xid") + PART_XID).otherwise(F.col("xid"))
-
-    def change(place: Column, tag: str, oid: int, **fields: Column) -> Column:
-        return _message(0, place, tag, oid=F.lit(oid), stream_xid=F.when(streamed, F.col("xid")), msg_xid=F.when(streamed, sub), **fields)
-
-    loose = lambda n: F.when(k % 10 == 0, change(F.lit(400 + n) + 2 * k, "I", LOOSE, new=F.array(_value(F.col("p_brand")))))
+    # what is sent of a part: 0 its insert, 1 update and 2 delete, 3 and 4 a loose row twice, 5 a binary one
+    loose = k % 10 == 0
+    sent = F.array(F.lit(0), F.when(k % 3 == 1, 1), F.when(k % 3 == 2, 2), F.when(loose, 3), F.when(loose, 4), F.when(k % 7 == 0, 5))
+    rows = part.select("*", F.explode(F.array_compact(sent)).alias("c"))
+    c, of_parts = F.col("c"), F.col("c") < 3
+    xid = F.when(streamed, F.col("xid"))
+    sub = F.when(streamed, F.when((F.col("way") == 1) & (k % 5 == 4), F.col("xid") + PART_XID).otherwise(F.col("xid")))
     body = F.array(_binary(F.unhex(F.lpad(F.hex("p_partkey"), 8, "0"))), _binary(F.encode("p_name", "UTF-8")))
-    sent = F.array_compact(
-        F.array(
-            change(100 + k, "I", PARTS, new=F.col("old")),
-            F.when(k % 3 == 1, change(200 + k, "U", PARTS, key_type=F.lit("O"), old=F.col("old"), new=F.col("new"))),
-            F.when(k % 3 == 2, change(300 + k, "D", PARTS, key_type=F.lit("O"), old=F.col("old"))),
-            loose(0),
-            loose(1),
-            F.when(k % 7 == 0, change(600 + k, "I", BINS, new=body)),
-        )
-    )
-    log = part.select("b", F.explode(sent).alias("x")).select("b", "x.*").unionByName(_controls(part.select("b", "way").distinct()))
+    new = F.when(of_parts & (c != 2), row(F.col("p_size") + F.when(c == 1, 1).otherwise(0))).when(c.isin(3, 4), F.array(_value(F.col("p_brand")))).when(c == 5, body)
+    changed = c.isin(1, 2)
+    given = {
+        "tag": F.when(c == 1, "U").when(c == 2, "D").otherwise("I"), "oid": F.when(of_parts, PARTS).when(c == 5, BINS).otherwise(LOOSE),
+        "stream_xid": xid, "msg_xid": sub, "key_type": F.when(changed, "O"), "old": F.when(changed, row(F.col("p_size"))), "new": new,
+    }
+    place = F.when(of_parts, 100 * (c + 1) + k).when(c == 5, 600 + k).otherwise(397 + c + 2 * k)
+    log = rows.select("b", F.lit(0).alias("t"), place.cast("int").alias("place"), *cells(given)).unionByName(_controls(part.select("b", "way").distinct()))
     seq = F.col("b") * BUCKET + F.col("place")
     return log.select(F.lit(SLOT).alias("slot"), seq.cast("long").alias("seq"), (64 * seq).cast("long").alias("wal_start"), (64 * seq + 64).cast("long").alias("wal_end"), F.lit(0).cast("long").alias("server_time"), *FIELDS)
 
