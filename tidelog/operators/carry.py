@@ -15,6 +15,16 @@ def with_bucket(log: DataFrame, size: int = BUCKET) -> DataFrame:
     return log.withColumns({"slot": F.coalesce("slot", F.lit("")), "_bucket": F.floor(F.col("seq") / size)})
 
 
+#: Rows of a log that one task takes in order.
+ROWS = 200_000
+
+
+def dealt(log: DataFrame) -> DataFrame:
+    """The log by bucket, in as many partitions as its rows need, so that what a task sorts does not grow with the log."""
+    least = int(log.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return log.repartition(max(-(-log.count() // ROWS), least), "slot", "_bucket")
+
+
 def carry_forward(log: DataFrame, values: dict[str, Column], key: str | None = None, before: bool = False) -> DataFrame:
     """Adds a column for each name: its value of the last row at or before this one (or before it) where it is not null.
 

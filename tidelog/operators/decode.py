@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from tidelog.errors import LogError
 from tidelog.functions.lsn import bits
-from tidelog.operators.carry import carry_forward, with_bucket
+from tidelog.operators.carry import carry_forward, dealt, with_bucket
 from tidelog.sources import wire
 
 VALUE = "array<struct<kind:string,value:binary>>"
@@ -62,7 +62,7 @@ def stream_context(bronze: DataFrame) -> DataFrame:
 
     This is the way for any number of blocks: rows are dealt out by bucket and sorted.
     """
-    log = with_bucket(bronze)
+    log = dealt(with_bucket(bronze))
     tag, xid = F.substring("data", 1, 1), F.conv(F.hex(F.substring("data", 2, 4)), 16, 10).cast("long")
     at = F.when(tag == F.lit(b"S"), xid).when(tag == F.lit(b"E"), F.lit(NONE).cast("long"))
     log = carry_forward(log, {"_block": at})

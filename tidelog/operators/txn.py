@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidelog.functions import lsn as L
-from tidelog.operators.carry import broadcast_if_few, carry_forward, with_bucket
+from tidelog.operators.carry import broadcast_if_few, carry_forward, dealt, with_bucket
 
 DATA = ("I", "U", "D", "T", "M", "R", "Y", "O")
 NONE = -1
@@ -42,7 +42,7 @@ def carried(log: DataFrame) -> DataFrame:
     """assign() for any number of transactions: rows are dealt out by bucket, and what a bucket inherits is joined to it."""
     tag, xid = F.col("tag"), F.col("xid")
     marks = {"_open": F.when(tag.isin(*BEGINS), xid).when(tag.isin(*CLOSES), NONE), "_block": F.when(tag == "S", xid)}
-    log = carry_forward(log, marks, before=True)
+    log = carry_forward(dealt(log), marks, before=True)
     own = F.when(tag.isin(*OWN), xid).when(tag == "E", F.col("_block"))
     log = log.withColumn("txn_id", F.coalesce(own, F.col("stream_xid"), F.nullif("_open", F.lit(NONE)))).drop("_open", "_block")
     begins = tag.isin(*BEGINS) | ((tag == "S") & F.col("first_segment"))
