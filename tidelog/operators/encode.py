@@ -1,7 +1,8 @@
 """Messages to bronze: the inverse of decode, so that every decoder result can be checked.
 
-As in decode, row changes are written column-wise over the Arrow buffers of a batch; other messages, and changes that are
-not well-formed, go through the scalar writer, which raises where a message can't be written.
+Row changes are written by expressions and never leave the JVM; other messages, and changes that are not well-formed, go
+through the scalar writer, which raises where a message can't be written. encode_batch writes any messages of an Arrow
+batch, changes column-wise over its buffers.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,8 +21,6 @@ from tidelog.operators.decode import NESTED, POSITIONS, SCALARS
 from tidelog.sources import wire
 
 CHANGES = ("I", "U", "D")
-#: Fields of a change.
-CHANGE_FIELDS = ("stream_xid", "tag", "msg_xid", "oid", "key_type", "old", "new")
 
 
 def encode(messages: DataFrame, version: int = 1) -> DataFrame:
@@ -35,19 +34,38 @@ def encode(messages: DataFrame, version: int = 1) -> DataFrame:
     others = [c for c in messages.columns if c not in wanted and c != "error"]
     rows = messages.select(*others, *parts)
     schema = T.StructType([*[f for f in rows.schema if f.name in others], T.StructField("data", T.BinaryType())])
-
-    def packed(some: DataFrame) -> DataFrame:
-        fields = [c for c in some.columns if c in wanted]
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in others), encode_batch(batch.select(fields), version)], [*others, "data"])
-
-        return some.mapInArrow(run, schema)
-
-    # what a row costs on its way to Python is by its columns, and changes have few of a message's
-    change = F.coalesce(F.col("tag").isin(*CHANGES), F.lit(False))
-    return packed(rows.where(change).select(*others, *CHANGE_FIELDS)).unionByName(packed(rows.where(~change)))
+    fields = list(wanted)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in others), encode_batch(batch.select(fields), version)], [*others, "data"])
+
+    plain = F.coalesce(_is_plain(version), F.lit(False))
+    return rows.where(plain).select(*others, _change(version).alias("data")).unionByName(rows.where(~plain).mapInArrow(run, schema))
+
+
+def _is_plain(version: int) -> Column:
+    """_plain() as an expression; null counts as no."""
+    fits = lambda c: F.col(c).between(0, (1 << 32) - 1)
+    among = lambda v, *kinds: v["kind"].isin(*kinds)
+    bad = lambda v: ~F.coalesce(among(v, "n", "u") | (among(v, "t", "b") & v["value"].isNotNull()), F.lit(False))
+    good = lambda c: F.col(c).isNull() | ((F.size(c) < 1 << 16) & ~F.exists(c, bad))
+    keyed = (F.col("tag") == "I") | F.col("key_type").isNull() | F.col("key_type").isin("K", "O")
+    there = F.when(F.col("tag") == "D", F.col("old").isNotNull()).otherwise(F.col("new").isNotNull())
+    led = F.col("stream_xid").isNull() | fits("msg_xid") if version >= 2 else F.lit(True)
+    return F.col("tag").isin(*CHANGES) & there & keyed & fits("oid") & led & good("old") & good("new")
+
+
+def _change(version: int) -> Column:
+    """The bytes of a plain change, put together as hex digits."""
+    number = lambda c, digits: F.lpad(F.hex(c), digits, "0")
+    cell = lambda v: F.when(v["kind"].isin("t", "b"), F.concat(F.hex(v["kind"]), number(F.length(v["value"]), 8), F.hex(v["value"]))).otherwise(F.hex(v["kind"]))
+    row = lambda c: F.concat(number(F.size(c), 4), F.array_join(F.transform(c, cell), ""))
+    when = lambda there, c: F.when(there, c).otherwise("")
+    lead = when(F.col("stream_xid").isNotNull(), number(F.col("msg_xid"), 8)) if version >= 2 else F.lit("")
+    old = when((F.col("tag") != "I") & F.col("old").isNotNull(), F.concat(F.hex(F.coalesce("key_type", F.lit("K"))), row("old")))
+    new = when(F.col("tag") != "D", F.concat(F.lit("4E"), row("new")))
+    return F.unhex(F.concat(F.hex("tag"), lead, number(F.col("oid"), 8), old, new))
 
 
 def encode_batch(batch: pa.RecordBatch, version: int) -> pa.Array:

@@ -22,7 +22,7 @@ TRANSACTIONS = ("insert", "update", "delete")
 
 
 def _value(c: Column) -> Column:
-    return F.struct(F.when(c.isNull(), "n").otherwise("t").alias("kind"), F.encode(c.cast("string"), "UTF-8").alias("value"))
+    return F.struct(F.when(c.isNull(), "n").otherwise("t").alias("kind"), c.cast("string").cast("binary").alias("value"))
 
 
 def _none(kind: str) -> Column:
@@ -51,35 +51,46 @@ ROWS = 25_000
 
 def spread(table: DataFrame, key: str) -> DataFrame:
     """The table dealt out by ranges of its key, so that a log's tasks are by its rows and not by the row groups of a file."""
-    return table.repartitionByRange(-(-table.count() // ROWS) or 1, key)
+    return table.repartitionByRange(tasks(table), key)
+
+
+def tasks(table: DataFrame) -> int:
+    return -(-table.count() // ROWS) or 1
 
 
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The log's messages with slot, seq, wal_start, wal_end, server_time and stream_xid."""
-    orders = spread(spark.read.parquet(f"{sf_dir}/orders.parquet"), "o_orderkey")
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    n = tasks(orders)
+    orders = orders.repartitionByRange(n, "o_orderkey")
     number = F.col("o_orderkey").cast("long")
     b = F.expr("o_orderkey div 100")
     orders = orders.select("*", b.alias("b"), (number % 4).alias("m"), (number % 100).alias("k")).withColumn("way", F.col("b") % 7)
+    # so many tasks again, as a few bytes a batch would all be put into one
+    batches = orders.select("b", "way").distinct().repartition(n, "b")
     # what happens to an order: 0 it is inserted, 1 updated, 2 moved, 3 deleted
-    m = F.col("m")
-    happens = F.array(F.lit(0), F.when(m == 2, 1), F.when((m == 1) & (F.col("way") == 3), 2), F.when(m == 3, 3))
-    rows = orders.select("*", F.explode(F.array_compact(happens)).alias("c"))
-    c, streamed, wide = F.col("c"), F.col("way").isin(5, 6), F.col("b") >= WIDE_FROM
+    m, wide = F.col("m"), F.col("b") >= WIDE_FROM
+    key, moved, none = _value(number), _value(number + MOVED), _none("n")
+    rest = lambda cust, status: [cust, _value(status), _value(F.col("o_totalprice"))]
+    as_is, changed = rest(_value(F.col("o_custkey")), F.col("o_orderstatus")), rest(_none("u"), F.lit("U"))
+    row = lambda *cells: F.when(wide, F.array(*cells, _value(F.col("o_orderpriority")))).otherwise(F.array(*cells))
+    old = F.when(wide, F.array(key, *[none] * 4)).otherwise(F.array(key, *[none] * 3))
+    no = F.lit(None).cast(FIELDS["new"])
+    happens = lambda c, old, new: F.struct(F.lit(c).alias("c"), old.alias("old"), new.alias("new"))
+    steps = [happens(0, no, row(key, *as_is)), F.when(m == 2, happens(1, no, row(key, *changed)))]
+    steps += [F.when((m == 1) & (F.col("way") == 3), happens(2, old, row(moved, *as_is))), F.when(m == 3, happens(3, old, no))]
+    # rows are put together inside of the explode, as whatever reads a column behind it would put them together again
+    rows = orders.select("b", "k", "way", F.explode(F.array(*steps)).alias("x")).where("x is not null").select("b", "k", "way", "x.*")
+    c, streamed = F.col("c"), F.col("way").isin(5, 6)
     t = F.when(c == 0, 0).when(c == 3, 2).otherwise(1)
     place = F.when(streamed & (F.col("k") >= 50), F.col("k") + 30).otherwise(F.col("k") + 1)
     xid = F.when(streamed, 1000 + 3 * F.col("b") + t)
-    key = _value(number + F.when(c == 2, MOVED).otherwise(0))
-    cust = F.when(c == 1, _none("u")).otherwise(_value(F.col("o_custkey")))
-    status = _value(F.when(c == 1, "U").otherwise(F.col("o_orderstatus")))
-    first = [key, cust, status, _value(F.col("o_totalprice"))]
-    new = F.when(wide, F.array(*first, _value(F.col("o_orderpriority")))).otherwise(F.array(*first))
-    old = F.when(wide, F.array(_value(number), *[_none("n")] * 4)).otherwise(F.array(_value(number), *[_none("n")] * 3))
     keyed = c.isin(2, 3)
     given = {
         "tag": F.when(c == 0, "I").when(c == 3, "D").otherwise("U"), "oid": OID, "stream_xid": xid, "msg_xid": xid,
-        "key_type": F.when(keyed, "K"), "old": F.when(keyed, old), "new": F.when(c != 3, new),
+        "key_type": F.when(keyed, "K"), "old": F.col("old"), "new": F.col("new"),
     }
-    log = rows.select("b", t.alias("t"), place.cast("int").alias("place"), *cells(given)).unionByName(_controls(orders.select("b", "way").distinct()))
+    log = rows.select("b", t.alias("t"), place.cast("int").alias("place"), *cells(given)).unionByName(_controls(batches))
     seq = _seq(F.col("b"), F.col("t"), F.col("place"))
     time = _time(F.col("b"), F.col("t"))
     return log.select(F.lit(SLOT).alias("slot"), seq.alias("seq"), _lsn(seq).alias("wal_start"), _lsn(seq + 1).alias("wal_end"), time.alias("server_time"), *FIELDS)
