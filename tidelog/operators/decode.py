@@ -11,6 +11,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -45,8 +46,9 @@ for _k, _c in enumerate(b"ntbu"):
     _KIND[_c] = _k
 
 
-#: Stream block marks (starts and stops) up to which they are sent to every worker; beyond that they are carried by a window.
-FEW_MARKS = 500_000
+#: Stream block marks (starts and stops) up to which they are sent to every worker, as arrays of 16 bytes a mark; beyond
+#: that they are carried by a window.
+FEW_MARKS = 5_000_000
 OUTSIDE = -1
 
 
@@ -74,14 +76,17 @@ def _outside(tag: Column) -> Column:
     return tag.isin([F.lit(b"E"), F.lit(b"c"), F.lit(b"A"), F.lit(b"p")])
 
 
+def by_slot(marks: pa.Table) -> Iterator[tuple[str, pa.Table]]:
+    """The marks of each slot by seq."""
+    for slot in pc.unique(marks.column("slot")).to_pylist():
+        yield slot, marks.filter(pc.equal(marks.column("slot"), slot)).sort_by("seq")
+
+
 class _Blocks:
     """Stream block marks of each slot in order; tells by binary search in which block a row stands."""
 
-    def __init__(self, marks: list):
-        by_slot: dict[str, list] = {}
-        for slot, seq, xid in marks:
-            by_slot.setdefault(slot, []).append((seq, xid))
-        self.of = {slot: tuple(np.array(sorted(m), np.int64).T) for slot, m in by_slot.items()}
+    def __init__(self, marks: pa.Table):
+        self.of = {slot: (rows.column("seq").to_numpy(), rows.column("xid").to_numpy()) for slot, rows in by_slot(marks)}
 
     def xids(self, slots: pa.Array, seqs: pa.Array, tags: np.ndarray) -> np.ndarray:
         """The block's transaction for each row, -1 outside one."""
@@ -107,12 +112,12 @@ def decode(bronze: DataFrame, version: int = 1) -> DataFrame:
     stream blocks (version 1) or the log has few of them; then rows stay where they are read.
     """
     rows = with_bucket(bronze.where("data is not null and length(data) > 0"))
-    marks = _marks(rows).limit(FEW_MARKS + 1).collect() if version > 1 else []
+    marks = _marks(rows) if version > 1 else None
     found = None
-    if len(marks) > FEW_MARKS:
+    if marks is not None and marks.count() > FEW_MARKS:
         rows = stream_context(rows)
     else:
-        found = rows.sparkSession.sparkContext.broadcast(_Blocks(marks))
+        found = rows.sparkSession.sparkContext.broadcast(_Blocks(marks.toArrow() if marks is not None else pa.table({"slot": pa.array([], pa.string())})))
         rows = rows.withColumn("stream_xid", F.lit(None).cast("long"))
     rows = rows.select("slot", "seq", "wal_start", "wal_end", "server_time", "_bucket", "stream_xid", "data")
     schema = "slot string, seq long, wal_start long, wal_end long, server_time long, _bucket long, stream_xid long, tag string, " + ", ".join(

@@ -7,11 +7,13 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidelog.functions import lsn as L
 from tidelog.operators.carry import broadcast_if_few, carry_forward, dealt, with_bucket
+from tidelog.operators.decode import by_slot
 
 DATA = ("I", "U", "D", "T", "M", "R", "Y", "O")
 NONE = -1
@@ -19,8 +21,9 @@ NONE = -1
 KEY = ["slot", "txn_id", "txn_seq"]
 
 
-#: Rows that begin, bound or end transactions up to which they are sent to every worker; beyond that a window carries them.
-FEW_MARKS = 500_000
+#: Rows that begin, bound or end transactions up to which they are sent to every worker, as arrays of about 40 bytes a
+#: mark; beyond that a window carries them. The same for transactions that are joined to rows.
+FEW_MARKS, FEW_TXNS = 5_000_000, 2_000_000
 BEGINS, CLOSES, OWN = ("B", "b"), ("C", "P"), ("B", "b", "S", "c", "A", "P", "K", "r", "p")
 
 
@@ -34,8 +37,8 @@ def assign(log: DataFrame) -> DataFrame:
     """
     log = log if "_bucket" in log.columns else with_bucket(log)
     marks = log.where(F.col("tag").isin(*BEGINS, *CLOSES, "S") & (F.col("xid").isNotNull() | F.col("tag").isin(*CLOSES)))
-    marks = marks.select("slot", "seq", "tag", "xid", "first_segment").limit(FEW_MARKS + 1).collect()
-    return carried(log) if len(marks) > FEW_MARKS else looked_up(log, marks)
+    marks = marks.select("slot", "seq", "tag", "xid", "first_segment")
+    return carried(log) if marks.count() > FEW_MARKS else looked_up(log, marks.toArrow())
 
 
 def carried(log: DataFrame) -> DataFrame:
@@ -50,7 +53,7 @@ def carried(log: DataFrame) -> DataFrame:
     return log.withColumn("txn_seq", F.when(F.col("txn_id").isNotNull(), F.coalesce("txn_seq", F.lit(NONE).cast("long"))))
 
 
-def looked_up(log: DataFrame, marks: list) -> DataFrame:
+def looked_up(log: DataFrame, marks: pa.Table) -> DataFrame:
     """assign() where the rows that bound transactions are few: every row finds its own by binary search among them."""
     shared = log.sparkSession.sparkContext.broadcast(_Marks(marks))
 
@@ -65,11 +68,8 @@ def looked_up(log: DataFrame, marks: list) -> DataFrame:
 class _Marks:
     """Begins, ends and stream starts of each slot, in order."""
 
-    def __init__(self, marks: list):
-        by_slot: dict[str, list] = {}
-        for slot, *mark in marks:
-            by_slot.setdefault(slot, []).append(mark)
-        self.of = {slot: _Slot(sorted(rows, key=lambda r: r[0])) for slot, rows in by_slot.items()}
+    def __init__(self, marks: pa.Table):
+        self.of = {slot: _Slot(rows) for slot, rows in by_slot(marks)}
 
     def find(self, slot: pa.Array, seq: pa.Array, tag: pa.Array, xid: pa.Array, stream_xid: pa.Array) -> pa.Array:
         known = lambda a: a.fill_null(-1).to_numpy(zero_copy_only=False)
@@ -92,12 +92,15 @@ class _Marks:
 
 
 class _Slot:
-    def __init__(self, rows: list):
-        picked = lambda tags: [r for r in rows if r[1] in tags]
-        pairs = lambda some: np.array(some, np.int64).reshape(-1, 2).T
-        self.turns = pairs([(seq, xid if tag in BEGINS else NONE) for seq, tag, xid, _ in picked(BEGINS + CLOSES)])
-        self.blocks = pairs([(seq, xid) for seq, _, xid, _ in picked("S")])
-        seqs, xids = pairs([(seq, xid) for seq, tag, xid, first in rows if tag in BEGINS or (tag == "S" and first)])
+    def __init__(self, rows: pa.Table):
+        at, xid = rows.column("seq").to_numpy(), pc.fill_null(rows.column("xid"), NONE).to_numpy()
+        true = lambda mask: pc.fill_null(mask, False).to_numpy()
+        among = lambda some: true(pc.is_in(rows.column("tag"), pa.array(some, pa.string())))
+        opens, turns, blocks = among(BEGINS), among(BEGINS + CLOSES), among(("S",))
+        self.turns = np.stack([at[turns], np.where(opens, xid, NONE)[turns]])
+        self.blocks = np.stack([at[blocks], xid[blocks]])
+        begins = opens | (blocks & true(rows.column("first_segment")))
+        seqs, xids = at[begins], xid[begins]
         # begins by (xid, place among all begins), as one number
         self.seqs, self.xids, self.wide = seqs, np.unique(xids), len(seqs) + 1
         self.codes = np.searchsorted(self.xids, xids) * self.wide + np.arange(1, self.wide)
@@ -148,8 +151,8 @@ def committed(assigned: DataFrame, decided: DataFrame | None = None) -> DataFram
     decided = outcomes(assigned) if decided is None else decided
     done = decided.where("status = 'committed'").select(*KEY, "commit_seq", F.col("commit_lsn").alias("_c"), F.col("end_lsn").alias("txn_end_lsn"), "commit_ts")
     data = assigned.where(F.col("tag").isin(*DATA)).drop("commit_lsn")
-    rows = data.join(broadcast_if_few(done.withColumnRenamed("_c", "commit_lsn"), F.lit(1), FEW_MARKS), KEY)
-    return rows.join(broadcast_if_few(aborted_parts(assigned), F.lit(1), FEW_MARKS), [*KEY, "msg_xid"], "left_anti")
+    rows = data.join(broadcast_if_few(done.withColumnRenamed("_c", "commit_lsn"), F.lit(1), FEW_TXNS), KEY)
+    return rows.join(broadcast_if_few(aborted_parts(assigned), F.lit(1), FEW_TXNS), [*KEY, "msg_xid"], "left_anti")
 
 
 def discarded(assigned: DataFrame) -> DataFrame:
@@ -191,7 +194,7 @@ def origins(assigned: DataFrame) -> DataFrame:
 
 def with_origin(rows: DataFrame, assigned: DataFrame) -> DataFrame:
     """Adds txn_origin to rows that have KEY: null for changes made on the server itself."""
-    return rows.join(broadcast_if_few(origins(assigned), F.lit(1), FEW_MARKS), KEY, "left")
+    return rows.join(broadcast_if_few(origins(assigned), F.lit(1), FEW_TXNS), KEY, "left")
 
 
 def of_origin(rows: DataFrame, assigned: DataFrame, origin: str = "none") -> DataFrame:
