@@ -28,6 +28,14 @@ def _version() -> Column:
     return F.struct("namespace", "name", "replident", "columns")
 
 
+def _described() -> Column:
+    """A version with what every change of it is told: worked out once a version, as lambdas over its columns are dear."""
+    names = lambda c: F.transform(c, lambda x: x["name"])
+    identity = F.coalesce(replica_identity(F.col("replident")), F.lit("default"))
+    keys = names(F.filter("columns", lambda c: c["is_key"]))
+    return F.struct("namespace", "name", "columns", identity.alias("identity"), names(F.col("columns")).alias("names"), keys.alias("keys"))
+
+
 def relations(messages: DataFrame) -> DataFrame:
     """Versions of each relation: slot, oid, namespace, name, replident, columns, valid_from_seq, valid_to_seq (null: still valid).
 
@@ -80,14 +88,14 @@ def resolve(messages: DataFrame, rows: DataFrame | None = None, versions: DataFr
     their time of validity; else rows carry the seq of theirs forward and are joined by it. versions, if given, are relations(messages).
     """
     rows = messages if rows is None else rows
-    valid = (relations(messages) if versions is None else versions).select("slot", "oid", "valid_from_seq", "valid_to_seq", _version().alias("relation"))
+    valid = (relations(messages) if versions is None else versions).select("slot", "oid", "valid_from_seq", "valid_to_seq", _described().alias("relation"))
     weight = valid.agg(F.sum(F.size("relation.columns") + 1)).first()[0] or 0
     if weight <= FEW_COLUMNS:
         names = {"slot": "_slot", "oid": "_oid"}
         same = (F.col("slot") == F.col("_slot")) & (F.col("oid") == F.col("_oid"))
         here = (F.col("seq") >= F.col("valid_from_seq")) & (F.col("valid_to_seq").isNull() | (F.col("seq") < F.col("valid_to_seq")))
         return rows.join(F.broadcast(valid.withColumnsRenamed(names)), same & here, "left").drop("_slot", "_oid", "valid_from_seq", "valid_to_seq")
-    sent = messages.where("tag = 'R' and error is null").select("slot", F.col("seq").alias("_version"), _version().alias("relation"))
+    sent = messages.where("tag = 'R' and error is null").select("slot", F.col("seq").alias("_version"), _described().alias("relation"))
     return versioned(rows).join(sent, ["slot", "_version"], "left").drop("_version")
 
 
@@ -107,7 +115,6 @@ def events(messages: DataFrame, assigned: DataFrame | None = None) -> DataFrame:
     out = out.where(F.col("relation").isNotNull() | ~F.col("tag").isin(*CHANGES))
     rel, change = F.col("relation"), F.col("tag").isin(*CHANGES)
     named = lambda c: F.when(change, c)
-    names = lambda c: F.transform(c, lambda x: x["name"])
     key = F.col("key_type")
     return out.select(
         "slot",
@@ -132,11 +139,11 @@ def events(messages: DataFrame, assigned: DataFrame | None = None) -> DataFrame:
         F.col("oid").alias("relation_oid"),
         F.when(change | (F.col("tag") == "R"), rel["namespace"]).otherwise(F.when(F.col("tag") == "Y", F.col("namespace"))).alias("schema"),
         F.when(change | (F.col("tag") == "R"), rel["name"]).otherwise(F.when(F.col("tag") == "Y", F.col("name"))).alias("table"),
-        F.when(change | (F.col("tag") == "R"), F.coalesce(replica_identity(rel["replident"]), F.lit("default"))).alias("replica_identity"),
+        F.when(change | (F.col("tag") == "R"), rel["identity"]).alias("replica_identity"),
         key.alias("key_type"),
-        F.when(F.col("tag").isin("U", "D"), key_columns(key, rel["columns"])).alias("key_columns"),
-        named(names(F.filter(rel["columns"], lambda c: c["is_key"]))).alias("primary_key"),
-        named(names(rel["columns"])).alias("column_names"),
+        F.when(F.col("tag").isin("U", "D"), F.when(key.eqNullSafe(F.lit("O")), rel["names"]).otherwise(rel["keys"])).alias("key_columns"),
+        named(rel["keys"]).alias("primary_key"),
+        named(rel["names"]).alias("column_names"),
         F.when(F.col("tag") == "R", rel["columns"]).alias("relation_columns"),
         named_row(F.col("old"), rel["columns"]).alias("old_row"),
         named_row(F.col("new"), rel["columns"]).alias("new_row"),
