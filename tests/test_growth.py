@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from tidelog.functions import scalars as S
-from tidelog.operators import carry, decode, encode, project, txn
+from tidelog.operators import carry, decode, encode, project, state, txn
 from tidelog.plans import queries, silver
 from tidelog.sources import changelog, partlog, wire
 
@@ -79,3 +80,44 @@ def test_texts_with_brackets_and_quotes_keep_them_in_json(spark):
     row = spark.createDataFrame([(cells,)], "row array<struct<name:string,kind:string,value:binary>>")
     back = project.row_from_json(project.row_json(F.col("row")))
     assert row.select(S.same_row(back, F.col("row")).alias("same")).first()["same"]
+
+
+def test_control_messages_are_made_in_many_tasks(spark, monkeypatch):
+    """A few bytes a batch are put into one task where tasks are told by bytes, and it then wrote all control messages."""
+    monkeypatch.setattr(changelog, "ROWS", 1000)
+    made = _rows(changelog.messages(spark, SF).where("tag not in ('I', 'U', 'D')"))
+    assert len(made) >= 8 and max(made) < sum(made) / 2
+
+
+def test_changes_are_written_by_expressions_as_by_the_scalar_writer(spark):
+    """Only what is no plain change goes to Python; its bytes, and those of changes, are the scalar writer's."""
+    draw = random.Random(4)
+    value = lambda: (k := draw.choice("ntbu"), draw.randbytes(draw.randrange(300)) if k in "tb" else None)
+    some = lambda: [value() for _ in range(draw.randrange(6))]
+    rows = [(k, draw.choice([None, 5]), tag := draw.choice("IUD"), draw.choice([0, 2**32 - 1]), draw.randrange(2**32), draw.choice([None, "K", "O"]), some() if tag == "D" or draw.random() < 0.5 else None, some() if tag != "D" else None) for k in range(600)]
+    rows.append((600, None, "I", 1, None, None, [("x", None)], [("t", b"an insert has no old row")]))
+    cells = "array<struct<kind:string,value:binary>>"
+    log = spark.createDataFrame(rows, f"seq long, stream_xid long, tag string, oid long, msg_xid long, key_type string, old {cells}, new {cells}")
+    for version in (1, 4):
+        got = {r["seq"]: bytes(r["data"]) for r in encode.encode(log, version).collect()}
+        want = {r["seq"]: wire.encode(encode._message({n: v for n, v in r.asDict(True).items() if n != "seq"}), version, r["stream_xid"] is not None) for r in log.collect()}
+        assert got == want
+    assert log.where(~F.coalesce(encode._is_plain(4), F.lit(False))).count() == 1
+
+
+def test_marks_are_held_as_arrays(spark):
+    """Marks were Python objects, and beyond 500,000 of them, as at 60 times sf0.1, the whole log was shuffled and sorted."""
+    marks = pa.table({"slot": ["a"] * 4 + ["b"], "seq": [4, 1, 3, 9, 2], "tag": ["C", "B", "S", "S", "b"], "xid": [None, 7, 8, 8, 5], "first_segment": [None, None, True, False, None]})
+    found = txn._Marks(marks)
+    assert all(isinstance(x, np.ndarray) for s in found.of.values() for x in (s.turns, s.blocks, s.codes, s.first))
+    got = found.find(pa.array(["a", "a", "a", "b", "c"]), pa.array([2, 5, 10, 3, 1]), pa.array(["I"] * 5), pa.nulls(5, pa.int64()), pa.array([None, None, 8, None, None], pa.int64()))
+    assert got.to_pylist() == [{"txn_id": x, "txn_seq": b} for x, b in ((7, 1), (None, None), (8, 3), (5, 2), (None, None))]
+
+
+def test_changes_of_many_keys_are_ordered_in_more_tasks(spark, monkeypatch):
+    """Tasks were as many as the session's shuffle partitions, so each ordered more with every change of the log."""
+    changes = silver.committed(spark, SF)
+    want = sorted(map(str, queries.history_scd2(spark, SF).collect()))
+    monkeypatch.setattr(carry, "ROWS", 1000)
+    assert state._lives(changes)[0].rdd.getNumPartitions() == -(-changes.count() // 1000)
+    assert sorted(map(str, queries.history_scd2(spark, SF).collect())) == want

@@ -25,6 +25,12 @@ def dealt(log: DataFrame) -> DataFrame:
     return log.repartition(max(-(-log.count() // ROWS), least), "slot", "_bucket")
 
 
+def dealt_by_key(rows: DataFrame, n: int, *by: str) -> DataFrame:
+    """n rows, dealt out by key in as many partitions as they need, so that what a task sorts does not grow with them."""
+    least = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(max(-(-n // ROWS), least), *by)
+
+
 def carry_forward(log: DataFrame, values: dict[str, Column], key: str | None = None, before: bool = False) -> DataFrame:
     """Adds a column for each name: its value of the last row at or before this one (or before it) where it is not null.
 

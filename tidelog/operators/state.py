@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidelog.functions.scalars import get
-from tidelog.operators.carry import along_keys, broadcast_if_few
+from tidelog.operators.carry import along_keys, broadcast_if_few, dealt_by_key
 from tidelog.sources.scratch import materialise
 
 TABLE = ["slot", "schema", "table"]
@@ -155,6 +155,7 @@ def _lives(changes: DataFrame, values: dict[str, Column] | None = None) -> tuple
     fresh = F.when(~(F.col("live") & (F.col("tag") != "I")), _position())
     known = {f"_last_{n}": F.when(v.isNotNull(), F.struct(_position().alias("at"), F.col("_wiped").alias("wiped"), v.alias("value"))) for n, v in (values or {}).items()}
     rows, cut = _cut_in_segments(rows)
+    rows = dealt_by_key(rows, changes.count(), *BY, *(["_segment"] if cut else []))
     rows = along_keys(rows, BY, AT, {"_born": fresh} | known, {"_next": here}, cut)
     return rows.withColumn("_life", F.struct("_born", "_wiped")), cut
 
@@ -188,6 +189,9 @@ def history(changes: DataFrame) -> DataFrame:
     names = [*BY, "row", "valid_from", "valid_to"]
     whole = rows.where("_partial is null").withColumn("row", F.col("new_row")).select(names)
     cells = rows.where("_partial").select(*BY, "_life", "_segment", *AT, "valid_from", "valid_to", "new_row", F.posexplode("column_names").alias("_pos", "_name"))
+    n = rows.where("_partial").agg(F.sum(F.size("column_names"))).first()[0] or 0
+    # without segments all of a key's cells lie in one task, which orders them and puts the rows together again
+    cells = dealt_by_key(cells, n, *BY, *(["_life", "_name", "_segment"] if cut else []))
     own = F.get(F.filter("new_row", lambda c: c["name"] == F.col("_name")), F.lit(0))
     cells = cells.withColumn("_own", own).drop("new_row")
     known = F.when(F.col("_own").isNotNull(), F.struct(_position().alias("at"), F.col("_own").alias("value")))
