@@ -8,6 +8,7 @@ import random
 import zlib
 from collections import Counter
 from fractions import Fraction
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 
 from tests.oracle import assert_same, duck
 from tidelog.llm import periodic, queries, repeats, resample
+from tidelog.sources import scratch
 
 SF = "/root/testdata/sf0.001"
 #: Names that the operators use inside, as columns of the input.
@@ -112,6 +114,34 @@ def test_op11_is_brute_force(spark):
         assert got[doc_id] == (len(text), sum(mask), spans, hashlib.sha256(kept).hexdigest())
 
 
+def test_repeated_windows_of_large_buckets(spark, monkeypatch):
+    """One passage in many surroundings: its buckets have more kinds than are compared in a task, and are dealt out by window."""
+    monkeypatch.setattr(repeats, "MANY", 1)
+    rng = random.Random(8)
+    text = lambda n: "".join(rng.choices("abcdefgh", k=n))
+    shared = text(40)
+    texts = [text(rng.randint(0, 40)) + shared[rng.randint(0, 7) : rng.randint(33, 40)] + text(rng.randint(0, 40)) for _ in range(50)]
+    check_repeats(run_repeats(spark, texts, window=32, gram=8, block=5), [t.encode() for t in texts], 32)
+
+
+def test_rows_of_a_pass_do_not_stay(spark):
+    """Rows of all passes stayed on disk till the end, most of a text's size together; and 400 bytes repeat, not so many words."""
+    docs = queries.table(spark, "/root/testdata/sf0.01", "documents").select("doc_id", "text")
+    rng = random.Random(6)
+    planted, words = [], []
+    for k, size in enumerate((399, 400, 520)):
+        passage = " ".join("".join(rng.choices("bcdfgh", k=rng.randint(4, 6))) for _ in range(200))[:size]
+        words.append(len(passage.split()))
+        planted += [(-2 * k - 1, f"<{2 * k}>{passage}[{k}"), (-2 * k - 2, f"({2 * k}){passage}]{k}")]
+    docs = docs.unionByName(spark.createDataFrame(planted, docs.schema))
+    size = lambda: sum(f.stat().st_size for f in Path(scratch.shared_dir(spark).removeprefix("file://")).rglob("*.parquet"))
+    before, total = size(), docs.agg(F.sum(F.octet_length("text"))).first()[0]
+    found = repeats.without_repeats(docs, [F.col("doc_id")])
+    removed = {r.doc_id: [b - a for a, b in r.spans] for r in found.where("doc_id < 0").collect()}
+    assert size() - before < total / 8
+    assert min(words) > 50 and removed == {-1: [], -2: [], -3: [400], -4: [400], -5: [520], -6: [520]}
+
+
 def plain_runs(words, length, exponent):
     """All stretches that keep a period and end at both sides, without those that keep a smaller one too."""
     n, found = len(words), []
