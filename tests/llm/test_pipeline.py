@@ -8,6 +8,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -129,6 +130,27 @@ def test_stage_keeps_5_words_at_08():
     assert (copies.SHINGLE, copies.SIMILARITY) == (5, 0.8)
 
 
+def test_stages_send_small_batches_to_python(spark):
+    """40 MB of texts in one partition, which went to Python in one batch, go in batches of a bounded size, whole."""
+    wide = spark.range(0, 2000, 1, 1).select(F.col("id").alias("doc_id"), F.repeat(F.lit("x"), 20_000).alias("text"))
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows]), pa.array([batch.nbytes])], ["n", "size"])
+
+    before = {name: spark.conf.get(name) for name in P.BATCHES}
+    try:
+        for _, stage in P.STAGES:
+            for name, value in before.items():
+                spark.conf.set(name, value)
+            stage(spark, spark.read.parquet(f"{SF}/documents.parquet"), SF)
+            found = wide.mapInArrow(sizes, "n long, size long").collect()
+            assert sum(r["n"] for r in found) == 2000 and max(r["size"] for r in found) < 5 << 20
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
 def _by_sequence(rows):
     out = defaultdict(list)
     for r in rows:
